@@ -6,10 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quadrangle.llm import minhash
+import corpus_pipeline
+from quadrangle.llm import linedup, minhash, packing, suffixdedup, toxicity
 from quadrangle.llm.common import table
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixdedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linedup.line_classes(table(spark, sf_dir, "documents"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
 
@@ -37,7 +54,14 @@ SELECT n.doc_id, n.n AS n_shingles, c.component_id, c.component_id = n.doc_id AS
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op10_minhash": op10_minhash}
+    return {
+        "op1_suffix_array_dedup": op1_suffix_array_dedup,
+        "op3_line_dedup": op3_line_dedup,
+        "op8_toxicity": op8_toxicity,
+        "op9_packing": op9_packing,
+        "op10_minhash": op10_minhash,
+        "pipeline": corpus_pipeline.run,
+    }
 
 
 def oracle_sql() -> dict[str, str]:

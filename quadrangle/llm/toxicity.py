@@ -17,6 +17,7 @@ held out and not used in training. Other columns of the input are ignored.
 from __future__ import annotations
 
 import functools
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -128,34 +129,40 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
     return fit(pos, unl, min(max(toxic / n, 1e-4), 0.9))
 
 
-def scored(docs: DataFrame, model) -> DataFrame:
-    """doc_id, score (0 to 1) for every row of docs."""
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def _scores(text: pa.Array, keys: np.ndarray, w: np.ndarray, bias: float, screen: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(text))
+    for lo, hi, data, off in c.steps(text):
+        f, row = word_features(data, off)
+        maybe = np.flatnonzero(screen[(f >> np.uint64(64 - SCREEN_BITS)).astype(np.int64)])
+        at = np.minimum(np.searchsorted(keys, f[maybe]), len(keys) - 1)
+        hit = keys[at] == f[maybe]
+        both = np.unique(row[maybe][hit] * len(keys) + at[hit])
+        z = np.bincount(both // len(keys), w[both % len(keys)], hi - lo)
+        out[lo:hi] = 1 / (1 + np.exp(-np.clip(z + bias, -30, 30)))
+    return out
+
+
+def with_score(docs: DataFrame, model, name: str = "score") -> DataFrame:
+    """docs with a column of scores (0 to 1) under a name that docs does not have."""
     if model is None:
-        return slim.select("doc_id", F.lit(0.0).alias("score"))
+        return docs.withColumn(name, F.lit(0.0))
     known = docs.sparkSession.sparkContext.broadcast(model)  # at most FEATURES weights, whatever the input
 
-    def run(batches):
+    @F.arrow_udf("double")
+    def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         keys, w, bias = known.value
         screen = np.zeros(1 << SCREEN_BITS, bool)
         screen[(keys >> np.uint64(64 - SCREEN_BITS)).astype(np.int64)] = True
-        for b in batches:
-            for lo, hi, data, off in c.steps(b.column(1)):
-                f, row = word_features(data, off)
-                maybe = np.flatnonzero(screen[(f >> np.uint64(64 - SCREEN_BITS)).astype(np.int64)])
-                at = np.minimum(np.searchsorted(keys, f[maybe]), len(keys) - 1)
-                hit = keys[at] == f[maybe]
-                both = np.unique(row[maybe][hit] * len(keys) + at[hit])
-                z = np.bincount(both // len(keys), w[both % len(keys)], hi - lo)
-                p = 1 / (1 + np.exp(-np.clip(z + bias, -30, 30)))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(p)], ["doc_id", "score"])
+        for text in texts:
+            yield pa.array(_scores(text, keys, w, bias, screen))
 
-    return slim.mapInArrow(run, "doc_id long, score double")
+    return docs.withColumn(name, score(F.col("text").cast("string")))
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **sample: int) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of docs, by a model trained on the rows that are not held out."""
-    out = scored(docs, train(docs, labels, **sample))
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    out = with_score(slim, train(docs, labels, **sample))
     return out.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
     )
