@@ -5,20 +5,49 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quadrangle.llm import linedup, minhash, packing, suffixdedup, toxicity
-from quadrangle.llm.common import table
+from quadrangle.llm import bpe, htmltext, linedup, minhash, packing, quality, suffixdedup, tokenfiles, topk, toxicity
+from quadrangle.llm.common import scratch_path, table
 
 
 def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixdedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.assess(table(spark, sf_dir, "documents"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linedup.line_classes(table(spark, sf_dir, "documents"))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
+def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = bpe.decode(bpe.encode(table(spark, sf_dir, "documents")))
+    return rows.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark)
+    tokenfiles.write_ids(table(spark, sf_dir, "documents"), folder)
+    return tokenfiles.with_crc32(tokenfiles.read_ids(spark, folder))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -37,7 +66,7 @@ WITH RECURSIVE w AS (
   FROM documents
 ), s AS (
   SELECT doc_id, list_distinct(CASE WHEN len(a) = 0 THEN [] WHEN len(a) = 1 THEN a
-    ELSE list_transform(range(1, len(a)), i -> a[i] || ' ' || a[i + 1]) END) AS g
+    ELSE list_transform(range(1, len(a)), lambda i: a[i] || ' ' || a[i + 1]) END) AS g
   FROM w
 ), n AS (SELECT doc_id, len(g)::BIGINT AS n FROM s), u AS (SELECT doc_id, unnest(g) AS x FROM s),
 l AS (
@@ -52,11 +81,52 @@ l AS (
 SELECT n.doc_id, n.n AS n_shingles, c.component_id, c.component_id = n.doc_id AS kept FROM n JOIN c USING (doc_id)
 """
 
+OP2_SQL = r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS r FROM documents), w AS (
+  SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS a,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  FROM t
+), c AS (
+  SELECT *, len(a)::BIGINT AS n_words, len(array_to_string(a, ''))::BIGINT AS word_chars, len(l)::BIGINT AS n_lines,
+    len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines
+  FROM w
+), g AS (
+  SELECT r, i, array_to_string(a[i:i + 4], ' ') AS g FROM (SELECT r, a, unnest(range(1, len(a) - 3)) AS i FROM c)
+), d AS (
+  SELECT r, i FROM (SELECT *, count(*) OVER (PARTITION BY r, g) AS k FROM g) WHERE k > 1
+), p AS (SELECT r, count(DISTINCT i + j)::BIGINT AS n FROM d, range(5) AS x(j) GROUP BY r), s AS (
+  SELECT c.*, coalesce(p.n, 0) AS n_repeat_words, n_words < 10 OR 100 * coalesce(p.n, 0) > 20 * n_words AS base_failed
+  FROM c LEFT JOIN p USING (r)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR 10 * n_symbols > n_words OR word_chars < 2 * n_words OR word_chars > 15 * n_words
+    OR 10 * n_dup_lines > 3 * n_lines OR 100 * len(regexp_extract_all(text, '[^\x20\x09-\x0D]*\p{L}[^\x20\x09-\x0D]*')) < 60 * n_words
+    OR 10 * len(regexp_extract_all(text, '(?m)(\.\.\.|…)$')) > 3 * n_lines
+    OR 10 * len(regexp_extract_all(text, '(?m)^[•‣*-]\x20')) > 9 * n_lines) AS kept
+FROM s
+"""
+
+OP5_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, x.vec_id, list_inner_product(q.v, x.v)::BIGINT AS score FROM v q JOIN v x ON q.vec_id <> x.vec_id WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, rank::INT AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_suffix_array_dedup": op1_suffix_array_dedup,
+        "op2_quality_rules": op2_quality_rules,
         "op3_line_dedup": op3_line_dedup,
+        "op4_html_extraction": op4_html_extraction,
+        "op5_exact_topk": op5_exact_topk,
+        "op6_bpe": op6_bpe,
+        "op7_token_files": op7_token_files,
         "op8_toxicity": op8_toxicity,
         "op9_packing": op9_packing,
         "op10_minhash": op10_minhash,
@@ -65,4 +135,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_minhash": OP10_SQL}
+    return {"op2_quality_rules": OP2_SQL, "op5_exact_topk": OP5_SQL, "op10_minhash": OP10_SQL}
