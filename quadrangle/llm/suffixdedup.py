@@ -136,12 +136,26 @@ def _sort_index(code: np.ndarray) -> np.ndarray:
 
 
 def _dense(x: np.ndarray, y: np.ndarray | None = None) -> np.ndarray:
-    """Ranks from 0 of the values, or of pairs of small values."""
-    if y is not None:
-        x = x.astype(np.uint64) << np.uint64(32) | y.astype(np.uint64)
-    keys = np.sort(x)
-    keys = keys[np.concatenate(([True], keys[1:] != keys[:-1]))] if len(keys) else keys
-    return np.searchsorted(keys, x)
+    """Ranks from 0 of 64-bit hashes, or of pairs of small codes."""
+    n = len(x)
+    bits = max(1, n.bit_length())
+    if y is None:  # sorted by the upper bits, which all but always tell hashes apart, with the place in the lower ones
+        key = x.view(np.uint64) >> np.uint64(bits) << np.uint64(bits) | np.arange(n, dtype=np.uint64)
+    else:
+        wide = int(y.max(initial=0)).bit_length()
+        if int(x.max(initial=0)).bit_length() + wide + bits > 64:
+            return np.unique(x.astype(np.uint64) << np.uint64(32) | y.astype(np.uint64), return_inverse=True)[1]
+        x = x.astype(np.uint64) << np.uint64(wide) | y.astype(np.uint64)
+        key = x << np.uint64(bits) | np.arange(n, dtype=np.uint64)
+    key.sort()
+    at = (key & np.uint64((1 << bits) - 1)).astype(np.int64)
+    value = x[at]
+    apart = value[1:] != value[:-1]
+    if y is None and (apart & (key[1:] >> np.uint64(bits) == key[:-1] >> np.uint64(bits))).any():
+        return np.unique(x, return_inverse=True)[1]
+    rank = np.empty(n, np.int64)
+    rank[at] = np.concatenate(([0], np.cumsum(apart)))[:n]
+    return rank
 
 
 def transform(symbol: np.ndarray, after: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
