@@ -223,13 +223,15 @@ def line_classes(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS
 
 def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """docs with the lines removed that are not the first of their class; documents left without a line are dropped,
-    documents that had no text stay. All columns are kept; n_chars, if there, is that of the new text."""
+    documents that had no text stay. All columns are kept; n_chars, if there, is that of a changed text."""
     gone_col, at = c.fresh("gone", docs), c.fresh("at", docs)
     gone = line_classes(docs, edits, min_chars).where("not kept").groupBy(F.col("doc_id").alias(at)).agg(F.collect_set("line_no").alias(gone_col))
     joined = docs.join(gone, docs["doc_id"].cast("long") == gone[at], "left")
     lines = F.split(F.col("text"), "\n", -1)
     left = F.filter(lines, lambda x, i: ~F.array_contains(F.col(gone_col), i))
     kept = joined.where(F.col(gone_col).isNull() | (F.size(F.filter(left, lambda x: F.length(x) > 0)) > 0))
-    text = F.when(F.col(gone_col).isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
-    out = kept.withColumn("text", text).drop(gone_col, at)
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+    changed = F.col(gone_col).isNotNull()
+    out = kept.withColumn("text", F.when(changed, F.array_join(left, "\n")).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return out.drop(gone_col, at)

@@ -364,7 +364,7 @@ def removal_report(docs: DataFrame, cuts: DataFrame) -> DataFrame:
 
 def cut_repeats(docs: DataFrame, **options: int) -> DataFrame:
     """docs without the repeated bytes; a character that a cut tears goes with it, and a document that loses all its text
-    is dropped. All columns are kept; n_chars, if there, is that of the new text."""
+    is dropped. All columns are kept; n_chars, if there, is that of a changed text."""
     name, at = c.fresh("cuts", docs), c.fresh("at", docs)
     cuts = repeats(docs, **options).toDF(at, name)
 
@@ -375,9 +375,12 @@ def cut_repeats(docs: DataFrame, **options: int) -> DataFrame:
 
     joined = docs.join(cuts, docs["doc_id"].cast("long").eqNullSafe(F.col(at)), "left")
     whole = F.col("text").cast("string")
-    text = F.when(F.col(name).isNull(), whole).otherwise(kept(F.when(F.col(name).isNotNull(), whole), name))
-    out = joined.withColumn("text", text).where(F.col(name).isNull() | (F.length("text") > 0)).drop(name, at)
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+    changed = F.col(name).isNotNull()
+    values = {"text": F.when(changed, kept(F.when(changed, whole), name)).otherwise(whole)}
+    out = joined.withColumns(values)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return out.where(~changed | (F.length("text") > 0)).drop(name, at)
 
 
 def remove_repeats(docs: DataFrame, **options: int) -> DataFrame:
