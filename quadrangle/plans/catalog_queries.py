@@ -481,9 +481,9 @@ def q_search_prefix(spark, sf_dir):
     return search.search(parts_as_institutions(spark, sf_dir), "BLUE", None, "ECONOMY", categories=("ECONOMY",))
 
 
-@query(_search_sql("smal wigdet", 25))
+@query(_search_sql("smal rng", 25))
 def q_search_fuzzy(spark, sf_dir):
-    return search.search(parts_as_institutions(spark, sf_dir), "smal wigdet", 25)
+    return search.search(parts_as_institutions(spark, sf_dir), "smal rng", 25)
 
 
 @query(f"""WITH {INSTITUTIONS_SQL} SELECT id, name, normalized_name, 0 AS tier, levenshtein(normalized_name, 'b2')::INT AS distance FROM inst
