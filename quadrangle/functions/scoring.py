@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quadrangle.functions.text import truncated
 from quadrangle.functions.urls import url_path
 
 # Points of tokens in an address or its surroundings.
@@ -119,7 +120,23 @@ def selection_status(chosen: Column, accepted_kind: Column, confidence: Column,
     return F.when(chosen.isNull(), "no_match").when(~accepted_kind, "rejected_kind").when(confidence >= threshold, "accepted").otherwise("below_threshold")
 
 
-def compact_list(text: Column, separator: str, patterns: str, limit: int) -> Column:
-    """Of the parts of a list those that match, joined again, at most limit characters."""
-    parts = F.filter(F.transform(F.split(text, separator), lambda x: F.trim(x)), lambda x: x.rlike(patterns))
-    return F.substring(F.array_join(parts, separator.strip() + " "), 1, limit)
+def asset_name(url: Column) -> Column:
+    """The last part of an address's path, for people to read."""
+    name = F.regexp_extract(F.regexp_replace(url_path(url), "/+$", ""), "([^/]*)$", 1)
+    return F.when(F.coalesce(url, F.lit("")) == "", "inline SVG").when(~url.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*://"), url).when(name == "", "unnamed asset").otherwise(name)
+
+
+def compact_metadata(text: Column) -> Column:
+    """The first five telling attributes of an element's metadata, in 120 characters."""
+    parts = F.transform(F.split(text, ";"), lambda x: F.trim(x))
+    useful = F.array_join(F.slice(F.filter(parts, lambda x: x.rlike(r"(?i)^(?:tag|alt|class|id|title|role|aria-[\w-]+)=")), 1, 5), "; ")
+    return truncated(F.when(useful != "", useful).otherwise(text), 120)
+
+
+def compact_ancestry(text: Column) -> Column:
+    """The element itself and its telling ancestors, four at most, in 180 characters."""
+    parts = F.filter(F.transform(F.split(text, " > "), lambda x: F.trim(x)), lambda x: x != "")
+    telling = F.filter(parts, lambda x: x.rlike(r"(?i)\b(?:header|nav|footer|logo|brand|identity|school|district|crest|seal|wordmark)\b"))
+    chosen = F.slice(F.array_distinct(F.concat(F.slice(parts, 1, 1), telling)), 1, 4)
+    short = F.array_join(F.transform(chosen, lambda x: truncated(x, 70)), " > ")
+    return truncated(F.when(short != "", short).otherwise(text), 180)

@@ -123,6 +123,16 @@ def collapsed(c: Column | str, n: int | None = None) -> Column:
     return first_n(t, n) if n else t
 
 
+def truncated(c: Column | str, n: int) -> Column:
+    """At most n characters, the last one an ellipsis if something was left out."""
+    c = _col(c)
+    return F.when(F.length(c) <= n, c).otherwise(F.concat(F.substring(c, 1, n - 1), F.lit(chr(0x2026))))
+
+
+def error_text(c: Column | str) -> Column:
+    return collapsed(c, 500)
+
+
 def escape_html(c: Column | str) -> Column:
     c = _col(c)
     for raw, safe in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):

@@ -90,3 +90,25 @@ def lookup(institutions: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame
 def with_columns_of(rows: DataFrame, names: list[str]) -> DataFrame:
     """rows in the layout of names: columns that an older file lacks are empty texts."""
     return rows.select(*(F.col(c) if c in rows.columns else F.lit("").alias(c) for c in names))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
+def read_manifest(spark: SparkSession, path: str, legacy: str | None = None, names: tuple[str, ...] = schema.MANIFEST) -> DataFrame:
+    """The manifest of evaluated candidates; no rows if there is none. An older review file stands in for a missing manifest if
+    all its rows name their institution. Categories other than college are high_school."""
+    if exists(spark, path):
+        rows = read_csv(spark, path)
+    elif legacy and exists(spark, legacy):
+        rows = read_csv(spark, legacy)
+        if "institution_id" not in rows.columns or rows.where(F.coalesce(F.trim("institution_id"), F.lit("")) == "").take(1):
+            rows = rows.limit(0)
+    else:
+        rows = spark.createDataFrame([], ", ".join(f"{n} string" for n in names))
+    rows = with_columns_of(rows, list(names))
+    if "category" not in names:
+        return rows
+    return rows.withColumn("category", F.when(F.col("category") == "college", "college").otherwise("high_school"))

@@ -40,6 +40,24 @@ REQUIRED = {
 }
 ENRICHMENT = ("id", "name", "category", "city", "state", "country", "website")
 
+# Columns of the manifest of evaluated candidates, of its compact review, and of the retrieval table.
+# fmt: off
+MANIFEST = (
+    "institution_id", "run_seed", "institution_name", "normalized_name", "category", "city", "state", "website", "source_page_url", "candidate_url",
+    "preview_path", "candidate_rank", "score", "auto_selected", "status", "content_type", "source_bytes", "preview_bytes", "width", "height", "reasons",
+    "candidate_metadata", "candidate_ancestry", "candidate_region", "ai_choice", "ai_confidence", "ai_reason", "ai_model", "ai_status", "ai_duration_ms",
+    "ai_kind", "ai_eligible", "error",
+)
+REVIEW = (
+    "institution_name", "category", "website", "candidate_rank", "score", "auto_selected", "ai_kind", "ai_eligible", "ai_choice", "ai_confidence",
+    "ai_status", "candidate_url", "error", "status",
+)
+RETRIEVAL = (
+    "institution_id", "run_seed", "institution_name", "category", "website", "inventory_index", "batch_number", "source", "candidate_url",
+    "source_page_url", "page_region", "metadata", "ancestry", "batch_rank", "final_rank", "status", "error",
+)
+# fmt: on
+
 
 def _checked(rows: DataFrame, rules: dict[str, Column]) -> DataFrame:
     broken = F.array_compact(F.array(*(F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in rules.items())))

@@ -120,6 +120,14 @@ def test_scores(spark):
     assert one(spark, scoring.rejected_asset(F.lit("/social-sprite.png")))
 
 
+def test_compact_texts(spark):
+    assert one(spark, scoring.asset_name(F.lit("https://x.org/a/logo.png?x"))) == "logo.png" and one(spark, scoring.asset_name(F.lit("https://x.org/"))) == "unnamed asset"
+    assert one(spark, scoring.asset_name(F.lit(""))) == "inline SVG" and one(spark, scoring.asset_name(F.lit("logo"))) == "logo"
+    assert one(spark, scoring.compact_metadata(F.lit("tag=img; data-lazy=x; alt=Logo; src=y"))) == "tag=img; alt=Logo"
+    assert one(spark, scoring.compact_ancestry(F.lit("img > div(x) > header(class=h) > a"))) == "img > header(class=h)"
+    assert one(spark, T.truncated("a", 4), a="abcdef") == "abc" + chr(0x2026) and one(spark, T.error_text("a"), a=" a\n b ") == "a b"
+
+
 PAGE = """<html><head><link rel="icon" href="/i.ico"><link rel="manifest" href="m.json"><meta property="og:image" content="/pic.jpg"><meta name="twitter:image" content="/school-logo.png"></head>
 <body><header><a href="/"><img class="site-logo" src="/logo.png" data-image-sizes='[{"url":"/resize/v1/x/logo.png"},{"url":"/resize/v2/x/logo.png"}]'></a><svg class="school-logo"><title>Lincoln</title></svg></header>
 <main><img srcset="/a.jpg 1x, /b.jpg 2x"><div style="background:url(hero.jpg)"></div><video><source src="v.mp4"></video><img src="/social-sprite.png"></main>

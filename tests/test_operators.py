@@ -279,3 +279,14 @@ def test_constraints(spark, catalog):
     assert schema.violations(rows).count() == 0
     bad = rows.withColumns({"category": F.lit("library"), "country": F.lit(None).cast("string")}).limit(1)
     assert list(schema.violations(bad).first().violations) == ["country is missing", "category"]
+
+
+def test_manifest(spark, tmp_path):
+    assert files.read_manifest(spark, str(tmp_path / "none.csv"), str(tmp_path / "old.csv")).count() == 0
+    old = write(tmp_path / "old.csv", ["institution_id", "category", "status"], [["a", "library", "error"], ["b", "college", "x"]])
+    rows = files.read_manifest(spark, str(tmp_path / "none.csv"), old)
+    assert tuple(rows.columns) == schema.MANIFEST and [r.category for r in rows.orderBy("institution_id").collect()] == ["high_school", "college"]
+    bad = write(tmp_path / "bad.csv", ["institution_id", "category"], [["", "college"]])
+    assert files.read_manifest(spark, str(tmp_path / "none.csv"), bad).count() == 0
+    reports.append_csv(spark.createDataFrame([("c", "college", "y")], "i string, c string, s string"), old)
+    assert files.read_manifest(spark, old).count() == 3
