@@ -7,7 +7,8 @@ doc_id for every `ROW_INDEX` rows, so a lookup of doc_ids skips files, stripes a
 read is split by stripes.
 
 Encoding is done unit by unit: a unit is what stands between spaces and line feeds, where the word tokenizer starts anew,
-and each task keeps the ids of the units that it has seen. Every new unit goes through the tokenizers library.
+and a worker keeps the ids of the units that it has seen, by a 64-bit hash. A new unit that is a word of Latin letters is merged by
+the library's model; any other goes through the whole library.
 
 Defined cases: null text is empty, and its ids are the end id alone. Null doc_ids come first. Rows that repeat a doc_id are
 ordered by a hash of their text. Other columns of `documents` are ignored.
@@ -15,6 +16,7 @@ ordered by a hash of their text. Other columns of `documents` are ignored.
 
 from __future__ import annotations
 
+import functools
 import zlib
 
 import numpy as np
@@ -25,72 +27,76 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quadrangle.llm import common as c
-from quadrangle.llm.bpe import tokenizer
+from quadrangle.llm.units import DOTTED_I, Units, as_shown, in_order, last_signs, latin_word
 
 STRIPE_BYTES, ROW_INDEX, BLOOM_FPP = 16 << 20, 1000, 0.01
-#: Units and characters of units that a task remembers before it starts afresh.
-UNITS, UNIT_CHARS = 1 << 19, 1 << 24
 END = 1
+#: Units that a worker remembers.
+UNITS = 1 << 19
 
 
 def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class Units:
-    """Ids by unit. Unit 0 is the end of a document."""
-
-    def __init__(self, path: str, end_id: int):
-        self.path, self.end_id = path, end_id
-        self._clear()
-
-    def _clear(self) -> None:
-        self.table: dict[str, int] = {}
-        self.chars = 0
-        self.ids = np.array([self.end_id], np.int32)
-        self.start, self.count = np.zeros(1, np.int64), np.ones(1, np.int64)
-
-    def _learn(self, new: list[str]) -> None:
-        found = [e.ids for e in tokenizer(self.path).encode_batch_fast(new, add_special_tokens=False)]
-        count = np.fromiter(map(len, found), np.int64, len(found))
-        self.start = np.concatenate((self.start, len(self.ids) + np.cumsum(count) - count))
-        self.count = np.concatenate((self.count, count))
-        self.ids = np.concatenate((self.ids, np.array([i for x in found for i in x], np.int32)))
-        first = len(self.table) + 1
-        self.table.update(zip(new, range(first, first + len(new)), strict=True))
-        self.chars += sum(map(len, new))
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts, one after another, each with its end id, and how many each has."""
-        if len(self.table) > UNITS or self.chars > UNIT_CHARS:
-            self._clear()
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = set().union(*split).difference(self.table)
-        if new:
-            self._learn(sorted(new))
-        table, rows = self.table, []
-        for units in split:
-            row = [table[u] for u in units]
-            row.append(0)
-            rows.append(row)
-        unit = np.array([i for row in rows for i in row], np.int64)
-        count = self.count[unit]
-        ends = np.cumsum(count)
-        total = int(ends[-1]) if len(ends) else 0
-        flat = self.ids[np.repeat(self.start[unit] - ends + count, count) + np.arange(total)]
-        at = ends[np.cumsum([len(row) for row in rows]) - 1] if rows else np.zeros(0, np.int64)
-        return flat, np.diff(at, prepend=0)
+def _word(unit: str) -> str | None:
+    """Letters up to U+024F, but U+0130, have one lower-case form each and stay as they are in composition."""
+    if not latin_word(unit) or DOTTED_I in unit:
+        return None
+    unit = unit.lower()
+    return unit if unit.isascii() else as_shown(unit)
+
+
+@functools.cache
+def worker_units(path: str, end_id: int) -> Units:
+    """One memory for all tasks of a worker process."""
+    return Units(path, _word, [end_id], UNITS)
+
+
+def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each unit with A-Z in lower case, and whether it was taken like that: a unit with a '<' (a special token could
+    begin) or a character from U+0300 on (it could compose with a letter) is hashed as it is."""
+    special = np.zeros(len(data) + 1, np.int64)
+    np.cumsum((data >= 0xCC) | (data == 0x3C), out=special[1:])
+    plain = special[end] == special[start]
+    h = c.span_hash(c.prefix_hash(c.lower_bytes()[data]), start, end)
+    if not plain.all():
+        odd = np.flatnonzero(~plain)
+        h[odd] = ~c.span_hash(c.prefix_hash(data), start[odd], end[odd])
+    return h, plain
+
+
+@functools.cache
+def _breaks() -> np.ndarray:
+    t = np.zeros(256, bool)
+    t[[0x0A, 0x20]] = True
+    return t
+
+
+def encode_bytes(units: Units, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts (UTF-8), one after another, each with its end id, and how many each has."""
+    start, end, row = c.spans(data, offsets, _breaks())
+    sign = last_signs(data, start, end)
+    end = end - (sign > 0)
+    h, plain = _hashes(data, start, end)
+
+    def text_of(at: np.ndarray) -> list[str]:
+        raw, low = data.tobytes(), c.lower_bytes()[data].tobytes()
+        return [(low if p else raw)[a:b].decode() for a, b, p in zip(start[at].tolist(), end[at].tolist(), plain[at].tolist(), strict=True)]
+
+    unit, per_row = in_order(units.codes(h, text_of), sign, row, len(offsets) - 1, True)
+    flat, ends = units.gather(unit)
+    return flat, np.diff(ends[np.cumsum(per_row) - 1], prepend=0)
 
 
 def _encode(rows: DataFrame, path: str, end_id: int) -> DataFrame:
     """doc_id, part, start (ids before it in its part), n_tokens, ids; the order of rows stays."""
 
     def run(batches):
-        part, before, units = TaskContext.get().partitionId(), 0, Units(path, end_id)
+        part, before, units = TaskContext.get().partitionId(), 0, worker_units(path, end_id)
         for b in batches:
-            texts = b.column(1)
-            for lo, hi, _, _ in c.steps(texts):
-                flat, n = units.encode(texts.slice(lo, hi - lo).to_pylist())
+            for lo, hi, data, off in c.steps(b.column(1)):
+                flat, n = encode_bytes(units, data, off)
                 start = before + np.cumsum(n) - n
                 before += int(n.sum())
                 yield pa.RecordBatch.from_arrays(
@@ -122,12 +128,12 @@ def read_ids(spark: SparkSession, folder: str, doc_ids: list[int] | None = None)
     """doc_id, start (ids of all documents before it), n_tokens, ids from the files. With doc_ids (a short list), only those
     documents are read, by metadata where it can tell."""
     rows = spark.read.schema("doc_id long, part int, start long, n_tokens long, ids array<int>").orc(folder)
-    sums = rows.groupBy("part").agg(F.sum("n_tokens").alias("n"))  # a row for each file
+    sums = rows.groupBy("part").agg(F.sum("n_tokens").alias("n"))  # a row for each file, so small enough to broadcast
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = sums.select(F.col("part").alias("p"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     if doc_ids is not None:
         rows = rows.where(F.col("doc_id").isin(doc_ids))
-    return rows.join(base, F.col("part") == F.col("p")).select("doc_id", (F.col("base") + F.col("start")).alias("start"), "n_tokens", "ids")
+    return rows.join(F.broadcast(base), F.col("part") == F.col("p")).select("doc_id", (F.col("base") + F.col("start")).alias("start"), "n_tokens", "ids")
 
 
 def with_crc32(rows: DataFrame, name: str = "ids_crc32") -> DataFrame:
