@@ -61,7 +61,8 @@ WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 
 
-def _marked(attrs: str) -> bool:
+def _marked(attrs: str, within: bool) -> bool:
+    """within: inside an article, where a header is the article's own."""
     for m in NAMED.finditer(attrs):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true":
@@ -69,7 +70,7 @@ def _marked(attrs: str) -> bool:
         if name == "style":
             if "display:none" in value.lower().replace(" ", ""):
                 return True
-        elif name in ("class", "id", "role") and any(w.lower() in MARKS for w in WORD.findall(value)):
+        elif name in ("class", "id", "role") and any(w in MARKS and not (within and w == "header") for w in map(str.lower, WORD.findall(value))):
             return True
     return False
 
@@ -144,9 +145,9 @@ def blocks(page: str) -> tuple[list[_Block], list[tuple[str, bool, bool]]]:
                 close({"p"}, {"td", "th", "li", "table", "button", "object", "article", "section", "div"})
             attrs = m["attrs"] if m["tag"] else m["attrs2"]
             wrap = tag in ("html", "body", "main")
-            marked = bool(attrs) and not attrs.isspace() and not wrap and _marked(attrs)
-            inside = {elements[e][0] for e in stack}
-            dropped = tag in DROPPED or tag == "header" and not inside & {"article", "main"}
+            within = any(elements[e][0] in ("article", "main") for e in stack)
+            marked = bool(attrs) and not attrs.isspace() and not wrap and _marked(attrs, within)
+            dropped = tag in DROPPED or tag == "header" and not within
             elements.append((tag, dropped, marked))
             stack.append(len(elements) - 1)
     if at < len(page):

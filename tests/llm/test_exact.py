@@ -204,6 +204,7 @@ def test_bpe_like_the_library(documents):
     out = bpe.decode(bpe.encode(docs, mean=64))
     expected = [(d, list(ids_of(t, path)), tokenizer(path).decode(ids_of(t, path), skip_special_tokens=False)) for d, t in pairs_of(docs)]
     same_rows(out.select("doc_id", "ids", "decoded"), expected)
+    same_rows(bpe.encode(docs, mean=64, decoded="text_").select("doc_id", "ids", "text_"), expected)
 
 
 def test_bpe_of_nothing(no_documents, spark):

@@ -33,6 +33,7 @@ def page(body, head=""):
         (page(f"<div><div><p>{LONG}</p><ul><li>One item</li><li>Two <i>items</i></li></ul><p>{LONG}</p></div><section id='comments'><p>{LONG}</p></section></div>"), f"{LONG}\nOne item\nTwo items\n{LONG}"),
         (page(f"<article><p>{LONG}</p><form><p>Your name, please.</p><button>Send</button></form><div role='alert'>Notice.</div><!-- <p>no</p> --><p>{LONG}</p></article>"), f"{LONG}\n{LONG}"),
         (page(f"<article><p>{LONG}</p><ul class='related'><li><a href='x'>Other story</a></li></ul><noscript>no</noscript><svg><text>no</text></svg></article>"), LONG),
+        (page(f"<div class='page-header'>Site name</div><article><header class='entry-header'><h1>Own</h1></header><p>{LONG}</p></article>"), f"Own\n{LONG}"),
         (f"<article><p>{LONG}</p><p>cut o", f"{LONG}\ncut o"),
         ("<p>plain text only", "plain text only"),
         ("no markup at all &amp; so on", "no markup at all & so on"),
