@@ -22,6 +22,9 @@ from pyspark.sql import functions as F
 from quadrangle.llm import common as c
 
 BANDS, ROWS = 30, 5
+#: Words of 64 parity bits of a set; leaders of a bucket are this many times more in each round; components are found anew when
+#: links grow by this part.
+PARITY, MORE, GROWN = 8, 16, 1 / 16
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 NO_RANGE = np.uint64(1)
 
@@ -82,8 +85,23 @@ def band_keys(sk: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key
 
 
+def parities(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """PARITY words for each set: bit i tells whether an odd number of its elements has the upper hash bits i. Two sets differ in
+    no more bits than they differ in elements."""
+    bits = 64 * PARITY
+    edges = np.concatenate(([0], np.cumsum(counts)))
+    out = np.zeros((len(counts), PARITY), np.int64)
+    for lo in range(0, len(counts), 4096):
+        hi = min(lo + 4096, len(counts))
+        own = values[edges[lo] : edges[hi]]
+        at = np.repeat(np.arange(hi - lo), counts[lo:hi]) * bits + (own >> np.uint64(65 - bits.bit_length())).astype(np.int64)
+        odd = (np.bincount(at, minlength=(hi - lo) * bits) & 1).astype(np.uint8)
+        out[lo:hi] = np.packbits(odd).view(np.int64).reshape(hi - lo, PARITY)
+    return out
+
+
 def signatures(docs: DataFrame, words: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, n_shingles, k1, k2 (fingerprint of the set), bands (keys; none for an empty set)."""
+    """doc_id, n_shingles, k1, k2 (fingerprint of the set), bands (keys; none for an empty set), parity."""
 
     def run(batches):
         for b in batches:
@@ -98,12 +116,13 @@ def signatures(docs: DataFrame, words: int, bands: int = BANDS, rows: int = ROWS
                         pa.array(counts),
                         *(pa.array(c.signed(t[edges[1:]] - t[edges[:-1]])) for t in total),
                         c.list_array(pa.array(c.signed(keys)), np.where(counts > 0, bands, 0)),
+                        c.list_array(pa.array(parities(values, counts).ravel()), np.full(hi - lo, PARITY)),
                     ],
-                    ["doc_id", "n_shingles", "k1", "k2", "bands"],
+                    ["doc_id", "n_shingles", "k1", "k2", "bands", "parity"],
                 )
 
     slim = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return slim.mapInArrow(run, "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>")
+    return slim.mapInArrow(run, "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>, parity array<long>")
 
 
 def full_sets(docs: DataFrame, words: int) -> DataFrame:
@@ -136,42 +155,54 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _pairs(members: DataFrame, leaders: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs of a leader and a member of its bucket, where sizes allow a link and they are in different components."""
-    return (
-        members.join(leaders, "key")
-        .where(f"doc_id <> l_id and comp <> l_comp and 100 * least(n, l_n) >= {percent} * greatest(n, l_n)")
-        .select(F.least("doc_id", "l_id").alias("a"), F.greatest("doc_id", "l_id").alias("b"))
-        .distinct()
-    )
+def _pairs(members: DataFrame, leaders: DataFrame, percent: int, best_only: bool) -> DataFrame:
+    """Distinct pairs of a leader and a member of its bucket that are in different components and that sizes and parities
+    allow to be linked; if best_only, a document's pair with the leader of the highest score alone.
+
+    Sets with 100 * intersection >= percent * union differ in at most (n + m) * (100 - percent) / (100 + percent) elements."""
+    differ = sum((F.bit_count(F.col(f"p{i}").bitwiseXOR(F.col(f"l_p{i}"))) for i in range(PARITY)), F.lit(0))
+    sizes = F.col("n") + F.col("l_n")
+    possible = F.expr(f"doc_id <> l_id and comp <> l_comp and 100 * least(n, l_n) >= {percent} * greatest(n, l_n)")
+    possible = possible & (differ * (100 + percent) <= sizes * (100 - percent))
+    own = members.drop("score", "size").withColumnRenamed("key", "m_key")
+    met = own.join(leaders, (F.col("m_key") == F.col("key")) & possible)
+    if best_only:
+        met = met.groupBy("doc_id").agg(F.max(F.struct("score", (-F.col("l_id")).alias("d"))).alias("m")).select("doc_id", (-F.col("m.d")).alias("l_id"))
+    return met.select(F.least("doc_id", "l_id").alias("a"), F.greatest("doc_id", "l_id").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept (doc_id = component_id).
 
-    Within a bucket every member is compared with a leader, then with further leaders, twice as many in each round, until
-    all that is left of the bucket is one component: pairs of a group are not all made, and no pair that could join two
-    components goes untested. The leader is the member with the largest sum of bucket sizes, usually the original of a
-    group of altered copies, so one round mostly does.
+    First every document is compared with the best leader of all its buckets. Then within a bucket every member is compared
+    with MORE leaders, then with MORE times as many in each round, until all that is left of the bucket is one component: pairs of a group are not all made, and no pair that could join two components goes untested. The leader is
+    the member with the largest sum of bucket sizes, usually the original of a group of altered copies. Pairs whose sizes
+    or parities rule out a link never leave the join, so documents that are only alike do not fill it with pairs.
     """
     sig = c.cut(signatures(docs, words, bands, rows))
     real = sig.where("n_shingles > 0 and doc_id is not null")
     classes = c.cut(real.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")))
     reps = sig.join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    parity = [f"p{i}" for i in range(PARITY)]
     keys = reps.select("doc_id", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
     sizes = keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     members = c.cut(keys.join(sizes, "key"))
     score = members.groupBy("doc_id").agg(F.sum("size").alias("score"))
-    members = c.cut(members.join(score, "doc_id").select("key", "doc_id", "n", "score", F.col("doc_id").alias("comp")))
+    score = reps.select("doc_id", *(F.col("parity")[i].alias(p) for i, p in enumerate(parity))).join(score, "doc_id")
+    members = c.cut(members.join(score, "doc_id").select("key", "size", "doc_id", "n", "score", F.col("doc_id").alias("comp"), *parity))
     sets = None
     links = checked = None
-    round_no = 0
+    n_links = n_known = 0
+    round_no = -1  # in the first round a document meets only the best of its buckets' leaders
     while members.take(1):
-        slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << round_no))
-        best = F.struct("score", (-F.col("doc_id")).alias("d"), "n", "comp")
+        slots = MORE ** (round_no + 1)  # a bucket of no more members has all of them as leaders
+        slot = F.when((F.col("size") <= slots) & (round_no >= 0), F.col("doc_id")).otherwise(F.pmod(F.xxhash64("doc_id"), F.lit(slots)))
+        best = F.struct("score", (-F.col("doc_id")).alias("d"), "n", "comp", *parity)
         leaders = members.groupBy("key", slot.alias("slot")).agg(F.max(best).alias("m"))
-        leaders = leaders.select("key", (-F.col("m.d")).alias("l_id"), F.col("m.n").alias("l_n"), F.col("m.comp").alias("l_comp"))
-        pairs = _pairs(members, leaders, percent)
+        leaders = leaders.select(
+            "key", (-F.col("m.d")).alias("l_id"), "m.score", F.col("m.n").alias("l_n"), F.col("m.comp").alias("l_comp"), *(F.col(f"m.{p}").alias(f"l_{p}") for p in parity)
+        )
+        pairs = _pairs(members, leaders, percent, best_only=round_no < 0)
         if checked is not None:
             pairs = pairs.join(checked, ["a", "b"], "left_anti")
         pairs = c.cut(pairs)
@@ -182,10 +213,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
         found = c.cut(confirmed(pairs, sets, percent))
         links = found if links is None else links.unionByName(found)
         checked = pairs if checked is None else checked.unionByName(pairs)
-        comps = c.components(links)
-        rest = members.join(leaders.select("key", F.col("l_id").alias("doc_id")), ["key", "doc_id"], "left_anti").drop("comp")
-        rest = rest.join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-        rest = rest.select("key", "doc_id", "n", "score", F.coalesce("component", "doc_id").alias("comp"))
+        rest = members
+        if round_no >= 0:
+            rest = rest.join(leaders.select("key", F.col("l_id").alias("doc_id")), ["key", "doc_id"], "left_anti")
+        n_links += found.count()
+        if n_links - n_known > n_known * GROWN:  # else the components are nearly as they were, which costs a few more pairs
+            n_known = n_links
+            comps = c.components(links).withColumnRenamed("node", "doc_id")
+            rest = rest.drop("comp").join(comps, "doc_id", "left")
+            rest = rest.select("key", "size", "doc_id", "n", "score", F.coalesce("component", "doc_id").alias("comp"), *parity)
         open_keys = rest.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
         members = c.cut(rest.join(open_keys, "key", "left_semi"))
         round_no += 1
