@@ -8,10 +8,12 @@
    told apart by a bitmap of fixed size, never meet a shuffle.
 4. Chunk joins are repaired: the text from the second seam before a cut to the second seam after it is encoded again; it
    must agree with the tokens there up to the first seam on either side, else the window grows, up to the whole text. A
-   seam is a space between two graphic ASCII characters, where the tokenizer's pattern always starts a new piece.
+   seam is a space between two characters that are surely none, where the tokenizer's pattern always starts a new piece.
    The bytes of the result must be those of the text, which also rules out a hash collision; else the text is encoded
    whole.
 
+What is encoded is first cut at its seams, and a worker encodes equal units between seams once.
+
 Defined cases: null text is empty and has no ids. Special tokens that stand in a text are recognised, as the library does.
 Repeated rows and null doc_ids are rows like any other. A null list of ids decodes to the empty text. Other columns of
 `documents` are ignored.
@@ -20,18 +22,21 @@ Repeated rows and null doc_ids are rows like any other. A null list of ids decod
 from __future__ import annotations
 
 import functools
-import os
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quadrangle.llm import common as c
+from quadrangle.llm.units import Units, as_shown, byte_characters, in_order, last_signs, latin_word, tokenizer
 
 #: Bytes that the rolling hash sees, mean bytes of a chunk, and bytes under which a chunk is not shared.
 ROLL, MEAN, LEAST = 48, 512, 64
+#: Units that a worker remembers.
+UNITS = 1 << 18
 #: The bitmap that tells documents with shared chunks from others: words of 64 bits.
 BITMAP_WORDS = 1 << 17
 
@@ -40,22 +45,10 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-@functools.cache
-def tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
-    from tokenizers import Tokenizer
-
-    t = Tokenizer.from_file(path)
-    t.no_truncation()
-    t.no_padding()
-    return t
-
-
 @functools.cache
 def token_bytes(path: str) -> list[bytes]:
     """The bytes of every id of a byte-level vocabulary."""
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves; the others follow from 256
-    back = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(shown))}
+    back = byte_characters()
     vocab = tokenizer(path).get_vocab(with_added_tokens=True)
     out = [b""] * (max(vocab.values()) + 1)
     for word, i in vocab.items():
@@ -68,8 +61,76 @@ def token_sizes(path: str) -> np.ndarray:
     return np.array([len(b) for b in token_bytes(path)], np.int64)
 
 
-def encode_all(texts: list[str], path: str) -> list[np.ndarray]:
-    return [np.array(e.ids, np.int32) for e in tokenizer(path).encode_batch_fast(texts, add_special_tokens=False)]
+def seams(data: np.ndarray, breaks: bytes = b" ") -> np.ndarray:
+    """Places of a space (or another of breaks) between two characters that are no white space for certain: graphic ASCII or
+    U+00C0 to U+00FF. The pattern's pieces always start there, and the same ones whatever stands further on."""
+    n = len(data)
+    if n < 3:
+        return np.zeros(0, np.int64)
+    at = np.flatnonzero(np.isin(data[1:-1], np.frombuffer(breaks, np.uint8))) + 1
+    before, after = data[at - 1], data[at + 1]
+    wide = (before >= 0x80) & (before < 0xC0) & (data[np.maximum(at - 2, 0)] == 0xC3) & (at > 1)
+    return at[(((before > 0x20) & (before < 0x7F)) | wide) & (((after > 0x20) & (after < 0x7F)) | (after == 0xC3))]
+
+
+def _word(unit: str) -> str | None:
+    """A word of Latin letters with the space before it is one piece."""
+    letters = unit[1:] if unit[0] == " " else unit
+    return as_shown(unit) if latin_word(letters) else None
+
+
+@functools.cache
+def worker_units(path: str) -> Units:
+    """One memory for all tasks of a worker process."""
+    return Units(path, _word, [], UNITS)
+
+
+def encode_bytes(units: Units, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts (UTF-8), one after another, and how many each has. Texts are cut at their seams, line feeds
+    included, and the units between them are encoded once for the worker."""
+    n, rows = len(data), len(offsets) - 1
+    cuts = seams(data, b" \n")
+    start = np.unique(np.concatenate((offsets[:-1], cuts, cuts[data[cuts] == 0x0A] + 1)))
+    start = start[start < n]
+    row = np.searchsorted(offsets, start, "right") - 1
+    end = np.minimum(np.append(start[1:], n), offsets[row + 1])
+    sign = last_signs(data, start, end)
+    end = end - (sign > 0)
+
+    def text_of(at: np.ndarray) -> list[str]:
+        raw = data.tobytes()
+        return [raw[a:b].decode() for a, b in zip(start[at].tolist(), end[at].tolist(), strict=True)]
+
+    code = units.codes(c.span_hash(c.prefix_hash(data), start, end), text_of)
+    unit, per_row = in_order(code, sign, row, rows, False)
+    flat, ends = units.gather(unit)
+    edges = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(per_row)))]
+    return flat, np.diff(edges)
+
+
+def encode_all(texts: list[str] | list[bytes], path: str) -> list[np.ndarray]:
+    """The ids of each text."""
+    out: list[np.ndarray] = []
+    for _, _, data, off in c.steps(pa.array(texts, pa.large_binary() if texts and isinstance(texts[0], bytes) else pa.large_string())):
+        flat, n = encode_bytes(worker_units(path), data, off)
+        out += np.split(flat, np.cumsum(n)[:-1])
+    return out
+
+
+def _texts(flat: np.ndarray, counts: np.ndarray, path: str) -> pa.Array:
+    """The texts that runs of ids stand for."""
+    table, at = token_bytes(path), np.concatenate(([0], np.cumsum(counts)))
+    whole = (b"".join([table[i] for i in flat[a:b].tolist()]) for a, b in zip(at[:-1], at[1:], strict=True))
+    return pa.array([w.decode("utf-8", "replace") for w in whole], pa.string())
+
+
+def _batch(doc_ids: pa.Array, flat: np.ndarray, counts: np.ndarray, path: str, text: str | None) -> pa.RecordBatch:
+    columns = [doc_ids, c.list_array(pa.array(flat), counts), *([_texts(flat, counts, path)] if text else [])]
+    return pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", *([text] if text else [])])
+
+
+def _schema(text: str | None) -> str:
+    return "doc_id long, ids array<int>" + (f", `{text}` string" if text else "")
 
 
 def cut_places(data: np.ndarray, offsets: np.ndarray, mean: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -146,7 +207,7 @@ def encode_shared(docs: DataFrame, owned: DataFrame, path: str) -> DataFrame:
                 for x in items:
                     lo, size = x["at"] >> 32, x["at"] & 0xFFFFFFFF
                     names.append(x["h"])
-                    texts.append(text[lo : lo + size].decode())
+                    texts.append(text[lo : lo + size])
             ids = [e.tobytes() for e in encode_all(texts, path)]
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(ids, pa.binary())], ["h", "ids"])
 
@@ -177,9 +238,7 @@ class _Doc:
         self.ids = np.concatenate([segments[s] for s in starts]) if starts else np.zeros(0, np.int32)
         self.ends = np.cumsum(sizes[self.ids])
         data = np.frombuffer(self.text, np.uint8)
-        graphic = (data > 0x20) & (data < 0x7F)
-        inner = np.flatnonzero((data[1:-1] == 0x20) & graphic[:-2] & graphic[2:]) + 1 if len(data) > 2 else np.zeros(0, np.int64)
-        self.seams = np.concatenate(([0], inner, [len(data)]))
+        self.seams = np.concatenate(([0], seams(data), [len(data)]))
         self.sizes = sizes
         self.windows = self._merged([self._window(x, x, 2) for x in starts[1:]])
 
@@ -237,44 +296,46 @@ def assemble(texts: list[bytes], pieces: list[dict[int, bytes]], path: str) -> l
     """The ids of each text, given the ids of some of its chunks by their place."""
     docs = [_Doc(t, p) for t, p in zip(texts, pieces, strict=True)]
     sizes = token_sizes(path)
-    gaps = iter(encode_all([d.text[a:b].decode() for d in docs for a, b in d.gaps], path))
+    gaps = iter(encode_all([d.text[a:b] for d in docs for a, b in d.gaps], path))
     for d in docs:
         d.fill([next(gaps) for _ in d.gaps], sizes)
     while todo := [d for d in docs if d.windows]:
-        new = iter(encode_all([d.text[w[0] : w[1]].decode() for d in todo for w in d.windows], path))
+        new = iter(encode_all([d.text[w[0] : w[1]] for d in todo for w in d.windows], path))
         for d in todo:
             d.repair([next(new) for _ in d.windows])
     table = token_bytes(path)
     wrong = [d for d in docs if b"".join([table[i] for i in d.ids.tolist()]) != d.text]
-    for d, ids in zip(wrong, encode_all([d.text.decode() for d in wrong], path), strict=True):
+    for d, ids in zip(wrong, encode_all([d.text for d in wrong], path), strict=True):
         d.ids = ids
     return [d.ids for d in docs]
 
 
-def _encode_alone(docs: DataFrame, path: str) -> DataFrame:
+def _encode_alone(docs: DataFrame, path: str, text: str | None) -> DataFrame:
     def run(batches):
         for b in batches:
-            ids = encode_all(b.column(1).to_pylist(), path)
-            flat = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32))
-            yield pa.RecordBatch.from_arrays([b.column(0), c.list_array(flat, np.array([len(x) for x in ids], np.int64))], ["doc_id", "ids"])
+            for lo, hi, data, off in c.steps(b.column(1)):
+                flat, n = encode_bytes(worker_units(path), data, off)
+                yield _batch(b.column(0).slice(lo, hi - lo), flat, n, path, text)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>")
+    return docs.select("doc_id", "text").mapInArrow(run, _schema(text))
 
 
-def _encode_joined(rows: DataFrame, path: str) -> DataFrame:
+def _encode_joined(rows: DataFrame, path: str, text: str | None) -> DataFrame:
     def run(batches):
         for b in batches:
-            texts = b.column(1).cast(pa.binary()).to_pylist()
-            pieces = [{x["at"]: x["ids"] for x in items or ()} for items in b.column(2).to_pylist()]
-            ids = assemble(texts, pieces, path)
-            flat = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32))
-            yield pa.RecordBatch.from_arrays([b.column(0), c.list_array(flat, np.array([len(x) for x in ids], np.int64))], ["doc_id", "ids"])
+            for lo, hi, _, _ in c.steps(b.column(1)):
+                part = b.slice(lo, hi - lo)
+                texts = part.column(1).cast(pa.binary()).to_pylist()
+                pieces = [{x["at"]: x["ids"] for x in items or ()} for items in part.column(2).to_pylist()]
+                ids = assemble(texts, pieces, path)
+                yield _batch(part.column(0), np.concatenate(ids), np.array([len(x) for x in ids], np.int64), path, text)
 
-    return rows.select("doc_id", "text", "items").mapInArrow(run, "doc_id long, ids array<int>")
+    return rows.select("doc_id", "text", "items").mapInArrow(run, _schema(text))
 
 
-def encode(docs: DataFrame, path: str | None = None, mean: int = MEAN) -> DataFrame:
-    """doc_id, ids (array of int) for every row of docs. mean: bytes of a chunk on average, a power of two."""
+def encode(docs: DataFrame, path: str | None = None, mean: int = MEAN, decoded: str | None = None) -> DataFrame:
+    """doc_id, ids (array of int) for every row of docs. mean: bytes of a chunk on average, a power of two. decoded: name of a
+    column with the texts that the ids decode to, made by the same tasks."""
     path = path or vocabulary()
     rows = with_key(docs)
     shared = chunks(rows, mean).groupBy("h").agg(F.count("*").alias("n"), F.min("x").alias("owner")).where("n > 1").select("h", "owner")
@@ -283,8 +344,8 @@ def encode(docs: DataFrame, path: str | None = None, mean: int = MEAN) -> DataFr
     known = c.cut(encode_shared(marked(rows, c.cut(bitmap(owned)), "left_semi"), owned, path))
     marks = c.cut(bitmap(places))
     lists = places.join(known, "h").groupBy(F.col("doc_id").alias("d"), F.col("k").alias("k2")).agg(F.collect_list(F.struct("at", "ids")).alias("items"))
-    joined = _encode_joined(_with_lists(marked(rows, marks, "left_semi"), lists, "left"), path)
-    return _encode_alone(marked(rows, marks, "left_anti"), path).unionByName(joined)
+    joined = _encode_joined(_with_lists(marked(rows, marks, "left_semi"), lists, "left"), path, decoded)
+    return _encode_alone(marked(rows, marks, "left_anti"), path, decoded).unionByName(joined)
 
 
 def decode(encoded: DataFrame, path: str | None = None, name: str = "decoded") -> DataFrame:
@@ -293,7 +354,7 @@ def decode(encoded: DataFrame, path: str | None = None, name: str = "decoded") -
 
     @F.arrow_udf("string")
     def text(ids: pa.Array) -> pa.Array:
-        table = token_bytes(path)
-        return pa.array([b"".join([table[i] for i in x or ()]).decode("utf-8", "replace") for x in ids.to_pylist()], pa.string())
+        counts = np.nan_to_num(pc.list_value_length(ids).to_numpy(zero_copy_only=False)).astype(np.int64)
+        return _texts(ids.flatten().to_numpy(zero_copy_only=False), counts, path)
 
     return encoded.withColumn(name, text("ids"))

@@ -33,7 +33,7 @@ def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = bpe.decode(bpe.encode(table(spark, sf_dir, "documents")))
+    rows = bpe.encode(table(spark, sf_dir, "documents"), decoded="decoded")
     return rows.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
