@@ -11,6 +11,7 @@ from urllib.parse import unquote
 from quadrangle.functions.urls import resolved
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
+# Patterns of addresses in style text, lazy-loading attributes, links and attributes, and telling names.
 CSS_URL = re.compile(r"""url\(\s*["']?([^"')]+)["']?\s*\)""", re.I)
 LAZY = re.compile(r"data-(?:src|image|lazy|original|url)(?:-|$)")
 LINK = re.compile(r"<a\b([^>]*)>(.*?)</a\s*>", re.I | re.S)

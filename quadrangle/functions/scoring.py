@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quadrangle.functions.text import truncated
 from quadrangle.functions.urls import url_path
 
-# Points of tokens in an address or its surroundings.
+# Points of tokens in an address or its surroundings; then words, patterns, sources and limits of the rules.
 TOKEN_POINTS = {
     "logo": 30, "wordmark": 22, "branding": 18, "brand": 16, "identity": 16, "emblem": 15, "crest": 15, "seal": 12, "mark": 12,
     "hero": -28, "banner": -25, "background": -20, "cover": -18, "social": -16, "share": -16, "thumbnail": -14, "avatar": -12,

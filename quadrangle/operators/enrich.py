@@ -9,6 +9,7 @@ from quadrangle.functions.text import present, same_as_exported, sql_blank, trim
 from quadrangle.functions.urls import researched_website
 from quadrangle.sources.reports import with_batches
 
+# Outcomes, and below the texts that go with them.
 STRUCTURAL = ("duplicate_or_blank_id", "unknown_local_id", "modified_reference_fields")
 REFERENCE = ("name", "category", "city", "state", "country")
 
