@@ -48,6 +48,15 @@ def fresh(base: str, *frames: DataFrame) -> str:
     return base
 
 
+def some_rows(rows: DataFrame, key: str, n: int, seed: int) -> DataFrame:
+    """At most n rows: those whose key (a bigint) has the smallest hashes. Keys alone are sorted, so what meets in one task does not grow
+    with the rows' size; the chosen keys, n at most, are broadcast."""
+    at = fresh("chosen", rows)
+    keys = rows.select(F.col(key).cast("long").alias(at)).where(F.col(at).isNotNull())
+    chosen = keys.orderBy(F.xxhash64(at, F.lit(seed)), at).limit(n).distinct()
+    return rows.join(F.broadcast(chosen), F.col(key).cast("long") == F.col(at), "left_semi").limit(n)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of an undirected graph: edges (a, b) give rows (node, component), component the smallest node.
 
