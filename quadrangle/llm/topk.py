@@ -69,8 +69,7 @@ def distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
 
 def with_pivots(vectors: DataFrame, width: int, pivots: int, sample: int) -> DataFrame:
     """vectors with `t`, the distances to the pivots."""
-    order = F.xxhash64("vec_id", F.lit(5))
-    rows = vectors.orderBy(order, "vec_id", F.xxhash64("v")).limit(sample).toArrow()
+    rows = c.some_rows(vectors, "vec_id", sample, 5).toArrow()
     chosen = farthest_first(_matrix(rows.column("v"), width), pivots)
 
     def run(batches):
