@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from quadrangle.llm import common as c
 
 EDITS, MIN_CHARS = 2, 24
+#: Bytes of text that are worked on at once, with about a dozen numbers for each.
+STEP_BYTES = 1 << 20
 #: Key lists of at most so many rows are broadcast, larger ones are joined by a shuffle.
 BROADCAST_ROWS = 100_000
 NEWLINE = 10
@@ -101,7 +103,7 @@ def line_table(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            for lo, hi, data, off in c.steps(b.column(1)):
+            for lo, hi, data, off in c.steps(b.column(1), STEP_BYTES):
                 chars = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
                 lead = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
                 rows = lead[off]

@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from quadrangle.llm import common as c
 
 BANDS, ROWS = 30, 5
+#: Bytes of text that are worked on at once, with about a dozen numbers for each.
+STEP_BYTES = 1 << 20
 #: Words of 64 parity bits of a set; leaders of a bucket are this many times more in each round; components are found anew when
 #: links grow by this part.
 PARITY, MORE, GROWN = 8, 16, 1 / 16
@@ -105,7 +107,7 @@ def signatures(docs: DataFrame, words: int, bands: int = BANDS, rows: int = ROWS
 
     def run(batches):
         for b in batches:
-            for lo, hi, data, off in c.steps(b.column(1)):
+            for lo, hi, data, off in c.steps(b.column(1), STEP_BYTES):
                 values, counts = shingle_sets(data, off, words)
                 keys = band_keys(sketches(values, counts, bands * rows), bands, rows)[counts > 0].ravel()
                 edges = np.concatenate(([0], np.cumsum(counts)))
@@ -130,7 +132,7 @@ def full_sets(docs: DataFrame, words: int) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            for lo, hi, data, off in c.steps(b.column(1)):
+            for lo, hi, data, off in c.steps(b.column(1), STEP_BYTES):
                 values, counts = shingle_sets(data, off, words)
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), c.binary_array(values, counts * 8)], ["doc_id", "items"])
 
