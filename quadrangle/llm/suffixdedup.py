@@ -370,9 +370,12 @@ def cut_repeats(docs: DataFrame, **options: int) -> DataFrame:
 
     @F.arrow_udf("string")
     def kept(text: pa.Array, found: pa.Array) -> pa.Array:
-        rows = zip(text.cast(pa.binary()).to_pylist(), found.to_pylist(), strict=True)
-        return pa.array([None if t is None else _kept(t, f)[1].decode("utf-8", "ignore") for t, f in rows], pa.string())
+        out = []  # row by row: a batch of texts and cuts as Python objects would be many times its size
+        for t, f in zip(text, found, strict=True):
+            out.append(None if not t.is_valid else _kept(t.as_py().encode(), f.as_py())[1].decode("utf-8", "ignore"))
+        return pa.array(out, pa.string())
 
+    kept = kept.asNondeterministic()  # so that the filter on its result does not run it a second time
     joined = docs.join(cuts, docs["doc_id"].cast("long").eqNullSafe(F.col(at)), "left")
     whole = F.col("text").cast("string")
     changed = F.col(name).isNotNull()
