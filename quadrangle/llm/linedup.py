@@ -9,8 +9,9 @@ both filters lose no link. What is left is verified with a banded bit-parallel e
 
 Exact copies are one text: they are counted once in the join, however many they are.
 
-Defined cases: lines are split at \\n; null text has no lines; shorter lines take no part and have no row. Ties go to the
-smallest (doc_id, line_no). A null doc_id sorts first. Repeated rows of a doc_id are told apart by nothing, so their equal
+Defined cases: lines are split at \\n; null text has no lines. Shorter lines take no part and have no row, unless `short`
+is set, as the query and the pipeline do: then every line with a character that is not blank (0x20, 0x09 to 0x0D) has a row,
+and those of under `min_chars` are classes of exact copies, without edits. Ties go to the smallest (doc_id, line_no). A null doc_id sorts first. Repeated rows of a doc_id are told apart by nothing, so their equal
 lines are copies with one position; all but one are not kept. Other columns are passed through by `dedup_lines` and
 ignored by `line_classes`.
 """
@@ -96,8 +97,9 @@ def _flags(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray
     return acc[np.maximum(end, start)] ^ acc[start]
 
 
-def line_table(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
-    """doc_id, line_no, n_chars, h (hash), flags (parities), own and probe (keys) for every line that takes part."""
+def line_table(docs: DataFrame, edits: int, min_chars: int, short: bool = False) -> DataFrame:
+    """doc_id, line_no, n_chars, h (hash), flags (parities), own and probe (keys; none for a short line) for every line that
+    takes part."""
     probes = _offsets(edits)
     parts = edits + 1
 
@@ -115,13 +117,18 @@ def line_table(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
                 closing = np.zeros(len(chars) + 1, bool)
                 closing[brk] = True
                 end = end - ((end > start) & closing[np.maximum(end - 1, 0)])
-                long = np.flatnonzero(end - start >= min_chars)
-                if not len(long):
+                taken = end - start >= min_chars
+                if short:
+                    inked = np.concatenate(([0], np.cumsum((chars != 0x20) & ((chars < 0x09) | (chars > 0x0D)))))
+                    taken |= inked[np.maximum(end, start)] > inked[start]
+                taken = np.flatnonzero(taken)
+                if not len(taken):
                     continue
-                breaks_before = np.searchsorted(brk, start[long])
-                number = breaks_before - np.searchsorted(brk, rows[row[long]])
-                start, end, row = start[long], end[long], row[long]
+                breaks_before = np.searchsorted(brk, start[taken])
+                number = breaks_before - np.searchsorted(brk, rows[row[taken]])
+                start, end, row = start[taken], end[taken], row[taken]
                 size = end - start
+                long = size >= min_chars
                 acc = np.zeros(len(chars) + 1, np.uint64)
                 np.cumsum((chars.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(0x2545F4914F6CDD1D)) * c.powers(len(chars) + 1)[0][: len(chars)], out=acc[1:])
                 h = c.span_hash(acc, start, end)
@@ -133,14 +140,15 @@ def line_table(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
                 def key(seg, length, at, size, acc=acc):
                     return c.signed(c.mix(c.span_hash(acc, at, at + size) + (length * parts + seg).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
 
-                own = np.stack([key(s, size, start + p, k) for s in range(parts) for p, k in [_segment(size, s, parts)]], axis=1)
+                begin, length = start[long], size[long]
+                own = np.stack([key(s, length, begin + p, k) for s in range(parts) for p, k in [_segment(length, s, parts)]], axis=1)
                 tried = []
                 for diff, seg, shift in probes:
-                    p, k = _segment(size - diff, seg, parts)
+                    p, k = _segment(length - diff, seg, parts)
                     at = p + shift
-                    fits = (at >= 0) & (at + k <= size) & (size - diff >= min_chars)
-                    tried.append(np.where(fits, key(seg, size - diff, start + np.where(fits, at, 0), k), own[:, 0]))
-                tried = np.stack(tried, axis=1) if tried else np.zeros((len(h), 0), np.int64)
+                    fits = (at >= 0) & (at + k <= length) & (length - diff >= min_chars)
+                    tried.append(np.where(fits, key(seg, length - diff, begin + np.where(fits, at, 0), k), own[:, 0]))
+                tried = np.stack(tried, axis=1) if tried else np.zeros((len(length), 0), np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         b.column(0).take(pa.array(lo + row)),
@@ -148,8 +156,8 @@ def line_table(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
                         pa.array(size.astype(np.int32)),
                         pa.array(c.signed(h)),
                         pa.array(flags),
-                        c.list_array(pa.array(own.ravel()), np.full(len(h), own.shape[1])),
-                        c.list_array(pa.array(tried.ravel()), np.full(len(h), tried.shape[1])),
+                        c.list_array(pa.array(own.ravel()), np.where(long, own.shape[1], 0)),
+                        c.list_array(pa.array(tried.ravel()), np.where(long, tried.shape[1], 0)),
                     ],
                     ["doc_id", "line_no", "n_chars", "h", "flags", "own", "probe"],
                 )
@@ -188,14 +196,14 @@ def verified(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def line_classes(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def line_classes(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, short: bool = False) -> DataFrame:
     """One row for each line that takes part: doc_id, line_no, n_chars, class_doc_id and class_line_no (the first line of
     the class that links reach), n_links (different texts within the distance), kept (this is that first line)."""
     min_chars = max(min_chars, 3 * edits + 1)
-    lines = c.cut(line_table(docs, edits, min_chars))
+    lines = c.cut(line_table(docs, edits, min_chars, short))
     place = F.struct("doc_id", "line_no")
     firsts = lines.groupBy("h").agg(F.min(place).alias("first"))
-    one_each = lines.dropDuplicates(["h"]).select("h", "flags", "own", "probe")
+    one_each = lines.where(F.col("n_chars") >= min_chars).dropDuplicates(["h"]).select("h", "flags", "own", "probe")
     pairs = c.cut(candidate_pairs(one_each, edits))
     named = pairs.select(F.col("a").alias("h")).unionByName(pairs.select(F.col("b").alias("h"))).distinct()
     wanted = c.cut(firsts.join(named, "h").select("first.doc_id", "first.line_no", "h"))
@@ -223,15 +231,16 @@ def line_classes(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS
     )
 
 
-def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """docs with the lines removed that are not the first of their class; documents left without a line are dropped,
-    documents that had no text stay. All columns are kept; n_chars, if there, is that of a changed text."""
+def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, short: bool = False) -> DataFrame:
+    """docs with the lines removed that are not the first of their class; documents left without a line (if `short`,
+    with blank ones alone) are dropped, documents that had no text stay. All columns are kept; n_chars, if there, is that of a changed text."""
     gone_col, at = c.fresh("gone", docs), c.fresh("at", docs)
-    gone = line_classes(docs, edits, min_chars).where("not kept").groupBy(F.col("doc_id").alias(at)).agg(F.collect_set("line_no").alias(gone_col))
+    gone = line_classes(docs, edits, min_chars, short).where("not kept").groupBy(F.col("doc_id").alias(at)).agg(F.collect_set("line_no").alias(gone_col))
     joined = docs.join(gone, docs["doc_id"].cast("long") == gone[at], "left")
     lines = F.split(F.col("text"), "\n", -1)
     left = F.filter(lines, lambda x, i: ~F.array_contains(F.col(gone_col), i))
-    kept = joined.where(F.col(gone_col).isNull() | (F.size(F.filter(left, lambda x: F.length(x) > 0)) > 0))
+    inked = (lambda x: x.rlike(r"[^\x20\x09-\x0D]")) if short else (lambda x: F.length(x) > 0)
+    kept = joined.where(F.col(gone_col).isNull() | F.exists(left, inked))
     changed = F.col(gone_col).isNotNull()
     out = kept.withColumn("text", F.when(changed, F.array_join(left, "\n")).otherwise(F.col("text")))
     if "n_chars" in docs.columns:

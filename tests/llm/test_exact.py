@@ -13,6 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from cases import pairs_of, prose
 from quadrangle.llm import bpe, common, linedup, minhash, packing, quality, queries, suffixdedup, tokenfiles, topk
 from quadrangle.llm.units import tokenizer
@@ -145,6 +146,19 @@ def test_lines_like_brute_force(documents):
     same_rows(got, [(*p, len(x), *root[x], len(links[x])) for p, x in lines.items()])
 
 
+def test_short_lines_have_rows(spark, tmp_path):
+    """Every line that is not blank has a row in the query; short ones are linked by equality alone."""
+    long = "A line of more than four and twenty characters"
+    rows = [(1, f"Fin.\n{long}\n \t\n\nAll rights reserved."), (2, f"All rights reserved.\n{long}\nFin."), (3, "All rights reserved,\né"), (4, "é")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op3_line_dedup(spark, str(tmp_path)).select("doc_id", "line_no", "n_chars", "class_doc_id", "class_line_no", "n_links", "kept")
+    copies = [(2, 0, 20, 1, 4, 0, False), (2, 1, 46, 1, 1, 0, False), (2, 2, 4, 1, 0, 0, False), (4, 0, 1, 3, 1, 0, False)]
+    same_rows(got, [(d, i, n, d, i, 0, True) for d, i, n in [(1, 0, 4), (1, 1, 46), (1, 4, 20), (3, 0, 20), (3, 1, 1)]] + copies)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = [(r.doc_id, r.text) for r in corpus_pipeline.drop_repeated_lines(spark, docs, "").collect()]
+    assert sorted(left) == [rows[0], rows[2]]
+
+
 def test_line_dedup_of_nothing(no_documents):
     assert linedup.line_classes(no_documents).count() == 0
     assert linedup.dedup_lines(no_documents).columns == no_documents.columns
