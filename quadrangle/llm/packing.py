@@ -11,7 +11,8 @@ Shards are dealt by a hash of the document and their number follows the number o
 third of all rows is spread evenly, and a shard is a group of bounded size whatever the keys.
 
 Defined cases: null or empty text is one piece of size 0, which still takes a place in a bin. A null source, or a missing
-source column, conflicts with nothing. Without a cluster column, equal texts are one cluster; an empty text is in none.
+source column, conflicts with nothing. Without a cluster column, equal texts are one cluster, and so are near copies where
+`clusters` tells them, as in the query; an empty text is in none.
 Ties go to the smaller (doc_id, piece); repeated rows are packed each. Other columns are ignored.
 """
 
@@ -23,6 +24,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quadrangle.llm import common as c
+
 CAPACITY, SHARD_ROWS = 16384, 2048
 
 
@@ -61,15 +64,28 @@ def _pack_shard(capacity: int):
     return run
 
 
-def pack(docs: DataFrame, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS, cluster: Column | None = None) -> DataFrame:
-    """doc_id, piece (from 0), start (code point in the text), size (code points), shard, bin (in the shard), offset (in the bin)."""
+def text_hash() -> Column:
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
+def pack(
+    docs: DataFrame, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS, cluster: Column | None = None, clusters: DataFrame | None = None
+) -> DataFrame:
+    """doc_id, piece (from 0), start (code point in the text), size (code points), shard, bin (in the shard), offset (in the bin).
+
+    clusters: text_hash, cluster (a text's hash) of the texts whose cluster is not their own hash, if there is no cluster column."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     if cluster is None:
-        cluster = F.when(F.length(text) > 0, F.xxhash64(text))
+        cluster = F.when(F.length(text) > 0, text_hash())
     source = F.col("source").cast("string") if "source" in docs.columns else F.lit(None).cast("string")
     shards = max(1, -(-docs.count() // shard_rows))
     shard = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), F.lit(29)), F.lit(shards)).cast("int")
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), source.alias("source"), cluster.cast("long").alias("cluster"), F.length(text).alias("n"), shard.alias("shard"))
+    if clusters is not None:
+        # a barrier: else the texts, not their lengths, would go through the join
+        near = clusters.toDF("text_hash", "near")
+        slim = c.cut(slim).join(near, F.col("cluster") == F.col("text_hash"), "left")
+        slim = slim.withColumn("cluster", F.coalesce("near", "cluster")).drop("text_hash", "near")
     starts = F.sequence(F.lit(0), F.greatest(F.col("n") - 1, F.lit(0)), F.lit(capacity))
     pieces = slim.select("*", F.posexplode(starts).alias("piece", "start")).withColumn("size", F.least(F.col("n") - F.col("start"), F.lit(capacity)))
     return pieces.drop("n").groupBy("shard").applyInPandas(

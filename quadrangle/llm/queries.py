@@ -53,7 +53,11 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    # by the text's hash, not by doc_id: so rows with a null or the same doc_id have clusters of their own text
+    texts = docs.select(packing.text_hash().alias("doc_id"), "text")
+    near = minhash.near_duplicates(texts, words=5, percent=80).where("doc_id <> component_id")
+    return packing.pack(docs, clusters=near.select("doc_id", "component_id").distinct().toDF("text_hash", "cluster"))
 
 
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

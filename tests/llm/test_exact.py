@@ -298,6 +298,18 @@ def test_packing(documents):
         assert len(set(sources)) == len(sources) and len(set(texts)) == len(texts)
 
 
+def test_near_copies_share_no_bin(spark, tmp_path):
+    """The query keeps near copies apart, also where they share a doc_id or have none."""
+    rnd = random.Random(9)
+    base = prose(rnd, 60)
+    rows = [(i if i < 4 else None if i < 6 else 7, f"{base} end{i}", f"s{i}") for i in range(8)] + [(10 + i, prose(rnd, 60), f"s{i}") for i in range(8)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = queries.op9_packing(spark, str(tmp_path)).collect()
+    assert len(out) == len(rows)
+    near = [(r.shard, r.bin) for r in out if r.doc_id is None or r.doc_id < 10]
+    assert len(set(near)) == len(near) == 8
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 10), st.integers(-1, 3), st.integers(-1, 3)), max_size=30))
 def test_best_fit(items):
