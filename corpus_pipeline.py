@@ -23,9 +23,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of lines within two edits of each other, and of equal lines under 24 characters, the first stays; documents that lose
+    """Of lines within two edits or 5 % of their length of each other, and of equal lines under 24 characters, the first stays; documents that lose
     every line go."""
-    return linedup.dedup_lines(docs, short=True)
+    return linedup.dedup_lines(docs, short=True, percent=linedup.PERCENT)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

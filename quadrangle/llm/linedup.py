@@ -7,6 +7,12 @@ and probes, for each length in reach, the substrings that can meet a segment (mu
 also pass two parity signatures (of characters and of character pairs), which an edit changes by a bounded number of bits;
 both filters lose no link. What is left is verified with a banded bit-parallel edit distance.
 
+With `percent`, as in the query and the pipeline, the limit grows: it is that part of the longer line's length, `edits` at
+least. Segments would need a number of probes that grows with the square of the limit. Instead, a pair within k edits has
+n - k characters in at most k + 1 unchanged runs, so one run of at least (n - k) / (k + 1) of them, rounded up; the smallest
+such run R over all lengths with a limit above `edits` is known (15 for 5 percent). Of every R - g + 1 neighbouring grams of g
+characters, a line names the one with the smallest hash, so both lines of a pair name a common gram. No link is lost.
+
 Exact copies are one text: they are counted once in the join, however many they are.
 
 Defined cases: lines are split at \\n; null text has no lines. Shorter lines take no part and have no row, unless `short`
@@ -26,6 +32,10 @@ from pyspark.sql import functions as F
 from quadrangle.llm import common as c
 
 EDITS, MIN_CHARS = 2, 24
+#: Of the query and the pipeline: edits allowed in percent of the longer line, where that is more than EDITS.
+PERCENT = 5
+#: Characters of a gram, at most.
+GRAM = 9
 #: Bytes of text that are worked on at once, with about a dozen numbers for each.
 STEP_BYTES = 1 << 20
 #: Key lists of at most so many rows are broadcast, larger ones are joined by a shuffle.
@@ -72,6 +82,43 @@ def edit_distance(a: str, b: str, k: int) -> int:
     return min(score, k + 1)
 
 
+def limit(n: int, edits: int, percent: int) -> int:
+    """Edits allowed between two lines, the longer one of n characters."""
+    return max(edits, n * percent // 100)
+
+
+def gram_bounds(edits: int, percent: int) -> tuple[int, int, int]:
+    """Fewest characters of a line in a pair with a limit above `edits`, characters of a gram, grams that name one."""
+    first = -(-100 * (edits + 1) // percent)
+    run = min(-(-(n - k) // (k + 1)) for n in range(first, first + 10_000) for k in [n * percent // 100])
+    gram = min(GRAM, run)
+    return first - limit(first, edits, percent), gram, run - gram + 1
+
+
+def named_grams(acc: np.ndarray, start: np.ndarray, end: np.ndarray, gram: int, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes of the grams that spans (in order, of gram + window - 1 characters at least) name, and their number for each."""
+    n = len(acc) - gram
+    if n <= 0 or not len(start):
+        return np.zeros(0, np.uint64), np.zeros(len(start), np.int64)
+    g = c.span_hash(acc, np.arange(n), np.arange(n) + gram)
+    edge = np.zeros(n + 1, np.int32)  # 1 where a window of grams may begin
+    np.add.at(edge, start, 1)
+    np.add.at(edge, end - gram - window + 2, -1)
+    at = np.flatnonzero(np.cumsum(edge[:-1]))
+    least = g[at]
+    for i in range(1, window):
+        least = np.minimum(least, g[at + i])
+    named = np.zeros(n, bool)
+    for i in range(window):
+        named[at[g[at + i] == least] + i] = True
+    named = np.flatnonzero(named)
+    owner = np.searchsorted(start, named, "right") - 1
+    order = np.lexsort((g[named], owner))
+    owner, value = owner[order], g[named][order]
+    new = np.append(True, (owner[1:] != owner[:-1]) | (value[1:] != value[:-1])) if len(owner) else np.zeros(0, bool)
+    return value[new], np.bincount(owner[new], minlength=len(start))
+
+
 def _offsets(edits: int) -> list[tuple[int, int, int]]:
     """(length difference, segment, shift) of the probes, without those that are the line's own index keys."""
     out = []
@@ -97,9 +144,11 @@ def _flags(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray
     return acc[np.maximum(end, start)] ^ acc[start]
 
 
-def line_table(docs: DataFrame, edits: int, min_chars: int, short: bool = False) -> DataFrame:
-    """doc_id, line_no, n_chars, h (hash), flags (parities), own and probe (keys; none for a short line) for every line that
-    takes part."""
+def line_table(docs: DataFrame, edits: int, min_chars: int, short: bool = False, percent: int = 0) -> DataFrame:
+    """doc_id, line_no, n_chars, h (hash), flags (parities), own and probe (keys; none for a short line), grams for every line
+    that takes part."""
+    least, gram, window = gram_bounds(edits, percent) if percent else (0, 0, 0)
+    least = max(least, min_chars)
     probes = _offsets(edits)
     parts = edits + 1
 
@@ -149,6 +198,10 @@ def line_table(docs: DataFrame, edits: int, min_chars: int, short: bool = False)
                     fits = (at >= 0) & (at + k <= length) & (length - diff >= min_chars)
                     tried.append(np.where(fits, key(seg, length - diff, begin + np.where(fits, at, 0), k), own[:, 0]))
                 tried = np.stack(tried, axis=1) if tried else np.zeros((len(length), 0), np.int64)
+                n_grams = np.zeros(len(h), np.int64)
+                grams = np.zeros(0, np.uint64)
+                if percent:
+                    grams, n_grams[size >= least] = named_grams(acc, start[size >= least], end[size >= least], gram, window)
                 yield pa.RecordBatch.from_arrays(
                     [
                         b.column(0).take(pa.array(lo + row)),
@@ -158,12 +211,13 @@ def line_table(docs: DataFrame, edits: int, min_chars: int, short: bool = False)
                         pa.array(flags),
                         c.list_array(pa.array(own.ravel()), np.where(long, own.shape[1], 0)),
                         c.list_array(pa.array(tried.ravel()), np.where(long, tried.shape[1], 0)),
+                        c.list_array(pa.array(c.signed(grams)), n_grams),
                     ],
-                    ["doc_id", "line_no", "n_chars", "h", "flags", "own", "probe"],
+                    ["doc_id", "line_no", "n_chars", "h", "flags", "own", "probe", "grams"],
                 )
 
     slim = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return slim.mapInArrow(run, "doc_id long, line_no int, n_chars int, h long, flags long, own array<long>, probe array<long>")
+    return slim.mapInArrow(run, "doc_id long, line_no int, n_chars int, h long, flags long, own array<long>, probe array<long>, grams array<long>")
 
 
 def candidate_pairs(distinct: DataFrame, edits: int) -> DataFrame:
@@ -177,6 +231,24 @@ def candidate_pairs(distinct: DataFrame, edits: int) -> DataFrame:
     return joined.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def gram_pairs(distinct: DataFrame, edits: int, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) of line hashes that name a common gram and that lengths and signatures allow to be within the limit."""
+    rows = distinct.select("h", "flags", F.col("n_chars").alias("n"), F.explode("grams").alias("key"))
+    x, y = rows.toDF("a", "fa", "na", "key"), rows.toDF("b", "fb", "nb", "key")
+    most = F.expr(f"greatest({edits}, greatest(na, nb) * {percent} div 100)")
+    changed = F.col("fa").bitwiseXOR(F.col("fb"))
+    near = (F.bit_count(F.shiftrightunsigned(changed, 32)) <= 2 * most) & (F.bit_count(changed.bitwiseAND(F.lit(0xFFFFFFFF))) <= 4 * most)
+    near = near & (F.abs(F.col("na") - F.col("nb")) <= most) & (F.col("a") < F.col("b"))
+    return x.join(y, (x["key"] == y["key"]) & near).select("a", "b").distinct()
+
+
+def _far(x: str, y: str, k: int) -> bool:
+    """Whether counts of characters alone show a distance above k."""
+    p, q = (np.bincount(np.frombuffer(t.encode("utf-32-le"), np.uint32) & 0xFF, minlength=256) for t in (x, y))
+    d = p - q
+    return max(int(d[d > 0].sum()), -int(d[d < 0].sum())) > k
+
+
 def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """h, line for the lines named by wanted (doc_id, line_no, h)."""
     n = wanted.count()
@@ -185,10 +257,14 @@ def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return slim.join(side, slim["doc_id"].eqNullSafe(side["doc_id"])).select("h", F.split("text", "\n", -1)[F.col("line_no")].alias("line"))
 
 
-def verified(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, edits: int, percent: int = 0) -> DataFrame:
+    def linked(x: str, y: str) -> bool:
+        k = limit(max(len(x), len(y)), edits, percent)
+        return not (k > edits and _far(x, y, k)) and edit_distance(x, y, k) <= k
+
     def run(batches):
         for b in batches:
-            keep = [edit_distance(x, y, edits) <= edits for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
+            keep = [linked(x.as_py(), y.as_py()) for x, y in zip(b.column(2), b.column(3), strict=True)]
             yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     left = texts.select(F.col("h").alias("a"), F.col("line").alias("x"))
@@ -196,19 +272,22 @@ def verified(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def line_classes(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, short: bool = False) -> DataFrame:
+def line_classes(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, short: bool = False, percent: int = 0) -> DataFrame:
     """One row for each line that takes part: doc_id, line_no, n_chars, class_doc_id and class_line_no (the first line of
     the class that links reach), n_links (different texts within the distance), kept (this is that first line)."""
     min_chars = max(min_chars, 3 * edits + 1)
-    lines = c.cut(line_table(docs, edits, min_chars, short))
+    lines = c.cut(line_table(docs, edits, min_chars, short, percent))
     place = F.struct("doc_id", "line_no")
     firsts = lines.groupBy("h").agg(F.min(place).alias("first"))
-    one_each = lines.where(F.col("n_chars") >= min_chars).dropDuplicates(["h"]).select("h", "flags", "own", "probe")
-    pairs = c.cut(candidate_pairs(one_each, edits))
+    one_each = lines.where(F.col("n_chars") >= min_chars).dropDuplicates(["h"])
+    pairs = candidate_pairs(one_each.select("h", "flags", "own", "probe"), edits)
+    if percent:
+        pairs = pairs.unionByName(gram_pairs(one_each.select("h", "flags", "n_chars", "grams"), edits, percent)).distinct()
+    pairs = c.cut(pairs)
     named = pairs.select(F.col("a").alias("h")).unionByName(pairs.select(F.col("b").alias("h"))).distinct()
     wanted = c.cut(firsts.join(named, "h").select("first.doc_id", "first.line_no", "h"))
     texts = c.cut(line_texts(docs, wanted).dropDuplicates(["h"]))
-    links = c.cut(verified(pairs, texts, edits))
+    links = c.cut(verified(pairs, texts, edits, percent))
     comps = c.components(links)
     degree = links.select(F.col("a").alias("h")).unionByName(links.select(F.col("b").alias("h"))).groupBy("h").agg(F.count("*").alias("n_links"))
     linked = comps.withColumnRenamed("node", "h").join(degree, "h")
@@ -231,11 +310,11 @@ def line_classes(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS
     )
 
 
-def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, short: bool = False) -> DataFrame:
+def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, short: bool = False, percent: int = 0) -> DataFrame:
     """docs with the lines removed that are not the first of their class; documents left without a line (if `short`,
     with blank ones alone) are dropped, documents that had no text stay. All columns are kept; n_chars, if there, is that of a changed text."""
     gone_col, at = c.fresh("gone", docs), c.fresh("at", docs)
-    gone = line_classes(docs, edits, min_chars, short).where("not kept").groupBy(F.col("doc_id").alias(at)).agg(F.collect_set("line_no").alias(gone_col))
+    gone = line_classes(docs, edits, min_chars, short, percent).where("not kept").groupBy(F.col("doc_id").alias(at)).agg(F.collect_set("line_no").alias(gone_col))
     joined = docs.join(gone, docs["doc_id"].cast("long") == gone[at], "left")
     lines = F.split(F.col("text"), "\n", -1)
     left = F.filter(lines, lambda x, i: ~F.array_contains(F.col(gone_col), i))

@@ -21,7 +21,7 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linedup.line_classes(table(spark, sf_dir, "documents"), short=True)
+    return linedup.line_classes(table(spark, sf_dir, "documents"), short=True, percent=linedup.PERCENT)
 
 
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -146,6 +146,25 @@ def test_lines_like_brute_force(documents):
     same_rows(got, [(*p, len(x), *root[x], len(links[x])) for p, x in lines.items()])
 
 
+def test_limit_grows_with_length(spark, tmp_path):
+    """The query links lines within 5 % of the longer one, wherever the edits are."""
+    rnd = random.Random(4)
+    texts = []
+    for n in (40, 57, 60, 61, 99, 100, 240, 500, 1300):
+        base = "".join(rnd.choice("abcdefgh ") for _ in range(n - 1)) + "."
+        texts.append(base)
+        for k in (n // 20, n // 20 + 2, max(3, n // 40)):
+            even = {(2 * i + 1) * n // (2 * k + 1) for i in range(k)}
+            texts.append("".join("#" if i in even else x for i, x in enumerate(base)))
+            texts.append("".join(x for i, x in enumerate(base) if i not in even))
+    texts = list(dict.fromkeys(texts))
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    allowed = lambda t, u: max(2, max(len(t), len(u)) // 20)
+    links = [sum(t != u and abs(len(t) - len(u)) <= allowed(t, u) and distance(t, u) <= allowed(t, u) for u in texts) for t in texts]
+    assert sum(n > 0 for n in links) > 20
+    same_rows(queries.op3_line_dedup(spark, str(tmp_path)).select("doc_id", "n_links"), enumerate(links))
+
+
 def test_short_lines_have_rows(spark, tmp_path):
     """Every line that is not blank has a row in the query; short ones are linked by equality alone."""
     long = "A line of more than four and twenty characters"
