@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quadrangle.llm import common as c
@@ -144,8 +144,12 @@ def _flags(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray
     return acc[np.maximum(end, start)] ^ acc[start]
 
 
+def _text_key() -> Column:
+    return F.xxhash64(F.col("text").cast("string"))
+
+
 def line_table(docs: DataFrame, edits: int, min_chars: int, short: bool = False, percent: int = 0) -> DataFrame:
-    """doc_id, line_no, n_chars, h (hash), flags (parities), own and probe (keys; none for a short line), grams for every line
+    """doc_id, t (hash of the whole text), line_no, n_chars, h (hash), flags (parities), own and probe (keys; none for a short line), grams for every line
     that takes part."""
     least, gram, window = gram_bounds(edits, percent) if percent else (0, 0, 0)
     least = max(least, min_chars)
@@ -205,6 +209,7 @@ def line_table(docs: DataFrame, edits: int, min_chars: int, short: bool = False,
                 yield pa.RecordBatch.from_arrays(
                     [
                         b.column(0).take(pa.array(lo + row)),
+                        b.column(2).take(pa.array(lo + row)),
                         pa.array(number.astype(np.int32)),
                         pa.array(size.astype(np.int32)),
                         pa.array(c.signed(h)),
@@ -213,11 +218,11 @@ def line_table(docs: DataFrame, edits: int, min_chars: int, short: bool = False,
                         c.list_array(pa.array(tried.ravel()), np.where(long, tried.shape[1], 0)),
                         c.list_array(pa.array(c.signed(grams)), n_grams),
                     ],
-                    ["doc_id", "line_no", "n_chars", "h", "flags", "own", "probe", "grams"],
+                    ["doc_id", "t", "line_no", "n_chars", "h", "flags", "own", "probe", "grams"],
                 )
 
-    slim = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return slim.mapInArrow(run, "doc_id long, line_no int, n_chars int, h long, flags long, own array<long>, probe array<long>, grams array<long>")
+    slim = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), _text_key().alias("t"))
+    return slim.mapInArrow(run, "doc_id long, t long, line_no int, n_chars int, h long, flags long, own array<long>, probe array<long>, grams array<long>")
 
 
 def candidate_pairs(distinct: DataFrame, edits: int) -> DataFrame:
@@ -250,11 +255,13 @@ def _far(x: str, y: str, k: int) -> bool:
 
 
 def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """h, line for the lines named by wanted (doc_id, line_no, h)."""
+    """h, line for the lines named by wanted (doc_id, t, line_no, h)."""
     n = wanted.count()
+    wanted = wanted.toDF("w_id", "w_t", "line_no", "h")
     side = F.broadcast(wanted) if n <= BROADCAST_ROWS else wanted
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return slim.join(side, slim["doc_id"].eqNullSafe(side["doc_id"])).select("h", F.split("text", "\n", -1)[F.col("line_no")].alias("line"))
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), _text_key().alias("t"))
+    met = slim.join(side, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("t") == F.col("w_t")))
+    return met.select("h", F.get(F.split("text", "\n", -1), F.col("line_no")).alias("line"))
 
 
 def verified(pairs: DataFrame, texts: DataFrame, edits: int, percent: int = 0) -> DataFrame:
@@ -272,12 +279,11 @@ def verified(pairs: DataFrame, texts: DataFrame, edits: int, percent: int = 0) -
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def line_classes(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, short: bool = False, percent: int = 0) -> DataFrame:
-    """One row for each line that takes part: doc_id, line_no, n_chars, class_doc_id and class_line_no (the first line of
-    the class that links reach), n_links (different texts within the distance), kept (this is that first line)."""
+def _classes(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, short: bool = False, percent: int = 0) -> DataFrame:
+    """Rows of line_classes, with t, the hash of the whole text."""
     min_chars = max(min_chars, 3 * edits + 1)
     lines = c.cut(line_table(docs, edits, min_chars, short, percent))
-    place = F.struct("doc_id", "line_no")
+    place = F.struct("doc_id", "line_no", "t")
     firsts = lines.groupBy("h").agg(F.min(place).alias("first"))
     one_each = lines.where(F.col("n_chars") >= min_chars).dropDuplicates(["h"])
     pairs = candidate_pairs(one_each.select("h", "flags", "own", "probe"), edits)
@@ -285,7 +291,7 @@ def line_classes(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS
         pairs = pairs.unionByName(gram_pairs(one_each.select("h", "flags", "n_chars", "grams"), edits, percent)).distinct()
     pairs = c.cut(pairs)
     named = pairs.select(F.col("a").alias("h")).unionByName(pairs.select(F.col("b").alias("h"))).distinct()
-    wanted = c.cut(firsts.join(named, "h").select("first.doc_id", "first.line_no", "h"))
+    wanted = c.cut(firsts.join(named, "h").select("first.doc_id", "first.t", "first.line_no", "h"))
     texts = c.cut(line_texts(docs, wanted).dropDuplicates(["h"]))
     links = c.cut(verified(pairs, texts, edits, percent))
     comps = c.components(links)
@@ -298,24 +304,32 @@ def line_classes(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS
     known = known.join(class_first, "comp", "left").select(
         "h", F.coalesce("class_first", "first").alias("f"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")
     )
-    out = lines.select("doc_id", "line_no", "n_chars", "h").join(known, "h")
+    out = lines.select("doc_id", "t", "line_no", "n_chars", "h").join(known, "h")
     return out.select(
         "doc_id",
+        "t",
         "line_no",
         "n_chars",
         F.col("f.doc_id").alias("class_doc_id"),
         F.col("f.line_no").alias("class_line_no"),
         "n_links",
-        (F.col("f.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("f.line_no") == F.col("line_no"))).alias("kept"),
+        (F.col("f.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("f.line_no") == F.col("line_no")) & (F.col("f.t") == F.col("t"))).alias("kept"),
     )
 
 
+def line_classes(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, short: bool = False, percent: int = 0) -> DataFrame:
+    """One row for each line that takes part: doc_id, line_no, n_chars, class_doc_id and class_line_no (the first line of
+    the class that links reach), n_links (different texts within the distance), kept (this is that first line)."""
+    return _classes(docs, edits, min_chars, short, percent).drop("t")
+
+
 def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, short: bool = False, percent: int = 0) -> DataFrame:
     """docs with the lines removed that are not the first of their class; documents left without a line (if `short`,
     with blank ones alone) are dropped, documents that had no text stay. All columns are kept; n_chars, if there, is that of a changed text."""
-    gone_col, at = c.fresh("gone", docs), c.fresh("at", docs)
-    gone = line_classes(docs, edits, min_chars, short, percent).where("not kept").groupBy(F.col("doc_id").alias(at)).agg(F.collect_set("line_no").alias(gone_col))
-    joined = docs.join(gone, docs["doc_id"].cast("long") == gone[at], "left")
+    gone_col, at, key = c.fresh("gone", docs), c.fresh("at", docs), c.fresh("text_key", docs)
+    gone = _classes(docs, edits, min_chars, short, percent).where("not kept").groupBy(F.col("doc_id").alias(at), F.col("t").alias(key))
+    gone = gone.agg(F.collect_set("line_no").alias(gone_col))
+    joined = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(F.col(at)) & (_text_key() == F.col(key)), "left")
     lines = F.split(F.col("text"), "\n", -1)
     left = F.filter(lines, lambda x, i: ~F.array_contains(F.col(gone_col), i))
     inked = (lambda x: x.rlike(r"[^\x20\x09-\x0D]")) if short else (lambda x: F.length(x) > 0)
@@ -324,4 +338,4 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS,
     out = kept.withColumn("text", F.when(changed, F.array_join(left, "\n")).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return out.drop(gone_col, at)
+    return out.drop(gone_col, at, key)

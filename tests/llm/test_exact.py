@@ -178,6 +178,17 @@ def test_short_lines_have_rows(spark, tmp_path):
     assert sorted(left) == [rows[0], rows[2]]
 
 
+def test_lines_of_texts_that_share_an_id(spark):
+    """A line is looked up in its own text, also where other texts have the same or no doc_id."""
+    one, two = "A line of more than four and twenty characters", "Another line that stands in several of the texts"
+    rows = [(None, f"short\n{one}"), (None, "short"), (5, f"{two}\nx"), (5, "y"), (6, f"{one}!"), (7, f"{two}?"), (None, f"more\nlines\n{two}!")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    links = {(r.doc_id, r.line_no, r.n_chars): r.n_links for r in linedup.line_classes(docs).collect()}
+    assert links == {(None, 1, 46): 1, (5, 0, 48): 2, (6, 0, 47): 1, (7, 0, 49): 2, (None, 2, 49): 2}
+    left = sorted((r.text for r in linedup.dedup_lines(docs).collect()))
+    assert left == sorted([f"short\n{one}", "short", "x", "y", f"more\nlines\n{two}!"])
+
+
 def test_line_dedup_of_nothing(no_documents):
     assert linedup.line_classes(no_documents).count() == 0
     assert linedup.dedup_lines(no_documents).columns == no_documents.columns
