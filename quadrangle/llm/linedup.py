@@ -17,8 +17,8 @@ Exact copies are one text: they are counted once in the join, however many they
 
 Defined cases: lines are split at \\n; null text has no lines. Shorter lines take no part and have no row, unless `short`
 is set, as the query and the pipeline do: then every line with a character that is not blank (0x20, 0x09 to 0x0D) has a row,
-and those of under `min_chars` are classes of exact copies, without edits. Ties go to the smallest (doc_id, line_no). A null doc_id sorts first. Repeated rows of a doc_id are told apart by nothing, so their equal
-lines are copies with one position; all but one are not kept. Other columns are passed through by `dedup_lines` and
+and those of under `min_chars` are classes of exact copies, without edits. Ties go to the smallest (doc_id, line_no). A null doc_id sorts first. Rows of a doc_id, or without one, are told apart by a hash of their text;
+equal rows by nothing, so their lines are copies with one position; all but one are not kept. Other columns are passed through by `dedup_lines` and
 ignored by `line_classes`.
 """
 
@@ -325,7 +325,8 @@ def line_classes(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS
 
 def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, short: bool = False, percent: int = 0) -> DataFrame:
     """docs with the lines removed that are not the first of their class; documents left without a line (if `short`,
-    with blank ones alone) are dropped, documents that had no text stay. All columns are kept; n_chars, if there, is that of a changed text."""
+    with blank ones alone) are dropped, documents that had no text stay. All columns are kept; n_chars, if there, is that of a
+    changed text."""
     gone_col, at, key = c.fresh("gone", docs), c.fresh("at", docs), c.fresh("text_key", docs)
     gone = _classes(docs, edits, min_chars, short, percent).where("not kept").groupBy(F.col("doc_id").alias(at), F.col("t").alias(key))
     gone = gone.agg(F.collect_set("line_no").alias(gone_col))
