@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; a temporary folder only where the session names none, as in tests."""
+    """spark.checkpoint.dir. Where the session names none, a temporary folder on a local master, as in tests; an error on a cluster, whose
+    machines would each write to a disk of their own."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("quadrangle.scratch.dir", None)
     if not folder:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="quadrangle-")
         spark.conf.set("quadrangle.scratch.dir", folder)
     return folder.rstrip("/")
