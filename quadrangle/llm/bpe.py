@@ -101,7 +101,7 @@ def encode_bytes(units: Units, data: np.ndarray, offsets: np.ndarray) -> tuple[n
         raw = data.tobytes()
         return [raw[a:b].decode() for a, b in zip(start[at].tolist(), end[at].tolist(), strict=True)]
 
-    code = units.codes(c.span_hash(c.prefix_hash(data), start, end), text_of)
+    code = units.codes(c.word_hash(data, start, end), text_of)
     unit, per_row = in_order(code, sign, row, rows, False)
     flat, ends = units.gather(unit)
     edges = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(per_row)))]

@@ -3,41 +3,96 @@
 from __future__ import annotations
 
 import functools
-import tempfile
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import xxhash
+import zstandard
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quadrangle.sources.scratch import shared_folder
+
 #: Bytes of text that one vectorised step works on; a longer document is a step of its own.
 STEP_BYTES = 1 << 21
+#: Spark's switch for removing an execution's shuffle files when it ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share; set here only where the session has none, as in tests."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("quadrangle.shared.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="quadrangle-")
-        spark.conf.set("quadrangle.shared.dir", folder)
-    return folder.rstrip("/")
+def scratch_path(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/quadrangle/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
 
 
-def scratch_path(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/quadrangle/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+class Scratch:
+    """Tables in the shared folder: each cuts the lineage and survives lost executors. The shuffle files that made a table go as soon
+    as it is written, and a table goes with drop() or clear()."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: dict[int, tuple[DataFrame, str]] = {}
+
+    def cut(self, df: DataFrame) -> DataFrame:
+        path, before = scratch_path(self.spark), self.spark.conf.get(SHUFFLE_CLEANUP)
+        self.spark.conf.set(SHUFFLE_CLEANUP, "true")
+        try:
+            df.write.option("compression", "zstd").parquet(path)
+        finally:
+            self.spark.conf.set(SHUFFLE_CLEANUP, before)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = (out, path)
+        return out
+
+    def drop(self, *frames: DataFrame | None) -> None:
+        jvm, conf = self.spark._jvm, self.spark._jsparkSession.sessionState().newHadoopConf()
+        for frame in frames:
+            if frame is not None and id(frame) in self.paths:
+                path = jvm.org.apache.hadoop.fs.Path(self.paths.pop(id(frame))[1])
+                path.getFileSystem(conf).delete(path, True)
+
+    def clear(self) -> None:
+        self.drop(*(frame for frame, _ in list(self.paths.values())))
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write df as a table in the shared folder and read it back: cuts the lineage and survives lost executors."""
-    spark, path = df.sparkSession, scratch_path(df.sparkSession)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """df as a table in the shared folder that stays until the folder is cleared."""
+    return Scratch(df.sparkSession).cut(df)
+
+
+def text_hash() -> Column:
+    """A hash of the whole text (null as empty). With doc_id it is a row's key: rows that share both are alike."""
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
+def one_each(own: Scratch, docs: DataFrame, source: DataFrame | None = None, where: Column | None = None) -> DataFrame:
+    """docs with one row for each doc_id and text; of rows that meet `where`, if given. Whole rows meet a shuffle only where some are
+    alike, which is looked up in source (docs, or what they were taken from)."""
+    source = docs if source is None else source
+    d, t = fresh("d", docs), fresh("t", docs)
+    keys = (source if where is None else source.where(where)).select(F.col("doc_id").cast("long").alias("a_d"), text_hash().alias("a_t"))
+    alike = own.cut(keys.groupBy("a_d", "a_t").agg(F.count("*").alias("n")).where("n > 1").drop("n"))
+    if not alike.take(1):
+        return docs
+    keyed = docs.withColumns({d: F.col("doc_id").cast("long"), t: text_hash()})
+    same = F.col(d).eqNullSafe(F.col("a_d")) & (F.col(t) == F.col("a_t"))
+    return keyed.join(alike, same, "left_anti").unionByName(keyed.join(alike, same, "left_semi").dropDuplicates([d, t])).select(docs.columns)
+
+
+def packed_texts(docs: DataFrame) -> DataFrame:
+    """doc_id, t (hash of the text), z: the text compressed, for a shuffle; null is empty."""
+
+    def run(batches):
+        z = zstandard.ZstdCompressor(level=1)
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([z.compress(t.as_py().encode()) for t in b.column(2)], pa.binary())], ["doc_id", "t", "z"])
+
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.select(F.col("doc_id").cast("long"), text_hash().alias("t"), text.alias("text")).mapInArrow(run, "doc_id long, t long, z binary")
 
 
 def fresh(base: str, *frames: DataFrame) -> str:
@@ -57,14 +112,14 @@ def some_rows(rows: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     return rows.join(F.broadcast(chosen), F.col(key).cast("long") == F.col(at), "left_semi").limit(n)
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(own: Scratch, edges: DataFrame) -> DataFrame:
     """Connected components of an undirected graph: edges (a, b) give rows (node, component), component the smallest node.
 
     Alternates large-star and small-star rounds. Minima are combined before each shuffle, and a node with very many
     neighbours meets a join with a single row per node, which Spark can split. Only a count and a checksum reach the driver.
     Nodes without an edge have no row; null ends and loops are ignored.
     """
-    e = cut(
+    e = own.cut(
         edges.where("a is not null and b is not null and a <> b")
         .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         .distinct()
@@ -82,7 +137,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(least, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = cut(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        last, e = e, own.cut(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        own.drop(last)
 
 
 # ---------------------------------------------------------------- text as bytes
@@ -158,6 +214,20 @@ def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix((prefix[end] - prefix[start]) * inv[start] + (end - start).astype(U) * U(0xA24BAED4963EE407))
 
 
+#: Bytes up to which span_hash alone names a word. A polynomial modulo 2**64 is the same for some long strings of a regular build.
+EXACT_BYTES = 64
+
+
+def word_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of words: spans of data, most of them short; long ones get a hash without structure."""
+    h = span_hash(prefix_hash(data), start, end)
+    long = np.flatnonzero(end - start > EXACT_BYTES)
+    if len(long):
+        raw = data.tobytes()
+        h[long] = [xxhash.xxh3_64_intdigest(raw[a:b], 1) for a, b in zip(start[long].tolist(), end[long].tolist(), strict=True)]
+    return h
+
+
 @functools.cache
 def blank_bytes() -> np.ndarray:
     """True for the bytes that separate words: 0x20 and 0x09 to 0x0D."""

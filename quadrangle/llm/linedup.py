@@ -1,50 +1,60 @@
 """Line dedup by a segment-partition edit join.
 
-Lines of at least `min_chars` code points are linked when their edit distance is at most `edits`. A line is cut into
-edits + 1 even segments; by the pigeonhole principle a linked line of the same or a smaller length has one of its segments
-unchanged in the longer line, at a position that the lengths bound. So every distinct line is indexed under its segments
-and probes, for each length in reach, the substrings that can meet a segment (multi-match-aware selection). Pairs must
-also pass two parity signatures (of characters and of character pairs), which an edit changes by a bounded number of bits;
-both filters lose no link. What is left is verified with a banded bit-parallel edit distance.
-
-With `percent`, as in the query and the pipeline, the limit grows: it is that part of the longer line's length, `edits` at
-least. Segments would need a number of probes that grows with the square of the limit. Instead, a pair within k edits has
-n - k characters in at most k + 1 unchanged runs, so one run of at least (n - k) / (k + 1) of them, rounded up; the smallest
-such run R over all lengths with a limit above `edits` is known (15 for 5 percent). Of every R - g + 1 neighbouring grams of g
-characters, a line names the one with the smallest hash, so both lines of a pair name a common gram. No link is lost.
-
-Exact copies are one text: they are counted once in the join, however many they are.
-
-Defined cases: lines are split at \\n; null text has no lines. Shorter lines take no part and have no row, unless `short`
-is set, as the query and the pipeline do: then every line with a character that is not blank (0x20, 0x09 to 0x0D) has a row,
-and those of under `min_chars` are classes of exact copies, without edits. Ties go to the smallest (doc_id, line_no). A null doc_id sorts first. Rows of a doc_id, or without one, are told apart by a hash of their text;
-equal rows by nothing, so their lines are copies with one position; all but one are not kept. Other columns are passed through by `dedup_lines` and
-ignored by `line_classes`.
+A line is a sequence of tokens: words, or single characters of scripts without spaces. Two lines are linked when at most
+`limit(n)` tokens must be changed, n being the tokens of the longer one: none below 4, one below 16, two below 48, then n / 16;
+lines below 8 tokens must also be within two characters of each other. A line is cut into limit + 1 segments; by the pigeonhole
+principle a linked line has one of them unchanged.
+
+* Up to two edits a line is indexed under its segments, with their number and its length, and probes, for each length in reach,
+  the substrings that can meet a segment there (multi-match-aware selection).
+* Beyond, probes would grow with the cube of the limit. There a segment has at least SEGMENT tokens, so it holds one of the
+  grams that have the smallest hash in a window of SEGMENT tokens; a line is indexed under all its grams of that kind, which
+  are those of every segment wherever a linked line may have it.
+* What meets must pass two parity signatures (of tokens and of pairs of them), which an edit changes by a bounded number of bits,
+  and is verified with a banded bit-parallel edit distance. No filter loses a link.
+
+Keys are made from the distinct lines of a step of texts, and only keys of two different lines go on. Lines of one key are linked
+by rounds of leaders, so the pairs of a large group are not all made. A key that still joins very many lines which are not linked
+gets a second part: at the far end of the line's longer side, before or behind what is shared, one of the outermost limit + 1
+segments of SMALL tokens must be unchanged too. Lines whose sides are too short for that stay together.
+
+Exact copies are one text however many they are; copies of any length are found.
+
+Defined cases: lines are split at \\n; a line without a character other than white space (0x20, 0x09 to 0x0D) has no row; null text
+has no lines. Ties go to the smallest (doc_id, line_no, text hash). A null doc_id sorts first. Rows of a doc_id, or without one,
+are told apart by a hash of their text. Rows alike in doc_id and text have lines of one place: each such row is `kept` if the
+first of them is. Other columns are passed through by `dedup_lines` and ignored by `line_classes`.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import xxhash
+import zstandard
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quadrangle.llm import common as c
-
-EDITS, MIN_CHARS = 2, 24
-#: Of the query and the pipeline: edits allowed in percent of the longer line, where that is more than EDITS.
-PERCENT = 5
-#: Characters of a gram, at most.
-GRAM = 9
+from quadrangle.llm import rounds
+
+#: Tokens from which 1, 2 and more edits are allowed (then one for each STEP tokens), and below which characters count too.
+ONE, TWO, STEP, FEW, FEW_CHARS = 4, 16, 16, 8, 2
+#: Tokens from which keys are grams of windows, tokens of such a window (the fewest of a segment there), and of a gram.
+MANY, SEGMENT, GRAM = 48, 12, 5
+#: Tokens of a gram that is the second part of a key.
+SMALL = 3
 #: Bytes of text that are worked on at once, with about a dozen numbers for each.
 STEP_BYTES = 1 << 20
 #: Key lists of at most so many rows are broadcast, larger ones are joined by a shuffle.
 BROADCAST_ROWS = 100_000
 NEWLINE = 10
+# Code points of scripts that are written without spaces, from and to.
+UNSPACED = ((0x0E00, 0x0F00), (0x1000, 0x10A0), (0x1780, 0x1800), (0x2E80, 0xA4D0), (0xF900, 0xFB00), (0xFE30, 0xFE50), (0xFF00, 0xFFF0), (0x1F000, 0x40000))
 
 
-def edit_distance(a: str, b: str, k: int) -> int:
-    """Edit distance of a and b, or k + 1 if it is larger. Columns are a band of 2k + 1 diagonal bits."""
+def edit_distance(a: str | list[str], b: str | list[str], k: int) -> int:
+    """Edit distance of two strings or lists of tokens, or k + 1 if it is larger. Columns are a band of 2k + 1 diagonal bits."""
     if len(a) < len(b):
         a, b = b, a
     if len(a) - len(b) > k:
@@ -82,17 +92,37 @@ def edit_distance(a: str, b: str, k: int) -> int:
     return min(score, k + 1)
 
 
-def limit(n: int, edits: int, percent: int) -> int:
-    """Edits allowed between two lines, the longer one of n characters."""
-    return max(edits, n * percent // 100)
+def limit(n: int) -> int:
+    """Token edits allowed between two lines, the longer one of n tokens."""
+    return 0 if n < ONE else 1 if n < TWO else 2 if n < MANY else n // STEP
+
+
+def tokens(line: str) -> list[str]:
+    """The tokens of a line; the vectorised form below agrees with it."""
+    out: list[str] = []
+    for word in line.translate(_BLANKS).split(" "):
+        run = ""
+        for ch in word:
+            if any(lo <= ord(ch) < hi for lo, hi in UNSPACED):
+                out += [run, ch] if run else [ch]
+                run = ""
+            else:
+                run += ch
+        if run:
+            out.append(run)
+    return out
+
+
+_BLANKS = dict.fromkeys(range(0x09, 0x0E), " ")
 
 
-def gram_bounds(edits: int, percent: int) -> tuple[int, int, int]:
-    """Fewest characters of a line in a pair with a limit above `edits`, characters of a gram, grams that name one."""
-    first = -(-100 * (edits + 1) // percent)
-    run = min(-(-(n - k) // (k + 1)) for n in range(first, first + 10_000) for k in [n * percent // 100])
-    gram = min(GRAM, run)
-    return first - limit(first, edits, percent), gram, run - gram + 1
+def linked(x: str, y: str) -> bool:
+    a, b = tokens(x), tokens(y)
+    n = max(len(a), len(b))
+    k = limit(n)
+    if n < FEW and edit_distance(x, y, FEW_CHARS) > FEW_CHARS:
+        return False
+    return abs(len(a) - len(b)) <= k and edit_distance(a, b, k) <= k
 
 
 def named_grams(acc: np.ndarray, start: np.ndarray, end: np.ndarray, gram: int, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -144,167 +174,252 @@ def _flags(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray
     return acc[np.maximum(end, start)] ^ acc[start]
 
 
-def _text_key() -> Column:
-    return F.xxhash64(F.col("text").cast("string"))
+def _token_spans(chars: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of all tokens; rows: where texts begin, and the end."""
+    n = len(chars)
+    ink = (chars != 0x20) & ((chars < 0x09) | (chars > 0x0D))
+    own = np.zeros(n, bool)
+    if n and int(chars.max()) >= UNSPACED[0][0]:
+        for lo, hi in UNSPACED:
+            own |= (chars >= lo) & (chars < hi)
+    cut = np.ones(n + 1, bool)  # a token cannot go on across the place before character i
+    cut[1:n] = ~ink[1:] | ~ink[:-1] | own[1:] | own[:-1]
+    cut[rows] = True
+    return np.flatnonzero(ink & cut[:n]), np.flatnonzero(ink & cut[1:]) + 1
+
+
+def _lines(data: np.ndarray, off: np.ndarray):
+    """Characters; start, end, row and number of each line that is not blank; starts and ends of tokens, and each line's first and end token."""
+    chars = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+    lead = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
+    rows = lead[off]
+    brk = np.flatnonzero(chars == NEWLINE)
+    start = np.sort(np.concatenate((rows[:-1], brk + 1)))
+    row = np.searchsorted(rows[:-1], start, "right") - 1
+    # a break that ends a row starts no line in the next one: its line is the empty one at the end of its row
+    end = np.minimum(np.append(start[1:], len(chars)), rows[row + 1])
+    closing = np.zeros(len(chars) + 1, bool)
+    closing[brk] = True
+    end = end - ((end > start) & closing[np.maximum(end - 1, 0)])
+    ts, te = _token_spans(chars, rows)
+    first, last = np.searchsorted(ts, start), np.searchsorted(ts, np.maximum(end, start))
+    taken = np.flatnonzero(last > first)
+    number = np.searchsorted(brk, start[taken]) - np.searchsorted(brk, rows[row[taken]])
+    return chars, start[taken], end[taken], row[taken], number, ts, te, first[taken], last[taken]
+
+
+def _line_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the lines' bytes."""
+    at = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+    raw, name = data.tobytes(), xxhash.xxh3_64_intdigest
+    return np.array([name(raw[a:b]) for a, b in zip(at[start].tolist(), at[end].tolist(), strict=True)], np.uint64)
+
+
+def _token_hashes(chars: np.ndarray, ts: np.ndarray, te: np.ndarray) -> np.ndarray:
+    acc = np.zeros(len(chars) + 1, np.uint64)
+    np.cumsum((chars.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(0x2545F4914F6CDD1D)) * c.powers(len(chars) + 1)[0][: len(chars)], out=acc[1:])
+    return c.span_hash(acc, ts, te)
+
+
+def _sequence_hash(values: np.ndarray) -> np.ndarray:
+    """A prefix hash of a sequence of 64-bit values, for c.span_hash."""
+    acc = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(c.mix(values.copy()) * c.powers(len(values) + 1)[0][: len(values)], out=acc[1:])
+    return acc
+
+
+def line_keys(acc: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, and the line that each belongs to, of lines given by their first and end token; and for the keys of segments, which come
+    first, their place in the line and size."""
+    n = last - first
+    keys, lines, places, sizes = [], [], [], []
+
+    def add(which: np.ndarray, length: np.ndarray, parts: int, seg: int, at: np.ndarray, size: np.ndarray) -> None:
+        place = first[which] + at
+        salt = (length * 8 + parts * 3 + seg).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        keys.append(c.mix(c.span_hash(acc, place, place + size) + salt))
+        lines.append(which)
+        places.append(at)
+        sizes.append(size)
+
+    for edits, lo, hi in ((1, ONE, TWO - 1), (2, TWO, MANY - 1)):
+        parts = edits + 1
+        index = np.flatnonzero((n >= lo - edits) & (n <= hi))
+        probing = np.flatnonzero((n >= lo) & (n <= hi))
+        for seg in range(parts):
+            add(index, n[index], parts, seg, *_segment(n[index], seg, parts))
+        for diff, seg, shift in _offsets(edits):
+            length = n[probing] - diff
+            at, size = _segment(length, seg, parts)
+            at = at + shift
+            fits = (at >= 0) & (at + size <= n[probing]) & (length >= lo - edits)
+            add(probing[fits], length[fits], parts, seg, at[fits], size[fits])
+    many = np.flatnonzero(n >= MANY - limit(MANY))
+    grams, count = named_grams(acc, first[many], last[many], GRAM, SEGMENT - GRAM + 1)
+    return np.concatenate([*keys, c.mix(grams)]), np.concatenate([*lines, np.repeat(many, count)]), np.concatenate(places), np.concatenate(sizes)
+
+
+def _slim(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), c.text_hash().alias("t"), F.col("text").cast("string").alias("text"))
+
+
+def line_table(docs: DataFrame) -> DataFrame:
+    """doc_id, t (hash of the whole text), line_no, n_chars, h (hash of the line) of every line that is not blank."""
+
+    def run(batches):
+        for b in batches:
+            for lo, _, data, off in c.steps(b.column(2), STEP_BYTES):
+                _, start, end, row, number, *_ = _lines(data, off)
+                at = pa.array(lo + row)
+                columns = [b.column(0).take(at), b.column(1).take(at), pa.array(number.astype(np.int32)), pa.array((end - start).astype(np.int32))]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(c.signed(_line_hashes(data, start, end)))], ["doc_id", "t", "line_no", "n_chars", "h"])
+
+    return _slim(docs).mapInArrow(run, "doc_id long, t long, line_no int, n_chars int, h long")
 
 
-def line_table(docs: DataFrame, edits: int, min_chars: int, short: bool = False, percent: int = 0) -> DataFrame:
-    """doc_id, t (hash of the whole text), line_no, n_chars, h (hash), flags (parities), own and probe (keys; none for a short line), grams for every line
-    that takes part."""
-    least, gram, window = gram_bounds(edits, percent) if percent else (0, 0, 0)
-    least = max(least, min_chars)
-    probes = _offsets(edits)
-    parts = edits + 1
+def key_table(docs: DataFrame) -> DataFrame:
+    """key, id (hash of the line) for the lines of a step of texts that differ."""
+
+    def run(batches):
+        for b in batches:
+            for _, _, data, off in c.steps(b.column(0), STEP_BYTES):
+                chars, start, end, _, _, ts, te, first, last = _lines(data, off)
+                h, one = np.unique(_line_hashes(data, start, end), return_index=True)
+                order = np.argsort(one)
+                h, one = h[order], one[order]
+                key, line, *_ = line_keys(_sequence_hash(_token_hashes(chars, ts, te)), first[one], last[one])
+                yield pa.RecordBatch.from_arrays([pa.array(c.signed(key)), pa.array(c.signed(h[line]))], ["key", "id"])
+
+    return docs.select(F.col("text").cast("string")).mapInArrow(run, "key long, id long")
+
+
+def _described(texts: DataFrame) -> DataFrame:
+    """id, n (tokens) and flags (parities) of lines (id, line)."""
 
     def run(batches):
         for b in batches:
             for lo, hi, data, off in c.steps(b.column(1), STEP_BYTES):
                 chars = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
-                lead = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
-                rows = lead[off]
-                brk = np.flatnonzero(chars == NEWLINE)
-                start = np.sort(np.concatenate((rows[:-1], brk + 1)))
-                row = np.searchsorted(rows[:-1], start, "right") - 1
-                # a break that ends a row starts no line in the next one: its line is the empty one at the end of its row
-                end = np.minimum(np.append(start[1:], len(chars)), rows[row + 1])
-                closing = np.zeros(len(chars) + 1, bool)
-                closing[brk] = True
-                end = end - ((end > start) & closing[np.maximum(end - 1, 0)])
-                taken = end - start >= min_chars
-                if short:
-                    inked = np.concatenate(([0], np.cumsum((chars != 0x20) & ((chars < 0x09) | (chars > 0x0D)))))
-                    taken |= inked[np.maximum(end, start)] > inked[start]
-                taken = np.flatnonzero(taken)
-                if not len(taken):
-                    continue
-                breaks_before = np.searchsorted(brk, start[taken])
-                number = breaks_before - np.searchsorted(brk, rows[row[taken]])
-                start, end, row = start[taken], end[taken], row[taken]
-                size = end - start
-                long = size >= min_chars
-                acc = np.zeros(len(chars) + 1, np.uint64)
-                np.cumsum((chars.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(0x2545F4914F6CDD1D)) * c.powers(len(chars) + 1)[0][: len(chars)], out=acc[1:])
-                h = c.span_hash(acc, start, end)
-                x = chars * np.uint32(0x9E3779B1)
-                one = _flags(x >> np.uint32(27), start, end)
-                two = _flags(((x[1:] ^ (x[:-1] >> np.uint32(3))) * np.uint32(0x85EBCA6B)) >> np.uint32(27), start, end - 1) if len(x) > 1 else one
+                rows = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))[off]
+                ts, te = _token_spans(chars, rows)
+                first = np.searchsorted(ts, rows)
+                x = _token_hashes(chars, ts, te)
+                one = _flags(x >> np.uint64(59), first[:-1], first[1:])
+                two = _flags(c.mix(x[:-1] * np.uint64(3) + x[1:]) >> np.uint64(59), first[:-1], first[1:] - 1) if len(x) > 1 else one * np.uint32(0)
                 flags = c.signed(one.astype(np.uint64) << np.uint64(32) | two.astype(np.uint64))
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(np.diff(first).astype(np.int32)), pa.array(flags)], ["id", "n", "flags"])
 
-                def key(seg, length, at, size, acc=acc):
-                    return c.signed(c.mix(c.span_hash(acc, at, at + size) + (length * parts + seg).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
-
-                begin, length = start[long], size[long]
-                own = np.stack([key(s, length, begin + p, k) for s in range(parts) for p, k in [_segment(length, s, parts)]], axis=1)
-                tried = []
-                for diff, seg, shift in probes:
-                    p, k = _segment(length - diff, seg, parts)
-                    at = p + shift
-                    fits = (at >= 0) & (at + k <= length) & (length - diff >= min_chars)
-                    tried.append(np.where(fits, key(seg, length - diff, begin + np.where(fits, at, 0), k), own[:, 0]))
-                tried = np.stack(tried, axis=1) if tried else np.zeros((len(length), 0), np.int64)
-                n_grams = np.zeros(len(h), np.int64)
-                grams = np.zeros(0, np.uint64)
-                if percent:
-                    grams, n_grams[size >= least] = named_grams(acc, start[size >= least], end[size >= least], gram, window)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        b.column(0).take(pa.array(lo + row)),
-                        b.column(2).take(pa.array(lo + row)),
-                        pa.array(number.astype(np.int32)),
-                        pa.array(size.astype(np.int32)),
-                        pa.array(c.signed(h)),
-                        pa.array(flags),
-                        c.list_array(pa.array(own.ravel()), np.where(long, own.shape[1], 0)),
-                        c.list_array(pa.array(tried.ravel()), np.where(long, tried.shape[1], 0)),
-                        c.list_array(pa.array(c.signed(grams)), n_grams),
-                    ],
-                    ["doc_id", "t", "line_no", "n_chars", "h", "flags", "own", "probe", "grams"],
-                )
-
-    slim = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), _text_key().alias("t"))
-    return slim.mapInArrow(run, "doc_id long, t long, line_no int, n_chars int, h long, flags long, own array<long>, probe array<long>, grams array<long>")
-
-
-def candidate_pairs(distinct: DataFrame, edits: int) -> DataFrame:
-    """Distinct pairs (a, b) of line hashes that share a key and pass the signatures."""
-    index = distinct.select(F.col("h").alias("a"), F.col("flags").alias("fa"), F.explode("own").alias("key"))
-    both = F.concat("own", "probe")
-    probe = distinct.select(F.col("h").alias("b"), F.col("flags").alias("fb"), F.explode(both).alias("key"))
-    changed = F.col("fa").bitwiseXOR(F.col("fb"))
-    near = (F.bit_count(F.shiftrightunsigned(changed, 32)) <= 2 * edits) & (F.bit_count(changed.bitwiseAND(F.lit(0xFFFFFFFF))) <= 4 * edits)
-    joined = index.join(probe, (index["key"] == probe["key"]) & (F.col("a") != F.col("b")) & near)
-    return joined.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def gram_pairs(distinct: DataFrame, edits: int, percent: int) -> DataFrame:
-    """Distinct pairs (a, b) of line hashes that name a common gram and that lengths and signatures allow to be within the limit."""
-    rows = distinct.select("h", "flags", F.col("n_chars").alias("n"), F.explode("grams").alias("key"))
-    x, y = rows.toDF("a", "fa", "na", "key"), rows.toDF("b", "fb", "nb", "key")
-    most = F.expr(f"greatest({edits}, greatest(na, nb) * {percent} div 100)")
-    changed = F.col("fa").bitwiseXOR(F.col("fb"))
-    near = (F.bit_count(F.shiftrightunsigned(changed, 32)) <= 2 * most) & (F.bit_count(changed.bitwiseAND(F.lit(0xFFFFFFFF))) <= 4 * most)
-    near = near & (F.abs(F.col("na") - F.col("nb")) <= most) & (F.col("a") < F.col("b"))
-    return x.join(y, (x["key"] == y["key"]) & near).select("a", "b").distinct()
-
-
-def _far(x: str, y: str, k: int) -> bool:
-    """Whether counts of characters alone show a distance above k."""
-    p, q = (np.bincount(np.frombuffer(t.encode("utf-32-le"), np.uint32) & 0xFF, minlength=256) for t in (x, y))
-    d = p - q
-    return max(int(d[d > 0].sum()), -int(d[d < 0].sum())) > k
+    return texts.select("id", "line").mapInArrow(run, "id long, n int, flags long")
 
 
 def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """h, line for the lines named by wanted (doc_id, t, line_no, h)."""
-    n = wanted.count()
-    wanted = wanted.toDF("w_id", "w_t", "line_no", "h")
-    side = F.broadcast(wanted) if n <= BROADCAST_ROWS else wanted
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), _text_key().alias("t"))
-    met = slim.join(side, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("t") == F.col("w_t")))
-    return met.select("h", F.get(F.split("text", "\n", -1), F.col("line_no")).alias("line"))
+    """id, line for the lines named by wanted (doc_id, t, line_no, id)."""
+
+    def run(batches):
+        z = zstandard.ZstdDecompressor()
+        for b in batches:
+            for packed, items in zip(b.column(0), b.column(1), strict=True):
+                lines = z.decompress(packed.as_py()).split(b"\n")
+                some = {x["id"]: lines[x["line_no"]] for x in items.as_py() if x["line_no"] < len(lines)}
+                yield pa.RecordBatch.from_arrays([pa.array(list(some), pa.int64()), pa.array(list(some.values()), pa.binary()).cast(pa.string())], ["id", "line"])
+
+    lists = wanted.groupBy(F.col("doc_id").alias("w_id"), F.col("t").alias("w_t")).agg(F.collect_set(F.struct("line_no", "id")).alias("items"))
+    met = c.packed_texts(docs).join(lists, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("t") == F.col("w_t")))
+    return met.select("z", "items").mapInArrow(run, "id long, line string").dropDuplicates(["id"])
 
 
-def verified(pairs: DataFrame, texts: DataFrame, edits: int, percent: int = 0) -> DataFrame:
-    def linked(x: str, y: str) -> bool:
-        k = limit(max(len(x), len(y)), edits, percent)
-        return not (k > edits and _far(x, y, k)) and edit_distance(x, y, k) <= k
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) of lines that are linked."""
 
     def run(batches):
         for b in batches:
             keep = [linked(x.as_py(), y.as_py()) for x, y in zip(b.column(2), b.column(3), strict=True)]
             yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    left = texts.select(F.col("h").alias("a"), F.col("line").alias("x"))
-    right = texts.select(F.col("h").alias("b"), F.col("line").alias("y"))
+    left = texts.select(F.col("id").alias("a"), F.col("line").alias("x"))
+    right = texts.select(F.col("id").alias("b"), F.col("line").alias("y"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _classes(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, short: bool = False, percent: int = 0) -> DataFrame:
+def _places(key: int, acc: np.ndarray, n: int) -> list[tuple[int, int]]:
+    """Where in a line of n tokens a key stands: first token and size."""
+    found, _, at, size = line_keys(acc, np.array([0]), np.array([n]))
+    out = {(a, k) for f, a, k in zip(c.signed(found).tolist(), at.tolist(), size.tolist(), strict=False) if f == key}
+    if n >= MANY - limit(MANY):
+        grams = c.signed(c.mix(c.span_hash(acc, np.arange(n - GRAM + 1), np.arange(GRAM, n + 1))))
+        out |= {(a, GRAM) for a in np.flatnonzero(grams == key).tolist()}
+    return sorted(out)
+
+
+def _side_keys(key: int, acc: np.ndarray, n: int) -> set[int]:
+    """Second parts of a key for a line of n tokens: grams at the far end of its longer side, and 0 where a linked line could be too
+    short on both sides to have such a part. The limit k of a pair is the line's own or one more."""
+    k = limit(n) + 1
+    reach = SMALL * (k + 1) + k  # tokens in which a linked line has one of the k + 1 outermost segments, if unchanged
+    grams = c.signed(c.span_hash(acc, np.arange(max(0, n - SMALL + 1)), np.arange(SMALL, n + 1) if n >= SMALL else np.zeros(0, np.int64)))
+    out: set[int] = set()
+    for at, size in _places(key, acc, n):
+        before, behind = at, n - at - size
+        side = max(before, behind)
+        if side < reach + 3 * k + SMALL:
+            out.add(0)
+        if side >= reach:
+            if behind >= before - 2 * k:
+                out.update((grams[max(0, n - reach) :] | 1).tolist())
+            if before >= behind - 2 * k:
+                out.update((grams[: reach - SMALL + 1] & ~1).tolist())
+    return out or {0}
+
+
+def finer_keys(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """members with keys of two parts: the old one and a gram of the side of the line that is longer."""
+
+    def run(batches):
+        for b in batches:
+            at, parts = [], []
+            for i, (key, line) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)):
+                chars = np.frombuffer(line.encode("utf-32-le"), np.uint32)
+                x = _token_hashes(chars, *_token_spans(chars, np.array([0, len(chars)])))
+                more = _side_keys(key, _sequence_hash(x), len(x))
+                at += [i] * len(more)
+                parts += [hash((key, m)) for m in more]
+            rest = b.select(b.schema.names[2:]).take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int64()), *rest.columns], ["key", *rest.schema.names])
+
+    names = [x for x in members.columns if x != "key"]
+    joined = members.join(texts.select("id", "line"), "id").select("key", "line", *names)
+    schema = "key long, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in members.select(names).schema.fields)
+    return joined.mapInArrow(run, schema)
+
+
+def _classes(own: c.Scratch, docs: DataFrame) -> DataFrame:
     """Rows of line_classes, with t, the hash of the whole text."""
-    min_chars = max(min_chars, 3 * edits + 1)
-    lines = c.cut(line_table(docs, edits, min_chars, short, percent))
-    place = F.struct("doc_id", "line_no", "t")
-    firsts = lines.groupBy("h").agg(F.min(place).alias("first"))
-    one_each = lines.where(F.col("n_chars") >= min_chars).dropDuplicates(["h"])
-    pairs = candidate_pairs(one_each.select("h", "flags", "own", "probe"), edits)
-    if percent:
-        pairs = pairs.unionByName(gram_pairs(one_each.select("h", "flags", "n_chars", "grams"), edits, percent)).distinct()
-    pairs = c.cut(pairs)
-    named = pairs.select(F.col("a").alias("h")).unionByName(pairs.select(F.col("b").alias("h"))).distinct()
-    wanted = c.cut(firsts.join(named, "h").select("first.doc_id", "first.t", "first.line_no", "h"))
-    texts = c.cut(line_texts(docs, wanted).dropDuplicates(["h"]))
-    links = c.cut(verified(pairs, texts, edits, percent))
-    comps = c.components(links)
-    degree = links.select(F.col("a").alias("h")).unionByName(links.select(F.col("b").alias("h"))).groupBy("h").agg(F.count("*").alias("n_links"))
-    linked = comps.withColumnRenamed("node", "h").join(degree, "h")
-    known = firsts.join(linked, "h", "left").select("h", "first", "n_links", F.coalesce("component", "h").alias("comp"))
-    known = c.cut(known)
-    # only linked texts need the first line of their class; the rest are classes of their own
-    class_first = known.where("n_links is not null").groupBy("comp").agg(F.min("first").alias("class_first"))
-    known = known.join(class_first, "comp", "left").select(
-        "h", F.coalesce("class_first", "first").alias("f"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")
-    )
-    out = lines.select("doc_id", "t", "line_no", "n_chars", "h").join(known, "h")
+    lines = own.cut(line_table(docs))
+    keys = key_table(docs)
+    twice = own.cut(keys.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y").select("key"))
+    members = own.cut(keys.join(twice, "key").distinct())
+    own.drop(twice)
+    firsts = own.cut(lines.groupBy("h").agg(F.min(F.struct("doc_id", "line_no", "t")).alias("first")).withColumnRenamed("h", "id"))
+    wanted = firsts.join(members.select("id").distinct(), "id").select("first.doc_id", "first.t", "first.line_no", "id")
+    texts = own.cut(line_texts(docs, wanted))
+    known = own.cut(_described(texts))
+    changed = F.col("flags").bitwiseXOR(F.col("l_flags"))
+    longer = F.greatest("n", "l_n")
+    most = F.when(longer < ONE, 0).when(longer < TWO, 1).when(longer < MANY, 2).otherwise(F.floor(longer / STEP))
+    possible = (F.abs(F.col("n") - F.col("l_n")) <= most) & (F.bit_count(F.shiftrightunsigned(changed, 32)) <= 2 * most)
+    possible = possible & (F.bit_count(changed.bitwiseAND(F.lit(0xFFFFFFFF))) <= 4 * most)
+    described = members.join(known, "id")
+    comps = rounds.components(own, described, ["n", "flags"], possible, lambda p: verified(p, texts), lambda m: finer_keys(m, texts))
+    out = lines.withColumnRenamed("h", "id")
+    if comps is None:
+        out = out.join(firsts, "id").withColumn("f", F.col("first"))
+    else:
+        # only linked texts need the first line of their class; the rest are classes of their own
+        comps = own.cut(firsts.join(comps.withColumnRenamed("node", "id"), "id"))
+        class_first = own.cut(comps.groupBy("component").agg(F.min("first").alias("f")))
+        linked_first = comps.join(class_first, "component").select(F.col("id").alias("l_id"), "f")
+        firsts = own.cut(firsts.join(linked_first, F.col("id") == F.col("l_id"), "left").select("id", F.coalesce("f", "first").alias("f")))
+        out = out.join(firsts, "id")
     return out.select(
         "doc_id",
         "t",
@@ -312,29 +427,31 @@ def _classes(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, sh
         "n_chars",
         F.col("f.doc_id").alias("class_doc_id"),
         F.col("f.line_no").alias("class_line_no"),
-        "n_links",
         (F.col("f.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("f.line_no") == F.col("line_no")) & (F.col("f.t") == F.col("t"))).alias("kept"),
     )
 
 
-def line_classes(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, short: bool = False, percent: int = 0) -> DataFrame:
-    """One row for each line that takes part: doc_id, line_no, n_chars, class_doc_id and class_line_no (the first line of
-    the class that links reach), n_links (different texts within the distance), kept (this is that first line)."""
-    return _classes(docs, edits, min_chars, short, percent).drop("t")
+def line_classes(docs: DataFrame) -> DataFrame:
+    """One row for each line that is not blank: doc_id, line_no, n_chars, class_doc_id and class_line_no (the first line of the class
+    that links reach), kept (this is that first line)."""
+    own = c.Scratch(docs.sparkSession)
+    out = c.cut(_classes(own, docs).drop("t"))
+    own.clear()
+    return out
 
 
-def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, short: bool = False, percent: int = 0) -> DataFrame:
-    """docs with the lines removed that are not the first of their class; documents left without a line (if `short`,
-    with blank ones alone) are dropped, documents that had no text stay. All columns are kept; n_chars, if there, is that of a
-    changed text."""
+def dedup_lines(docs: DataFrame) -> DataFrame:
+    """docs with the lines removed that are not the first of their class; documents left without a line that is not blank are dropped,
+    documents that had no text stay. All columns are kept; n_chars, if there, is that of a changed text."""
+    own = c.Scratch(docs.sparkSession)
     gone_col, at, key = c.fresh("gone", docs), c.fresh("at", docs), c.fresh("text_key", docs)
-    gone = _classes(docs, edits, min_chars, short, percent).where("not kept").groupBy(F.col("doc_id").alias(at), F.col("t").alias(key))
-    gone = gone.agg(F.collect_set("line_no").alias(gone_col))
-    joined = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(F.col(at)) & (_text_key() == F.col(key)), "left")
+    gone = _classes(own, docs).where("not kept").groupBy(F.col("doc_id").alias(at), F.col("t").alias(key))
+    gone = c.cut(gone.agg(F.collect_set("line_no").alias(gone_col)))
+    own.clear()
+    joined = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(F.col(at)) & (c.text_hash() == F.col(key)), "left")
     lines = F.split(F.col("text"), "\n", -1)
     left = F.filter(lines, lambda x, i: ~F.array_contains(F.col(gone_col), i))
-    inked = (lambda x: x.rlike(r"[^\x20\x09-\x0D]")) if short else (lambda x: F.length(x) > 0)
-    kept = joined.where(F.col(gone_col).isNull() | F.exists(left, inked))
+    kept = joined.where(F.col(gone_col).isNull() | F.exists(left, lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
     changed = F.col(gone_col).isNotNull()
     out = kept.withColumn("text", F.when(changed, F.array_join(left, "\n")).otherwise(F.col("text")))
     if "n_chars" in docs.columns:

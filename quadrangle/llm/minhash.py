@@ -8,8 +8,9 @@ cost of a few hashes for each element. Documents that agree in all rows of a ban
 the full sets of 64-bit shingle hashes.
 
 Defined cases: null or empty text, or text without a word, gives an empty set, which is linked with nothing. Rows with
-equal sets are one class. A null doc_id takes no part in links. Repeated rows of a doc_id keep their rows. Other columns
-of the input are ignored.
+equal sets are one class. A null doc_id takes no part in links. Rows that share a doc_id keep a row each, and each has the links of
+its own text; copies of a row are one node, and all are kept if their doc_id is the component's. Other columns of the input
+are ignored.
 """
 
 from __future__ import annotations
@@ -20,13 +21,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quadrangle.llm import common as c
+from quadrangle.llm import rounds
 
 BANDS, ROWS = 30, 5
 #: Bytes of text that are worked on at once, with about a dozen numbers for each.
 STEP_BYTES = 1 << 20
-#: Words of 64 parity bits of a set; leaders of a bucket are this many times more in each round; components are found anew when
-#: links grow by this part.
-PARITY, MORE, GROWN = 8, 16, 1 / 16
+#: Words of 64 parity bits of a set.
+PARITY = 8
+WORD = r"[^\x20\x09-\x0D]"
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 NO_RANGE = np.uint64(1)
 
@@ -35,7 +37,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.
     """Sorted distinct shingle hashes of all rows, one after another, and their number for each row."""
     data = c.lower_bytes()[data]
     start, end, row = c.spans(data, offsets, c.blank_bytes())
-    h = c.span_hash(c.prefix_hash(data), start, end)
+    h = c.word_hash(data, start, end)
     n = len(offsets) - 1
     per_row = np.bincount(row, minlength=n)
     first = np.zeros(n + 1, np.int64)
@@ -102,41 +104,48 @@ def parities(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out
 
 
+def fingerprints(values: np.ndarray, counts: np.ndarray) -> list[pa.Array]:
+    """k1, k2 of each set: two sums of its hashed elements."""
+    edges = np.concatenate(([0], np.cumsum(counts)))
+    total = [np.concatenate(([0], np.cumsum(c.mix(values + np.uint64(s)), dtype=np.uint64))) for s in (0x51, 0xA7C3)]
+    return [pa.array(c.signed(t[edges[1:]] - t[edges[:-1]])) for t in total]
+
+
 def signatures(docs: DataFrame, words: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, n_shingles, k1, k2 (fingerprint of the set), bands (keys; none for an empty set), parity."""
+    """doc_id, t (hash of the whole text), n_shingles, k1, k2 (fingerprint of the set), bands (keys; none for an empty set), parity."""
 
     def run(batches):
         for b in batches:
-            for lo, hi, data, off in c.steps(b.column(1), STEP_BYTES):
+            for lo, hi, data, off in c.steps(b.column(2), STEP_BYTES):
                 values, counts = shingle_sets(data, off, words)
                 keys = band_keys(sketches(values, counts, bands * rows), bands, rows)[counts > 0].ravel()
-                edges = np.concatenate(([0], np.cumsum(counts)))
-                total = [np.concatenate(([0], np.cumsum(c.mix(values + np.uint64(s)), dtype=np.uint64))) for s in (0x51, 0xA7C3)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         b.column(0).slice(lo, hi - lo),
+                        b.column(1).slice(lo, hi - lo),
                         pa.array(counts),
-                        *(pa.array(c.signed(t[edges[1:]] - t[edges[:-1]])) for t in total),
+                        *fingerprints(values, counts),
                         c.list_array(pa.array(c.signed(keys)), np.where(counts > 0, bands, 0)),
                         c.list_array(pa.array(parities(values, counts).ravel()), np.full(hi - lo, PARITY)),
                     ],
-                    ["doc_id", "n_shingles", "k1", "k2", "bands", "parity"],
+                    ["doc_id", "t", "n_shingles", "k1", "k2", "bands", "parity"],
                 )
 
-    slim = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return slim.mapInArrow(run, "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>, parity array<long>")
+    slim = docs.select(F.col("doc_id").cast("long"), c.text_hash().alias("t"), F.col("text").cast("string"))
+    return slim.mapInArrow(run, "doc_id long, t long, n_shingles long, k1 long, k2 long, bands array<long>, parity array<long>")
 
 
 def full_sets(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, items: the sorted shingle hashes as little-endian 64-bit integers."""
+    """k1, k2, items: the sorted shingle hashes as little-endian 64-bit integers, of the sets that are not empty."""
 
     def run(batches):
         for b in batches:
-            for lo, hi, data, off in c.steps(b.column(1), STEP_BYTES):
+            for _, _, data, off in c.steps(b.column(1), STEP_BYTES):
                 values, counts = shingle_sets(data, off, words)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), c.binary_array(values, counts * 8)], ["doc_id", "items"])
+                some = pa.array(counts > 0)
+                yield pa.RecordBatch.from_arrays([*fingerprints(values, counts), c.binary_array(values, counts * 8)], ["k1", "k2", "items"]).filter(some)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, items binary")
+    return docs.select(F.lit(0), F.col("text").cast("string")).mapInArrow(run, "k1 long, k2 long, items binary")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -152,88 +161,67 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * same >= percent * (len(p) + len(q) - same))
             yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    left = sets.select(F.col("doc_id").alias("a"), F.col("items").alias("x"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("items").alias("y"))
+    left = sets.select(F.col("id").alias("a"), F.col("items").alias("x"))
+    right = sets.select(F.col("id").alias("b"), F.col("items").alias("y"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _pairs(members: DataFrame, leaders: DataFrame, percent: int, best_only: bool) -> DataFrame:
-    """Distinct pairs of a leader and a member of its bucket that are in different components and that sizes and parities
-    allow to be linked; if best_only, a document's pair with the leader of the highest score alone.
-
-    Sets with 100 * intersection >= percent * union differ in at most (n + m) * (100 - percent) / (100 + percent) elements."""
-    differ = sum((F.bit_count(F.col(f"p{i}").bitwiseXOR(F.col(f"l_p{i}"))) for i in range(PARITY)), F.lit(0))
-    sizes = F.col("n") + F.col("l_n")
-    possible = F.expr(f"doc_id <> l_id and comp <> l_comp and 100 * least(n, l_n) >= {percent} * greatest(n, l_n)")
-    possible = possible & (differ * (100 + percent) <= sizes * (100 - percent))
-    own = members.drop("score", "size").withColumnRenamed("key", "m_key")
-    met = own.join(leaders, (F.col("m_key") == F.col("key")) & possible)
-    if best_only:
-        met = met.groupBy("doc_id").agg(F.max(F.struct("score", (-F.col("l_id")).alias("d"))).alias("m")).select("doc_id", (-F.col("m.d")).alias("l_id"))
-    return met.select(F.least("doc_id", "l_id").alias("a"), F.greatest("doc_id", "l_id").alias("b")).distinct()
-
-
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept (doc_id = component_id).
+    """doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept (doc_id = component_id), text_hash.
 
-    First every document is compared with the best leader of all its buckets. Then within a bucket every member is compared
-    with MORE leaders, then with MORE times as many in each round, until all that is left of the bucket is one component: pairs of a group are not all made, and no pair that could join two components goes untested. The leader is
-    the member with the largest sum of bucket sizes, usually the original of a group of altered copies. Pairs whose sizes
-    or parities rule out a link never leave the join, so documents that are only alike do not fill it with pairs.
+    What is linked are sets, whatever the doc_ids of their rows; buckets are worked off by rounds of leaders. Pairs whose sizes or
+    parities rule out a link never leave the join, so documents that are only alike do not fill it with pairs: sets with
+    100 * intersection >= percent * union differ in at most (n + m) * (100 - percent) / (100 + percent) elements.
     """
-    sig = c.cut(signatures(docs, words, bands, rows))
+    own = c.Scratch(docs.sparkSession)
+    sig = own.cut(signatures(docs, words, bands, rows))
     real = sig.where("n_shingles > 0 and doc_id is not null")
-    classes = c.cut(real.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")))
-    reps = sig.join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     parity = [f"p{i}" for i in range(PARITY)]
-    keys = reps.select("doc_id", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
-    sizes = keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    members = c.cut(keys.join(sizes, "key"))
-    score = members.groupBy("doc_id").agg(F.sum("size").alias("score"))
-    score = reps.select("doc_id", *(F.col("parity")[i].alias(p) for i, p in enumerate(parity))).join(score, "doc_id")
-    members = c.cut(members.join(score, "doc_id").select("key", "size", "doc_id", "n", "score", F.col("doc_id").alias("comp"), *parity))
-    sets = None
-    links = checked = None
-    n_links = n_known = 0
-    round_no = -1  # in the first round a document meets only the best of its buckets' leaders
-    while members.take(1):
-        slots = MORE ** (round_no + 1)  # a bucket of no more members has all of them as leaders
-        slot = F.when((F.col("size") <= slots) & (round_no >= 0), F.col("doc_id")).otherwise(F.pmod(F.xxhash64("doc_id"), F.lit(slots)))
-        best = F.struct("score", (-F.col("doc_id")).alias("d"), "n", "comp", *parity)
-        leaders = members.groupBy("key", slot.alias("slot")).agg(F.max(best).alias("m"))
-        leaders = leaders.select(
-            "key", (-F.col("m.d")).alias("l_id"), "m.score", F.col("m.n").alias("l_n"), F.col("m.comp").alias("l_comp"), *(F.col(f"m.{p}").alias(f"l_{p}") for p in parity)
-        )
-        pairs = _pairs(members, leaders, percent, best_only=round_no < 0)
-        if checked is not None:
-            pairs = pairs.join(checked, ["a", "b"], "left_anti")
-        pairs = c.cut(pairs)
-        if sets is None:
-            wanted = members.select("doc_id").distinct()
-            slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
-            sets = c.cut(full_sets(slim.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), words))
-        found = c.cut(confirmed(pairs, sets, percent))
-        links = found if links is None else links.unionByName(found)
-        checked = pairs if checked is None else checked.unionByName(pairs)
-        rest = members
-        if round_no >= 0:
-            rest = rest.join(leaders.select("key", F.col("l_id").alias("doc_id")), ["key", "doc_id"], "left_anti")
-        n_links += found.count()
-        if n_links - n_known > n_known * GROWN:  # else the components are nearly as they were, which costs a few more pairs
-            n_known = n_links
-            comps = c.components(links).withColumnRenamed("node", "doc_id")
-            rest = rest.drop("comp").join(comps, "doc_id", "left")
-            rest = rest.select("key", "size", "doc_id", "n", "score", F.coalesce("component", "doc_id").alias("comp"), *parity)
-        open_keys = rest.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
-        members = c.cut(rest.join(open_keys, "key", "left_semi"))
-        round_no += 1
-    if links is not None:
-        comp = c.components(links).withColumnRenamed("node", "rep")
-        classes = classes.join(comp, "rep", "left").select("k1", "k2", F.coalesce("component", "rep").alias("component"))
+    some = F.any_value(F.struct("n_shingles", "bands", "parity")).alias("s")
+    sets = real.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), some)
+    sets = own.cut(sets.select(F.monotonically_increasing_id().alias("id"), "k1", "k2", "rep", F.col("s.n_shingles").alias("n"), "s.bands", "s.parity"))
+    members = sets.select(F.explode("bands").alias("key"), "id", "n", *(F.col("parity")[i].alias(p) for i, p in enumerate(parity)))
+    differ = sum((F.bit_count(F.col(p).bitwiseXOR(F.col(f"l_{p}"))) for p in parity), F.lit(0))
+    possible = F.expr(f"100 * least(n, l_n) >= {percent} * greatest(n, l_n)") & (differ * (100 + percent) <= (F.col("n") + F.col("l_n")) * (100 - percent))
+    items: list[DataFrame] = []
+
+    def confirm(pairs: DataFrame) -> DataFrame:
+        if not items:
+            shared = sets.select("id", "rep", "k1", "k2", F.explode("bands").alias("key"))
+            twice = shared.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y").select("key")
+            wanted = own.cut(shared.join(own.cut(twice), "key").select("id", "rep", "k1", "k2").distinct())
+            some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+            some = some.join(wanted.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+            items.append(own.cut(full_sets(some, words).join(wanted, ["k1", "k2"]).select("id", "items").dropDuplicates(["id"])))
+        return confirmed(pairs, items[0], percent)
+
+    comps = rounds.components(own, members, ["n", *parity], possible, confirm)
+    classes = sets.select("id", "k1", "k2", "rep")
+    if comps is not None:
+        classes = classes.join(comps.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+        least = classes.groupBy("component").agg(F.min("rep").alias("least"))
+        classes = classes.join(least, "component").select("k1", "k2", F.col("least").alias("component"))
     else:
         classes = classes.select("k1", "k2", F.col("rep").alias("component"))
-    out = sig.join(classes, ["k1", "k2"], "left")
+    out = sig.select("doc_id", "t", "n_shingles", "k1", "k2").join(own.cut(classes), ["k1", "k2"], "left")
     component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
-        "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
-    )
+    out = out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("t").alias("text_hash"))
+    out = out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    done = c.cut(out)
+    own.clear()
+    return done
+
+
+def first_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """docs with one row of each component: that of the smallest doc_id, and of rows that share it that of the smallest text hash. Rows
+    with a null doc_id or without a word stay. All columns are kept."""
+    own = c.Scratch(docs.sparkSession)
+    d, t = c.fresh("gone_id", docs), c.fresh("gone_text", docs)
+    near = near_duplicates(docs, words, percent).where("n_shingles > 0 and doc_id is not null")
+    several = near.where("kept").groupBy("component_id").agg(F.min("text_hash").alias("least"), F.max("text_hash").alias("most")).where("least <> most")
+    others = near.where("kept").join(own.cut(several), "component_id").where("text_hash <> least")
+    gone = near.where("not kept").select("doc_id", "text_hash").unionByName(others.select("doc_id", "text_hash")).distinct()
+    gone = c.cut(gone.toDF(d, t))
+    left = docs.join(gone, (docs["doc_id"].cast("long") == F.col(d)) & (c.text_hash() == F.col(t)), "left_anti")
+    real = F.col("doc_id").isNotNull() & F.coalesce(F.col("text").cast("string"), F.lit("")).rlike(WORD)
+    return c.one_each(c.Scratch(docs.sparkSession), left, docs, real)

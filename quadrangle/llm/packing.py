@@ -7,13 +7,13 @@ duplicate clusters, and the search steps from bin to bin in the order of residua
 found; if there is none, a bin is opened. A bin never holds two pieces of one duplicate cluster or of one source. Bitmaps
 are as long as the shard has sources and clusters, so a bit stands for one value only.
 
-Shards are dealt by a hash of the document and their number follows the number of rows, so a source or cluster with a
-third of all rows is spread evenly, and a shard is a group of bounded size whatever the keys.
+Shards are dealt by a hash of doc_id, text and the row's number, and their count follows the number of rows, so a source, a cluster
+or a doc_id with a third of all rows is spread evenly, and a shard is about `shard_rows` documents whatever the keys.
 
 Defined cases: null or empty text is one piece of size 0, which still takes a place in a bin. A null source, or a missing
 source column, conflicts with nothing. Without a cluster column, equal texts are one cluster, and so are near copies where
 `clusters` tells them, as in the query; an empty text is in none.
-Ties go to the smaller (doc_id, piece); repeated rows are packed each. Other columns are ignored.
+Ties go to the smaller (doc_id, piece); repeated rows are packed each, in shards of their own. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -64,10 +64,6 @@ def _pack_shard(capacity: int):
     return run
 
 
-def text_hash() -> Column:
-    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-
-
 def pack(
     docs: DataFrame, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS, cluster: Column | None = None, clusters: DataFrame | None = None
 ) -> DataFrame:
@@ -76,15 +72,16 @@ def pack(
     clusters: text_hash, cluster (a text's hash) of the texts whose cluster is not their own hash, if there is no cluster column."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     if cluster is None:
-        cluster = F.when(F.length(text) > 0, text_hash())
+        cluster = F.when(F.length(text) > 0, c.text_hash())
     source = F.col("source").cast("string") if "source" in docs.columns else F.lit(None).cast("string")
     shards = max(1, -(-docs.count() // shard_rows))
-    shard = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), F.lit(29)), F.lit(shards)).cast("int")
+    shard = F.pmod(F.xxhash64(F.col("doc_id").cast("long"), c.text_hash(), F.monotonically_increasing_id()), F.lit(shards)).cast("int")
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), source.alias("source"), cluster.cast("long").alias("cluster"), F.length(text).alias("n"), shard.alias("shard"))
+    # a table, so that a row's number, which spreads rows that are alike, stays what it is; and lengths, not texts, go through the join
+    slim = c.cut(slim)
     if clusters is not None:
-        # a barrier: else the texts, not their lengths, would go through the join
         near = clusters.toDF("text_hash", "near")
-        slim = c.cut(slim).join(near, F.col("cluster") == F.col("text_hash"), "left")
+        slim = slim.join(near, F.col("cluster") == F.col("text_hash"), "left")
         slim = slim.withColumn("cluster", F.coalesce("near", "cluster")).drop("text_hash", "near")
     starts = F.sequence(F.lit(0), F.greatest(F.col("n") - 1, F.lit(0)), F.lit(capacity))
     pieces = slim.select("*", F.posexplode(starts).alias("piece", "start")).withColumn("size", F.least(F.col("n") - F.col("start"), F.lit(capacity)))

@@ -92,9 +92,9 @@ def rules(s: Column) -> dict[str, Column]:
         "symbols": 10 * s["n_symbols"] > s["n_words"],
         "word_length": (s["word_chars"] < 2 * s["n_words"]) | (s["word_chars"] > 15 * s["n_words"]),
         "repeated_lines": 10 * s["n_dup_lines"] > 3 * s["n_lines"],
-        "letters": 100 * F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]*\p{L}[^\x20\x09-\x0D]*")) < 60 * s["n_words"],
-        "ellipses": 10 * F.regexp_count(text, F.lit(r"(?m)(\.\.\.|…)$")) > 3 * s["n_lines"],
-        "bullets": 10 * F.regexp_count(text, F.lit(r"(?m)^[•‣*-]\x20")) > 9 * s["n_lines"],
+        "letters": 100 * F.size(F.filter(F.split(text, BLANK, -1), lambda w: w.rlike(r"\p{L}"))) < 60 * s["n_words"],
+        "ellipses": 10 * F.regexp_count(text, F.lit(r"(?dm)(\.\.\.|…)$")) > 3 * s["n_lines"],  # d: lines end at \n alone
+        "bullets": 10 * F.regexp_count(text, F.lit(r"(?dm)^[•‣*-]\x20")) > 9 * s["n_lines"],
     }
 
 

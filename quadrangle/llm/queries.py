@@ -7,9 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
-from quadrangle.llm import bpe, htmltext, linedup, minhash, packing, quality, suffixdedup, tokenfiles, topk, toxicity
-from quadrangle.llm.common import scratch_path, table
+from quadrangle.llm import bpe, htmltext, linedup, minhash, packing, quality, stages, suffixdedup, tokenfiles, topk, toxicity
+from quadrangle.llm.common import scratch_path, table, text_hash
 
 
 def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,7 +20,7 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linedup.line_classes(table(spark, sf_dir, "documents"), short=True, percent=linedup.PERCENT)
+    return linedup.line_classes(table(spark, sf_dir, "documents"))
 
 
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,13 +54,13 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     # by the text's hash, not by doc_id: so rows with a null or the same doc_id have clusters of their own text
-    texts = docs.select(packing.text_hash().alias("doc_id"), "text")
+    texts = docs.select(text_hash().alias("doc_id"), "text")
     near = minhash.near_duplicates(texts, words=5, percent=80).where("doc_id <> component_id")
     return packing.pack(docs, clusters=near.select("doc_id", "component_id").distinct().toDF("text_hash", "cluster"))
 
 
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80).drop("text_hash")
 
 
 OP10_SQL = r"""
@@ -134,7 +133,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": op8_toxicity,
         "op9_packing": op9_packing,
         "op10_minhash": op10_minhash,
-        "pipeline": corpus_pipeline.run,
+        "pipeline": stages.run,
     }
 
 

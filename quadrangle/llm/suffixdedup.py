@@ -19,9 +19,9 @@ A byte is removed when a string of `width` bytes that covers it also starts else
 Symbols are 64-bit hashes of their bytes, as are the names of anchors and spans.
 
 Defined cases: null text is empty; texts shorter than `width` keep all bytes. Strings do not cross rows; overlaps in one
-row count as elsewhere. Rows that repeat a doc_id are copies of a text like any other; their intervals are united. A null
-doc_id is handled like any other value. Other columns are kept by
-`cut_repeats` and ignored by the rest.
+row count as elsewhere. A row is known by its doc_id and a hash of its text, so rows that share a doc_id, or have none, have
+intervals of their own, and rows alike in both are copies like any others. Other columns are kept by `cut_repeats` and
+ignored by the rest.
 """
 
 from __future__ import annotations
@@ -52,14 +52,14 @@ def spans_of(data: np.ndarray, offsets: np.ndarray, width: int, gram: int):
         return none, none, none, none, none.view(np.uint64), prefix
     inv = c.powers(n + 1)[1]
     grams = c.mix((prefix[gram:] - prefix[:-gram]) * inv[: n + 1 - gram])
-    bits = max(1, int(n).bit_length())
-    low = grams & np.uint64((1 << 64) - (1 << bits)) | np.arange(len(grams), dtype=np.uint64)
+    # the upper half of a hash, then the place: the same choice in equal windows, wherever they stand
+    low = grams & np.uint64(0xFFFFFFFF00000000) | np.arange(len(grams), dtype=np.uint64)
     need, have = width - gram + 1, 1
     while have < need:
         step = min(have, need - have)
         low = np.minimum(low[:-step], low[step:])
         have += step
-    anchor = (low & np.uint64((1 << bits) - 1)).astype(np.int64)
+    anchor = (low & np.uint64(0xFFFFFFFF)).astype(np.int64)
     row_of = np.repeat(np.arange(len(offsets) - 1), np.maximum(np.diff(offsets) - width + 1, 0))
     counts = np.maximum(np.diff(offsets) - width + 1, 0)
     at = np.arange(len(row_of)) + np.repeat(offsets[:-1] - np.concatenate(([0], np.cumsum(counts)[:-1])), counts)
@@ -72,37 +72,25 @@ def spans_of(data: np.ndarray, offsets: np.ndarray, width: int, gram: int):
 
 
 def anchors(docs: DataFrame, width: int, gram: int, full: bool) -> DataFrame:
-    """The anchor `a` of every span; if full, also doc_id, `at` (first window << 32 | bytes from there to the anchor << 16 | number of windows) and `s`, the span's name."""
+    """The anchor `a` of every span; if full, also doc_id, t (hash of the whole text), `at` (first window << 32 | bytes from there to the anchor << 16 | number of windows) and `s`, the span's name."""
 
     def run(batches):
         for b in batches:
-            for lo, hi, data, off in c.steps(b.column(1)):
+            for lo, _, data, off in c.steps(b.column(2)):
                 row, first, size, place, a, prefix = spans_of(data, off, width, gram)
                 out = [pa.array(c.signed(a))]
                 if full:
                     s = c.mix(c.span_hash(prefix, first, first + size + width - 1) + a)
                     at = (first - off[row]) << 32 | (place - first) << 16 | size
-                    out += [b.column(0).take(pa.array(lo + row)), pa.array(at), pa.array(c.signed(s))]
-                yield pa.RecordBatch.from_arrays(out, ["a", "doc_id", "at", "s"][: len(out)])
+                    out += [b.column(0).take(pa.array(lo + row)), b.column(1).take(pa.array(lo + row)), pa.array(at), pa.array(c.signed(s))]
+                yield pa.RecordBatch.from_arrays(out, ["a", "doc_id", "t", "at", "s"][: len(out)])
 
-    slim = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return slim.mapInArrow(run, "a long, doc_id long, at long, s long" if full else "a long")
-
-
-def packed_texts(docs: DataFrame) -> DataFrame:
-    """doc_id, z: the text compressed, for the shuffle."""
-
-    def run(batches):
-        z = zstandard.ZstdCompressor(level=1)
-        for b in batches:
-            texts = b.column(1).cast(pa.binary()).to_pylist()
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([z.compress(t or b"") for t in texts], pa.binary())], ["doc_id", "z"])
-
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, z binary")
+    slim = docs.select(F.col("doc_id").cast("long"), c.text_hash().alias("t"), F.col("text").cast("string"))
+    return slim.mapInArrow(run, "a long, doc_id long, t long, at long, s long" if full else "a long")
 
 
 def span_texts(docs: DataFrame, named: DataFrame, width: int) -> DataFrame:
-    """s, key, o (bytes from the first window to the anchor), m (copies) and text of the spans in named (doc_id, at, s, a, m)."""
+    """s, key, o (bytes from the first window to the anchor), m (copies) and text of the spans in named (doc_id, t, at, s, a, m)."""
 
     def run(batches):
         z = zstandard.ZstdDecompressor()
@@ -113,14 +101,13 @@ def span_texts(docs: DataFrame, named: DataFrame, width: int) -> DataFrame:
                 for x in spans:
                     first, o, size = x["at"] >> 32, x["at"] >> 16 & 0xFFFF, x["at"] & 0xFFFF
                     piece = text[first : first + size + width - 1]
-                    if len(piece) == size + width - 1:  # else another row of a repeated doc_id
-                        for col, v in zip(out, (x["s"], x["a"], o, x["m"], piece), strict=True):
-                            col.append(v)
+                    for col, v in zip(out, (x["s"], x["a"], o, x["m"], piece), strict=True):
+                        col.append(v)
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, kinds, strict=True)], ["s", "key", "o", "m", "text"])
 
-    per_doc = named.groupBy(F.col("doc_id").alias("d")).agg(F.collect_list(F.struct("at", "s", "a", "m")).alias("spans"))
-    joined = packed_texts(docs).join(per_doc, F.col("doc_id").eqNullSafe(F.col("d")))
+    per_text = named.groupBy(F.col("doc_id").alias("d"), F.col("t").alias("d_t")).agg(F.collect_list(F.struct("at", "s", "a", "m")).alias("spans"))
+    joined = c.packed_texts(docs).join(per_text, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("t") == F.col("d_t")))
     return joined.select("z", "spans").mapInArrow(run, "s long, key long, o int, m long, text binary")
 
 
@@ -289,18 +276,18 @@ def _split(strings: DataFrame, width: int, run_of: int) -> DataFrame:
     return strings.select("s", "key", "o", "m", "text").mapInArrow(run, "s long, base int, key long, s2 long, o int, m long, text binary")
 
 
-def resolve(strings: DataFrame, width: int, steps: int, hot: int, run_of: int = CHUNK) -> DataFrame:
+def resolve(own: c.Scratch, strings: DataFrame, width: int, steps: int, hot: int, run_of: int = CHUNK) -> DataFrame:
     """s, runs for distinct strings (s, key, o, m, text); keys with more than `hot` strings are dealt by finer ones. Single
     windows end it: equal ones are then one string, so a key has one."""
-    crowded = c.cut(strings.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("key"))
+    crowded = own.cut(strings.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("key"))
     if not crowded.take(1):
         return _merge_blocks(strings, width, steps)
     out = _merge_blocks(strings.join(crowded, "key", "left_anti"), width, steps)
-    pieces = c.cut(_split(strings.join(crowded, "key", "left_semi"), width, run_of))
+    pieces = own.cut(_split(strings.join(crowded, "key", "left_semi"), width, run_of))
     each = pieces.groupBy(F.col("s2").alias("s"), "key").agg(F.sum("m").alias("m"), F.max(F.struct("o", "text")).alias("x"))
-    each = c.cut(each.select("s", "key", "x.o", "m", "x.text"))
+    each = own.cut(each.select("s", "key", "x.o", "m", "x.text"))
     if run_of > 1:
-        found = resolve(each, width, steps, hot, 1)
+        found = resolve(own, each, width, steps, hot, 1)
     else:
         found = _merge_blocks(each, width, steps)
     moved = F.transform("runs", lambda r: r + (F.col("base") * 65537).cast("int"))
@@ -309,19 +296,25 @@ def resolve(strings: DataFrame, width: int, steps: int, hot: int, run_of: int =
 
 
 def repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, steps: int = STEPS, hot: int = HOT_STRINGS) -> DataFrame:
-    """doc_id, cuts: packed start << 32 | end of byte ranges that cover what is to be removed, for the rows that have any."""
-    again = anchors(docs, width, gram, False).groupBy("a").agg(F.count("*").alias("n")).where("n > 1").select("a")
-    places = c.cut(anchors(docs, width, gram, True).join(again, "a"))
-    each = places.groupBy("s", "a").agg(F.count("*").alias("m"), F.min(F.struct("doc_id", "at")).alias("x"))
-    strings = c.cut(span_texts(docs, each.select("s", "a", "m", "x.doc_id", "x.at"), width))
-    runs = resolve(strings, width, steps, hot)
+    """doc_id, t, cuts: packed start << 32 | end of byte ranges that cover what is to be removed, for the texts that have any."""
+    own = c.Scratch(docs.sparkSession)
+    # a table of its own, so that the join below is one of two shuffled sides, whose hot anchors Spark splits
+    again = own.cut(anchors(docs, width, gram, False).groupBy("a").agg(F.count("*").alias("n")).where("n > 1").select("a"))
+    places = own.cut(anchors(docs, width, gram, True).join(again, "a"))
+    own.drop(again)
+    each = places.groupBy("s", "a").agg(F.count("*").alias("m"), F.min(F.struct("doc_id", "t", "at")).alias("x"))
+    strings = own.cut(span_texts(c.one_each(own, docs), each.select("s", "a", "m", "x.doc_id", "x.t", "x.at"), width))
+    runs = own.cut(resolve(own, strings, width, steps, hot))
+    own.drop(strings)
     first = F.shiftright("at", 32)
     ends = F.transform(
         "runs",
         lambda r: F.shiftleft(first + F.shiftright(r, 16), 32).bitwiseOR(first + r.bitwiseAND(F.lit(0xFFFF)) + width),
     )
-    per_row = places.select("doc_id", "at", "s").join(runs, "s").select("doc_id", F.explode(ends).alias("cut"))
-    return per_row.groupBy("doc_id").agg(F.collect_list("cut").alias("cuts"))
+    per_text = places.select("doc_id", "t", "at", "s").join(runs, "s").select("doc_id", "t", F.explode(ends).alias("cut"))
+    out = c.cut(per_text.groupBy("doc_id", "t").agg(F.collect_set("cut").alias("cuts")))
+    own.clear()
+    return out
 
 
 def _united(cuts: list[int], size: int) -> list[tuple[int, int]]:
@@ -358,15 +351,15 @@ def removal_report(docs: DataFrame, cuts: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(v, t) for v, t in zip(out, kinds, strict=True))], names)
 
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-    joined = packed_texts(docs).join(cuts.withColumnRenamed("doc_id", "d"), F.col("doc_id").eqNullSafe(F.col("d")), "left")
+    joined = c.packed_texts(docs).join(cuts.toDF("d", "d_t", "cuts"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("t") == F.col("d_t")), "left")
     return joined.select("doc_id", "z", "cuts").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def cut_repeats(docs: DataFrame, **options: int) -> DataFrame:
     """docs without the repeated bytes; a character that a cut tears goes with it, and a document that loses all its text
     is dropped. All columns are kept; n_chars, if there, is that of a changed text."""
-    name, at = c.fresh("cuts", docs), c.fresh("at", docs)
-    cuts = repeats(docs, **options).toDF(at, name)
+    name, at, key = c.fresh("cuts", docs), c.fresh("at", docs), c.fresh("text_key", docs)
+    cuts = repeats(docs, **options).toDF(at, key, name)
 
     @F.arrow_udf("string")
     def kept(text: pa.Array, found: pa.Array) -> pa.Array:
@@ -376,14 +369,14 @@ def cut_repeats(docs: DataFrame, **options: int) -> DataFrame:
         return pa.array(out, pa.string())
 
     kept = kept.asNondeterministic()  # so that the filter on its result does not run it a second time
-    joined = docs.join(cuts, docs["doc_id"].cast("long").eqNullSafe(F.col(at)), "left")
+    joined = docs.join(cuts, docs["doc_id"].cast("long").eqNullSafe(F.col(at)) & (c.text_hash() == F.col(key)), "left")
     whole = F.col("text").cast("string")
     changed = F.col(name).isNotNull()
     values = {"text": F.when(changed, kept(F.when(changed, whole), name)).otherwise(whole)}
     out = joined.withColumns(values)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return out.where(~changed | (F.length("text") > 0)).drop(name, at)
+    return out.where(~changed | (F.length("text") > 0)).drop(name, at, key)
 
 
 def remove_repeats(docs: DataFrame, **options: int) -> DataFrame:

@@ -59,10 +59,10 @@ def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.nd
     special = np.zeros(len(data) + 1, np.int64)
     np.cumsum((data >= 0xCC) | (data == 0x3C), out=special[1:])
     plain = special[end] == special[start]
-    h = c.span_hash(c.prefix_hash(c.lower_bytes()[data]), start, end)
+    h = c.word_hash(c.lower_bytes()[data], start, end)
     if not plain.all():
         odd = np.flatnonzero(~plain)
-        h[odd] = ~c.span_hash(c.prefix_hash(data), start[odd], end[odd])
+        h[odd] = ~c.word_hash(data, start[odd], end[odd])
     return h, plain
 
 

@@ -6,8 +6,8 @@ q.x = (|q|^2 + |x|^2 - d^2) / 2 turns it into an upper bound of the score. In ea
 the order of their bounds; the block is done when the next bound is below the k-th best score so far. Scores are integers,
 bounds are widened by more than their rounding error, and equal bounds are evaluated, so ties are exact.
 
-Queries go out in blocks of about `QUERY_BLOCK` (a bounded broadcast), each of which meets all rows where they lie; a task
-returns at most k rows for each query. Pivots come from a bounded sample: of the `SAMPLE` rows with the smallest hash of
+Queries go out in blocks of about `QUERY_BLOCK`, one after another: a bounded broadcast, which meets all rows where they lie and
+is given up when its results are written; a task returns at most k rows for each query. Pivots come from a bounded sample: of the `SAMPLE` rows with the smallest hash of
 vec_id those farthest from each other.
 
 Defined cases: vectors that are null or hold a null or non-finite component take no part, neither do null vec_ids; shorter
@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -120,9 +121,7 @@ def search_block(best: Best, qid: np.ndarray, q: np.ndarray, bounds: np.ndarray,
             at, step = at + step, step * 2
 
 
-def _search(index: DataFrame, block: tuple, width: int, k: int, rows_at_once: int) -> DataFrame:
-    known = index.sparkSession.sparkContext.broadcast(block)
-
+def _search(index: DataFrame, known: Broadcast, width: int, k: int, rows_at_once: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]):
         qid, q, tq = known.value
         nq = (q.astype(float) ** 2).sum(axis=1)
@@ -153,11 +152,13 @@ def search(rows: DataFrame, is_query: Column, k: int = 10, scale: int = 1024, pi
     asked = c.cut(asked.select("vec_id", "x.v", "x.t"))
     blocks = -(-asked.count() // query_block)
     found = []
-    for number in range(blocks):
+    for number in range(blocks):  # one block at a time: the driver and the executors hold one, and its best rows go to a table
         block = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == number).toArrow()
         if len(block):
             held = (block.column("vec_id").to_numpy(), _matrix(block.column("v"), width), np.stack(block.column("t").to_numpy()))
-            found.append(_search(index, held, width, k, max(64, (1 << 22) // len(block))))
+            known = spark.sparkContext.broadcast(held)
+            found.append(c.cut(_search(index, known, width, k, max(64, (1 << 22) // len(block)))))
+            known.destroy()
     if not found:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     every = functools.reduce(DataFrame.unionByName, found)

@@ -7,7 +7,8 @@ Words are runs of bytes other than ASCII punctuation, digits and controls, A-Z l
 labels never enter a score.
 
 Fitting uses a bounded sample: at most `positives` toxic documents and `unlabelled` documents, the ones with the smallest
-hash of doc_id, each with its whole text. Everything else runs over all rows.
+hash of doc_id, each with its whole text. Their features are counted and chosen in executors; a bit for each chosen feature and
+document is all that the driver gets. Everything else runs over all rows.
 
 Defined cases: null or empty text scores as a text without any known word. Without toxic examples in the training part
 every score is 0. A null label does not count. Repeated label rows count as toxic if one of them is. A null doc_id is not
@@ -45,7 +46,7 @@ def word_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     data = c.lower_bytes()[data]
     start, end, row = c.spans(data, offsets, _separators())
     prefix = c.prefix_hash(data)
-    found, rows = [c.span_hash(prefix, start, end)], [row]
+    found, rows = [c.word_hash(data, start, end)], [row]
     for k in PREFIXES:
         longer = np.flatnonzero(end - start > k)
         found.append(c.mix(c.span_hash(prefix, start[longer], start[longer] + k) + np.uint64(k)))
@@ -58,38 +59,52 @@ def held_out(doc_id: Column) -> Column:
 
 
 def _features_of(docs: DataFrame) -> DataFrame:
+    """p, doc_id, t and f, the distinct features of the text, for rows p, doc_id, t, text."""
+
     def run(batches):
         for b in batches:
-            for lo, hi, data, off in c.steps(b.column(1)):
+            for lo, hi, data, off in c.steps(b.column(3)):
                 f, row = word_features(data, off)
                 each = [np.unique(x) for x in np.split(f[np.argsort(row, kind="stable")], np.cumsum(np.bincount(row, minlength=hi - lo))[:-1])]
                 items = pa.array(c.signed(np.concatenate(each)))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), c.list_array(items, [len(x) for x in each])], ["p", "f"])
+                part = b.slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], c.list_array(items, [len(x) for x in each])], ["p", "doc_id", "t", "f"])
 
-    return docs.select("p", F.col("text").cast("string")).mapInArrow(run, "p boolean, f array<long>")
+    return docs.select("p", "doc_id", "t", F.col("text").cast("string")).mapInArrow(run, "p boolean, doc_id long, t long, f array<long>")
 
 
-def _presence(rows: list[np.ndarray], chosen: np.ndarray) -> np.ndarray:
-    x = np.zeros((len(rows), len(chosen)), np.float32)
-    for i, f in enumerate(rows):
-        at = np.minimum(np.searchsorted(chosen, f), len(chosen) - 1)
-        x[i, at[chosen[at] == f]] = 1
-    return x
+def choose_features(rows: DataFrame, positives: int, unlabelled: int, features: int = FEATURES) -> np.ndarray:
+    """Sorted hashes of the features that tell positive rows from unlabelled ones best; counted in executors."""
+    counts = rows.select("p", F.explode("f").alias("f")).groupBy("f").agg(F.count_if("p").alias("n_p"), F.count_if(~F.col("p")).alias("n_u"))
+    p, u = (F.col("n_p") + 0.5) / (positives + 1), (F.col("n_u") + 0.5) / (unlabelled + 1)
+    gain = F.abs(F.log(p / u)) * F.sqrt(p + u)
+    best = counts.where("n_p + n_u >= 4").select("f", F.round(gain, 9).alias("gain")).orderBy(F.desc("gain"), "f").limit(features)
+    return np.sort(best.select("f").toArrow().column("f").to_numpy().view(np.uint64))
 
 
-def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, features: int = FEATURES, epochs: int = 300):
-    """Sorted hashes of the features, their weights and a bias."""
-    keys, where = np.unique(np.concatenate([*positive, *unlabelled]), return_inverse=True)
-    cut = sum(map(len, positive))
-    df_p, df_u = (np.bincount(x, minlength=len(keys)).astype(float) for x in (where[:cut], where[cut:]))
-    p, u = (df_p + 0.5) / (len(positive) + 1), (df_u + 0.5) / (len(unlabelled) + 1)
-    gain = np.where(df_p + df_u >= 4, np.abs(np.log(p / u)) * np.sqrt(p + u), 0)
-    chosen = np.sort(np.argsort(-gain, kind="stable")[:features])
-    keys = keys[chosen]
-    if not len(keys):
-        return np.zeros(1, np.uint64), np.zeros(1, np.float32), float(np.log(prior / (1 - prior)))
-    xp, xu = _presence(positive, keys), _presence(unlabelled, keys)
-    w, b = np.zeros(len(keys), np.float32), np.float32(np.log(prior / (1 - prior)))
+def _presence(rows: DataFrame, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each row whether it is positive and which chosen features it has; a bit for each feature is what reaches the driver."""
+
+    def run(batches):
+        for b in batches:
+            x = np.zeros((len(b), len(chosen)), bool)
+            lists = b.column(1)
+            f = lists.flatten().to_numpy().view(np.uint64)
+            row = np.repeat(np.arange(len(b)), np.diff(lists.offsets.to_numpy()))
+            at = np.minimum(np.searchsorted(chosen, f), len(chosen) - 1)
+            hit = chosen[at] == f
+            x[row[hit], at[hit]] = True
+            bits = np.packbits(x, axis=1)
+            yield pa.RecordBatch.from_arrays([b.column(0), c.binary_array(bits.ravel(), np.full(len(b), bits.shape[1]))], ["p", "x"])
+
+    out = rows.select("p", "f").mapInArrow(run, "p boolean, x binary").toArrow()
+    packed = np.frombuffer(b"".join(out.column("x").to_pylist()), np.uint8).reshape(len(out), -1)
+    return np.array(out.column("p").to_pylist(), bool), np.unpackbits(packed, axis=1)[:, : len(chosen)].astype(np.float32)
+
+
+def fit(xp: np.ndarray, xu: np.ndarray, prior: float, epochs: int = 300) -> tuple[np.ndarray, float]:
+    """Weights and a bias from the features' presence in positive and unlabelled rows."""
+    w, b = np.zeros(xp.shape[1], np.float32), np.float32(np.log(prior / (1 - prior)))
     m, v = np.zeros(len(w) + 1, np.float32), np.zeros(len(w) + 1, np.float32)
     for step in range(1, epochs + 1):
         zp, zu = (np.clip(x @ w + b, -30, 30) for x in (xp, xu))
@@ -104,29 +119,36 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         move = 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
         w, b = w - move[:-1], b - move[-1]
-    return keys, w.astype(np.float32), float(b)
+    return w.astype(np.float32), float(b)
 
 
 def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED):
-    """Weights and bias, or None without toxic examples. Only rows that are not held out are seen."""
+    """Features, weights and bias, or None without toxic examples. Only rows that are not held out are seen."""
+    own = c.Scratch(docs.sparkSession)
     seen = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id")))
-    seen = seen.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
+    seen = own.cut(seen.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic")))
     n, toxic = seen.agg(F.count("*"), F.sum(F.col("toxic").cast("long"))).first()
     if not toxic:
         return None
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull())
-    order = F.xxhash64(F.col("doc_id"), F.lit(7))
-    some_p = seen.where("toxic = 1").orderBy(order, "doc_id").limit(positives).select("doc_id", F.lit(True).alias("p"))
-    some_u = slim.select("doc_id").orderBy(order, "doc_id").limit(unlabelled).select("doc_id", F.lit(False).alias("p"))
-    chosen = F.broadcast(some_p.unionByName(some_u))  # at most positives + unlabelled rows
-    rows = _features_of(slim.join(chosen, "doc_id").select("p", "text")).toArrow()
-    p = np.array(rows.column("p").to_pylist(), bool)
-    lists = rows.column("f").combine_chunks()
-    f = np.split(lists.flatten().to_numpy().view(np.uint64), lists.offsets.to_numpy()[1:-1]) if len(p) else []
-    pos, unl = [x for x, y in zip(f, p, strict=True) if y], [x for x, y in zip(f, p, strict=True) if not y]
-    if not pos or not unl:
+    slim = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), c.text_hash().alias("t"), "text")
+    slim = slim.where(~held_out(F.col("doc_id")))
+    # texts are chosen by their keys, each once: as many as asked for at most, however often a doc_id is repeated
+    keys, order = slim.select("doc_id", "t"), F.xxhash64(F.col("doc_id"), F.lit(7))
+    some_p = keys.join(seen.where("toxic = 1"), "doc_id", "left_semi").distinct().orderBy(order, "doc_id", "t").limit(positives)
+    some_u = keys.distinct().orderBy(order, "doc_id", "t").limit(unlabelled)
+    chosen = own.cut(some_p.select("doc_id", "t", F.lit(True).alias("p")).unionByName(some_u.select("doc_id", "t", F.lit(False).alias("p"))))
+    rows = _features_of(slim.join(F.broadcast(chosen), ["doc_id", "t"]))  # at most positives + unlabelled keys
+    rows = own.cut(rows.groupBy("doc_id", "t", "p").agg(F.any_value("f").alias("f")).select("p", "f"))
+    n_p, n_u = rows.agg(F.count_if("p"), F.count_if(~F.col("p"))).first()
+    if not n_p or not n_u:
         return None
-    return fit(pos, unl, min(max(toxic / n, 1e-4), 0.9))
+    prior = min(max(toxic / n, 1e-4), 0.9)
+    found = choose_features(rows, n_p, n_u)
+    if not len(found):
+        return np.zeros(1, np.uint64), np.zeros(1, np.float32), float(np.log(prior / (1 - prior)))
+    p, x = _presence(rows, found)
+    own.clear()
+    return found, *fit(x[p], x[~p], prior)
 
 
 def _scores(text: pa.Array, keys: np.ndarray, w: np.ndarray, bias: float, screen: np.ndarray) -> np.ndarray:
