@@ -10,8 +10,7 @@ principle a linked line has one of them unchanged.
 * Beyond, probes would grow with the cube of the limit. There a segment has at least SEGMENT tokens, so it holds one of the
   grams that have the smallest hash in a window of SEGMENT tokens; a line is indexed under all its grams of that kind, which
   are those of every segment wherever a linked line may have it.
-* What meets must pass two parity signatures (of tokens and of pairs of them), which an edit changes by a bounded number of bits,
-  and is verified with a banded bit-parallel edit distance. No filter loses a link.
+* What meets must pass a parity signature of its tokens, of which an edit changes two bits at most, and is verified with a banded bit-parallel edit distance. No filter loses a link.
 
 Keys are made from the distinct lines of a step of texts, and only keys of two different lines go on. Lines of one key are linked
 by rounds of leaders, so the pairs of a large group are not all made. A key that still joins very many lines which are not linked
@@ -28,6 +27,8 @@ first of them is. Other columns are passed through by `dedup_lines` and ignored
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -46,8 +47,8 @@ MANY, SEGMENT, GRAM = 48, 12, 5
 SMALL = 3
 #: Bytes of text that are worked on at once, with about a dozen numbers for each.
 STEP_BYTES = 1 << 20
-#: Key lists of at most so many rows are broadcast, larger ones are joined by a shuffle.
-BROADCAST_ROWS = 100_000
+#: Words of 64 parity bits of a line's tokens.
+PARITY = 4
 NEWLINE = 10
 # Code points of scripts that are written without spaces, from and to.
 UNSPACED = ((0x0E00, 0x0F00), (0x1000, 0x10A0), (0x1780, 0x1800), (0x2E80, 0xA4D0), (0xF900, 0xFB00), (0xFE30, 0xFE50), (0xFF00, 0xFFF0), (0x1F000, 0x40000))
@@ -97,10 +98,16 @@ def limit(n: int) -> int:
     return 0 if n < ONE else 1 if n < TWO else 2 if n < MANY else n // STEP
 
 
+_BLANKS = dict.fromkeys(range(0x09, 0x0E), " ")
+
+
 def tokens(line: str) -> list[str]:
     """The tokens of a line; the vectorised form below agrees with it."""
+    words = [w for w in line.translate(_BLANKS).split(" ") if w]
+    if not line or max(line) < chr(UNSPACED[0][0]):
+        return words
     out: list[str] = []
-    for word in line.translate(_BLANKS).split(" "):
+    for word in words:
         run = ""
         for ch in word:
             if any(lo <= ord(ch) < hi for lo, hi in UNSPACED):
@@ -113,16 +120,17 @@ def tokens(line: str) -> list[str]:
     return out
 
 
-_BLANKS = dict.fromkeys(range(0x09, 0x0E), " ")
-
-
-def linked(x: str, y: str) -> bool:
-    a, b = tokens(x), tokens(y)
+def linked(x: str, y: str, x_tokens: list[str] | None = None) -> bool:
+    a, b = x_tokens or tokens(x), tokens(y)
     n = max(len(a), len(b))
     k = limit(n)
-    if n < FEW and edit_distance(x, y, FEW_CHARS) > FEW_CHARS:
+    if abs(len(a) - len(b)) > k or n < FEW and edit_distance(x, y, FEW_CHARS) > FEW_CHARS:
         return False
-    return abs(len(a) - len(b)) <= k and edit_distance(a, b, k) <= k
+    more = Counter(a)
+    more.subtract(b)
+    if sum(v for v in more.values() if v > 0) > k or sum(-v for v in more.values() if v < 0) > k:
+        return False  # the tokens alone differ in too many places
+    return edit_distance(a, b, k) <= k
 
 
 def named_grams(acc: np.ndarray, start: np.ndarray, end: np.ndarray, gram: int, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -167,11 +175,13 @@ def _segment(length: np.ndarray, seg: int, parts: int) -> tuple[np.ndarray, np.n
     return seg * size + np.maximum(0, seg - first), size + (seg >= first)
 
 
-def _flags(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """32-bit parities of the hashed values of each span."""
-    acc = np.zeros(len(values) + 1, np.uint32)
-    np.bitwise_xor.accumulate(np.uint32(1) << values.astype(np.uint32), out=acc[1:])
-    return acc[np.maximum(end, start)] ^ acc[start]
+def parities(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """PARITY words for each run of token hashes: bit i tells whether an odd number of tokens has the upper hash bits i. An edit changes two
+    bits at most."""
+    bits = 64 * PARITY
+    at = np.repeat(np.arange(len(counts)), counts) * bits + (values >> np.uint64(65 - bits.bit_length())).astype(np.int64)
+    odd = (np.bincount(at, minlength=len(counts) * bits) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64).reshape(len(counts), PARITY)
 
 
 def _token_spans(chars: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -294,7 +304,7 @@ def key_table(docs: DataFrame) -> DataFrame:
 
 
 def _described(texts: DataFrame) -> DataFrame:
-    """id, n (tokens) and flags (parities) of lines (id, line)."""
+    """id, n (tokens) and p0, p1, ... (parities) of lines (id, line)."""
 
     def run(batches):
         for b in batches:
@@ -302,14 +312,12 @@ def _described(texts: DataFrame) -> DataFrame:
                 chars = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
                 rows = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))[off]
                 ts, te = _token_spans(chars, rows)
-                first = np.searchsorted(ts, rows)
-                x = _token_hashes(chars, ts, te)
-                one = _flags(x >> np.uint64(59), first[:-1], first[1:])
-                two = _flags(c.mix(x[:-1] * np.uint64(3) + x[1:]) >> np.uint64(59), first[:-1], first[1:] - 1) if len(x) > 1 else one * np.uint32(0)
-                flags = c.signed(one.astype(np.uint64) << np.uint64(32) | two.astype(np.uint64))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(np.diff(first).astype(np.int32)), pa.array(flags)], ["id", "n", "flags"])
+                n = np.diff(np.searchsorted(ts, rows))
+                p = parities(_token_hashes(chars, ts, te), n)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(n.astype(np.int32)), *(pa.array(x) for x in p.T.copy())], names)
 
-    return texts.select("id", "line").mapInArrow(run, "id long, n int, flags long")
+    names = ["id", "n", *(f"p{i}" for i in range(PARITY))]
+    return texts.select("id", "line").mapInArrow(run, "id long, n int, " + ", ".join(f"p{i} long" for i in range(PARITY)))
 
 
 def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -333,7 +341,12 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            keep = [linked(x.as_py(), y.as_py()) for x, y in zip(b.column(2), b.column(3), strict=True)]
+            keep, last, known = [], None, []
+            for x, y in zip(b.column(2), b.column(3), strict=True):
+                x = x.as_py()
+                if x != last:
+                    last, known = x, tokens(x)
+                keep.append(linked(x, y.as_py(), known))
             yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     left = texts.select(F.col("id").alias("a"), F.col("line").alias("x"))
@@ -341,34 +354,32 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _places(key: int, acc: np.ndarray, n: int) -> list[tuple[int, int]]:
-    """Where in a line of n tokens a key stands: first token and size."""
-    found, _, at, size = line_keys(acc, np.array([0]), np.array([n]))
-    out = {(a, k) for f, a, k in zip(c.signed(found).tolist(), at.tolist(), size.tolist(), strict=False) if f == key}
-    if n >= MANY - limit(MANY):
-        grams = c.signed(c.mix(c.span_hash(acc, np.arange(n - GRAM + 1), np.arange(GRAM, n + 1))))
-        out |= {(a, GRAM) for a in np.flatnonzero(grams == key).tolist()}
-    return sorted(out)
-
-
-def _side_keys(key: int, acc: np.ndarray, n: int) -> set[int]:
-    """Second parts of a key for a line of n tokens: grams at the far end of its longer side, and 0 where a linked line could be too
+def _side_keys(keys: list[int], acc: np.ndarray, n: int) -> list[tuple[int, int]]:
+    """(key, second part) for keys of a line of n tokens: grams at the far end of its longer side, and 0 where a linked line could be too
     short on both sides to have such a part. The limit k of a pair is the line's own or one more."""
     k = limit(n) + 1
     reach = SMALL * (k + 1) + k  # tokens in which a linked line has one of the k + 1 outermost segments, if unchanged
-    grams = c.signed(c.span_hash(acc, np.arange(max(0, n - SMALL + 1)), np.arange(SMALL, n + 1) if n >= SMALL else np.zeros(0, np.int64)))
-    out: set[int] = set()
-    for at, size in _places(key, acc, n):
-        before, behind = at, n - at - size
-        side = max(before, behind)
-        if side < reach + 3 * k + SMALL:
-            out.add(0)
-        if side >= reach:
-            if behind >= before - 2 * k:
-                out.update((grams[max(0, n - reach) :] | 1).tolist())
-            if before >= behind - 2 * k:
-                out.update((grams[: reach - SMALL + 1] & ~1).tolist())
-    return out or {0}
+    own, _, at, size = line_keys(acc, np.array([0]), np.array([n]))
+    places: dict[int, set[tuple[int, int]]] = {}
+    for key, a, length in zip(c.signed(own).tolist(), at.tolist(), size.tolist(), strict=False):
+        places.setdefault(key, set()).add((a, length))
+    if n >= MANY - limit(MANY):
+        for a, key in enumerate(c.signed(c.mix(c.span_hash(acc, np.arange(n - GRAM + 1), np.arange(GRAM, n + 1)))).tolist()):
+            places.setdefault(key, set()).add((a, GRAM))
+    grams = c.signed(c.span_hash(acc, np.arange(n - SMALL + 1), np.arange(SMALL, n + 1))).tolist() if n >= SMALL else []
+    tail, head = [g | 1 for g in grams[max(0, n - reach) :]], [g & ~1 for g in grams[: max(0, reach - SMALL + 1)]]
+    out = set()
+    for key in keys:
+        for at, size in places.get(key, ()):
+            before, behind = at, n - at - size
+            side = max(before, behind)
+            if side < reach + 3 * k + SMALL:
+                out.add((key, 0))
+            if side >= reach and behind >= before - 2 * k:
+                out.update((key, g) for g in tail)
+            if side >= reach and before >= behind - 2 * k:
+                out.update((key, g) for g in head)
+    return list(out)
 
 
 def finer_keys(members: DataFrame, texts: DataFrame) -> DataFrame:
@@ -377,17 +388,18 @@ def finer_keys(members: DataFrame, texts: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
             at, parts = [], []
-            for i, (key, line) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)):
-                chars = np.frombuffer(line.encode("utf-32-le"), np.uint32)
+            for i, (keys, line) in enumerate(zip(b.column(0), b.column(1), strict=True)):
+                chars = np.frombuffer(line.as_py().encode("utf-32-le"), np.uint32)
                 x = _token_hashes(chars, *_token_spans(chars, np.array([0, len(chars)])))
-                more = _side_keys(key, _sequence_hash(x), len(x))
+                more = [hash(pair) for pair in _side_keys(keys.as_py(), _sequence_hash(x), len(x))]
                 at += [i] * len(more)
-                parts += [hash((key, m)) for m in more]
+                parts += more
             rest = b.select(b.schema.names[2:]).take(pa.array(at, pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int64()), *rest.columns], ["key", *rest.schema.names])
 
     names = [x for x in members.columns if x != "key"]
-    joined = members.join(texts.select("id", "line"), "id").select("key", "line", *names)
+    lists = members.groupBy(*names).agg(F.collect_list("key").alias("keys"))  # a line has no more keys than tokens, or a dozen
+    joined = lists.join(texts.select("id", "line"), "id").select("keys", "line", *names)
     schema = "key long, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in members.select(names).schema.fields)
     return joined.mapInArrow(run, schema)
 
@@ -403,13 +415,13 @@ def _classes(own: c.Scratch, docs: DataFrame) -> DataFrame:
     wanted = firsts.join(members.select("id").distinct(), "id").select("first.doc_id", "first.t", "first.line_no", "id")
     texts = own.cut(line_texts(docs, wanted))
     known = own.cut(_described(texts))
-    changed = F.col("flags").bitwiseXOR(F.col("l_flags"))
+    parity = [f"p{i}" for i in range(PARITY)]
+    differ = sum((F.bit_count(F.col(p).bitwiseXOR(F.col(f"l_{p}"))) for p in parity), F.lit(0))
     longer = F.greatest("n", "l_n")
-    most = F.when(longer < ONE, 0).when(longer < TWO, 1).when(longer < MANY, 2).otherwise(F.floor(longer / STEP))
-    possible = (F.abs(F.col("n") - F.col("l_n")) <= most) & (F.bit_count(F.shiftrightunsigned(changed, 32)) <= 2 * most)
-    possible = possible & (F.bit_count(changed.bitwiseAND(F.lit(0xFFFFFFFF))) <= 4 * most)
+    most = F.when(longer < ONE, 0).when(longer < TWO, 1).when(longer < MANY, 2).otherwise(F.expr(f"greatest(n, l_n) div {STEP}"))
+    possible = (F.abs(F.col("n") - F.col("l_n")) <= most) & (differ <= 2 * most)
     described = members.join(known, "id")
-    comps = rounds.components(own, described, ["n", "flags"], possible, lambda p: verified(p, texts), lambda m: finer_keys(m, texts))
+    comps = rounds.components(own, described, ["n", *parity], possible, lambda p: verified(p, texts), lambda m: finer_keys(m, texts))
     out = lines.withColumnRenamed("h", "id")
     if comps is None:
         out = out.join(firsts, "id").withColumn("f", F.col("first"))

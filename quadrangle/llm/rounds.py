@@ -4,8 +4,8 @@ Members of a bucket (rows that share a key) may be linked. First every member is
 buckets. Then within a bucket every member is compared with MORE leaders, then with MORE times as many in each round, until all
 that is left of the bucket is one component. No pair that could join two components goes untested, so components are those of
 all links. A leader is the member with the largest score, usually the original of a group of altered copies. Pairs that a
-caller's condition rules out never leave the join. From the second round on, buckets that still hold more than CROWDED members
-can be replaced by finer ones, which a caller makes without losing a link.
+caller's condition rules out never leave the join. Before a round would compare more than CROWDED leaders, buckets that hold more
+members than that can be replaced by finer ones, which a caller makes without losing a link.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from quadrangle.llm import common as c
 
 #: Leaders of a bucket are this many times more in each round; components are found anew when links grow by this part.
-MORE, GROWN, CROWDED = 16, 1 / 16, 256
+MORE, GROWN, CROWDED = 16, 1 / 16, 4096
 
 
 def with_sizes(own: c.Scratch, members: DataFrame) -> DataFrame:
@@ -82,11 +82,11 @@ def components(
         last, table = table, own.cut(rest.join(open_keys, "key", "left_semi"))
         own.drop(last, leaders)
         members = table
-        if finer is not None and round_no == 0:
+        if finer is not None and MORE ** (round_no + 1) < CROWDED <= MORE ** (round_no + 2):
             crowded = members.where(F.col("size") > CROWDED)
             if crowded.take(1):
                 names = ["key", "id", *extra]
-                split = with_sizes(own, finer(crowded.select(*names, "comp")).distinct())
+                split = with_sizes(own, own.cut(finer(crowded.select(*names, "comp")).distinct()))
                 rest = members.where(F.col("size") <= CROWDED)
                 members = rest.unionByName(split.select(rest.columns))
         round_no += 1
