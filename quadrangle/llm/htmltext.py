@@ -1,11 +1,15 @@
 """Main text of web pages by tag-path ratios.
 
-A page is read into blocks of text, each with its tag path: the block-level elements from the root to it. Text length and
-punctuation are summed over all blocks of a path; their means per block are the path's ratios. The two rows of ratios are
-smoothed over neighbouring blocks in page order, fused by their geometric mean, and blocks over a threshold (a share of the
-standard deviation) are content. The article is the deepest element that holds nearly all content, or the <article> or
-<main> around it; its blocks are returned but for menus, forms, notices, adverts and comments, which are known by element,
-role or the words of class and id. Such a word does not count for an element that holds most of the page's text.
+A page is read into blocks of text, each with its tag path: the block-level elements from the root to it, with their classes. Text
+length outside links and punctuation are summed over all blocks of a path; their means per block are the path's ratios. Both rows
+of ratios are smoothed over neighbouring blocks in page order and fused with the path's own; paths whose fused ratio reaches a
+share of the page's mean, weighted by text, are content. The path that holds most content is the article's. Its blocks, and those
+of the paths around and within it, are returned if their path is content; headings, paragraphs and list items that stand directly
+in the article's own element or one around it are, too, unless they are lists of links. Elements that never hold an article (nav, footer,
+forms, ...) are left out. Words of class, id and role that speak of menus, adverts or comments lower a path's ratio to a quarter; an
+<article> or <main> and the first heading raise the weight of what holds them. None of these decides alone.
+
+Work grows with the page's length, whatever its depth.
 
 Defined cases: null or empty html, or a page without text, gives the empty string. Pages cut off at any point are read as
 far as they go. Repeated rows and null page_ids are rows like any other. Other columns are ignored.
@@ -16,6 +20,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -58,45 +63,79 @@ TOKEN = re.compile(
 )
 NAMED = re.compile(r"\b(class|id|role|aria-hidden|hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+CLASS = re.compile(r"\b(class)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+#: Blocks of running text; what else holds text is a part of the page.
+PROSE = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "li", "dl", "dt", "dd", "blockquote", "pre", "figure", "figcaption", "table", "caption", "thead", "tbody", "tfoot", "tr", "td", "th", "header", "hgroup", "address"}
+#: Threshold of a path as a share of the page's mean ratio; weights of a mark, of an article or main element, and of the first heading.
+SHARE, MARKED, ARTICLE, HEADING = 0.4, 0.25, 4.0, 2.0
+#: Part of a path's own ratios in the fused one; the rest is that of its surroundings.
+OWN = 0.75
 PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 
 
-def _marked(attrs: str, within: bool) -> bool:
-    """within: inside an article, where a header is the article's own."""
+def _hidden(attrs: str) -> bool:
     for m in NAMED.finditer(attrs):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true":
             return True
-        if name == "style":
-            if "display:none" in value.lower().replace(" ", ""):
-                return True
-        elif name in ("class", "id", "role") and any(w in MARKS and not (within and w == "header") for w in map(str.lower, WORD.findall(value))):
+        if name == "style" and "display:none" in value.lower().replace(" ", ""):
             return True
     return False
 
 
-class _Block:
-    __slots__ = ("path", "elements", "text", "links", "fused")
+def _marked(attrs: str, within: bool) -> bool:
+    """within: inside an article, where a header is the article's own."""
+    for m in NAMED.finditer(attrs):
+        if m[1].lower() in ("class", "id", "role"):
+            words = map(str.lower, WORD.findall(m[2] or m[3] or m[4] or ""))
+            if any(w in MARKS and not (within and w == "header") for w in words):
+                return True
+    return False
+
+
+class Page:
+    """Blocks of text in page order and the elements around them. Element 0 is the page itself; of every element there is its parent,
+    tag, tag path (a number), the element that holds its text as prose, and whether it or one around it is dropped or marked."""
 
-    def __init__(self, path: str, elements: list[int], text: str, links: int):
-        self.path, self.elements, self.text, self.links, self.fused = path, elements, text, links, 0.0
+    def __init__(self) -> None:
+        self.tag, self.parent, self.path, self.holder = ["#"], [-1], [0], [0]
+        self.dropped, self.marked, self.article, self.listed = [False], [False], [False], [False]
+        self.paths: dict[tuple[int, str], int] = {}
+        self.element: list[int] = []  # of each block, like the following
+        self.text: list[str] = []
+        self.links: list[int] = []
 
+    def open(self, parent: int, tag: str, attrs: str) -> int:
+        name = m[2] or m[3] or m[4] or "" if (m := CLASS.search(attrs)) else ""
+        path = self.paths.setdefault((self.path[parent], f"{tag}.{name}"), len(self.paths) + 1)
+        within = self.article[parent]
+        own = bool(attrs) and not attrs.isspace() and tag not in ("html", "body", "main")
+        self.tag.append(tag)
+        self.parent.append(parent)
+        self.path.append(path)
+        self.dropped.append(self.dropped[parent] or tag in DROPPED or tag == "header" and not within or own and _hidden(attrs))
+        self.marked.append(self.marked[parent] or own and _marked(attrs, within))
+        self.article.append(within or tag in ("article", "main"))
+        self.listed.append(self.listed[parent] or tag in ("ul", "ol", "li"))
+        at = len(self.tag) - 1
+        self.holder.append(self.holder[parent] if tag in PROSE else at)
+        return at
 
-def blocks(page: str) -> tuple[list[_Block], list[tuple[str, bool, bool]]]:
-    """Blocks of text in page order, and the elements (tag, dropped by its kind, marked by a word)."""
-    found: list[_Block] = []
-    elements: list[tuple[str, bool, bool]] = []
-    stack: list[int] = []
+
+def read(page: str) -> Page:
+    out = Page()
+    stack, still = [0], Counter()  # open elements, and how many there are of each tag
     pieces: list[str] = []
     links = anchor = 0
 
     def flush() -> None:
         nonlocal links
-        if pieces:
-            text = " ".join("".join(pieces).split())
-            if text:
-                found.append(_Block(".".join(elements[e][0] for e in stack), stack.copy(), text, links))
-            pieces.clear()
+        text = " ".join("".join(pieces).split())
+        if text:
+            out.element.append(stack[-1])
+            out.text.append(text)
+            out.links.append(links)
+        pieces.clear()
         links = 0
 
     def add(raw: str) -> None:
@@ -108,13 +147,15 @@ def blocks(page: str) -> tuple[list[_Block], list[tuple[str, bool, bool]]]:
 
     def close(kinds: set[str], within: set[str]) -> None:
         """Ends the innermost open element of these kinds, unless one of `within` is met first."""
-        for i in range(len(stack) - 1, -1, -1):
-            tag = elements[stack[i]][0]
-            if tag in kinds:
-                del stack[i:]
-                return
-            if tag in within:
-                return
+        if any(still[k] for k in kinds):
+            for i in range(len(stack) - 1, 0, -1):
+                tag = out.tag[stack[i]]
+                if tag in kinds:
+                    still.subtract(out.tag[e] for e in stack[i:])
+                    del stack[i:]
+                    return
+                if tag in within:
+                    return
 
     at = 0
     for m in TOKEN.finditer(page):
@@ -141,19 +182,14 @@ def blocks(page: str) -> tuple[list[_Block], list[tuple[str, bool, bool]]]:
             anchor = 0
             if tag in IMPLIED:
                 close(*IMPLIED[tag])
-            else:
-                close({"p"}, {"td", "th", "li", "table", "button", "object", "article", "section", "div"})
-            attrs = m["attrs"] if m["tag"] else m["attrs2"]
-            wrap = tag in ("html", "body", "main")
-            within = any(elements[e][0] in ("article", "main") for e in stack)
-            marked = bool(attrs) and not attrs.isspace() and not wrap and _marked(attrs, within)
-            dropped = tag in DROPPED or tag == "header" and not within
-            elements.append((tag, dropped, marked))
-            stack.append(len(elements) - 1)
+            elif out.tag[stack[-1]] == "p":
+                close({"p"}, set())
+            stack.append(out.open(stack[-1], tag, m["attrs"] if m["tag"] else m["attrs2"]))
+            still[tag] += 1
     if at < len(page):
         add(page[at:])
     flush()
-    return found, elements
+    return out
 
 
 def _smoothed(values: list[float]) -> list[float]:
@@ -170,66 +206,69 @@ def _smoothed(values: list[float]) -> list[float]:
     return out
 
 
-def main_text(page: str | None, share: float = 0.5) -> str:
-    """The article's blocks joined by line feeds. share: of the fused ratios' standard deviation, the threshold."""
-    found, elements = blocks(page or "")
-    if not found:
-        return ""
-    held = [0] * len(elements)
-    total = 0
-    for b in found:
-        if not any(elements[e][1] for e in b.elements):
-            total += len(b.text)
-            for e in b.elements:
-                held[e] += len(b.text)
-    out = [dropped or marked and held[e] * 2 <= total for e, (_, dropped, marked) in enumerate(elements)]
-    kept = [b for b in found if not any(out[e] for e in b.elements)]
-    if not kept:
-        return ""
-    sums: dict[str, list[int]] = {}
-    for b in kept:
-        s = sums.setdefault(b.path, [0, 0, 0])
+def path_ratios(page: Page, blocks: list[int]) -> dict[int, float]:
+    """The fused ratio of every tag path: text outside links and punctuation for each block of the path, both smoothed over the page."""
+    sums: dict[int, list[int]] = {}
+    for b in blocks:
+        s = sums.setdefault(page.path[page.element[b]], [0, 0, 0])
         s[0] += 1
-        s[1] += max(0, len(b.text) - b.links)
-        s[2] += len(PUNCTUATION.findall(b.text))
-    text = _smoothed([sums[b.path][1] / sums[b.path][0] for b in kept])
-    marks = _smoothed([sums[b.path][2] / sums[b.path][0] for b in kept])
-    for b, t, p in zip(kept, text, marks, strict=True):
-        b.fused = math.sqrt(t * (1 + p))
-    mean = sum(b.fused for b in kept) / len(kept)
-    least = share * math.sqrt(sum((b.fused - mean) ** 2 for b in kept) / len(kept))
-    content = [b for b in kept if b.fused >= least and 2 * b.links <= len(b.text)] or kept
-    region = _region(content, elements)
-    lines = [b.text for b in kept if (region is None or region in b.elements) and (2 * b.links <= len(b.text) or not _listed(b, elements))]
-    return "\n".join(lines)
-
-
-def _listed(b: _Block, elements: list) -> bool:
-    return any(elements[e][0] in ("li", "ul", "ol") for e in b.elements)
-
-
-def _region(content: list[_Block], elements: list) -> int | None:
-    """The element that is the article, or None for the whole page."""
-    inside: dict[int, int] = {}
+        s[1] += max(0, len(page.text[b]) - page.links[b])
+        s[2] += len(PUNCTUATION.findall(page.text[b]))
+    rows = [sums[page.path[page.element[b]]] for b in blocks]
+    text = [t / n for n, t, _ in rows]
+    marks = [1 + p / n for n, _, p in rows]
+    fused: dict[int, list[float]] = {}
+    for b, t, p, near_t, near_p in zip(blocks, text, marks, _smoothed(text), _smoothed(marks), strict=True):
+        value = math.sqrt(t * p) ** OWN * math.sqrt(near_t * near_p) ** (1 - OWN)
+        fused.setdefault(page.path[page.element[b]], []).append(value * (MARKED if page.marked[page.element[b]] else 1))
+    return {path: sum(v) / len(v) for path, v in fused.items()}
+
+
+def main_text(page: str | None, share: float = SHARE) -> str:
+    """The article's blocks joined by line feeds. share: of the mean fused ratio, weighted by text, the threshold of a path."""
+    p = read(page or "")
+    blocks = [b for b in range(len(p.text)) if not p.dropped[p.element[b]]]
+    if not blocks:
+        return ""
+    ratio = path_ratios(p, blocks)
+    of = [ratio[p.path[p.element[b]]] for b in blocks]
+    size = [len(p.text[b]) for b in blocks]
+    least = share * sum(r * n for r, n in zip(of, size, strict=True)) / sum(size)
+    content = {b for b, r in zip(blocks, of, strict=True) if r >= least and 2 * p.links[b] <= len(p.text[b])} or set(blocks)
+    # the holder's path with the most content is the article's; an article or main element and a first heading speak for it
+    mass: dict[int, float] = {}
     for b in content:
-        for e in b.elements:
-            inside[e] = inside.get(e, 0) + len(b.text)
-    size = sum(len(b.text) for b in content)
-    most = [e for e, n in inside.items() if n * 10 >= size * 9]
-    if not most:
-        return None
-    deepest = max(most)  # elements are numbered in page order, and those that hold most of the text are nested
-    chain = next(b.elements for b in content if deepest in b.elements)
-    chain = chain[: chain.index(deepest) + 1]
-    around = [e for e in chain if elements[e][0] in ("article", "main")]
-    if around:
-        return around[-1]
-    while len(chain) > 1 and elements[chain[-1]][0] in ("p", "li", "ul", "ol", "blockquote", "pre", "td", "tr", "tbody", "table", "h1", "h2", "h3", "dd", "dl"):
-        chain.pop()
-    return chain[-1]
-
-
-def extract(pages: DataFrame, share: float = 0.5) -> DataFrame:
+        e = p.holder[p.element[b]]
+        mass[p.path[e]] = mass.get(p.path[e], 0) + len(p.text[b]) * ratio[p.path[p.element[b]]] * (ARTICLE if p.article[e] else 1)
+    heading = next((p.holder[p.element[b]] for b in blocks if p.tag[p.element[b]] == "h1"), None)
+    if heading is not None and p.path[heading] in mass:
+        mass[p.path[heading]] *= HEADING
+    above = {path: parent for (parent, _), path in p.paths.items()}
+    best = max(mass, key=lambda path: (mass[path], -path))
+    line = {best}
+    while best in above:
+        best = above[best]
+        line.add(best)
+    main = max(line, key=lambda x: mass.get(x, 0)) if line else 0
+    inside: dict[int, bool] = {}
+    for path in sorted(above):  # a path comes after the one that it continues
+        inside[path] = path == main or inside.get(above[path], False)
+    inside[0] = main == 0
+    open_marks = any(p.marked[p.element[b]] for b in content if p.path[p.holder[p.element[b]]] == main)  # the article's own do not count
+    out = []
+    for b in blocks:
+        e = p.element[b]
+        holder = p.path[p.holder[e]]
+        if not (inside[holder] or holder in line):
+            continue
+        # a heading, paragraph or list item of the article's own holders may be short; other blocks stand by their path
+        own = p.tag[e] in PROSE and holder in line and (open_marks or not p.marked[e]) and (2 * p.links[b] <= len(p.text[b]) or not p.listed[e])
+        if b in content or own:
+            out.append(p.text[b])
+    return "\n".join(out)
+
+
+def extract(pages: DataFrame, share: float = SHARE) -> DataFrame:
     """page_id, url, text, n_chars (code points of text) for every row of pages."""
 
     @F.arrow_udf("string")

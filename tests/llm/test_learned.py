@@ -59,6 +59,39 @@ def test_extract(spark, sf_dir):
         assert r.text == "\n".join(p for p in parts if p)
 
 
+def noisy(n=3):
+    """A page without <article> or known class words: what is no article is told by its paths' ratios alone."""
+    text = "".join(f"<p>{LONG} Number {i}.</p>" + ("<div class='x1'>12 people like this</div>" if i == 0 else "") for i in range(n))
+    return page(
+        "<div class='q1'><a href='/'>Home</a> <a href='/n'>News</a> <a href='/s'>Sports results</a></div>"
+        f"<div class='q2'><h1>The Title</h1><div class='q3'><div class='x2'>Posted in: News</div>{text}<ul><li>One item</li><li>Two items</li></ul><div class='x3'>Buy cheap shoes now</div></div>"
+        "<div class='q4'><div class='u'><span>Ann</span></div><div class='v'><p>I agree, it is so.</p></div><div class='u'><span>Bob</span></div><div class='v'><p>Not me, no.</p></div></div></div>"
+        "<div class='q5'>All rights reserved</div>"
+    )
+
+
+def test_ratios_decide():
+    expected = "\n".join(["The Title", *(f"{LONG} Number {i}." for i in range(3)), "One item", "Two items"])
+    assert htmltext.main_text(noisy()) == expected
+    assert htmltext.main_text(noisy(), share=0.0) != expected  # without the threshold the page's other blocks stay
+
+
+def test_deep_and_long_pages():
+    """Work grows with the page, not with its depth; nothing is cut off."""
+    import time
+
+    def seconds(n):
+        began = time.perf_counter()
+        out = htmltext.main_text("<div>Text here, for all. " * n)
+        assert out.count("Text here, for all.") == n
+        return time.perf_counter() - began
+
+    seconds(500)
+    assert seconds(40_000) < 30 * max(seconds(4_000), 0.02)
+    words = " ".join(["word"] * 300_000) + "."
+    assert htmltext.main_text(page(f"<article><p>{words}</p></article>")) == words
+
+
 # ---------------------------------------------------------------- 8
 
 
