@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quadrangle.sources.scratch import shared_folder
@@ -37,6 +37,12 @@ class Scratch:
         self.spark = spark
         self.paths: dict[int, tuple[DataFrame, str]] = {}
 
+    def measured(self, df: DataFrame, *more: Column) -> tuple[DataFrame, dict]:
+        """df as a table, its row count `n` and more aggregates, all found by the job that writes it."""
+        seen = Observation()
+        out = self.cut(df.observe(seen, F.count(F.lit(1)).alias("n"), *more))
+        return out, seen.get
+
     def cut(self, df: DataFrame) -> DataFrame:
         path, before = scratch_path(self.spark), self.spark.conf.get(SHUFFLE_CLEANUP)
         self.spark.conf.set(SHUFFLE_CLEANUP, "true")
@@ -119,26 +125,22 @@ def components(own: Scratch, edges: DataFrame) -> DataFrame:
     neighbours meets a join with a single row per node, which Spark can split. Only a count and a checksum reach the driver.
     Nodes without an edge have no row; null ends and loops are ignored.
     """
-    e = own.cut(
-        edges.where("a is not null and b is not null and a <> b")
-        .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        .distinct()
-    )
+    check = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("check")
+    first = edges.where("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    e, now = own.measured(first.distinct(), check)
     before = None
-    while True:
-        n, check = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if (n, check) == before or n == 0:
-            return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
-                e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-            )
-        before = (n, check)
+    while now != before and now["n"]:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        last, e = e, own.cut(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        last, before = e, now
+        e, now = own.measured(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), check)
         own.drop(last)
+    return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
+        e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+    )
 
 
 # ---------------------------------------------------------------- text as bytes

@@ -107,8 +107,12 @@ def parities(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
 def fingerprints(values: np.ndarray, counts: np.ndarray) -> list[pa.Array]:
     """k1, k2 of each set: two sums of its hashed elements."""
     edges = np.concatenate(([0], np.cumsum(counts)))
-    total = [np.concatenate(([0], np.cumsum(c.mix(values + np.uint64(s)), dtype=np.uint64))) for s in (0x51, 0xA7C3)]
-    return [pa.array(c.signed(t[edges[1:]] - t[edges[:-1]])) for t in total]
+    out = []
+    for seed in (0x51, 0xA7C3):
+        total = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(c.mix(values + np.uint64(seed)), out=total[1:])
+        out.append(pa.array(c.signed(total[edges[1:]] - total[edges[:-1]])))
+    return out
 
 
 def signatures(docs: DataFrame, words: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:

@@ -55,36 +55,37 @@ def components(
     links = checked = latest = None
     n_links = n_known = 0
     round_no = -1  # in the first round a member meets only the best of its buckets' leaders
-    while members.take(1):
+    many = 1
+    while many:
         slots = MORE ** (round_no + 1)  # a bucket of no more members has all of them as leaders
         slot = F.when((F.col("size") <= slots) & (round_no >= 0), F.col("id")).otherwise(F.pmod(F.xxhash64("id"), F.lit(slots)))
         best = F.struct("score", (-F.col("id")).alias("d"), "comp", *extra)
         leaders = members.groupBy("key", slot.alias("slot")).agg(F.max(best).alias("m"))
         leaders = leaders.select("key", (-F.col("m.d")).alias("l_id"), "m.score", F.col("m.comp").alias("l_comp"), *(F.col(f"m.{x}").alias(f"l_{x}") for x in extra))
-        leaders = own.cut(leaders)
         pairs = _pairs(members, leaders, extra, possible, best_only=round_no < 0)
         if checked is not None:
             pairs = pairs.join(checked, ["a", "b"], "left_anti")
         pairs = own.cut(pairs)
-        found = own.cut(confirm(pairs))
+        found, seen = own.measured(confirm(pairs))
         links = found if links is None else links.unionByName(found)
         checked = pairs if checked is None else checked.unionByName(pairs)
         rest = members
         if round_no >= 0:
             rest = rest.join(leaders.select("key", F.col("l_id").alias("id")), ["key", "id"], "left_anti")
-        n_links += found.count()
+        n_links += seen["n"]
         if n_links - n_known > n_known * GROWN:  # else the components are nearly as they were, which costs a few more pairs
             n_known = n_links
             latest = c.components(own, links)
             comps = latest.withColumnRenamed("node", "id")
             rest = rest.drop("comp").join(comps, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
         open_keys = rest.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
-        last, table = table, own.cut(rest.join(open_keys, "key", "left_semi"))
-        own.drop(last, leaders)
-        members = table
+        last = table
+        table, seen = own.measured(rest.join(open_keys, "key", "left_semi"), F.max("size").alias("largest"))
+        own.drop(last)
+        members, many = table, seen["n"]
         if finer is not None and MORE ** (round_no + 1) < CROWDED <= MORE ** (round_no + 2):
             crowded = members.where(F.col("size") > CROWDED)
-            if crowded.take(1):
+            if many and seen["largest"] > CROWDED:
                 names = ["key", "id", *extra]
                 split = with_sizes(own, own.cut(finer(crowded.select(*names, "comp")).distinct()))
                 rest = members.where(F.col("size") <= CROWDED)

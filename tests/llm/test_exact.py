@@ -13,9 +13,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-import corpus_pipeline
 from cases import pairs_of, prose
-from quadrangle.llm import bpe, common, linedup, minhash, packing, quality, queries, suffixdedup, tokenfiles, topk
+from quadrangle.llm import bpe, common, linedup, minhash, packing, quality, queries, rounds, stages, suffixdedup, tokenfiles, topk
 from quadrangle.llm.units import tokenizer
 
 
@@ -94,6 +93,20 @@ def test_quality_counts(documents, spark):
     same_rows(out, [(d, *counts(t)) for d, t in pairs_of(docs)])
 
 
+def test_quality_line_ends_and_long_runs(spark, duck):
+    """Only \\n ends a line; a long run without letters takes no longer than other text."""
+    words = "one two three four five six seven eight nine ten eleven twelve"
+    texts = [f"{words}...\r\n" * 1 + words[::-1], f"* a\u2028* b\n{words}", f"{words}\u0085- x\r- y", "\n".join(f"• {w}{i} and more of it" for i, w in enumerate(words.split())), f"{words} " + "7" * 1_000_000, f"{words}...", None]
+    rows = list(enumerate(texts))
+    got = quality.assess(spark.createDataFrame(rows, "doc_id long, text string"), ["letters", "ellipses", "bullets", "symbols", "word_length", "repeated_lines"])
+    import pandas as pd
+
+    con = duck.cursor()
+    con.register("given", pd.DataFrame(rows, columns=["doc_id", "text"]))
+    expected = con.sql(queries.OP2_SQL.replace("FROM documents", "FROM given"))
+    same_rows(got.select("doc_id", "n_words", "n_dup_lines", "base_failed", "kept"), expected.project("doc_id, n_words, n_dup_lines, base_failed, kept").fetchall())
+
+
 def test_quality_order_changes_nothing(documents):
     docs = documents(5)
     order = [name for name, _, _ in quality.ordered(docs)]
@@ -125,68 +138,122 @@ def test_banded_distance(a, b, k):
     assert linedup.edit_distance(a, b, k) == min(distance(a, b), k + 1)
 
 
-def test_lines_like_brute_force(documents):
-    docs = documents(6, 40)
-    lines = {(d, i): x for d, t in set(pairs_of(docs)) for i, x in enumerate(t.split("\n")) if len(x) >= 24}
+def line_rows(rows):
+    """Every line with the first line of its class and whether it is that, by comparing all lines."""
     place = lambda p: (p[0] is not None, p)  # noqa: E731  nulls first
+    lines = [(d, i, x) for d, t in rows for i, x in enumerate(t.split("\n")) if re.search("[^\x20\x09-\x0d]", x)]
     first = {}
-    for p in sorted(lines, key=place):
-        first.setdefault(lines[p], p)
-    text = list(first)
-    links = {t: {u for u in text if u != t and abs(len(t) - len(u)) <= 2 and distance(t, u) <= 2} for t in text}
+    for d, i, x in sorted(lines, key=lambda p: place(p[:2])):
+        first.setdefault(x, (d, i))
+    token = {x: linedup.tokens(x) for x in first}
+
+    def near(x, y):
+        k = linedup.limit(max(len(token[x]), len(token[y])))
+        few = max(len(token[x]), len(token[y])) < linedup.FEW
+        return abs(len(token[x]) - len(token[y])) <= k and distance(token[x], token[y]) <= k and not (few and distance(x, y) > 2)
+
     root = {}
-    for t in sorted(text, key=lambda t: place(first[t])):
-        todo = [t] if t not in root else []
+    for x in sorted(first, key=lambda x: place(first[x])):
+        todo = [x] if x not in root else []
         while todo:
-            x = todo.pop()
-            if x not in root:
-                root[x] = first[t]
-                todo += links[x]
-    got = linedup.line_classes(docs).select("doc_id", "line_no", "n_chars", "class_doc_id", "class_line_no", "n_links").distinct()
-    same_rows(got, [(*p, len(x), *root[x], len(links[x])) for p, x in lines.items()])
-
-
-def test_limit_grows_with_length(spark, tmp_path):
-    """The query links lines within 5 % of the longer one, wherever the edits are."""
-    rnd = random.Random(4)
-    texts = []
-    for n in (40, 57, 60, 61, 99, 100, 240, 500, 1300):
-        base = "".join(rnd.choice("abcdefgh ") for _ in range(n - 1)) + "."
-        texts.append(base)
-        for k in (n // 20, n // 20 + 2, max(3, n // 40)):
-            even = {(2 * i + 1) * n // (2 * k + 1) for i in range(k)}
-            texts.append("".join("#" if i in even else x for i, x in enumerate(base)))
-            texts.append("".join(x for i, x in enumerate(base) if i not in even))
-    texts = list(dict.fromkeys(texts))
-    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    allowed = lambda t, u: max(2, max(len(t), len(u)) // 20)
-    links = [sum(t != u and abs(len(t) - len(u)) <= allowed(t, u) and distance(t, u) <= allowed(t, u) for u in texts) for t in texts]
-    assert sum(n > 0 for n in links) > 20
-    same_rows(queries.op3_line_dedup(spark, str(tmp_path)).select("doc_id", "n_links"), enumerate(links))
+            y = todo.pop()
+            if y not in root:
+                root[y] = first[x]
+                todo += [z for z in first if z not in root and near(y, z)]
+    return [(d, i, len(x), *root[x], root[x] == (d, i)) for d, i, x in lines]
+
+
+def changed(rnd, words, k):
+    """words with k of them replaced, left out or added."""
+    words = list(words)
+    for _ in range(k):
+        at, how = rnd.randrange(len(words)), rnd.random()
+        if how < 0.5:
+            words[at] = f"z{rnd.randrange(99)}"
+        elif how < 0.75 and len(words) > 1:
+            del words[at]
+        else:
+            words.insert(at, f"y{rnd.randrange(99)}")
+    return words
+
+
+@pytest.mark.parametrize("crowded", [4096, 20])
+def test_lines_like_brute_force(spark, crowded, monkeypatch):
+    """Lines on both sides of every limit, lines that only share a part, and rows that share a doc_id or have none."""
+    monkeypatch.setattr(rounds, "CROWDED", crowded)
+    rnd = random.Random(6)
+    words = [f"w{i}" for i in range(400)] + ["été", "über"]
+    some = lambda n: [rnd.choice(words) for _ in range(n)]
+    lines = []
+    for n in (1, 2, 3, 4, 5, 7, 8, 15, 16, 17, 30, 47, 48, 50, 64, 80, 150):
+        base = some(n)
+        lines += [" ".join(base), *(" ".join(changed(rnd, base, k)) for k in range(linedup.limit(n) + 3))]
+    common = some(20)
+    for n in (10, 22, 40):
+        tails = [some(n) for _ in range(25)]
+        lines += [" ".join(common + t) for t in tails] + [" ".join(common + changed(rnd, t, 2)) for t in tails[:6]]
+    lines += ["日本語のテキストです、これは長い行であります", "日本語のテキストでした、これは長い行であります", "short", "short"]
+    rnd.shuffle(lines)
+    rows = [(i // 3, "\n".join(lines[i : i + 3])) for i in range(0, len(lines), 3)]
+    rows += [(None, "short\n \n" + lines[4]), (2, lines[5] + "\nx"), (None, "more\n" + lines[6]), (700, None), (701, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = linedup.line_classes(docs).select("doc_id", "line_no", "n_chars", "class_doc_id", "class_line_no", "kept").collect()
+    expected = line_rows([(d, t or "") for d, t in rows])
+    assert sorted(str(tuple(r)[:5]) for r in got) == sorted(str(r[:5]) for r in expected)
+    # of every class a line is kept; where rows share a doc_id, classes can have places of one name
+    assert {tuple(r)[3:5] for r in got if r.kept} == {r[3:5] for r in expected}
 
 
 def test_short_lines_have_rows(spark, tmp_path):
-    """Every line that is not blank has a row in the query; short ones are linked by equality alone."""
+    """Every line that is not blank has a row in the query; those of fewer than four words are linked by equality alone."""
     long = "A line of more than four and twenty characters"
     rows = [(1, f"Fin.\n{long}\n \t\n\nAll rights reserved."), (2, f"All rights reserved.\n{long}\nFin."), (3, "All rights reserved,\né"), (4, "é")]
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    got = queries.op3_line_dedup(spark, str(tmp_path)).select("doc_id", "line_no", "n_chars", "class_doc_id", "class_line_no", "n_links", "kept")
-    copies = [(2, 0, 20, 1, 4, 0, False), (2, 1, 46, 1, 1, 0, False), (2, 2, 4, 1, 0, 0, False), (4, 0, 1, 3, 1, 0, False)]
-    same_rows(got, [(d, i, n, d, i, 0, True) for d, i, n in [(1, 0, 4), (1, 1, 46), (1, 4, 20), (3, 0, 20), (3, 1, 1)]] + copies)
+    got = queries.op3_line_dedup(spark, str(tmp_path)).select("doc_id", "line_no", "n_chars", "class_doc_id", "class_line_no", "kept")
+    copies = [(2, 0, 20, 1, 4, False), (2, 1, 46, 1, 1, False), (2, 2, 4, 1, 0, False), (4, 0, 1, 3, 1, False)]
+    same_rows(got, [(d, i, n, d, i, True) for d, i, n in [(1, 0, 4), (1, 1, 46), (1, 4, 20), (3, 0, 20), (3, 1, 1)]] + copies)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    left = [(r.doc_id, r.text) for r in corpus_pipeline.drop_repeated_lines(spark, docs, "").collect()]
+    left = [(r.doc_id, r.text) for r in stages.drop_repeated_lines(spark, docs, "").collect()]
     assert sorted(left) == [rows[0], rows[2]]
 
 
 def test_lines_of_texts_that_share_an_id(spark):
-    """A line is looked up in its own text, also where other texts have the same or no doc_id."""
+    """A line is looked up in its own text, also where other texts have the same or no doc_id; no text is lost."""
     one, two = "A line of more than four and twenty characters", "Another line that stands in several of the texts"
-    rows = [(None, f"short\n{one}"), (None, "short"), (5, f"{two}\nx"), (5, "y"), (6, f"{one}!"), (7, f"{two}?"), (None, f"more\nlines\n{two}!")]
+    rows = [(None, f"short\n{one}"), (None, "short"), (5, f"{two}\nx"), (5, "y"), (6, f"{one} now"), (7, f"{two} here"), (None, f"more\nlines\n{two} too")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = "\n".join(r.text for r in linedup.dedup_lines(docs).collect()).split("\n")
+    assert sorted(left) == sorted(["short", one, "x", "y", "more", "lines", f"{two} too"])
+    assert linedup.dedup_lines(spark.createDataFrame([(1, f"{one}\nL"), (1, f"L\n{two}"), (0, "L")], "doc_id long, text string")).count() == 3
+
+
+def test_regular_strings_have_hashes_of_their_own(spark):
+    """Strings of a build for which a polynomial modulo a power of two fails."""
+    a, b = "a", "b"
+    for _ in range(12):
+        a, b = a + b, b + a
+    docs = spark.createDataFrame([(1, a), (2, b), (3, a)], "doc_id long, text string")
+    assert sorted((r.doc_id, r.component_id) for r in minhash.near_duplicates(docs, 2).collect()) == [(1, 1), (2, 2), (3, 1)]
+    assert sorted((r.doc_id, r.class_doc_id) for r in linedup.line_classes(docs).collect()) == [(1, 1), (2, 2), (3, 1)]
+    for _, _, data, off in common.steps(pa.array([a, b])):
+        flat, n = tokenfiles.encode_bytes(tokenfiles.worker_units(tokenfiles.vocabulary(), 1), data, off)
+        assert [x.tolist() for x in np.split(flat, np.cumsum(n)[:-1])] == [[*ids_of(t, tokenfiles.vocabulary()), 1] for t in (a, b)]
+
+
+def test_rows_that_share_an_id(spark):
+    """One doc_id with two texts, and several rows without one, in the operators that know rows by a key."""
+    rnd = random.Random(8)
+    a, b, shared = prose(rnd, 90), prose(rnd, 90), prose(rnd, 60)
+    rows = [(1, f"{a} {shared}"), (1, f"{b}"), (2, f"{a} {shared} end"), (3, f"{b} end"), (None, f"{prose(rnd, 40)} {shared}"), (None, prose(rnd, 50)), (1, b), (4, prose(rnd, 30))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    links = {(r.doc_id, r.line_no, r.n_chars): r.n_links for r in linedup.line_classes(docs).collect()}
-    assert links == {(None, 1, 46): 1, (5, 0, 48): 2, (6, 0, 47): 1, (7, 0, 49): 2, (None, 2, 49): 2}
-    left = sorted((r.text for r in linedup.dedup_lines(docs).collect()))
-    assert left == sorted([f"short\n{one}", "short", "x", "y", f"more\nlines\n{two}!"])
+    same_rows(suffixdedup.remove_repeats(docs), without_repeats(rows, 200))
+    near = {(r.doc_id, r.component_id) for r in minhash.near_duplicates(docs, 5).collect()}
+    assert near == {(1, 1), (2, 1), (3, 1), (4, 4), (None, None)}
+    left = sorted(r.text for r in minhash.first_of_each(docs).collect())
+    assert left == sorted([rows[0][1], rows[1][1], rows[4][1], rows[5][1], rows[7][1]])
+    many = spark.createDataFrame([(None, "same", "s")] * 500 + [(1, f"t{i}", "s") for i in range(500)], "doc_id long, text string, source string")
+    packed = packing.pack(many, shard_rows=50).groupBy("shard").count().collect()
+    assert len(packed) == 20 and max(r["count"] for r in packed) < 100 and sum(r["count"] for r in packed) == 1000
 
 
 def test_line_dedup_of_nothing(no_documents):
@@ -383,7 +450,7 @@ def test_minhash_like_brute_force(documents, words):
                 comp[x] = d
                 todo += [y for y in sets if y != x and sets[x] and sets[y] and 100 * len(sets[x] & sets[y]) >= 80 * len(sets[x] | sets[y])]
     expected = [(d, len(shingles(t, words)), comp[d] if d is not None else None, d is None or comp[d] == d) for d, t in pairs_of(docs)]
-    same_rows(minhash.near_duplicates(docs, words), expected)
+    same_rows(minhash.near_duplicates(docs, words).select("doc_id", "n_shingles", "component_id", "kept"), expected)
 
 
 def test_minhash_like_sql(same_as_sql):
@@ -420,5 +487,5 @@ def test_parities_bound_the_difference():
 
 def test_components(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 50), (100, 60), (7, 7), (None, 1)], "a long, b long")
-    got = {r.node: r.component for r in common.components(edges).collect()}
+    got = {r.node: r.component for r in common.components(common.Scratch(spark), edges).collect()}
     assert got == {i: 0 for i in range(41)} | {50: 50, 60: 50, 100: 50}

@@ -6,9 +6,8 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-import corpus_pipeline
 from cases import altered, prose
-from quadrangle.llm import htmltext, queries, toxicity
+from quadrangle.llm import htmltext, queries, stages, toxicity
 
 # ---------------------------------------------------------------- 4
 
@@ -151,7 +150,7 @@ def test_stages(spark, folder):
     docs = spark.read.parquet(f"{path}/documents.parquet")
     schema = docs.columns
     kept = {}
-    for n, (name, stage) in enumerate(corpus_pipeline.STAGES):
+    for n, (name, stage) in enumerate(stages.STAGES):
         out = stage(spark, docs, path)
         out.write.parquet(f"{path}/{n}")
         docs = spark.read.parquet(f"{path}/{n}")
@@ -171,11 +170,11 @@ def test_stages(spark, folder):
 
 def test_run(spark, folder):
     path, _ = folder
-    out = corpus_pipeline.run(spark, path)
-    assert out.count() > 80 and 4 <= len(corpus_pipeline.STAGES) <= 5 and corpus_pipeline.ORACLE_SQL is None
+    out = stages.run(spark, path)
+    assert out.count() > 80 and 4 <= len(stages.STAGES) <= 5 and stages.ORACLE_SQL is None
 
 
 def test_stages_on_nothing(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
-    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+    assert stages.run(spark, str(tmp_path)).count() == 0
