@@ -171,7 +171,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept (doc_id = component_id), text_hash.
+    """doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept (doc_id = component_id), text_hash, group (a number of the
+    component; components of texts that share a doc_id can have one component_id).
 
     What is linked are sets, whatever the doc_ids of their rows; buckets are worked off by rounds of leaders. Pairs whose sizes or
     parities rule out a link never leave the join, so documents that are only alike do not fill it with pairs: sets with
@@ -204,12 +205,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     if comps is not None:
         classes = classes.join(comps.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
         least = classes.groupBy("component").agg(F.min("rep").alias("least"))
-        classes = classes.join(least, "component").select("k1", "k2", F.col("least").alias("component"))
+        classes = classes.join(least, "component").select("k1", "k2", F.col("component").alias("group"), F.col("least").alias("component"))
     else:
-        classes = classes.select("k1", "k2", F.col("rep").alias("component"))
+        classes = classes.select("k1", "k2", F.col("id").alias("group"), F.col("rep").alias("component"))
     out = sig.select("doc_id", "t", "n_shingles", "k1", "k2").join(own.cut(classes), ["k1", "k2"], "left")
     component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id"))
-    out = out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("t").alias("text_hash"))
+    out = out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("t").alias("text_hash"), "group")
     out = out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     done = c.cut(out)
     own.clear()
@@ -222,10 +223,9 @@ def first_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFra
     own = c.Scratch(docs.sparkSession)
     d, t = c.fresh("gone_id", docs), c.fresh("gone_text", docs)
     near = near_duplicates(docs, words, percent).where("n_shingles > 0 and doc_id is not null")
-    several = near.where("kept").groupBy("component_id").agg(F.min("text_hash").alias("least"), F.max("text_hash").alias("most")).where("least <> most")
-    others = near.where("kept").join(own.cut(several), "component_id").where("text_hash <> least")
-    gone = near.where("not kept").select("doc_id", "text_hash").unionByName(others.select("doc_id", "text_hash")).distinct()
-    gone = c.cut(gone.toDF(d, t))
+    first = own.cut(near.groupBy("group").agg(F.min(F.struct("doc_id", "text_hash")).alias("first")))
+    gone = near.join(first, "group").where("doc_id <> first.doc_id or text_hash <> first.text_hash")
+    gone = c.cut(gone.select(F.col("doc_id").alias(d), F.col("text_hash").alias(t)).distinct())
     left = docs.join(gone, (docs["doc_id"].cast("long") == F.col(d)) & (c.text_hash() == F.col(t)), "left_anti")
     real = F.col("doc_id").isNotNull() & F.coalesce(F.col("text").cast("string"), F.lit("")).rlike(WORD)
     return c.one_each(c.Scratch(docs.sparkSession), left, docs, real)

@@ -60,7 +60,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80).drop("text_hash")
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80).drop("text_hash", "group")
 
 
 OP10_SQL = r"""
