@@ -28,7 +28,7 @@ def _col(c: Column | str) -> Column:
 
 def trimmed(c: Column | str) -> Column:
     """c without Unicode white space at either end."""
-    return F.regexp_replace(_col(c), f"^[{SPACES}]+|[{SPACES}]+$", "")
+    return F.btrim(_col(c), F.lit("".join(map(chr, SPACE_CODES))))
 
 
 def clean(c: Column | str) -> Column:

@@ -563,12 +563,12 @@ def q_token_score(spark, sf_dir):
     return _table(spark, sf_dir, "documents").select("doc_id", S.token_score(F.col("text"), _WORDS | S.TOKEN_POINTS).alias("points"))
 
 
-@query("""WITH x AS (SELECT doc_id, lower(text) AS t, list_filter(regexp_split_to_array(lower(source || ' the and of ' || left(text, 60)), '[^a-z0-9]+'),
+@query("""WITH x AS (SELECT doc_id, lower(text) AS t, list_filter(regexp_split_to_array(lower(source || ' the and of ' || lang || ' source'), '[^a-z0-9]+'),
   lambda w: len(w) >= 3 AND w NOT IN ('a', 'an', 'and', 'at', 'career', 'college', 'center', 'for', 'high', 'in', 'of', 'school', 'technical', 'the', 'university')) AS w FROM documents),
 y AS (SELECT *, len(list_filter(w, lambda v: contains(t, v))) AS n, array_to_string(list_transform(w, lambda v: v[1]), '') AS a FROM x)
 SELECT doc_id, (least(30, n * 12) + CASE WHEN len(a) >= 3 AND contains(t, a) THEN 35 ELSE 0 END)::INT AS score FROM y""")
 def q_institution_match(spark, sf_dir):
-    name = F.concat_ws(" the and of ", "source", F.substring("text", 1, 60))
+    name = F.concat_ws("", "source", F.lit(" the and of "), "lang", F.lit(" source"))
     return _table(spark, sf_dir, "documents").select("doc_id", S.institution_match(name, F.col("text"))["score"].alias("score"))
 
 
