@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -139,34 +140,39 @@ def signatures(docs: DataFrame, words: int, bands: int = BANDS, rows: int = ROWS
     return slim.mapInArrow(run, "doc_id long, t long, n_shingles long, k1 long, k2 long, bands array<long>, parity array<long>")
 
 
-def full_sets(docs: DataFrame, words: int) -> DataFrame:
-    """k1, k2, items: the sorted shingle hashes as little-endian 64-bit integers, of the sets that are not empty."""
+def set_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """id, z: a compressed text of each wanted set (id, doc_id, t). The join is by sorting at any size: texts, not keys, are what moves."""
+    keys = wanted.select("id", F.col("doc_id").alias("w_id"), F.col("t").alias("w_t")).hint("merge")
+    met = c.packed_texts(docs).join(keys, (F.col("doc_id") == F.col("w_id")) & (F.col("t") == F.col("w_t")))
+    return met.select("id", "z").dropDuplicates(["id"])
 
-    def run(batches):
-        for b in batches:
-            for _, _, data, off in c.steps(b.column(1), STEP_BYTES):
-                values, counts = shingle_sets(data, off, words)
-                some = pa.array(counts > 0)
-                yield pa.RecordBatch.from_arrays([*fingerprints(values, counts), c.binary_array(values, counts * 8)], ["k1", "k2", "items"]).filter(some)
 
-    return docs.select(F.lit(0), F.col("text").cast("string")).mapInArrow(run, "k1 long, k2 long, items binary")
+def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets have 100 * intersection >= percent * union. Sets are made from their texts (id, z) in the task, as
+    compressed texts are a fraction of their sets."""
 
+    def run(batches):
+        unpack = zstandard.ZstdDecompressor().decompress
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
+        def members(z: bytes) -> np.ndarray:
+            data = np.frombuffer(unpack(z), np.uint8)
+            return shingle_sets(data, np.array([0, len(data)]), words)[0]
 
-    def run(batches):
+        last, p = None, EMPTY
         for b in batches:
             keep = []
             for x, y in zip(b.column(2), b.column(3), strict=True):
-                p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                x = x.as_py()
+                if x != last:
+                    last, p = x, members(x)
+                q = members(y.as_py())
                 both = np.sort(np.concatenate((p, q)))
                 same = int((both[1:] == both[:-1]).sum())
                 keep.append(100 * same >= percent * (len(p) + len(q) - same))
             yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    left = sets.select(F.col("id").alias("a"), F.col("items").alias("x"))
-    right = sets.select(F.col("id").alias("b"), F.col("items").alias("y"))
+    left = texts.select(F.col("id").alias("a"), F.col("z").alias("x"))
+    right = texts.select(F.col("id").alias("b"), F.col("z").alias("y"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
@@ -183,25 +189,23 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     real = sig.where("n_shingles > 0 and doc_id is not null")
     parity = [f"p{i}" for i in range(PARITY)]
     some = F.any_value(F.struct("n_shingles", "bands", "parity")).alias("s")
-    sets = real.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), some)
-    sets = own.cut(sets.select(F.monotonically_increasing_id().alias("id"), "k1", "k2", "rep", F.col("s.n_shingles").alias("n"), "s.bands", "s.parity"))
+    sets = real.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "t")).alias("rep"), some)
+    sets = own.cut(sets.select(F.monotonically_increasing_id().alias("id"), "k1", "k2", "rep.doc_id", "rep.t", F.col("s.n_shingles").alias("n"), "s.bands", "s.parity"))
     members = sets.select(F.explode("bands").alias("key"), "id", "n", *(F.col("parity")[i].alias(p) for i, p in enumerate(parity)))
     differ = sum((F.bit_count(F.col(p).bitwiseXOR(F.col(f"l_{p}"))) for p in parity), F.lit(0))
     possible = F.expr(f"100 * least(n, l_n) >= {percent} * greatest(n, l_n)") & (differ * (100 + percent) <= (F.col("n") + F.col("l_n")) * (100 - percent))
-    items: list[DataFrame] = []
+    texts: list[DataFrame] = []
 
     def confirm(pairs: DataFrame) -> DataFrame:
-        if not items:
-            shared = sets.select("id", "rep", "k1", "k2", F.explode("bands").alias("key"))
+        if not texts:
+            shared = sets.select("id", "doc_id", "t", F.explode("bands").alias("key"))
             twice = shared.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y").select("key")
-            wanted = own.cut(shared.join(own.cut(twice), "key").select("id", "rep", "k1", "k2").distinct())
-            some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-            some = some.join(wanted.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-            items.append(own.cut(full_sets(some, words).join(wanted, ["k1", "k2"]).select("id", "items").dropDuplicates(["id"])))
-        return confirmed(pairs, items[0], percent)
+            wanted = shared.join(own.cut(twice), "key").select("id", "doc_id", "t").distinct()
+            texts.append(own.cut(set_texts(docs, own.cut(wanted))))
+        return confirmed(pairs, texts[0], words, percent)
 
     comps = rounds.components(own, members, ["n", *parity], possible, confirm)
-    classes = sets.select("id", "k1", "k2", "rep")
+    classes = sets.select("id", "k1", "k2", F.col("doc_id").alias("rep"))
     if comps is not None:
         classes = classes.join(comps.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
         least = classes.groupBy("component").agg(F.min("rep").alias("least"))
