@@ -124,6 +124,11 @@ def inventory(candidates: DataFrame, by: str = "id", limit: int = MAX_INVENTORY)
     return candidates.withColumn("inventory_index", number).where(F.col("inventory_index") <= limit)
 
 
+def stage_timings(runs: DataFrame) -> DataFrame:
+    """stage, runs, total_ms: the times (stage, ms) of all institutions, summed for each stage of the work."""
+    return runs.groupBy("stage").agg(F.count("*").alias("runs"), F.sum("ms").alias("total_ms"))
+
+
 def relevant_links(pages: DataFrame, tokens: tuple[str, ...] = S.PAGE_TOKENS) -> DataFrame:
     """id, page_url, url, score of links within the site (root_url) that a token marks; best first, each once, by `ord`."""
     found = pages.select("id", "page_url", "root_url", F.posexplode(_links("html", "page_url")).alias("ord", "_l"))
