@@ -572,13 +572,31 @@ def q_institution_match(spark, sf_dir):
     return _table(spark, sf_dir, "documents").select("doc_id", S.institution_match(name, F.col("text"))["score"].alias("score"))
 
 
-@query()
+_LINK_WORDS = ("the", "tion", "la", "sch")
+_ADDRESS_POINTS = " + ".join(f"CASE WHEN contains(about, '{t}') THEN {p} ELSE 0 END" for t, p in S.TOKEN_POINTS.items())
+_LINKS = """regexp_extract_all(html, '(?is)<a href="/[^"]*">.*?</a>')"""
+# url_encode() also escapes characters that a path may hold as they are
+_PATH = """url_encode(regexp_extract(a, 'href="/([^"]*)"', 1))"""
+for _ch in "!$&'()*+,:;=@/":
+    _PATH = f"replace({_PATH}, '%{ord(_ch):02X}', chr({ord(_ch)}))"
+
+
+@query(f"""WITH l AS (
+  SELECT page_id, url AS page_url, lower(regexp_extract(url, '^(https?://[^/?#]+)', 1)) AS origin, unnest({_LINKS}) AS a, generate_subscripts({_LINKS}, 1) - 1 AS ord FROM pages
+), h AS (
+  SELECT page_id, page_url, ord, origin || '/' || {_PATH} AS url, regexp_replace(regexp_extract(a, '(?s)>(.*)</a>', 1), '<[^>]*>', ' ', 'g') AS inside FROM l
+), n AS (
+  SELECT *, {" + ".join(f"contains(about, '{t}')::INT" for t in _LINK_WORDS)} AS n FROM (SELECT *, lower(url || '  ' || inside) AS about FROM h)
+), r AS (SELECT page_id, page_url, url, ord, (n * 10 + {_ADDRESS_POINTS})::INT AS score FROM n WHERE n > 0)
+SELECT page_id AS id, page_url, url, max(score) AS score, arg_min(ord, (-score, ord))::INT AS ord FROM r GROUP BY 1, 2, 3""")
 def q_relevant_links(spark, sf_dir):
     pages = _table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), F.col("url").alias("page_url"), F.col("url").alias("root_url"), "html")
-    return candidates.relevant_links(pages, ("the", "tion", "la", "sch"))
+    return candidates.relevant_links(pages, _LINK_WORDS)
 
 
-@query()
+@query(f"""WITH c AS (SELECT page_id AS id, lower(regexp_extract(url, '^(https?://[^/?#]+)', 1)) || '/favicon.ico' AS about FROM pages)
+SELECT id, about AS key, 'favicon-fallback' AS source, (10 + {_ADDRESS_POINTS})::INT AS initial_score, 1 AS inventory_index, 1 AS final_rank,
+  'selected_as_favicon_fallback' AS status FROM c""")
 def q_html_candidates(spark, sf_dir):
     pages = _table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), F.lit("Example School").alias("name"), F.col("url").alias("page_url"), "html")
     found = candidates.inventory(candidates.best_per_asset(candidates.scored(candidates.page_mentions(pages))))
