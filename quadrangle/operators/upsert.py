@@ -1,5 +1,5 @@
-"""Keyed writes. Spark cannot update a plain Parquet table in place, so each returns the table's next snapshot, which
-`publish` writes beside the old one."""
+"""Keyed writes as expressions: each returns the rows as they are after the write. `store` applies them to the touched buckets of a table
+alone; `publish` writes a whole table's next snapshot beside the old one."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quadrangle.functions.text import sql_blank
 from quadrangle.sources.schema import INSTITUTIONS
+from quadrangle.sources.versions import Conflict, VersionLog
 
 KEY = ["source", "source_id"]
 #: What an import leaves alone in a row that is there already.
@@ -76,16 +77,24 @@ def import_log(records: DataFrame, url: str, file_name: str, run_ts: Column) ->
     )
 
 
-def publish(snapshot: DataFrame, folder: str) -> str:
-    """Writes a snapshot under the folder, sorted so that lookups by name skip row groups, and then names it in CURRENT;
-    readers see the old snapshot until then, and a failed write changes nothing."""
+def publish(snapshot: DataFrame, folder: str, based_on: int | None = None) -> int:
+    """Writes a snapshot under the folder, sorted so that lookups by name skip row groups, and then makes it the next version; readers see
+    the old one until then, and a failed write changes nothing. With based_on, the version that the snapshot was made from, a Conflict
+    if there is a later one by now; without it the snapshot takes the next free number. Writers of parts of a table use `store`."""
     name = f"snapshot-{uuid.uuid4().hex}"
     by_name = snapshot.repartitionByRange("category", "normalized_name").sortWithinPartitions("category", "normalized_name")
     by_name.write.parquet(f"{folder}/{name}")
-    spark = snapshot.sparkSession
-    spark.createDataFrame([(name,)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/CURRENT")
-    return f"{folder}/{name}"
+    log = VersionLog(snapshot.sparkSession, folder)
+    while True:
+        number = (log.latest() if based_on is None else based_on) + 1
+        try:
+            log.append(number, {"snapshot": name})
+            return number
+        except Conflict:
+            if based_on is not None:
+                raise
 
 
 def current(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{spark.read.text(f'{folder}/CURRENT').first()[0]}")
+    log = VersionLog(spark, folder)
+    return spark.read.parquet(f"{folder}/{log.read(log.latest())['snapshot']}")

@@ -20,9 +20,13 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def new_folder(spark: SparkSession) -> str:
+    """A path in the shared folder that nothing uses yet."""
+    return f"{shared_folder(spark)}/quadrangle/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
 def written(rows: DataFrame) -> DataFrame:
     """rows as a table that is computed once: cuts the lineage, and lost executors do not bring it back."""
-    spark = rows.sparkSession
-    path = f"{shared_folder(spark)}/quadrangle/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    path = new_folder(rows.sparkSession)
     rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

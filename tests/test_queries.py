@@ -3,7 +3,7 @@
 import pytest
 
 from quadrangle.plans import catalog_queries as q
-from quadrangle.plans import site_queries  # noqa: F401  (registers more)
+from quadrangle.plans import site_queries, store_queries  # noqa: F401  (they register more)
 
 
 @pytest.mark.parametrize("name", list(q.oracle_sql()))
