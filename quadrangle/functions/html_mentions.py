@@ -5,6 +5,8 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
+from collections.abc import Iterator
 from html.parser import HTMLParser
 from urllib.parse import unquote
 
@@ -20,6 +22,9 @@ TELLING = re.compile(r"(logo|brand|identity|image|school|header)", re.I)
 NAMED = ("id", "class", "role", "aria-label", "aria-labelledby", "title")
 REGIONS = ("nav", "main", "footer")
 
+#: Characters of a page that are parsed before what was found there is passed on.
+PART = 1 << 20
+
 FIELDS = ("phase", "source", "raw_url", "base_score", "signal", "structure", "ancestry", "region", "svg")
 
 
@@ -36,25 +41,41 @@ def metadata(tag: str, attrs: dict[str, str]) -> str:
     return "; ".join([f"tag={tag}", *(f"{k}={_short(v, 240)}" for k, v in attrs.items() if v and (k in own or k.startswith("data-")))])
 
 
+def _decoded(text: str) -> str | None:
+    """The text without percent escapes; None if one of them is malformed or they are no UTF-8."""
+    if re.search(r"%(?![0-9A-Fa-f]{2})", text):
+        return None
+    try:
+        return unquote(text, errors="strict")
+    except UnicodeDecodeError:
+        return None
+
+
+def _entries(item: dict) -> list[tuple[str, object]]:
+    """An object's entries in the order in which scripts see them: whole numbers first, then as written."""
+    numbers = sorted((k for k in item if k.isascii() and k.isdigit() and str(int(k)) == k and int(k) < 2**32 - 1), key=int)
+    return [(k, item[k]) for k in (*numbers, *(k for k in item if k not in set(numbers)))]
+
+
 def described_urls(value: str) -> list[str]:
-    """Addresses under the keys url, src and href of a JSON descriptor, quoted in whatever way; [] if it is none."""
-    for text in (value.replace("&quot;", '"'), unquote(value).replace("&quot;", '"')):
+    """Addresses under the keys url, src and href of a JSON descriptor at any depth, in the order of the document, quoted in whatever way;
+    [] if it is none."""
+    for text in (value, _decoded(value)):
+        if text is None:
+            continue
         try:
-            found, todo = {}, [json.loads(text)]
-        except ValueError:
+            found, todo = {}, [("", json.loads(text.replace("&quot;", '"')))]
+        except (ValueError, RecursionError):
             continue
         while todo:
-            item = todo.pop()
-            if isinstance(item, list):
-                todo += reversed(item)
+            key, item = todo.pop()
+            if isinstance(item, str):
+                if key.lower() in ("url", "src", "href"):
+                    found[item] = None
+            elif isinstance(item, list):
+                todo += (("", x) for x in reversed(item))
             elif isinstance(item, dict):
-                nested = []
-                for k, v in item.items():
-                    if isinstance(v, str) and k.lower() in ("url", "src", "href"):
-                        found[v] = None
-                    else:
-                        nested.append(v)
-                todo += reversed(nested)
+                todo += reversed(_entries(item))
         if found:
             return list(found)
     return []
@@ -76,12 +97,24 @@ class _Page(HTMLParser):
     def __init__(self, text: str):
         super().__init__(convert_charrefs=True)
         self.source_text, self.open, self.found, self.manifests = text, [], [], []
-        self.lines = [0, *(m.end() for m in re.finditer("\n", text))]
+        self.lines: array | None = None
         self.svgs: list[tuple[int, list]] = []
-        self.feed(text)
+
+    def parts(self) -> Iterator[list[tuple]]:
+        """What each part of the page adds."""
+        for lo in range(0, len(self.source_text), PART):
+            self.feed(self.source_text[lo : lo + PART])
+            yield self._taken()
         self.close()
+        yield self._taken()
+
+    def _taken(self) -> list[tuple]:
+        found, self.found = self.found, []
+        return found
 
     def _offset(self) -> int:
+        if self.lines is None:
+            self.lines = array("q", [0, *(m.end() for m in re.finditer("\n", self.source_text))])
         line, column = self.getpos()
         return self.lines[line - 1] + column
 
@@ -150,19 +183,34 @@ class _Page(HTMLParser):
             self._svg_ends(len(self.source_text) if end < 0 else end + 1)
 
 
-def mentions(html: str, page_url: str) -> tuple[list[tuple], list[str]]:
-    """Records of FIELDS in the order of discovery, with resolved addresses, and the addresses of web manifests."""
-    page = _Page(html)
-    found = page.found
-    found += [(5, "css-background", m[1], 0, m[1], "stylesheet", "stylesheet", "stylesheet", None) for m in CSS_URL.finditer(html)]
-    found.append((7, "favicon-fallback", "/favicon.ico", 10, "favicon", "", "", "", None))
-    out = []
-    for f in sorted(found, key=lambda f: f[0]):
+def _found(html: str, page: _Page) -> Iterator[tuple]:
+    for part in page.parts():
+        yield from part
+    for m in CSS_URL.finditer(html):
+        yield 5, "css-background", m[1], 0, m[1], "stylesheet", "stylesheet", "stylesheet", None
+    yield 7, "favicon-fallback", "/favicon.ico", 10, "favicon", "", "", "", None
+
+
+def streamed(html: str, page_url: str) -> Iterator[tuple]:
+    """(ord, records of FIELDS) with resolved addresses, as the page is read; ord gives the order of discovery: by phase, then by place."""
+    for n, f in enumerate(_found(html, _Page(html))):
         url = resolved(f[2], page_url) if f[2] else None
         if url or f[8]:
-            out.append((*f[:2], url, *f[3:]))
+            yield (f[0] << 40) + n, *f[:2], url, *f[3:]
+
+
+def mentions(html: str, page_url: str) -> list[tuple]:
+    """The records of streamed() in the order of discovery."""
+    return [f[1:] for f in sorted(streamed(html, page_url), key=lambda f: f[0])]
+
+
+def manifests(html: str, page_url: str) -> list[str]:
+    """The addresses of a page's web manifests."""
+    page = _Page(html)
+    for _ in page.parts():
+        pass
     urls = (resolved(m, page_url) for m in page.manifests)
-    return out, list(dict.fromkeys(u for u in urls if u))
+    return list(dict.fromkeys(u for u in urls if u))
 
 
 def links(html: str, page_url: str) -> list[tuple[str, str]]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import re
 from typing import NamedTuple
 from urllib.parse import quote, unquote_to_bytes
@@ -11,12 +12,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
+from quadrangle.functions.hosts import to_ascii
+
 # Fixed values of the URL standard.
 PORTS = {"http": 80, "https": 443, "ftp": 21, "ws": 80, "wss": 443}
 FORBIDDEN_IN_HOST = re.compile(r"[\x00-\x20#/:<>?@\[\\\]^|%\x7f]")
 PATH_SAFE = "!$%&'()*+,-./:;=@[]\\^_|~"
-# full stops that separate labels
-DOTS = "." + "".join(map(chr, (0x3002, 0xFF0E, 0xFF61)))
 QUERY_SAFE = "!$%&()*+,-./:;=?@[]\\^_`{|}~"
 
 
@@ -77,13 +78,7 @@ def _host(raw: str) -> str | None:
         host = unquote_to_bytes(raw).decode("utf-8")
     except UnicodeDecodeError:
         return None
-    if not host.isascii():
-        try:
-            labels = re.split("[" + DOTS + "]", host)
-            host = ".".join(x if x.isascii() else x.encode("idna").decode() for x in labels)
-        except UnicodeError:
-            return None
-    host = host.lower()
+    host = to_ascii(host)
     if not host or FORBIDDEN_IN_HOST.search(host):
         return None
     last = host.rstrip(".").rsplit(".", 1)[-1] if not host.endswith("..") else ""
@@ -147,6 +142,12 @@ def parse(text: str, base: Url | None = None) -> Url | None:
     return base._replace(path=_segments(rest, before[:-1]), query=found)
 
 
+@functools.lru_cache(maxsize=1024)
+def _base(text: str) -> Url | None:
+    """A page's parsed address, which all its links are taken relative to."""
+    return parse(text)
+
+
 def imported(text: str | None) -> str | None:
     """The address of an import file as it stands, https:// put before it where a scheme is missing; None if invalid."""
     address = text if re.match(r"https?://", text, re.I) else f"https://{text}"
@@ -175,7 +176,8 @@ def resolved(text: str | None, base: str | None = None) -> str | None:
     if not text or re.match(r"(?:data|blob|javascript|mailto|tel):", text, re.I):
         return None
     if base:
-        url = parse(text, parse(base)) if parse(base) else None
+        start = _base(base)
+        url = parse(text, start) if start else None
     else:
         url = parse(text if re.match(r"[a-z][a-z\d+.-]*://", text, re.I) else f"https://{text}")
     return url.text() if url and url.scheme in ("http", "https") else None

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quadrangle.functions.text import present, same_as_exported, sql_blank, trimmed
 from quadrangle.functions.urls import researched_website
 from quadrangle.sources.reports import with_batches
+from quadrangle.sources.scratch import measured
 
 # Outcomes, and below the texts that go with them.
 STRUCTURAL = ("duplicate_or_blank_id", "unknown_local_id", "modified_reference_fields")
@@ -57,11 +58,6 @@ def with_structure(records: DataFrame, institutions: DataFrame) -> DataFrame:
     )
 
 
-def structural_problems(checked: DataFrame) -> int:
-    """Rows with a structural problem; if there is one, nothing of the batch may be applied."""
-    return checked.where(F.col("outcome").isin(*STRUCTURAL)).count()
-
-
 def local_outcomes(checked: DataFrame) -> DataFrame:
     """Pending rows against the catalog itself."""
     pending, same = F.col("outcome") == "pending", F.col("_website") == F.col("website")
@@ -106,9 +102,10 @@ def applied(outcomes: DataFrame, target: str = "local") -> DataFrame:
 
 
 def reconcile(records: DataFrame, institutions: DataFrame, remote: DataFrame | None = None) -> tuple[DataFrame, bool]:
-    """(outcomes, whether they may be applied). With a structural problem all other rows keep their first outcome."""
-    checked = with_structure(first_outcomes(records), institutions)
-    if structural_problems(checked):
+    """(outcomes, whether they may be applied). With a structural problem nothing of the batch may be applied and all other rows keep their
+    first outcome. The job that writes the checked rows counts the problems, so the batch is read and checked once."""
+    checked, seen = measured(with_structure(first_outcomes(records), institutions), F.count_if(F.col("outcome").isin(*STRUCTURAL)).alias("problems"))
+    if seen["problems"]:
         return checked.drop("_website", "_known"), False
     return (local_outcomes(checked) if remote is None else remote_outcomes(checked, remote)), True
 

@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import json
+from collections.abc import Callable, Iterable
 from typing import Protocol
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+import numpy as np
+from pyspark.ml.functions import predict_batch_udf
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from quadrangle.functions import scoring as S
+from quadrangle.sources.scratch import written
 
 BATCH, WINNERS, PREVIEWS = 36, 12, 5
+#: Lists of candidates that a model gets at a time.
+MODEL_BATCH = 64
 
 
 class Ranker(Protocol):
-    """A model that ranks candidates by their texts: returns indexes from 1 of the best, best first."""
+    """A model that ranks candidates by their texts: returns indexes from 1 of the best, best first. It may have rank_many, which gets a
+    list of lists and returns an answer for each."""
 
     def rank(self, candidates: list[dict]) -> Iterable[int]: ...
 
@@ -50,39 +57,81 @@ def top_by_score(inventory: DataFrame, by: str = "id", k: int = WINNERS, preview
     return rows.withColumns({"final_rank": final, "status": status, "batch_number": number}).drop("_others", "_rank", "_icon")
 
 
-def ranked_by_text(inventory: DataFrame, ranker: Ranker, by: str = "id", batch: int = BATCH, winners: int = WINNERS, previews: int = PREVIEWS) -> DataFrame:
-    """The retrieval table of a two-level tournament: each batch of an institution's candidates sends its winners on, and if
-    more than `winners` come together they are ranked again. A group is one institution's inventory, which is bounded."""
+def _loaded(ranker: Ranker | Callable[[], Ranker]) -> Ranker:
+    return ranker if hasattr(ranker, "rank") else ranker()
+
+
+def _model_ranks(groups: DataFrame, ranker: Ranker | Callable[[], Ranker], batch: int) -> Column:
+    """Ranks (indexes from 1, best first, padded with 0) of the candidates in column `_shown`, an array of structs.
+
+    Lists of many institutions go to the model together, `batch` at a time; a worker loads it once."""
+
+    def make() -> Callable[[np.ndarray], np.ndarray]:
+        model = _loaded(ranker)
+
+        def predict(shown: np.ndarray) -> np.ndarray:
+            lists = [[{"index": n + 1, **x} for n, x in enumerate(json.loads(s))] for s in shown]
+            answers = model.rank_many(lists) if hasattr(model, "rank_many") else [model.rank(x) for x in lists]
+            ranks = [valid_ranks(a, len(x)) for a, x in zip(answers, lists, strict=True)]
+            out = np.zeros((len(ranks), max(1, *map(len, ranks))), np.int32)
+            for row, r in zip(out, ranks, strict=True):
+                row[: len(r)] = r
+            return out
+
+        return predict
+
+    return predict_batch_udf(make, return_type=ArrayType(IntegerType()), batch_size=batch)(F.to_json("_shown"))
+
+
+def ranked_by_text(
+    inventory: DataFrame,
+    ranker: Ranker | Callable[[], Ranker],
+    by: str = "id",
+    batch: int = BATCH,
+    winners: int = WINNERS,
+    previews: int = PREVIEWS,
+    model_batch: int = MODEL_BATCH,
+) -> DataFrame:
+    """The retrieval table of a two-level tournament: each batch of an institution's candidates sends its winners on, and if more than
+    `winners` come together they are ranked again. The default ranker is windows alone. A model, or a function that loads one in a
+    worker, gets lists of candidates: at most `batch` of an institution, then at most all its winners."""
     kept = [c for c in inventory.columns if c not in ("batch_number", "batch_rank", "final_rank", "status")]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in inventory.select(*kept).schema.fields)
-    shown = ["source", "page_url", "url", "metadata", "ancestry", "region", "initial_score", "key"]
-
-    def tournament(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("inventory_index").reset_index(drop=True)
-        icon = pdf["source"].isin(S.FAVICON_SOURCES)
-        out = pdf.assign(batch_number=(pdf["inventory_index"] - 1) // BATCH + 1, batch_rank=None, final_rank=None, status="not_selected_by_text")
-        out.loc[icon, "status"] = "deferred_favicon"
-
-        def ranks(at: list[int]) -> list[int]:
-            rows = pdf.loc[at, [c for c in shown if c in pdf]].to_dict("records")
-            return [at[i - 1] for i in valid_ranks(ranker.rank([{"index": n + 1, **r} for n, r in enumerate(rows)]), len(rows))]
-
-        rankable = [i for i in pdf.index if not icon[i]]
-        short: list[int] = []
-        for lo in range(0, len(rankable), batch):
-            for r, i in enumerate(ranks(rankable[lo : lo + batch])):
-                short.append(i)
-                out.loc[i, ["batch_number", "batch_rank", "status"]] = [lo // batch + 1, r + 1, "shortlisted_by_text"]
-        final = short if len(short) <= winners else ranks(short)
-        status = "selected_for_visual"
-        if not final:
-            final = sorted(pdf.index[icon], key=lambda i: (-pdf.loc[i, "initial_score"], pdf.loc[i, "key"]))[:previews]
-            status = "selected_as_favicon_fallback"
-        for r, i in enumerate(final):
-            out.loc[i, ["final_rank", "status"]] = [r + 1, status]
-        return out
-
-    return inventory.select(*kept).groupBy(by).applyInPandas(tournament, f"{schema}, batch_number int, batch_rank int, final_rank int, status string")
+    shown = [c for c in ("source", "page_url", "url", "metadata", "ancestry", "region", "initial_score", "key") if c in kept]
+    rows = inventory.select(*kept).withColumn("_icon", F.col("source").isin(*S.FAVICON_SOURCES))
+    rows = rows.withColumn("_place", F.row_number().over(Window.partitionBy(by, "_icon").orderBy("inventory_index")))
+    rows = rows.withColumn("_batch", (F.floor((F.col("_place") - 1) / batch) + 1).cast("int"))
+    best = [F.desc("initial_score"), F.col("key")]
+
+    def ranks(of: DataFrame, groups: list[str], some: Column, name: str) -> DataFrame:
+        """of with the ranker's rank, from 1 or null, of the rows that meet `some`, in each group."""
+        if isinstance(ranker, ScoreRanker):
+            rank = F.row_number().over(Window.partitionBy(*groups, some).orderBy(*best))
+            return of.withColumn(name, F.when(some & (rank <= ranker.winners), rank))
+        entry = F.struct("_turn", F.struct(*shown).alias("x"), F.col("inventory_index").alias("i"))
+        lists = of.where(some).groupBy(*groups).agg(F.sort_array(F.collect_list(entry)).alias("_l"))  # a batch, or the winners of one institution
+        lists = lists.withColumn("_shown", F.transform("_l", lambda e: e["x"]))
+        told = written(lists.withColumn("_ranks", _model_ranks(lists, ranker, model_batch)).select(by, "_l", "_ranks"))
+        told = told.select(by, "_l", F.posexplode("_ranks").alias("_at", "_n")).where("_n > 0")
+        told = told.select(by, F.get("_l", F.col("_n") - 1)["i"].alias("inventory_index"), (F.col("_at") + 1).alias(name))
+        return of.join(told, [by, "inventory_index"], "left")
+
+    rows = ranks(rows.withColumn("_turn", F.struct("_batch", F.col("inventory_index").alias("r"))), [by, "_batch"], ~F.col("_icon"), "batch_rank").drop("_turn")
+    short = F.col("batch_rank").isNotNull()
+    rows = rows.withColumns({"_short": short, "_n_short": F.count_if(short).over(Window.partitionBy(by))})
+    rows = rows.withColumn("_in_turn", F.row_number().over(Window.partitionBy(by, "_short").orderBy("_batch", "batch_rank")))
+    many = F.col("_short") & (F.col("_n_short") > winners)
+    rows = ranks(rows.withColumn("_turn", F.struct("_batch", F.col("batch_rank").alias("r"))), [by], many, "_again").drop("_turn")
+    icon_rank = F.row_number().over(Window.partitionBy(by, "_icon").orderBy(*best))
+    n_final = F.when(F.col("_n_short") > winners, F.count("_again").over(Window.partitionBy(by))).otherwise(F.col("_n_short"))
+    rows = rows.withColumns({"_icon_rank": icon_rank, "_n_final": n_final})
+    fallback = F.col("_icon") & (F.col("_n_final") == 0) & (F.col("_icon_rank") <= previews)
+    final = F.when(F.col("_short") & (F.col("_n_short") <= winners), F.col("_in_turn")).when(F.col("_short"), F.col("_again")).when(fallback, F.col("_icon_rank"))
+    status = (
+        F.when(fallback, "selected_as_favicon_fallback").when(F.col("_icon"), "deferred_favicon").when(final.isNotNull(), "selected_for_visual")
+        .when(F.col("_short"), "shortlisted_by_text").otherwise("not_selected_by_text")
+    )
+    number = F.when(F.col("_short"), F.col("_batch")).otherwise((F.floor((F.col("inventory_index") - 1) / BATCH) + 1).cast("int"))
+    return rows.select(*kept, number.alias("batch_number"), F.col("batch_rank").cast("int").alias("batch_rank"), final.cast("int").alias("final_rank"), status.alias("status"))
 
 
 def with_images(retrieval: DataFrame, images: DataFrame, by: str = "id", previews: int = PREVIEWS, by_score: bool = True) -> DataFrame:

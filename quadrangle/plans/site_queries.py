@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quadrangle.functions import scoring as S
 from quadrangle.functions import urls as U
 from quadrangle.operators import candidates, enrich, ingest, review, selection, upsert
 from quadrangle.plans import catalog_queries as q
@@ -188,7 +189,7 @@ def q_crawl(spark, sf_dir):
         )
     )
     web = customers.select(F.explode(pages).alias("p")).select("p.*").where("html is not null")
-    return candidates.crawl(schools, web, cut=written).select("id", "page_url", "visit")
+    return candidates.crawl(schools, web).select("id", "page_url", "visit")
 
 
 _IMAGE_HTML = (
@@ -212,6 +213,109 @@ def q_image_candidates(spark, sf_dir):
     return found.select("id", key.alias("key"), "source", "qualification")
 
 
+# ---------------------------------------------------------------- every kind of mention, with its score
+
+_SCHOOL = "Lincoln Tech Prep"
+_KINDS_HTML = (
+    '<html><head><link rel="shortcut icon" href="/icons/fav-{0}.ico" type="image/x-icon"><link rel="stylesheet" href="/s.css">'
+    '<meta property="og:image" content="https://cdn.example.org/brand/share-{0}.png"><meta name="image" content="/plain-{0}.png">'
+    "<style>.m{background:url('/img/logo-mark-{0}.png')} .x{background:url(/img/plain-{0}.png)}</style></head><body>"
+    '<header id="site-header"><a class="brand" href="/"><img alt="Lincoln crest" srcset="/a/crest-{0}.png 1x, /a/second-{0}.png 2x"></a></header>'
+    '<nav><img data-image="{{&quot;a&quot;:{{&quot;url&quot;:&quot;/j/one-{0}.png&quot;}},&quot;url&quot;:&quot;/j/two-{0}.png&quot;}}" alt="photo"></nav>'
+    '<main><div style="background-image:url(/bg/school-logo-{0}.jpg)"></div><picture><source srcset="/p/wordmark-{0}.webp"></picture>'
+    '<img src="/hero-banner-{0}.jpg"><video><source src="/v-{0}.webm"></video></main>'
+    '<footer><div class="site-logo"><svg class="footer logo-image"><title>Lincoln mark</title></svg></div></footer></body></html>'
+)
+_JSON_ABOUT = 'data-image={{"a":{{"url":"/j/one-{0}.png"}},"url":"/j/two-{0}.png"}}'
+_IN_HEADER = "img > a(class=brand) > header(id=site-header)"
+# what such a page says: path, source, base score, the element and its ancestry
+_KINDS = (
+    ("/icons/fav-{0}.ico", "document-icon", 0, "tag=link; type=image/x-icon", "head"),
+    ("https://cdn.example.org/brand/share-{0}.png", "metadata-image", 0, "tag=meta", "head"),
+    ("/plain-{0}.png", "metadata-image", 0, "tag=meta", "head"),
+    ("/img/logo-mark-{0}.png", "css-background", 0, "/img/logo-mark-{0}.png", "stylesheet"),
+    ("/img/plain-{0}.png", "css-background", 0, "/img/plain-{0}.png", "stylesheet"),
+    ("/a/crest-{0}.png", "image-element", 0, "tag=img; alt=Lincoln crest", _IN_HEADER),
+    ("/a/second-{0}.png", "image-element", 0, "tag=img; alt=Lincoln crest", _IN_HEADER),
+    ("/j/one-{0}.png", "image-element", 0, f"tag=img; {_JSON_ABOUT}; alt=photo", f"img({_JSON_ABOUT}) > nav"),
+    ("/j/two-{0}.png", "image-element", 0, f"tag=img; {_JSON_ABOUT}; alt=photo", f"img({_JSON_ABOUT}) > nav"),
+    ("/bg/school-logo-{0}.jpg", "css-background", 0, "tag=div", "main"),
+    ("/bg/school-logo-{0}.jpg", "css-background", 0, "/bg/school-logo-{0}.jpg", "stylesheet"),
+    ("/p/wordmark-{0}.webp", "picture-source", 0, "tag=source", "main"),
+    ("/hero-banner-{0}.jpg", "image-element", 0, "tag=img", "main"),
+    ("/favicon.ico", "favicon-fallback", 10, "favicon", ""),
+)
+
+
+def _literal(text: str) -> str:
+    """A text of _KINDS as SQL, with the page's id in it."""
+    return "concat(" + ", page_id, ".join("'" + part.replace("{{", "{").replace("}}", "}").replace("'", "''") + "'" for part in text.split("{0}")) + ")"
+
+
+def _points_sql(text: str) -> str:
+    return "(" + " + ".join(f"CASE WHEN contains(lower({text}), '{t}') THEN {n} ELSE 0 END" for t, n in S.TOKEN_POINTS.items()) + ")"
+
+
+def _match_sql(text: str) -> str:
+    words = " + ".join(f"contains({text}, '{w}')::INT" for w in ("lincoln", "tech", "prep"))
+    return f"(least(30, 12 * ({words})) + CASE WHEN contains({text}, 'ltp') THEN 35 ELSE 0 END)"
+
+
+def _structure_sql(text: str) -> str:
+    header, container = (p.replace("'", "''") for p in (S.HEADER, S.CONTAINER))
+    return f"(CASE WHEN regexp_matches({text}, '{header}') THEN 28 ELSE 0 END + CASE WHEN regexp_matches({text}, '{container}') THEN 26 ELSE 0 END)"
+
+
+_KIND_ROWS = " UNION ALL ".join(
+    f"SELECT page_id, {'origin || ' if k[0].startswith('/') else ''}{_literal(k[0])} AS url, '{k[1]}' AS source, {k[2]} AS base, {_literal(k[3])} AS about, {_literal(k[4])} AS ancestry FROM o"
+    for k in _KINDS
+)
+_SVG_ABOUT, _SVG_ANCESTRY = "tag=svg; class=footer logo-image", "svg(class=footer logo-image) > div(class=site-logo) > footer"
+
+
+@query(f"""WITH o AS (SELECT page_id, {_ORIGIN} AS origin FROM pages), k AS ({_KIND_ROWS}), a AS (
+  SELECT *, about || ' ' || ancestry AS around, lower(regexp_replace(url, '^https?://[^/]*', '') || '  ' || about || ' ' || ancestry) AS text FROM k
+), d AS (SELECT *, regexp_matches(text, '{S.DIRECT}') AS direct, source IN ('image-element', 'picture-source', 'css-background') AS generic FROM a), s AS (
+  SELECT page_id AS id, url AS key, source, CASE WHEN direct THEN 'strong' ELSE 'fallback' END AS qualification,
+    (base + {_points_sql("url")} + CASE WHEN generic THEN trunc({_points_sql("around")} * 0.35)::INT ELSE {_points_sql("around")} END + {_match_sql("text")} + {_structure_sql("ancestry")})::INT AS initial_score
+  FROM d WHERE CASE WHEN source = 'css-background' THEN direct ELSE generic OR source IN ('document-icon', 'favicon-fallback') OR direct END
+)
+SELECT id, key, source, arg_max(qualification, initial_score) AS qualification, max(initial_score) AS initial_score FROM s GROUP BY id, key, source UNION ALL
+SELECT page_id, 'inline-svg', 'inline-svg', 'strong', (65 + {_points_sql("t")} + {_match_sql("lower(t)")} + {_structure_sql("c")})::INT
+FROM (SELECT page_id, 'Lincoln mark {_SVG_ABOUT} {_SVG_ANCESTRY}' AS t, '{_SVG_ABOUT} {_SVG_ANCESTRY} {_SVG_ANCESTRY}' AS c FROM pages)""")
+def q_candidate_scores(spark, sf_dir):
+    """Every page's address with icons, page images, style backgrounds, srcset, a JSON attribute, pictures, a film and a drawing."""
+    before, *rest = _KINDS_HTML.replace("{{", "{").replace("}}", "}").split("{0}")
+    html = F.concat(F.lit(before), *(x for part in rest for x in (_text(F.col("page_id")), F.lit(part))))
+    pages = q._table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), F.lit(_SCHOOL).alias("name"), F.col("url").alias("page_url"), html.alias("html"))
+    found = candidates.best_per_asset(candidates.scored(candidates.page_mentions(pages)))
+    key = F.when(F.col("source") == "inline-svg", "inline-svg").otherwise(F.col("key"))
+    return found.select("id", key.alias("key"), "source", "qualification", "initial_score")
+
+
+_HOSTS = (  # as written, and as the standard has it; null is no host
+    ("fa\u00df.C{0}.DE", "xn--fa-hia.c{0}.de"), ("FA\u1e9e.c{0}.de", "xn--fa-hia.c{0}.de"), ("Bu\u0308CHER.c{0}.de", "xn--bcher-kva.c{0}.de"),
+    ("\u65e5\u672c\u8a9e\u3002c{0}\uff0ejp", "xn--wgv71a119e.c{0}.jp"), ("\uff45\uff58{0}.com", "ex{0}.com"), ("ex\u00adample{0}.com", "example{0}.com"), ("\u2615.c{0}.org", "xn--53h.c{0}.org"),
+    ("\u03b2\u03cc\u03bb\u03bf\u03c2.c{0}.com", "xn--nxasmm1c.c{0}.com"), ("xn--FA-HIA.c{0}.de", "xn--fa-hia.c{0}.de"), ("a\u200db.c{0}.com", None), ("xn--a.c{0}.com", None), ("\u05d0a.c{0}.com", None),
+    ("\u2488.c{0}.com", None), ("\u0646\u0627\u0645\u0647\u200c\u0627\u06cc.com", "xn--mgba3gch31f060k.com"), ("plain-{0}.ORG", "plain-{0}.org"),
+)
+
+
+def _host_case(texts: list[str | None]) -> str:
+    parts = ("NULL" if t is None else "concat(" + ", c_custkey, ".join(f"'{x}'" for x in f"https://{t}/a".split("{0}")) + ")" for t in texts)
+    return f"CASE c_custkey % {len(texts)} " + " ".join(f"WHEN {i} THEN {p}" for i, p in enumerate(parts)) + " END"
+
+
+@query(f"SELECT c_custkey AS id, {_host_case([b for _, b in _HOSTS])} AS address FROM customer")
+def q_foreign_hosts(spark, sf_dir):
+    """Addresses whose hosts have letters of other scripts, or letters that are written in another way."""
+    hosts = F.array(*(F.lit(a) for a, _ in _HOSTS))
+    key = F.col("c_custkey")
+    host = F.replace(F.get(hosts, (key % F.size(hosts)).cast("int")), F.lit("{0}"), _text(key))
+    address = U.resolved_url(F.concat(F.lit("https://"), host, F.lit("/a#b")), F.lit(None).cast("string"))
+    return q._table(spark, sf_dir, "customer").select(key.alias("id"), address.alias("address"))
+
+
 @query("SELECT event_type AS stage, count(*) AS runs, sum(trunc(value * 10)::BIGINT)::BIGINT AS total_ms FROM events GROUP BY 1")
 def q_stage_timings(spark, sf_dir):
     log = q._table(spark, sf_dir, "events").select(F.col("event_type").alias("stage"), (F.col("value") * 10).cast("long").alias("ms"))

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from quadrangle.functions.text import present
 from quadrangle.sources import schema
+from quadrangle.sources.scratch import written
 
 BOM = chr(0xFEFF)
 
@@ -43,25 +45,35 @@ def csv_files(spark: SparkSession, folder: str) -> list[str]:
 
 
 def read_enriched(spark: SparkSession, folder: str) -> DataFrame:
-    """The rows of all CSV files of a folder with file_name and row_number (the header is row 1); rows of blanks alone are
-    left out. Every header must be the exported one, in its order."""
-    names = csv_files(spark, folder)
-    if not names:
+    """The rows of all CSV files of a folder with file_name and row_number (the header is row 1); rows of blanks alone are left out. Every
+    header must be the exported one, in its order; a row with another number of fields fails the read.
+
+    One scan reads all files, their headers as rows, and is written down with numbers that grow within a file, which is never split. One
+    aggregate over it gives each file's first record, which is its header, and the number that its rows count from."""
+    names = schema.ENRICHMENT
+    listed = {name.rsplit("/", 1)[-1] for name in csv_files(spark, folder)}
+    if not listed:
         raise InputError(f"{folder}: there is no CSV file")
-    frames = []
-    for name in names:
-        rows = read_csv(spark, name)
-        if tuple(rows.columns[:-1]) != schema.ENRICHMENT:
-            raise InputError(f"{name}: the header must be {','.join(schema.ENRICHMENT)}")
-        frames.append(rows.select(F.lit(name.rsplit("/", 1)[-1]).alias("file_name"), (F.col("row_no") + 1).alias("row_number"), *schema.ENRICHMENT))
-    every = frames[0]
-    for more in frames[1:]:
-        every = every.unionByName(more)
-    filled = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in schema.ENRICHMENT]
-    from quadrangle.functions.text import present
-
-    some = F.exists(F.array(*(present(c) for c in schema.ENRICHMENT)), lambda x: x)
-    return every.select("file_name", "row_number", *filled).where(some)
+    fields = ", ".join(f"`{c}` string" for c in (*names, "_damaged"))
+    read = spark.read.schema(fields).option("pathGlobFilter", "*.[cC][sS][vV]").option("columnNameOfCorruptRecord", "_damaged")
+    rows = read.csv(folder, header=False, multiLine=True, escape='"', mode="PERMISSIVE")
+    rows = written(rows.select("*", F.col("_metadata.file_name").alias("file_name"), F.monotonically_increasing_id().alias("_at")))
+    first = F.min_by(F.struct(*names, "_damaged"), "_at")
+    files = written(rows.groupBy("file_name").agg(F.min("_at").alias("_from"), first.alias("header"), F.min(F.when(F.col("_damaged").isNotNull(), F.col("_at"))).alias("_bad")))
+    header = [F.trim(F.regexp_replace(F.coalesce(F.col(f"header.{c}"), F.lit("")), f"^{BOM}", "")) == c for c in names]
+    right = F.col("header._damaged").isNull()
+    for same in header:
+        right = right & same
+    known = files.select("file_name", right.alias("right"), (F.col("_bad") - F.col("_from") + 1).alias("bad")).where("not right or bad is not null").orderBy("file_name").limit(20).collect()
+    missing = sorted(listed - {r.file_name for r in files.select("file_name").collect()})  # files without any record
+    wrong = [*(r.file_name for r in known if not r.right), *missing]
+    if wrong:
+        raise InputError(f"{folder}/{', '.join(wrong)}: the header must be {','.join(names)}")
+    if known:
+        raise InputError(f"{folder}/{known[0].file_name}: row {known[0].bad} has another number of fields than the header")
+    numbered = rows.join(files.select("file_name", "_from"), "file_name").withColumn("row_number", F.col("_at") - F.col("_from") + 1).where("row_number > 1")
+    some = F.exists(F.array(*(present(c) for c in names)), lambda x: x)
+    return numbered.select("file_name", "row_number", *(F.coalesce(F.col(c), F.lit("")).alias(c) for c in names)).where(some)
 
 
 def read_report(spark: SparkSession, path: str, field: str = "exactLocationCandidates") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -30,3 +30,10 @@ def written(rows: DataFrame) -> DataFrame:
     path = new_folder(rows.sparkSession)
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def measured(rows: DataFrame, *aggregates: Column) -> tuple[DataFrame, dict]:
+    """rows as a table, and aggregates over them (each with a name) that the job which writes the table finds on its way."""
+    seen = Observation()
+    out = written(rows.observe(seen, *aggregates))
+    return out, seen.get

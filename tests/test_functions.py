@@ -1,9 +1,11 @@
+import unicodedata
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from quadrangle.functions import html_mentions, scoring
+from quadrangle.functions import hosts, html_mentions, scoring
 from quadrangle.functions import text as T
 from quadrangle.functions import urls as U
 
@@ -135,7 +137,7 @@ PAGE = """<html><head><link rel="icon" href="/i.ico"><link rel="manifest" href="
 
 
 def test_mentions():
-    found, manifests = html_mentions.mentions(PAGE, "https://x.edu/")
+    found, manifests = html_mentions.mentions(PAGE, "https://x.edu/"), html_mentions.manifests(PAGE, "https://x.edu/")
     urls = [f[2] for f in found if f[2]]
     assert manifests == ["https://x.edu/m.json"]
     assert urls[0] == "https://x.edu/i.ico" and urls[-1] == "https://x.edu/favicon.ico"
@@ -145,5 +147,45 @@ def test_mentions():
     logo = next(f for f in found if f[2] == "https://x.edu/logo.png")
     assert logo[6].startswith("img(class=site-logo") and "header" in logo[6] and logo[7] == "header"
     assert [u for u, _ in html_mentions.links(PAGE, "https://x.edu/")] == ["https://x.edu/", "https://x.edu/about", "https://other.org/about"]
-    assert html_mentions.mentions("", "https://x.edu/")[0][0][1] == "favicon-fallback"
+    assert html_mentions.mentions("", "https://x.edu/")[0][1] == "favicon-fallback"
     assert html_mentions.described_urls("{&quot;a&quot;: {&quot;SRC&quot;: &quot;u&quot;}}") == ["u"] and html_mentions.described_urls("/a.png") == []
+
+
+@pytest.mark.parametrize(
+    ("host", "expected"),
+    [
+        ("fa\u00df.de", "xn--fa-hia.de"), ("FA\u1e9e.DE", "xn--fa-hia.de"), ("B\u00fccher.example", "xn--bcher-kva.example"), ("bu\u0308cher.example", "xn--bcher-kva.example"),
+        ("\u03b2\u03cc\u03bb\u03bf\u03c2.com", "xn--nxasmm1c.com"), ("\u65e5\u672c\u8a9e\u3002jp", "xn--wgv71a119e.jp"), ("\uff45\uff58\uff0e\uff43om", "ex.com"), ("ex\u00adample.com", "example.com"),
+        ("\u2615.example", "xn--53h.example"), ("XN--FA-HIA.de", "xn--fa-hia.de"), ("Plain.Host_1", "plain.host_1"), ("a..b", "a..b"), ("\ufb01n.fi", "fin.fi"),
+        ("\u0915\u094d\u200d\u0937.com", "xn--11b2ezcw70k.com"), ("\u0646\u0627\u0645\u0647\u200c\u0627\u06cc.com", "xn--mgba3gch31f060k.com"), ("\u05d0\u05d1.com", "xn--4dbc.com"),
+        ("a\u200db.com", None), ("a\u200cb.com", None), ("xn--a.com", None), ("xn--zzzzzz99999.com", None), ("\u0301a.com", None), ("\u202ea.com", None), ("a\ue000.com", None),
+        ("\u05d0a.com", None), ("\u05d01\u0661.com", None), ("1\u05d0.com", None), ("\u2488a.com", None), ("a\u2025b", None), ("xn--FA-ia9b.com", None),
+    ],
+)
+def test_hosts(host, expected):
+    assert hosts.to_ascii(host) == expected
+
+
+def test_hosts_of_other_scripts_in_addresses():
+    assert U.resolved("https://fa\u00df.de/x") == "https://xn--fa-hia.de/x"
+    assert U.resolved("https://a\u200db.com/") is None and U.imported("a\u200db.com") is None
+
+
+@given(st.text(st.characters(exclude_categories=("Cs", "Cn")), min_size=1, max_size=12))
+def test_hosts_do_not_change_again(host):
+    once = hosts.to_ascii(host)
+    assert once is None or (once.isascii() and hosts.to_ascii(once) == once)
+
+
+def test_mapping_like_the_published_table():
+    """Against a copy of the standard's table, where one is installed; code points that this Python does not know are left out."""
+    idna = pytest.importorskip("idna")
+    for code in (*range(128, 0x3400), *range(0xA000, 0xAC00), *range(0xF900, 0x10000), *range(0x10000, 0x1FC00), *range(0xE0000, 0xE0200)):
+        if unicodedata.category(chr(code)) in ("Cn", "Cs"):
+            continue
+        try:
+            theirs = idna.uts46_remap(chr(code), std3_rules=False)
+        except idna.IDNAError:
+            theirs = None
+        mine = hosts.mapped(chr(code))
+        assert (mine and unicodedata.normalize("NFC", mine)) == theirs or (mine is None and theirs is None), hex(code)

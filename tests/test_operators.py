@@ -1,4 +1,6 @@
 import json
+import uuid
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -179,6 +181,42 @@ def test_research_comes_back(spark, catalog, tmp_path):
     assert enrich.reconcile(other, local)[0].first().outcome == "local_website_conflict"
 
 
+def test_a_folder_of_csv_files_is_one_scan(spark, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for i in range(2000):
+        write(folder / f"b{i:04d}.csv", list(schema.ENRICHMENT), [reference(f"i{i}-{j}", "" if j else "https://x.org", name='two ""quoted"",\nlines') for j in range(i % 3)])
+    (folder / "notes.txt").write_text("no csv")
+    spark.sparkContext.setJobGroup("folder", "one folder")
+    rows = files.read_enriched(spark, str(folder))
+    tracker = spark.sparkContext.statusTracker()
+    # a scan of every file would be a job of its own; all files are read by one stage
+    assert len(tracker.getJobIdsForGroup("folder")) < 12
+    got = {(r.file_name, r.row_number, r.id) for r in rows.collect()}
+    assert got == {(f"b{i:04d}.csv", j + 2, f"i{i}-{j}") for i in range(2000) for j in range(i % 3)}
+    assert {r.name for r in rows.select("name").distinct().collect()} == {'two "quoted",\nlines'}
+    write(folder / "b9998.csv", ["id", *schema.ENRICHMENT[1:-1], "site"], [])
+    with pytest.raises(files.InputError, match="b9998.csv: the header must be id,"):
+        files.read_enriched(spark, str(folder))
+    (folder / "b9998.csv").write_text("")
+    with pytest.raises(files.InputError, match="b9998.csv"):
+        files.read_enriched(spark, str(folder))
+    (folder / "b9998.csv").write_text(chr(0xFEFF) + ",".join(schema.ENRICHMENT) + "\r\na,b\r\n")
+    with pytest.raises(files.InputError, match="b9998.csv: row 2 has"):
+        files.read_enriched(spark, str(folder))
+    with pytest.raises(files.InputError, match="no CSV"):
+        files.read_enriched(spark, str(tmp_path))
+
+
+def test_the_gate_reads_the_batch_once(spark, catalog, tmp_path):
+    """The checks run in the job that writes their result; what is done with it afterwards reads that table."""
+    rows = [reference("a", "https://a.org"), reference("b", "https://b.org")]
+    outcomes, fine = enrich.reconcile(files.read_enriched(spark, enriched(tmp_path, "in", rows)), catalog)
+    assert fine and {r.outcome for r in outcomes.collect()} == {"would_update_local", "local_website_conflict"}
+    plan = outcomes._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Join" not in plan and "Window" not in plan and "Python" not in plan
+
+
 def test_one_structural_problem_blocks_all(spark, catalog, tmp_path):
     rows = [reference("a", "https://a.org"), reference("zz", "https://z.org"), reference("g", "https://g.org", "Edited"), reference("e", "", "Equal High", "Bend"), reference("e", "", "Equal High", "Bend"), reference("", "https://q.org")]
     outcomes, fine = enrich.reconcile(files.read_enriched(spark, enriched(tmp_path, "in", rows)), catalog)
@@ -268,6 +306,92 @@ def test_crawl(spark):
     assert [r.page_url for r in visits] == ["https://x.edu/", "https://x.edu/media", "https://x.edu/about"]
 
 
+def test_crawl_meets_shared_and_repeated_pages(spark):
+    schools = spark.createDataFrame([(i, "S", "x.edu") for i in "abc"] + [("d", "T", "none.edu"), ("e", "U", None)], "id string, name string, website string")
+    home = '<a href="/about">about</a><a href="/media">brand logo media</a><a href="/">about us</a><a href="https://y.org/about">z</a>' + "".join(f'<a href="/contact{i}">c</a>' for i in range(50))
+    pages = spark.createDataFrame([("https://x.edu/", home), ("https://x.edu/", home), ("https://x.edu/media", "m"), ("https://x.edu/about", "b"), ("https://x.edu/about", "a"), ("https://x.edu/contact0", None)], "url string, html string")
+    got = candidates.crawl(schools, pages, 4)
+    assert sorted(got.columns) == ["html", "id", "name", "page_url", "root_url", "visit"]
+    rows = sorted((r.id, r.visit, r.page_url.removeprefix("https://x.edu"), r.html) for r in got.collect())
+    assert rows == [(i, *v) for i in "abc" for v in ((0, "/", home), (1, "/media", "m"), (2, "/about", "a"), (3, "/contact0", None))]
+
+
+def test_a_page_with_very_many_mentions(spark):
+    """Mentions leave the task in batches; the worker holds the page and one batch."""
+
+    def parse(batches):
+        import resource
+
+        from quadrangle.functions.html_mentions import streamed
+
+        for b in batches:
+            for html in b["html"]:
+                n = sum(1 for _ in streamed(html * 200_000, "https://x.edu/"))
+                yield b.assign(n=n, mb=resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)[["n", "mb"]]
+
+    image = '<p><img src="/a.png" alt="a picture of the town"></p>'
+    row = spark.createDataFrame([(image,)], "html string").coalesce(1).mapInPandas(parse, "n long, mb long").first()
+    assert row.n == 200_001 and row.mb < 400
+    pages = spark.createDataFrame([("i", "S", "https://x.edu/", image * 30_000), ("j", None, None, None)], "id string, name string, page_url string, html string")
+    found = candidates.page_mentions(pages)
+    assert found.where("id = 'i'").count() == 30_001 and found.where("id = 'i'").select("ord").distinct().count() == 30_001
+    assert found.where("id = 'i'").select("id", "page_url", "name").distinct().count() == 1
+
+
+def counting(folder):
+    """Loads a model that counts its loads and batches in files, and ranks by key, last first."""
+
+    def name(kind):
+        return Path(folder, f"{kind}-{uuid.uuid4().hex}")
+
+    class Counting:  # in a function, so that it travels to the workers
+        def rank(self, shown):
+            raise AssertionError("lists come together")
+
+        def rank_many(self, lists):
+            name(f"batch-{len(lists)}").touch()
+            return [[x["index"] for x in sorted(shown, key=lambda x: x["key"], reverse=True)][:12] + [99, 1, 1] for shown in lists]
+
+    def load():
+        name("load").touch()
+        return Counting()
+
+    return load
+
+
+def tournament(rows, rank):
+    """The two levels for one institution, one after the other."""
+    rankable = [r for r in rows if r[2] != "favicon-fallback"]
+    short = [r for lo in range(0, len(rankable), 36) for r in rank(rankable[lo : lo + 36])]
+    final = short if len(short) <= 12 else rank(short)
+    return {r[3]: i + 1 for i, r in enumerate(final)}
+
+
+def test_a_model_ranks_many_institutions_at_a_time(spark, tmp_path):
+    rows = [(f"i{i}", j + 1, "favicon-fallback" if (i + j) % 9 == 0 else "image-element", f"k{(j * 7919) % 1000:03d}-{i}", (i * j) % 50) for i in range(40) for j in range(i * 3)]
+    inventory = spark.createDataFrame(rows, "id string, inventory_index int, source string, key string, initial_score int").coalesce(2)
+    folder = str(tmp_path)
+    out = selection.ranked_by_text(inventory, counting(folder), model_batch=16).collect()
+
+    def rank(some):
+        best = sorted(some, key=lambda r: r[3], reverse=True)[:12]
+        return best + [r for r in some[:1] if r not in best]  # 99 is no candidate, and each counts once
+
+    final = {(i, k): n for i in {r[0] for r in rows} for k, n in tournament([r for r in rows if r[0] == i], rank).items()}
+    assert {(r.id, r.key): r.final_rank for r in out if r.final_rank and r.source == "image-element"} == final
+    loads, sizes = len(list(tmp_path.glob("load-*"))), [int(p.name.split("-")[1]) for p in tmp_path.glob("batch-*")]
+    lists = sum(-(-len([r for r in rows if r[0] == f"i{i}" and r[2] == "image-element"]) // 36) for i in range(40))
+    assert sum(sizes) >= lists and max(sizes) == 16 and len(sizes) < sum(sizes) / 4 and loads <= 16
+
+    def by_score(some):
+        return sorted(some, key=lambda r: (-r[4], r[3]))[:12]
+
+    out = selection.ranked_by_text(inventory, selection.ScoreRanker()).collect()
+    final = {(i, k): n for i in {r[0] for r in rows} for k, n in tournament([r for r in rows if r[0] == i], by_score).items()}
+    assert {(r.id, r.key): r.final_rank for r in out if r.final_rank and r.source == "image-element"} == final
+    assert len(out) == len(rows)
+
+
 def test_web_manifest(spark):
     rows = spark.createDataFrame([("i", "S", "https://x.edu/m.json", '{"icons":[{"src":"logo.png","sizes":"64x64"},{"sizes":"1"}]}')], "id string, name string, page_url string, manifest string")
     (only,) = candidates.scored(candidates.manifest_mentions(rows)).collect()
