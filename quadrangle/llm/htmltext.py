@@ -1,13 +1,15 @@
 """Main text of web pages by tag-path ratios.
 
 A page is read into blocks of text, each with its tag path: the block-level elements from the root to it, with their classes. Text
-length outside links and punctuation are summed over all blocks of a path; their means per block are the path's ratios. Both rows
-of ratios are smoothed over neighbouring blocks in page order and fused with the path's own; paths whose fused ratio reaches a
-share of the page's mean, weighted by text, are content. The path that holds most content is the article's. Its blocks, and those
-of the paths around and within it, are returned if their path is content; headings, paragraphs and list items that stand directly
-in the article's own element or one around it are, too, unless they are lists of links. Elements that never hold an article (nav, footer,
-forms, ...) are left out. Words of class, id and role that speak of menus, adverts or comments lower a path's ratio to a quarter; an
-<article> or <main> and the first heading raise the weight of what holds them. None of these decides alone.
+length outside links and punctuation are summed over all blocks of a path; their means per block are the path's ratios. Both rows of
+ratios are smoothed over neighbouring blocks in page order and fused with the path's own. Paths whose fused ratio reaches a share of the
+page's mean, weighted by text, are content, and the blocks of these paths are the result, but for lesser headings that other text follows; nothing else adds a block.
+
+What a page's markup says only weighs a path's ratio: elements that seldom hold an article (nav, footer, form, ...) and words of class, id
+and role that speak of menus, adverts or comments lower it, each for itself; <article> and <main>, the surroundings of the first heading,
+headings and list items raise it; elements that stand beside others of the same path, each with its own text and no heading first, as
+comments do, lower it. Since the threshold is relative, what holds the whole page changes nothing. Text that is not shown
+(head, template, hidden elements, ...) and controls (button, select) are left out before.
 
 Work grows with the page's length, whatever its depth.
 
@@ -28,9 +30,12 @@ from pyspark.sql import functions as F
 
 # Elements of HTML, by what they mean here.
 RAW = "script style textarea title iframe noembed noframes xmp"
-DROPPED = {"head", "nav", "footer", "aside", "form", "noscript", "template", "button", "select", "option", "svg", "math", "dialog", "menu", "object", "canvas", "audio", "video", "map", "datalist"}
-BLOCKS = DROPPED | {
-    "html", "body", "div", "p", "section", "article", "main", "header", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "li", "dl", "dt", "dd",
+NOT_SHOWN = {"head", "noscript", "template", "button", "select", "option", "svg", "math", "object", "canvas", "audio", "video", "map", "datalist"}
+ASIDE = {"nav", "footer", "aside", "form", "dialog", "menu", "header"}
+ITEMS = {"li", "dt", "dd", "blockquote", "pre", "figcaption", "caption", "td", "th"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+BLOCKS = NOT_SHOWN | ASIDE | {
+    "html", "body", "div", "p", "section", "article", "main", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "li", "dl", "dt", "dd",
     "table", "caption", "thead", "tbody", "tfoot", "tr", "td", "th", "fieldset", "legend", "blockquote", "pre", "figure", "figcaption", "address", "details",
     "summary", "center", "hgroup", "search",
 }
@@ -52,6 +57,8 @@ MARKS = set(
     " subscribe subscription signup login share sharing social related recommended recommendations widget widgets toolbar pagination pager copyright disclaimer skip"
     " search form complementary contentinfo dialog hidden".split()
 )
+#: Words beside these that say that it is one: content-with-sidebar.
+SPEAKING = set("content article main post entry story".split())
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -65,11 +72,14 @@ NAMED = re.compile(r"\b(class|id|role|aria-hidden|hidden|style)\b(?:\s*=\s*(?:\"
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 CLASS = re.compile(r"\b(class)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 #: Blocks of running text; what else holds text is a part of the page.
-PROSE = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "li", "dl", "dt", "dd", "blockquote", "pre", "figure", "figcaption", "table", "caption", "thead", "tbody", "tfoot", "tr", "td", "th", "header", "hgroup", "address"}
-#: Threshold of a path as a share of the page's mean ratio; weights of a mark, of an article or main element, and of the first heading.
-SHARE, MARKED, ARTICLE, HEADING = 0.4, 0.25, 4.0, 2.0
-#: Part of a path's own ratios in the fused one; the rest is that of its surroundings.
-OWN = 0.75
+PROSE = HEADINGS | {"p", "ul", "ol", "li", "dl", "dt", "dd", "blockquote", "pre", "figure", "figcaption", "table", "caption", "thead", "tbody", "tfoot", "tr", "td", "th", "header", "hgroup", "address"}
+#: Threshold of a path as a share of the page's mean ratio, and part of a path's own ratios in the fused one; the rest is that of its surroundings.
+SHARE, OWN = 0.4, 0.6
+#: Code points and punctuation marks of a block beyond which it says no more of its path.
+LONG, MANY = 400, 10
+#: Weights of a mark, of an element that seldom holds an article, of elements that repeat, and of an article, a main element, the
+#: surroundings of the first heading, headings and list items.
+MARKED, BESIDE, REPEATED, ARTICLE, MAIN, FIRST, HEADING, ITEM = 0.15, 0.05, 0.15, 3.0, 1.5, 2.0, 6.0, 3.0
 PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 
 
@@ -87,19 +97,19 @@ def _marked(attrs: str, within: bool) -> bool:
     """within: inside an article, where a header is the article's own."""
     for m in NAMED.finditer(attrs):
         if m[1].lower() in ("class", "id", "role"):
-            words = map(str.lower, WORD.findall(m[2] or m[3] or m[4] or ""))
-            if any(w in MARKS and not (within and w == "header") for w in words):
+            words = {w.lower() for w in WORD.findall(m[2] or m[3] or m[4] or "")}
+            if words & (MARKS - {"header"} if within else MARKS) and not words & SPEAKING:
                 return True
     return False
 
 
 class Page:
     """Blocks of text in page order and the elements around them. Element 0 is the page itself; of every element there is its parent,
-    tag, tag path (a number), the element that holds its text as prose, and whether it or one around it is dropped or marked."""
+    tag, tag path (a number), the element that holds its text as prose, whether it is shown, its weight and whether it is in an article."""
 
     def __init__(self) -> None:
         self.tag, self.parent, self.path, self.holder = ["#"], [-1], [0], [0]
-        self.dropped, self.marked, self.article, self.listed = [False], [False], [False], [False]
+        self.shown, self.weight, self.article = [True], [1.0], [False]
         self.paths: dict[tuple[int, str], int] = {}
         self.element: list[int] = []  # of each block, like the following
         self.text: list[str] = []
@@ -110,13 +120,21 @@ class Page:
         path = self.paths.setdefault((self.path[parent], f"{tag}.{name}"), len(self.paths) + 1)
         within = self.article[parent]
         own = bool(attrs) and not attrs.isspace() and tag not in ("html", "body", "main")
+        weight = self.weight[parent]
+        if tag in ASIDE and not (tag == "header" and within):
+            weight *= BESIDE
+        if own and _marked(attrs, within):
+            weight *= MARKED
+        if tag == "article" and not within:
+            weight *= ARTICLE
+        elif tag == "main":
+            weight *= MAIN
         self.tag.append(tag)
         self.parent.append(parent)
         self.path.append(path)
-        self.dropped.append(self.dropped[parent] or tag in DROPPED or tag == "header" and not within or own and _hidden(attrs))
-        self.marked.append(self.marked[parent] or own and _marked(attrs, within))
+        self.shown.append(self.shown[parent] and tag not in NOT_SHOWN and not (own and _hidden(attrs)))
+        self.weight.append(weight)
         self.article.append(within or tag in ("article", "main"))
-        self.listed.append(self.listed[parent] or tag in ("ul", "ol", "li"))
         at = len(self.tag) - 1
         self.holder.append(self.holder[parent] if tag in PROSE else at)
         return at
@@ -206,66 +224,90 @@ def _smoothed(values: list[float]) -> list[float]:
     return out
 
 
-def path_ratios(page: Page, blocks: list[int]) -> dict[int, float]:
-    """The fused ratio of every tag path: text outside links and punctuation for each block of the path, both smoothed over the page."""
+def _repeated(page: Page, blocks: list[int]) -> set[int]:
+    """Elements that stand beside another of the same path, where they hold several texts and do not begin with a heading, as comments do."""
+    first: dict[int, str] = {}
+    texts: Counter = Counter()
+    for b in blocks:
+        e = page.holder[page.element[b]]
+        while e:  # a unit's texts can stand one element deeper; a deeper one is a unit of its own
+            first.setdefault(e, page.tag[page.element[b]])
+            texts[e] += 1
+            if page.holder[page.element[b]] != e:
+                break
+            e = page.parent[e]
+    kinds: dict[tuple[int, int], list[int]] = {}
+    for e in first:
+        kinds.setdefault((page.parent[e], page.path[e]), []).append(e)
+    return {e for units in kinds.values() if len(units) > 1 and sum(texts[e] for e in units) >= 2 * len(units) for e in units if first[e] not in HEADINGS and page.tag[e] not in ("section", "article", "body")}
+
+
+def _around_first_heading(page: Page, blocks: list[int]) -> set[int]:
+    """The element that holds the first heading with text beside it, and those within; a heading alone in its element speaks for the
+    element around."""
+    h1 = next((b for b in blocks if page.tag[page.element[b]] == "h1" and page.weight[page.element[b]] >= 1), None)
+    if h1 is None:
+        return set()
+    texts = Counter(page.holder[page.element[b]] for b in blocks)
+    at = page.holder[page.element[h1]]
+    while at and page.parent[at] > 0 and texts[at] < 2:
+        at = page.holder[page.parent[at]]
+    inside = {at}
+    for e in range(at + 1, len(page.tag)):  # an element comes after the one around it
+        if page.parent[e] in inside:
+            inside.add(e)
+    return inside
+
+
+def path_ratios(page: Page, blocks: list[int]) -> tuple[dict[int, float], dict[int, float]]:
+    """The fused ratio of every tag path: text outside links and punctuation for each block of the path, both smoothed over the page, and
+    weighted by what the markup says; and the weights of running text."""
     sums: dict[int, list[int]] = {}
     for b in blocks:
         s = sums.setdefault(page.path[page.element[b]], [0, 0, 0])
         s[0] += 1
-        s[1] += max(0, len(page.text[b]) - page.links[b])
-        s[2] += len(PUNCTUATION.findall(page.text[b]))
+        s[1] += min(LONG, max(0, len(page.text[b]) - page.links[b]))
+        s[2] += min(MANY, len(PUNCTUATION.findall(page.text[b])))
     rows = [sums[page.path[page.element[b]]] for b in blocks]
     text = [t / n for n, t, _ in rows]
     marks = [1 + p / n for n, _, p in rows]
+    again, near_heading = _repeated(page, blocks), _around_first_heading(page, blocks)
     fused: dict[int, list[float]] = {}
+    weights = {}
     for b, t, p, near_t, near_p in zip(blocks, text, marks, _smoothed(text), _smoothed(marks), strict=True):
-        value = math.sqrt(t * p) ** OWN * math.sqrt(near_t * near_p) ** (1 - OWN)
-        fused.setdefault(page.path[page.element[b]], []).append(value * (MARKED if page.marked[page.element[b]] else 1))
-    return {path: sum(v) / len(v) for path, v in fused.items()}
+        e = page.element[b]
+        tag = page.tag[e]
+        kind = HEADING if tag in HEADINGS else ITEM if tag in ITEMS else 1
+        weight = page.weight[e] * (REPEATED if {page.holder[e], page.parent[page.holder[e]]} & again else 1) * (FIRST if e in near_heading else 1)
+        fused.setdefault(page.path[e], []).append(kind * weight * math.sqrt(t * p) ** OWN * math.sqrt(near_t * near_p) ** (1 - OWN))
+        if kind == 1:
+            weights[b] = weight
+    return {path: sum(v) / len(v) for path, v in fused.items()}, weights or dict.fromkeys(blocks, 1.0)
 
 
 def main_text(page: str | None, share: float = SHARE) -> str:
-    """The article's blocks joined by line feeds. share: of the mean fused ratio, weighted by text, the threshold of a path."""
+    """The blocks of content joined by line feeds. share: of the mean fused ratio, weighted by text, the threshold of a path."""
     p = read(page or "")
-    blocks = [b for b in range(len(p.text)) if not p.dropped[p.element[b]]]
+    blocks = [b for b in range(len(p.text)) if p.shown[p.element[b]]]
     if not blocks:
         return ""
-    ratio = path_ratios(p, blocks)
-    of = [ratio[p.path[p.element[b]]] for b in blocks]
-    size = [len(p.text[b]) for b in blocks]
-    least = share * sum(r * n for r, n in zip(of, size, strict=True)) / sum(size)
-    content = {b for b, r in zip(blocks, of, strict=True) if r >= least and 2 * p.links[b] <= len(p.text[b])} or set(blocks)
-    # the holder's path with the most content is the article's; an article or main element and a first heading speak for it
-    mass: dict[int, float] = {}
-    for b in content:
-        e = p.holder[p.element[b]]
-        mass[p.path[e]] = mass.get(p.path[e], 0) + len(p.text[b]) * ratio[p.path[p.element[b]]] * (ARTICLE if p.article[e] else 1)
-    heading = next((p.holder[p.element[b]] for b in blocks if p.tag[p.element[b]] == "h1"), None)
-    if heading is not None and p.path[heading] in mass:
-        mass[p.path[heading]] *= HEADING
-    above = {path: parent for (parent, _), path in p.paths.items()}
-    best = max(mass, key=lambda path: (mass[path], -path))
-    line = {best}
-    while best in above:
-        best = above[best]
-        line.add(best)
-    main = max(line, key=lambda x: mass.get(x, 0)) if line else 0
-    inside: dict[int, bool] = {}
-    for path in sorted(above):  # a path comes after the one that it continues
-        inside[path] = path == main or inside.get(above[path], False)
-    inside[0] = main == 0
-    open_marks = any(p.marked[p.element[b]] for b in content if p.path[p.holder[p.element[b]]] == main)  # the article's own do not count
-    out = []
-    for b in blocks:
-        e = p.element[b]
-        holder = p.path[p.holder[e]]
-        if not (inside[holder] or holder in line):
-            continue
-        # a heading, paragraph or list item of the article's own holders may be short; other blocks stand by their path
-        own = p.tag[e] in PROSE and holder in line and (open_marks or not p.marked[e]) and (2 * p.links[b] <= len(p.text[b]) or not p.listed[e])
-        if b in content or own:
+    ratio, weight = path_ratios(p, blocks)
+    size = {b: len(p.text[b]) for b in blocks}
+    least = share * sum(ratio[p.path[p.element[b]]] * size[b] * w for b, w in weight.items()) / sum(size[b] * w for b, w in weight.items())
+    linked: dict[int, list[int]] = {}
+    for b, n in size.items():
+        s = linked.setdefault(p.path[p.element[b]], [0, 0])
+        s[0] += p.links[b]
+        s[1] += n
+    content = {path for path, (links, n) in linked.items() if ratio[path] >= least and 2 * links <= n}
+    out, follows = [], True
+    for b in reversed(blocks):
+        chosen, tag = p.path[p.element[b]] in content, p.tag[p.element[b]]
+        if chosen and (follows or tag == "h1" or tag not in HEADINGS):
             out.append(p.text[b])
-    return "\n".join(out)
+        if tag not in HEADINGS:
+            follows = chosen
+    return "\n".join(reversed(out))
 
 
 def extract(pages: DataFrame, share: float = SHARE) -> DataFrame:

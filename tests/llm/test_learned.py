@@ -75,6 +75,89 @@ def test_ratios_decide():
     assert htmltext.main_text(noisy(), share=0.0) != expected  # without the threshold the page's other blocks stay
 
 
+PARA, FOOT = f"<p>{LONG}</p>", "<footer><p>Copyright 2020 by us, all rights reserved.</p></footer>"
+
+
+def comments(head="", tag="div"):
+    return f"<div class=z>{''.join(f'<{tag} class=q>{head}<p>{LONG} {LONG}</p></{tag}>' for _ in range(3))}</div>"
+
+
+TEMPLATES = {
+    "sections": (f"{MENU}<main><section class=s1><h2>One</h2>{PARA}</section><section class=s2><h2>Two</h2>{PARA}</section><section class=s3>{PARA}</section></main>{FOOT}", ["One", LONG, "Two", LONG, LONG]),
+    "split wrappers": (f"{MENU}<div class=a>{PARA}</div><div class=b>{PARA}</div><div class=c>{PARA}</div>{FOOT}", [LONG] * 3),
+    "title apart": (f"{MENU}<div class=w><div class=t><h1>The title</h1></div><div class=body>{PARA * 3}</div></div>{FOOT}", ["The title", *[LONG] * 3]),
+    "comments with authors": (f"{MENU}<div class=w><h1>T</h1>{PARA * 2}</div>{comments('<span>Ann</span>')}{FOOT}", ["T", LONG, LONG]),
+    "comments after an article": (f"{MENU}<article><h1>T</h1>{PARA * 2}</article>{comments()}{FOOT}", ["T", LONG, LONG]),
+    "comments without a title": (f"{MENU}<div class=w>{PARA * 2}</div>{comments('<div class=u>Ann</div>')}{FOOT}", [LONG, LONG]),
+    "comments within an article": (f"{MENU}<article><h1>T</h1>{PARA * 2}{comments('<i>Ann, today</i>')}</article>{FOOT}", ["T", LONG, LONG]),
+    "page in a form": (f"<form action=/>{MENU}<div class=x><h1>Title</h1>{PARA * 2}</div>{FOOT}</form>", ["Title", LONG, LONG]),
+    "form in main": (f"<main><form>{PARA}</form></main>", [LONG]),
+    "advert of its own class": (f"{MENU}<article><h1>T</h1>{PARA}<p class=zz>Buy cheap shoes now</p>{PARA}</article>", ["T", LONG, LONG]),
+    "list": (f"{MENU}<article><h1>T</h1>{PARA}<ul><li>One item</li><li>Two items</li></ul>{PARA}</article>", ["T", LONG, "One item", "Two items", LONG]),
+    "long list": (f"{MENU}<article><h1>T</h1>{PARA}<ul>{''.join(f'<li>Item number {i}</li>' for i in range(12))}</ul>{PARA}</article>", ["T", LONG, *(f"Item number {i}" for i in range(12)), LONG]),
+    "line breaks": (f"{MENU}<div id=c>{LONG}<br><br>{LONG}</div>{FOOT}", [f"{LONG} {LONG}"]),
+    "short paragraphs": (f"{MENU}<article><h1>Title here</h1><p>Short one.</p>{PARA}<p>No.</p></article>", ["Title here", "Short one.", LONG, "No."]),
+    "cookie notice": (f"<div class='cookie-notice'>{PARA}</div>{MENU}<div class=c>{PARA * 2}</div>", [LONG, LONG]),
+    "aside": (f"<article><h1>T</h1>{PARA}<aside>{PARA}</aside>{PARA}</article>", ["T", LONG, LONG]),
+    "quotation and code": (f"<article><h1>T</h1>{PARA}<blockquote>A quoted line, of someone.</blockquote><pre>code = 1</pre>{PARA}</article>", ["T", LONG, "A quoted line, of someone.", "code = 1", LONG]),
+    "headings and a box of links": (
+        f"{MENU}<div class=c><h1>T</h1>{PARA}<h2>Sub</h2>{PARA * 2}<h3>Deep</h3>{PARA}</div><div class=side><h3>Most read</h3><ul><li><a href=/1>Some long headline of an article</a></li></ul></div>{FOOT}",
+        ["T", LONG, "Sub", LONG, LONG, "Deep", LONG],
+    ),
+    "paragraphs as divs": (f"<div class=m><div class=t>Tiny</div>{''.join(f'<div class=para>{LONG}</div>' for _ in range(4))}</div>", [LONG] * 4),
+    "wrapped paragraphs": (f"{MENU}<h1>T</h1><div class=lead>{PARA}</div><div class=all>{''.join(f'<div class=par>{PARA}</div>' for _ in range(8))}</div>{FOOT}", ["T", *[LONG] * 9]),
+    "several posts": (f"{MENU}<main>{''.join(f'<article class=post><h2>Post {i}</h2>{PARA * 2}</article>' for i in range(3))}</main>{FOOT}", [x for i in range(3) for x in (f"Post {i}", LONG, LONG)]),
+    "table layout": (f"<table><tr><td class=l><a href=/>Home</a><br><a href=/x>Else</a></td><td class=m><h1>Head</h1>{PARA * 2}</td></tr></table>", ["Head", LONG, LONG]),
+}
+
+
+@pytest.mark.parametrize("name", list(TEMPLATES))
+def test_templates(name):
+    html, expected = TEMPLATES[name]
+    assert htmltext.main_text(page(html)).split("\n") == expected
+
+
+def test_the_threshold_decides(spark, sf_dir):
+    """Without it all of a page comes out, on every page of the driver and on nearly all templates; with a high one nothing short of the best path."""
+    pages = [r.html for r in spark.read.parquet(f"{sf_dir}/pages.parquet").select("html").collect()]
+    assert all(len(htmltext.main_text(p, share=0.0)) > len(htmltext.main_text(p)) > len(htmltext.main_text(p, share=1.5)) for p in pages)
+    assert sum(htmltext.main_text(page(h), share=0.0) != "\n".join(e) for h, e in TEMPLATES.values()) >= 15
+    for html, _ in TEMPLATES.values():  # blocks leave as the threshold grows, none comes
+        sizes = [len(htmltext.main_text(page(html), share=s)) for s in (0, 0.2, 0.4, 0.8, 1.2, 3)]
+        assert sizes == sorted(sizes, reverse=True)
+
+
+def plain_ratios(blocks):
+    """Path ratios of (path, text) blocks without links or markup, one after the other, as the method is told."""
+    import math
+    import re
+
+    of = {}
+    for path, text in blocks:
+        of.setdefault(path, []).append((min(htmltext.LONG, len(text)), min(htmltext.MANY, len(re.findall(r"[.,;:!?]", text)))))
+    mean = {p: (sum(t for t, _ in v) / len(v), 1 + sum(m for _, m in v) / len(v)) for p, v in of.items()}
+    out = {}
+    for i, (path, _) in enumerate(blocks):
+        near = [0.0, 0.0, 0.0]
+        for j in range(max(0, i - 2), min(len(blocks), i + 3)):
+            w = math.exp(-((i - j) ** 2) / 2)
+            near = [near[0] + w, near[1] + w * mean[blocks[j][0]][0], near[2] + w * mean[blocks[j][0]][1]]
+        own, around = math.sqrt(mean[path][0] * mean[path][1]), math.sqrt(near[1] * near[2]) / near[0]
+        out.setdefault(path, []).append(own**htmltext.OWN * around ** (1 - htmltext.OWN))
+    return {p: sum(v) / len(v) for p, v in out.items()}
+
+
+def test_ratios_like_brute_force():
+    rnd = random.Random(5)
+    for _ in range(50):
+        blocks = [(rnd.choice("abc"), "word, " * rnd.randint(1, 120)) for _ in range(rnd.randint(1, 12))]
+        read = htmltext.read("<body>" + "".join(f"<section class={c}>{t}</section>" for c, t in blocks))
+        ratio, weights = htmltext.path_ratios(read, list(range(len(blocks))))
+        wanted = plain_ratios([(c, t.strip()) for c, t in blocks])
+        got = {c: ratio[read.path[read.element[b]]] for b, (c, _) in enumerate(blocks)}
+        assert got == pytest.approx(wanted) and set(weights.values()) == {1.0}
+
+
 def test_deep_and_long_pages():
     """Work grows with the page, not with its depth; nothing is cut off."""
     import time
