@@ -35,6 +35,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from quadrangle.llm import common as c
 from quadrangle.llm import rounds
@@ -50,6 +51,8 @@ STEP_BYTES = 1 << 20
 #: Words of 64 parity bits of a line's tokens.
 PARITY = 4
 NEWLINE = 10
+#: White space: 0x20 and 0x09 to 0x0D.
+BLANKS = " \t\n\x0b\x0c\r"
 # Code points of scripts that are written without spaces, from and to.
 UNSPACED = ((0x0E00, 0x0F00), (0x1000, 0x10A0), (0x1780, 0x1800), (0x2E80, 0xA4D0), (0xF900, 0xFB00), (0xFE30, 0xFE50), (0xFF00, 0xFFF0), (0x1F000, 0x40000))
 
@@ -452,6 +455,20 @@ def line_classes(docs: DataFrame) -> DataFrame:
     return out
 
 
+@F.arrow_udf(StringType())
+def _without(texts: pa.Array, numbers: pa.Array) -> pa.Array:
+    """Texts without the lines of the given numbers (from 0); null if no line that is not blank is left."""
+    out = []
+    for text, gone in zip(texts, numbers, strict=True):
+        if not text.is_valid or not gone.is_valid:
+            out.append(None)
+            continue
+        away = set(gone.as_py())
+        lines = [x for i, x in enumerate(text.as_py().split("\n")) if i not in away]
+        out.append("\n".join(lines) if any(x.strip(BLANKS) for x in lines) else None)
+    return pa.array(out, pa.string())
+
+
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """docs with the lines removed that are not the first of their class; documents left without a line that is not blank are dropped,
     documents that had no text stay. All columns are kept; n_chars, if there, is that of a changed text."""
@@ -461,11 +478,12 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     gone = c.cut(gone.agg(F.collect_set("line_no").alias(gone_col)))
     own.clear()
     joined = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(F.col(at)) & (c.text_hash() == F.col(key)), "left")
-    lines = F.split(F.col("text"), "\n", -1)
-    left = F.filter(lines, lambda x, i: ~F.array_contains(F.col(gone_col), i))
-    kept = joined.where(F.col(gone_col).isNull() | F.exists(left, lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
     changed = F.col(gone_col).isNotNull()
-    out = kept.withColumn("text", F.when(changed, F.array_join(left, "\n")).otherwise(F.col("text")))
+    left = c.fresh("left", joined)
+    # one pass over a text's lines, of changed texts alone
+    cut = joined.withColumn(left, _without(F.when(changed, F.col("text").cast("string")), F.col(gone_col)))
+    kept = cut.where(~changed | F.col(left).isNotNull())
+    out = kept.withColumn("text", F.when(changed, F.col(left)).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return out.drop(gone_col, at, key)
+    return out.drop(gone_col, at, key, left)

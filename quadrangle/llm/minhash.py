@@ -8,9 +8,10 @@ cost of a few hashes for each element. Documents that agree in all rows of a ban
 the full sets of 64-bit shingle hashes.
 
 Defined cases: null or empty text, or text without a word, gives an empty set, which is linked with nothing. Rows with
-equal sets are one class. A null doc_id takes no part in links. Rows that share a doc_id keep a row each, and each has the links of
-its own text; copies of a row are one node, and all are kept if their doc_id is the component's. Other columns of the input
-are ignored.
+equal sets are one class. A row with a null doc_id links like any other, so that chains over it hold; a component is named after its
+smallest doc_id that is not null, null if it has none, and its rows without a doc_id are kept in that case only. Rows that share a doc_id
+keep a row each, and each has the links of its own text; copies of a row are one node, and all are kept if their doc_id is the
+component's. Other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -143,7 +144,7 @@ def signatures(docs: DataFrame, words: int, bands: int = BANDS, rows: int = ROWS
 def set_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """id, z: a compressed text of each wanted set (id, doc_id, t). The join is by sorting at any size: texts, not keys, are what moves."""
     keys = wanted.select("id", F.col("doc_id").alias("w_id"), F.col("t").alias("w_t")).hint("merge")
-    met = c.packed_texts(docs).join(keys, (F.col("doc_id") == F.col("w_id")) & (F.col("t") == F.col("w_t")))
+    met = c.packed_texts(docs).join(keys, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("t") == F.col("w_t")))
     return met.select("id", "z").dropDuplicates(["id"])
 
 
@@ -186,10 +187,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     """
     own = c.Scratch(docs.sparkSession)
     sig = own.cut(signatures(docs, words, bands, rows))
-    real = sig.where("n_shingles > 0 and doc_id is not null")
+    real = sig.where("n_shingles > 0")
     parity = [f"p{i}" for i in range(PARITY)]
     some = F.any_value(F.struct("n_shingles", "bands", "parity")).alias("s")
-    sets = real.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "t")).alias("rep"), some)
+    sets = real.groupBy("k1", "k2").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t")).alias("rep"), some)
     sets = own.cut(sets.select(F.monotonically_increasing_id().alias("id"), "k1", "k2", "rep.doc_id", "rep.t", F.col("s.n_shingles").alias("n"), "s.bands", "s.parity"))
     members = sets.select(F.explode("bands").alias("key"), "id", "n", *(F.col("parity")[i].alias(p) for i, p in enumerate(parity)))
     differ = sum((F.bit_count(F.col(p).bitwiseXOR(F.col(f"l_{p}"))) for p in parity), F.lit(0))
@@ -213,9 +214,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     else:
         classes = classes.select("k1", "k2", F.col("id").alias("group"), F.col("rep").alias("component"))
     out = sig.select("doc_id", "t", "n_shingles", "k1", "k2").join(own.cut(classes), ["k1", "k2"], "left")
-    component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id"))
+    component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     out = out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("t").alias("text_hash"), "group")
-    out = out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    out = out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     done = c.cut(out)
     own.clear()
     return done

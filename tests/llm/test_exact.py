@@ -436,20 +436,48 @@ def shingles(text, words):
     return {tuple(w[i : i + words]) for i in range(max(1, len(w) - words + 1))} if w else set()
 
 
+def near_rows(rows, words):
+    """doc_id, n_shingles, component_id, kept of (doc_id, text) rows, null doc_ids among them."""
+    sets, least = [shingles(t, words) for _, t in rows], {}
+    for i in sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0)):
+        todo = [] if i in least else [i]
+        while todo:
+            x = todo.pop()
+            if x not in least:
+                least[x] = rows[i][0]
+                todo += [y for y in range(len(rows)) if y not in least and sets[x] and sets[y] and 100 * len(sets[x] & sets[y]) >= 80 * len(sets[x] | sets[y])]
+    return [(d, len(sets[i]), least[i], d == least[i]) for i, (d, _) in enumerate(rows)]
+
+
+def test_chains_over_rows_without_an_id(spark):
+    """1 - null - 2: the ends are linked only by a row without a doc_id; components of such rows alone have no name and keep them."""
+    words = [f"w{i}" for i in range(60)]
+    first, middle, last = " ".join(words[:40]), " ".join(words[4:44]), " ".join(words[8:48])
+    lone = " ".join(words[50:])
+    rows = [(2, first), (None, middle), (1, last), (None, lone), (None, lone + " x"), (None, ""), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = minhash.near_duplicates(docs, 2).select("doc_id", "n_shingles", "component_id", "kept")
+    same_rows(out, near_rows(rows, 2))
+    assert {(r.doc_id, r.component_id) for r in out.where("n_shingles > 20").collect()} == {(2, 1), (None, 1), (1, 1)}
+    left = minhash.first_of_each(docs, 2).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in left) == sorted([(0, middle), (1, last), (0, lone), (0, lone + " x"), (0, ""), (5, "")])
+
+
+def test_lines_are_cut_in_one_pass(spark):
+    """The time grows with a text's lines, not with their square."""
+    import time
+
+    n = 500_000
+    rows = spark.range(1).select(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: i.cast("string")), "\n").alias("t"), F.sequence(F.lit(0), F.lit(n - 1), F.lit(2)).alias("gone"))
+    began = time.perf_counter()
+    (row,) = rows.select(linedup._without("t", "gone").alias("x"), linedup._without("t", F.sequence(F.lit(0), F.lit(n - 1))).alias("y")).collect()
+    assert row.x == "\n".join(map(str, range(1, n, 2))) and row.y is None and time.perf_counter() - began < 30
+
+
 @pytest.mark.parametrize("words", [2, 5])
 def test_minhash_like_brute_force(documents, words):
     docs = documents(10)
-    rows = set(pairs_of(docs))
-    sets = {d: shingles(t, words) for d, t in rows if d is not None}
-    comp = {}
-    for d in sorted(sets):
-        todo = [] if d in comp else [d]
-        while todo:
-            x = todo.pop()
-            if x not in comp:
-                comp[x] = d
-                todo += [y for y in sets if y != x and sets[x] and sets[y] and 100 * len(sets[x] & sets[y]) >= 80 * len(sets[x] | sets[y])]
-    expected = [(d, len(shingles(t, words)), comp[d] if d is not None else None, d is None or comp[d] == d) for d, t in pairs_of(docs)]
+    expected = near_rows(pairs_of(docs), words)
     same_rows(minhash.near_duplicates(docs, words).select("doc_id", "n_shingles", "component_id", "kept"), expected)
 
 
