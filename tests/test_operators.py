@@ -235,12 +235,44 @@ def test_export(spark, catalog, tmp_path):
 
 
 def test_reports(spark, tmp_path):
-    rows = spark.createDataFrame([('a"b', None, "x,y\n" + chr(0))], "p string, q string, r string")
-    assert reports.write_report_csv(rows, str(tmp_path / "r.csv")) == 1
-    assert (tmp_path / "r.csv").read_bytes().decode() == chr(0xFEFF) + 'p,q,r\r\n"a""b",,"x,y\n "\r\n'
-    assert "&lt;" in reports.review_page(spark.createDataFrame([("<",)], "c string"), "t")
-    (tmp_path / "audit.json").write_text(json.dumps({"exactLocationCandidates": [{"key": "k", "rows": []}]}, indent=2))
-    assert files.read_report(spark, str(tmp_path / "audit.json")).first().key == "k"
+    rows = spark.createDataFrame([('a"b', None, "x,y\n" + chr(0)), ("z", "1", "<&'")], "p string, q string, r string").repartition(3).sortWithinPartitions("p")
+    path = tmp_path / "r.csv"
+    path.write_text("old")
+    for nul, shown in ((" ", " "), (None, chr(0))):
+        assert reports.write_report_csv(rows.orderBy("p"), str(path), nul) == 2
+        assert path.read_bytes().decode() == chr(0xFEFF) + f'p,q,r\r\n"a""b",,"x,y\n{shown}"\r\nz,1,<&\'\r\n'
+    assert reports.write_report_csv(rows.limit(0), str(path)) == 0 and path.read_bytes().decode() == chr(0xFEFF) + "p,q,r\r\n"
+    reports.write_review_page(rows.orderBy("p"), str(tmp_path / "r.html"), "t & u")
+    page = (tmp_path / "r.html").read_text()
+    assert "<title>t &amp; u</title>" in page and "<tr><td>z</td><td>1</td><td>&lt;&amp;&#x27;</td></tr>" in page and page.index("a&quot;b") < page.index("<td>z")
+    many = spark.range(3000, numPartitions=7).select(F.col("id"), F.concat(F.lit('v"'), "id").alias("v"))
+    assert reports.write_report_csv(many, str(path)) == 3000
+    lines = path.read_text(encoding="utf-8-sig").splitlines()
+    assert lines[1:] == [f'{i},"v""{i}"' for i in range(3000)]
+    table = str(tmp_path / "table")
+    reports.append_csv_table(many, table)
+    reports.append_csv_table(many.limit(10), table)
+    assert spark.read.csv(table, header=True, escape='"').where('v like \'v"%\'').count() == 3010
+    assert not [p for p in tmp_path.iterdir() if not p.name.startswith(".") and (".csv." in p.name or ".html." in p.name)]
+
+
+def test_nested_report(spark, catalog, tmp_path):
+    """The report that an audit writes is one JSON document, and the review reads its groups back."""
+    rows = spark.createDataFrame([(f"k{i % 5}" if i < 60 else f"u{i}", f"id{i}", None if i % 3 else f'n"{i}') for i in range(70)] + [("k1", "id1", None)] * 2, "group_key string, id string, name string")
+    groups = rows.groupBy("group_key").agg(F.count("*").alias("size")).where("size > 1").withColumn("candidateType", F.lit("same_name_state"))
+    path, none = str(tmp_path / "audit.json"), groups.limit(0)
+    members = rows.join(groups.select("group_key"), "group_key", "left_semi")
+    reports.write_nested_json({"mode": "read-only", "totals": {"groups": 5}}, {"empty": (none, members.limit(0)), "sameNameStateCandidates": (groups, members)}, path)
+    document = json.loads((tmp_path / "audit.json").read_text())
+    assert list(document) == ["mode", "totals", "empty", "sameNameStateCandidates"] and document["totals"] == {"groups": 5} and document["empty"] == []
+    found = document["sameNameStateCandidates"]
+    assert [(g["key"], g["size"]) for g in found] == [("k1", 14), ("k0", 12), ("k2", 12), ("k3", 12), ("k4", 12)]
+    assert sorted(str((g["key"], m["id"], m["name"])) for g in found for m in g["rows"]) == sorted(str((r.group_key, r.id, r.name)) for r in members.collect())
+    assert all(len(g["rows"]) == g["size"] for g in found)
+    back = files.read_report(spark, path, "sameNameStateCandidates")
+    assert {(r.key, r.candidateType, len(r.rows)) for r in back.collect()} == {(g["key"], "same_name_state", g["size"]) for g in found}
+    (tmp_path / "other.json").write_text(json.dumps({"exactLocationCandidates": [{"key": "k", "rows": []}]}, indent=2))
+    assert files.read_report(spark, str(tmp_path / "other.json")).first().key == "k"
 
 
 def test_search(spark, catalog):
@@ -412,5 +444,5 @@ def test_manifest(spark, tmp_path):
     assert tuple(rows.columns) == schema.MANIFEST and [r.category for r in rows.orderBy("institution_id").collect()] == ["high_school", "college"]
     bad = write(tmp_path / "bad.csv", ["institution_id", "category"], [["", "college"]])
     assert files.read_manifest(spark, str(tmp_path / "none.csv"), bad).count() == 0
-    reports.append_csv(spark.createDataFrame([("c", "college", "y")], "i string, c string, s string"), old)
-    assert files.read_manifest(spark, old).count() == 3
+    reports.append_csv(spark.createDataFrame([("c", "college", "y,z")], "i string, c string, s string"), old)
+    assert [(r.institution_id, r.status) for r in files.read_manifest(spark, old).orderBy("institution_id").collect()] == [("a", "error"), ("b", "x"), ("c", "y,z")]
