@@ -1,7 +1,6 @@
 """Duplicate institutions: the audits, and the plan that merges them.
 
-Groups are formed by one shuffle on the group key. The numbers of a group come from combining aggregates; lists of a
-group's rows are built only where a report asks for them.
+Groups are formed by one shuffle on the group key. The numbers of a group come from combining aggregates; its rows stay rows.
 """
 
 from __future__ import annotations
@@ -48,12 +47,9 @@ def same_name_state(rows: DataFrame) -> DataFrame:
 
 
 def with_members(rows: DataFrame, found: DataFrame, keys: list[Column]) -> DataFrame:
-    """found with `members`, the group's rows in audit order. For reports: a group is held as one list."""
+    """The rows of the groups found, each with what is known of its group; a group of any size stays rows."""
     key = F.concat_ws(" | ", *(F.coalesce(k.cast("string"), F.lit("")) for k in keys))
-    own = F.struct("source", "source_id", "id", *(c for c in rows.columns if c not in ("source", "source_id", "id")))
-    listed = rows.withColumn("group_key", key).join(found.select("group_key"), "group_key", "left_semi")
-    listed = listed.groupBy("group_key").agg(F.sort_array(F.collect_list(own)).alias("members"))
-    return found.join(listed, "group_key")
+    return rows.withColumn("group_key", key).join(found, "group_key")
 
 
 def report_order() -> list[Column]:

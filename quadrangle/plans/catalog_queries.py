@@ -193,8 +193,7 @@ FROM m LEFT JOIN raw ON m.source = 'IPEDS' AND raw.source_id = m.source_id""")
 def q_review_join(spark, sf_dir):
     rows = parts_as_institutions(spark, sf_dir)
     keys = [F.col("category"), F.col("state"), F.col("normalized_name")]
-    found = duplicates.with_members(rows, duplicates.same_name_state(rows), keys)
-    members = found.withColumn("groupId", F.col("group_key")).select("groupId", "candidate_type", "size", F.explode("members").alias("m")).select("groupId", "candidate_type", "size", "m.*")
+    members = duplicates.with_members(rows, duplicates.same_name_state(rows), keys).withColumnRenamed("group_key", "groupId")
     raw = _table(spark, sf_dir, "part").where("p_partkey % 3 = 0").select(
         F.col("p_partkey").cast("string").alias("UNITID"), F.concat(F.lit(" "), "p_name").alias("INSTNM"), F.concat(F.lit("P"), F.col("p_size").cast("string")).alias("ADDR"),
         F.col("p_brand").alias("STABBR"), F.when(F.col("p_size") % 2 == 0, "1").otherwise("3").alias("CYACTIVE"), F.lit("-2").alias("WEBADDR"), F.lit("").alias("CITY"),

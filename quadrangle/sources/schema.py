@@ -6,27 +6,56 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType, TimestampType
 
-
-def _schema(columns: str) -> StructType:
-    """Of a list of names and types; '!' is for columns that must not be null. Needs no session."""
-    kinds = {"STRING": StringType(), "INT": IntegerType(), "LONG": LongType(), "TIMESTAMP": TimestampType()}
-    parts = (c.split() for c in columns.split(","))
-    return StructType([StructField(name, kinds[kind], not needed) for name, kind, *needed in parts])
-
-
-
-INSTITUTIONS = _schema(
-    "id STRING !, source STRING !, source_id STRING !, name STRING !, normalized_name STRING !,"
-    " category STRING !, city STRING, state STRING, country STRING !, website STRING, logo_key STRING, source_year INT,"
-    " is_active INT !, created_at TIMESTAMP !, imported_at TIMESTAMP !, updated_at TIMESTAMP !"
+INSTITUTIONS = StructType(
+    [
+        StructField("id", StringType(), False),
+        StructField("source", StringType(), False),
+        StructField("source_id", StringType(), False),
+        StructField("name", StringType(), False),
+        StructField("normalized_name", StringType(), False),
+        StructField("category", StringType(), False),
+        StructField("city", StringType()),
+        StructField("state", StringType()),
+        StructField("country", StringType(), False),
+        StructField("website", StringType()),
+        StructField("logo_key", StringType()),
+        StructField("source_year", IntegerType()),
+        StructField("is_active", IntegerType(), False),
+        StructField("created_at", TimestampType(), False),
+        StructField("imported_at", TimestampType(), False),
+        StructField("updated_at", TimestampType(), False),
+    ]
+)
+TECHNOLOGIES = StructType(
+    [
+        StructField("id", StringType(), False),
+        StructField("name", StringType(), False),
+        StructField("normalized_name", StringType(), False),
+        StructField("category", StringType(), False),
+        StructField("website", StringType()),
+        StructField("logo_key", StringType()),
+        StructField("created_at", TimestampType(), False),
+        StructField("updated_at", TimestampType(), False),
+    ]
 )
-TECHNOLOGIES = _schema(
-    "id STRING !, name STRING !, normalized_name STRING !, category STRING !, website STRING, logo_key STRING,"
-    " created_at TIMESTAMP !, updated_at TIMESTAMP !"
+ALIASES = StructType(
+    [
+        StructField("entity_type", StringType(), False),
+        StructField("entity_id", StringType(), False),
+        StructField("alias", StringType(), False),
+        StructField("normalized_alias", StringType(), False),
+    ]
 )
-ALIASES = _schema("entity_type STRING !, entity_id STRING !, alias STRING !, normalized_alias STRING !")
-IMPORT_BATCHES = _schema(
-    "source STRING !, source_year INT, source_url STRING, file_name STRING, row_count LONG !, status STRING !, imported_at TIMESTAMP !"
+IMPORT_BATCHES = StructType(
+    [
+        StructField("source", StringType(), False),
+        StructField("source_year", IntegerType()),
+        StructField("source_url", StringType()),
+        StructField("file_name", StringType()),
+        StructField("row_count", LongType(), False),
+        StructField("status", StringType(), False),
+        StructField("imported_at", TimestampType(), False),
+    ]
 )
 CATEGORIES = ("college", "high_school")
 TECHNOLOGY_CATEGORIES = ("language", "framework", "technology")
