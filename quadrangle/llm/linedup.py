@@ -423,7 +423,7 @@ def _classes(own: c.Scratch, docs: DataFrame) -> DataFrame:
     longer = F.greatest("n", "l_n")
     most = F.when(longer < ONE, 0).when(longer < TWO, 1).when(longer < MANY, 2).otherwise(F.expr(f"greatest(n, l_n) div {STEP}"))
     possible = (F.abs(F.col("n") - F.col("l_n")) <= most) & (differ <= 2 * most)
-    described = members.join(known, "id")
+    described = rounds.with_sizes(own, members, known)
     comps = rounds.components(own, described, ["n", *parity], possible, lambda p: verified(p, texts), lambda m: finer_keys(m, texts))
     out = lines.withColumnRenamed("h", "id")
     if comps is None:

@@ -142,10 +142,14 @@ def signatures(docs: DataFrame, words: int, bands: int = BANDS, rows: int = ROWS
 
 
 def set_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """id, z: a compressed text of each wanted set (id, doc_id, t). The join is by sorting at any size: texts, not keys, are what moves."""
-    keys = wanted.select("id", F.col("doc_id").alias("w_id"), F.col("t").alias("w_t")).hint("merge")
-    met = c.packed_texts(docs).join(keys, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("t") == F.col("w_t")))
-    return met.select("id", "z").dropDuplicates(["id"])
+    """id, z: a compressed text of each wanted set (id, doc_id, t). Rows alike in both keys send one text from each task, and the join, by
+    sorting at any size, finds texts where that left them."""
+
+    def keyed(df: DataFrame, value: str) -> DataFrame:  # null-safe keys as plain columns, so that grouping and join share one shuffle
+        return df.select(F.coalesce("doc_id", F.lit(0)).alias("d"), F.col("doc_id").isNull().alias("none"), "t", value)
+
+    one = keyed(c.packed_texts(docs), "z").groupBy("d", "none", "t").agg(F.any_value("z").alias("z"))
+    return one.join(keyed(wanted, "id").hint("merge"), ["d", "none", "t"]).select("id", "z")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -172,8 +176,10 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
                 keep.append(100 * same >= percent * (len(p) + len(q) - same))
             yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    left = texts.select(F.col("id").alias("a"), F.col("z").alias("x"))
-    right = texts.select(F.col("id").alias("b"), F.col("z").alias("y"))
+    # only texts of these pairs move, in the same way at any size
+    used = texts.join(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi")
+    left = used.select(F.col("id").alias("a"), F.col("z").alias("x")).hint("merge")
+    right = used.select(F.col("id").alias("b"), F.col("z").alias("y")).hint("merge")
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
@@ -192,20 +198,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     some = F.any_value(F.struct("n_shingles", "bands", "parity")).alias("s")
     sets = real.groupBy("k1", "k2").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t")).alias("rep"), some)
     sets = own.cut(sets.select(F.monotonically_increasing_id().alias("id"), "k1", "k2", "rep.doc_id", "rep.t", F.col("s.n_shingles").alias("n"), "s.bands", "s.parity"))
-    members = sets.select(F.explode("bands").alias("key"), "id", "n", *(F.col("parity")[i].alias(p) for i, p in enumerate(parity)))
+    about = sets.select("id", "n", *(F.col("parity")[i].alias(p) for i, p in enumerate(parity)))
+    members = rounds.with_sizes(own, sets.select(F.explode(F.array_distinct("bands")).alias("key"), "id"), about)
     differ = sum((F.bit_count(F.col(p).bitwiseXOR(F.col(f"l_{p}"))) for p in parity), F.lit(0))
     possible = F.expr(f"100 * least(n, l_n) >= {percent} * greatest(n, l_n)") & (differ * (100 + percent) <= (F.col("n") + F.col("l_n")) * (100 - percent))
-    texts: list[DataFrame] = []
-
-    def confirm(pairs: DataFrame) -> DataFrame:
-        if not texts:
-            shared = sets.select("id", "doc_id", "t", F.explode("bands").alias("key"))
-            twice = shared.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y").select("key")
-            wanted = shared.join(own.cut(twice), "key").select("id", "doc_id", "t").distinct()
-            texts.append(own.cut(set_texts(docs, own.cut(wanted))))
-        return confirmed(pairs, texts[0], words, percent)
-
-    comps = rounds.components(own, members, ["n", *parity], possible, confirm)
+    texts = own.cut(set_texts(docs, sets.join(members.select("id").distinct(), "id").select("id", "doc_id", "t")))
+    comps = rounds.components(own, members, ["n", *parity], possible, lambda pairs: confirmed(pairs, texts, words, percent))
     classes = sets.select("id", "k1", "k2", F.col("doc_id").alias("rep"))
     if comps is not None:
         classes = classes.join(comps.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))

@@ -21,12 +21,14 @@ from quadrangle.llm import common as c
 MORE, GROWN, CROWDED = 16, 1 / 16, 4096
 
 
-def with_sizes(own: c.Scratch, members: DataFrame) -> DataFrame:
-    """members (key, id and more) of buckets of two or more, with `size` and `score`, the sum of a member's bucket sizes."""
-    sizes = own.cut(members.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"))
-    sized = members.join(sizes, "key")
-    out = own.cut(sized.join(sized.groupBy("id").agg(F.sum("size").alias("score")), "id"))
-    own.drop(sizes)
+def with_sizes(own: c.Scratch, keys: DataFrame, about: DataFrame) -> DataFrame:
+    """Members (key, id) of buckets of two or more, without repeated rows, with `size`, `score` (the sum of a member's bucket sizes) and the
+    columns of about, one row for each id. These columns, which can be wide, meet only members that share a bucket."""
+    sizes = own.cut(keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"))
+    sized = own.cut(keys.join(sizes, "key"))
+    scores = sized.groupBy("id").agg(F.sum("size").alias("score"))
+    out = own.cut(sized.join(scores.join(about, "id"), "id"))
+    own.drop(sizes, sized)
     return out
 
 
@@ -48,9 +50,9 @@ def components(
     confirm: Callable[[DataFrame], DataFrame],
     finer: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame | None:
-    """node, component of all ids that are linked, or None without a link. members: key, id and extra columns, without repeated rows;
+    """node, component of all ids that are linked, or None without a link. members: as with_sizes gives them, with the extra columns;
     possible: a condition on extra columns of a member and, with l_ before their names, a leader; confirm: the links (a, b) of pairs."""
-    members = with_sizes(own, members).withColumn("comp", F.col("id"))
+    members = members.withColumn("comp", F.col("id"))
     table: DataFrame | None = None
     links = checked = latest = None
     n_links = n_known = 0
@@ -87,7 +89,8 @@ def components(
             crowded = members.where(F.col("size") > CROWDED)
             if many and seen["largest"] > CROWDED:
                 names = ["key", "id", *extra]
-                split = with_sizes(own, own.cut(finer(crowded.select(*names, "comp")).distinct()))
+                fine = own.cut(finer(crowded.select(*names, "comp")).distinct())
+                split = with_sizes(own, fine.select("key", "id"), fine.drop("key").distinct())
                 rest = members.where(F.col("size") <= CROWDED)
                 members = rest.unionByName(split.select(rest.columns))
         round_no += 1
