@@ -95,6 +95,24 @@ def test_an_empty_index(spark, tmp_path):
     assert name_index.NameIndex(spark, str(tmp_path / "x")).search(name_index.requests(spark, [(1, "boston", None, None)])).count() == 0
 
 
+def test_a_name_and_a_request_of_many_are_met_once(spark, tmp_path):
+    rows = [(f"i{i:04}", "Lincoln High", "lincoln high", ("college", "high_school")[i % 2]) for i in range(600)]
+    catalog = spark.createDataFrame([*rows, ("j", "Lincoln Hig", "lincoln hig", "college")], "id string, name string, normalized_name string, category string")
+    aliases = spark.createDataFrame([(f"i{i:04}", "lincoln high") for i in range(580, 600)] + [("i0001", "lincoln hgh"), ("j", "lincoln high")], "entity_id string, normalized_alias string")
+    folder = str(tmp_path / "x")
+    name_index.build(catalog, folder, aliases)
+    assert spark.read.parquet(f"{folder}/postings").groupBy("normalized_name", "category", "place").count().where("count > 1").count() == 0
+    asked = spark.createDataFrame([(i, ("lincoln high", "lincoln hgh")[i % 2], 25, (None, "college")[i // 2 % 2]) for i in range(40)], "request long, query string, n int, category string")
+    got = name_index.NameIndex(spark, folder).search(asked).collect()
+    for i in range(40):
+        mine = [r.id for r in sorted((r for r in got if r.request == i), key=lambda r: (r.tier, r.distance, r.normalized_name, r.id))]
+        college = i // 2 % 2
+        ids = [f"i{x:04}" for x in range(0, 600, 1 + college)]
+        if i % 2 and not college:
+            ids = ["i0001", "i0000", *ids[2:]]
+        assert mine == ids[:25]
+
+
 # ---------------------------------------------------------------- bucketed store
 
 
