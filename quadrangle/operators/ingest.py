@@ -82,10 +82,11 @@ def stage(raw: DataFrame, source: Source) -> DataFrame:
     source_id = T.cleaned_or_null(source.id_column)
     rows = raw.withColumns({"source_id": source_id, "_name": T.clean(source.name_column), "_state": _state(source)})
     # The first row of each id comes from a combining minimum, so an id of very many rows is one row before it is shuffled; its rows meet
-    # that one in a join that Spark can split. A null id meets nothing.
+    # that one in a join that Spark can split. A row without an id is no duplicate, whatever it meets.
     first = rows.where(F.col("source_id").isNotNull()).groupBy(F.col("source_id").alias("_id")).agg(F.min("row_no").alias("_first"))
-    rows = rows.join(first, F.col("source_id") == F.col("_id"), "left")
-    rows = rows.withColumn("_duplicate", F.coalesce(F.col("row_no") > F.col("_first"), F.lit(False))).drop("_id", "_first")
+    key = F.coalesce("source_id", F.xxhash64("row_no").cast("string"))  # rows without an id are spread
+    rows = rows.join(first, key == F.col("_id"), "left")
+    rows = rows.withColumn("_duplicate", F.coalesce(F.col("source_id").isNotNull() & (F.col("row_no") > F.col("_first")), F.lit(False))).drop("_id", "_first")
     id_rules = [("missing_source_id", F.col("source_id").isNull())]
     if source.numeric_id:
         id_rules.append(("invalid_source_id", ~F.col("source_id").rlike("^[0-9]*[1-9][0-9]*$")))

@@ -68,6 +68,26 @@ def test_colleges(spark, tmp_path):
     assert (log.row_count, log.status, log.source_url) == (2, "completed", "https://nces.ed.gov/ipeds/datacenter/data/HD2025.zip")
 
 
+def test_rows_without_an_id_are_spread(spark):
+    row_no = [*range(1, 401)]
+    # the names that spread rows get, as ids of others
+    named = [str(r.h) for r in spark.createDataFrame([(i,) for i in row_no], "row_no long").select(F.xxhash64("row_no").alias("h")).collect()]
+    rows = [(i, " -1") for i in row_no] + [(i - 500, named[i - 1]) for i in row_no[:5]]
+    columns = ("INSTNM", "CITY", "STABBR", "WEBADDR", "POSTSEC", "CYACTIVE")
+    raw = spark.createDataFrame(rows, "row_no long, UNITID string").select("*", *(F.lit("1").alias(c) for c in columns))
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        got = ingest.stage(raw, ingest.IPEDS).select("source_id", "reasons", F.spark_partition_id().alias("part")).collect()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert len(got) == len(rows) and not any("duplicate_source_id" in r.reasons for r in got)
+    parts = [r.part for r in got if r.source_id is None]
+    assert len(parts) == 400 and max(parts.count(p) for p in set(parts)) < 200
+
+
 def test_public_schools(spark, tmp_path):
     header = ["NCESSCH", "SCH_NAME", "LCITY", "LSTATE", "WEBSITE", "SY_STATUS_TEXT", "G_9_OFFERED", "G_10_OFFERED", "G_11_OFFERED", "G_12_OFFERED"]
     statuses = [*ingest.OPEN_STATUSES, "Closed", "open"]
