@@ -17,12 +17,15 @@ from quadrangle.functions import scoring as S
 from quadrangle.functions import urls as U
 from quadrangle.functions.html_mentions import FIELDS, links, manifests, streamed
 from quadrangle.functions.text import collapsed
-from quadrangle.sources.scratch import measured, written
+from quadrangle.sources.scratch import measured, settings, written
 
 MENTION = StructType([StructField(n, IntegerType() if n in ("phase", "base_score") else StringType()) for n in FIELDS])
 MAX_PAGES, MAX_INVENTORY = 4, 144
 #: Addresses that are broadcast to the pages.
 FEW_ADDRESSES = 100_000
+#: Institutions for each part of a crawl's shuffles, and the bytes of a shuffle that a task is given (eight times as many of files). Pages
+#: of one template, and their addresses, take little room there and much in memory, where tasks of the usual size would hold ever more.
+CRAWL_ROWS, CRAWL_BYTES = 20_000, 1 << 20
 
 
 #: Mentions and characters of them that leave a task at a time.
@@ -186,10 +189,19 @@ def crawl(institutions: DataFrame, pages: DataFrame, max_pages: int = MAX_PAGES,
     A round sends addresses to the pages: the wanted ones, each once, broadcast where they are few. Pages that are met are written down,
     parsed once however many institutions want them, and only their links that matter go back to the institutions. HTML meets the visits
     in one join at the end, of the met pages alone. Of pages with equal addresses one counts: that with the smallest HTML in binary order."""
+    spark = institutions.sparkSession
     state = institutions.select("id", "name", U.resolved_url("website", F.lit(None).cast("string")).alias("root_url")).where("root_url is not null")
-    state, asked = written(state.withColumn("queue", F.array("root_url"))), None
-    visits, met = [], []
-    rounds, parts = min(max_pages, MAX_PAGES), int(institutions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    narrow = {"adaptive__advisoryPartitionSizeInBytes": str(CRAWL_BYTES), "files__maxPartitionBytes": str(8 * CRAWL_BYTES)}
+    with settings(spark, **narrow):
+        state, seen = measured(state.withColumn("queue", F.array("root_url")).hint("rebalance", "id"), F.count("*").alias("n"))
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-seen["n"] // CRAWL_ROWS))
+        with settings(spark, shuffle__partitions=str(parts)):
+            return _crawled(state, pages, min(max_pages, MAX_PAGES), max_pages, parts, tokens)
+
+
+def _crawled(state: DataFrame, pages: DataFrame, rounds: int, max_pages: int, parts: int, tokens: tuple[str, ...]) -> DataFrame:
+    """crawl() from its first state (id, name, root_url, queue), as a table."""
+    asked, visits, met = None, [], []
     for visit in range(rounds):
         at = state.select("id", "name", "root_url", F.get("queue", F.lit(visit)).alias("page_url"), F.lit(visit).alias("visit")).where("page_url is not null")
         wanted = at.select("page_url").distinct()
@@ -213,4 +225,4 @@ def crawl(institutions: DataFrame, pages: DataFrame, max_pages: int = MAX_PAGES,
             both = state.join(new.groupBy("id").agg(best.alias("l")), "id", "left")
             fresh = F.filter(F.transform(F.coalesce("l", F.array().cast("array<struct<s: int, ord: int, url: string>>")), lambda x: x["url"]), lambda u: ~F.array_contains("queue", u))
             state = written(both.withColumn("queue", F.slice(F.concat("queue", fresh), 1, max_pages)).drop("l"))
-    return reduce(DataFrame.unionByName, visits).join(reduce(DataFrame.unionByName, met).drop("links"), "page_url")
+    return written(reduce(DataFrame.unionByName, visits).join(reduce(DataFrame.unionByName, met).drop("links"), "page_url"))

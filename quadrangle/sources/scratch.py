@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
@@ -37,3 +39,17 @@ def measured(rows: DataFrame, *aggregates: Column) -> tuple[DataFrame, dict]:
     seen = Observation()
     out = written(rows.observe(seen, *aggregates))
     return out, seen.get
+
+
+@contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Settings of spark.sql for the tables that are written meanwhile; their names have __ for each dot."""
+    names = {f"spark.sql.{k.replace('__', '.')}": v for k, v in values.items()}
+    before = {k: spark.conf.get(k) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

@@ -368,6 +368,24 @@ def test_crawl_meets_shared_and_repeated_pages(spark):
     assert rows == [(i, *v) for i in "abc" for v in ((0, "/", home), (1, "/media", "m"), (2, "/about", "a"), (3, "/contact0", None))]
 
 
+def test_parts_of_a_crawl_grow_with_it(spark, monkeypatch):
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before, during, write = [spark.conf.get(k) for k in names], [], candidates.written
+
+    def noted(rows):
+        during.append([spark.conf.get(k) for k in names])
+        return write(rows)
+
+    monkeypatch.setattr(candidates, "written", noted)
+    monkeypatch.setattr(candidates, "CRAWL_ROWS", 10, raising=False)
+    schools = spark.range(95).selectExpr("cast(id as string) as id", "'S' as name", "concat('https://s', id, '.edu/') as website")
+    pages = schools.selectExpr("website as url", "'<a href=\"/about\">about</a>' as html").unionByName(schools.selectExpr("concat(website, 'about') as url", "'' as html"))
+    got = candidates.crawl(schools, pages, 2)
+    assert got.count() == 190 and got.select("id", "visit").distinct().count() == 190
+    assert during and all(x == ["10", str(1 << 20)] for x in during)
+    assert [spark.conf.get(k) for k in names] == before
+
+
 def test_a_page_with_very_many_mentions(spark):
     """Mentions leave the task in batches; the worker holds the page and one batch."""
 
