@@ -12,10 +12,13 @@ principle a linked line has one of them unchanged.
   are those of every segment wherever a linked line may have it.
 * What meets must pass a parity signature of its tokens, of which an edit changes two bits at most, and is verified with a banded bit-parallel edit distance. No filter loses a link.
 
-Keys are made from the distinct lines of a step of texts, and only keys of two different lines go on. Lines of one key are linked
-by rounds of leaders, so the pairs of a large group are not all made. A key that still joins very many lines which are not linked
-gets a second part: at the far end of the line's longer side, before or behind what is shared, one of the outermost limit + 1
-segments of SMALL tokens must be unchanged too. Lines whose sides are too short for that stay together.
+A key goes to its task once, with the line's number of tokens and a signature, so a task tells from keys alone which lines of its
+groups can be linked. Their pairs are verified by a join with the lines' texts. A group with many such pairs for its size, as near
+copies make, is not written as pairs: its lines meet in one task with a wider signature, where a pair that earlier links already
+connect is not looked at; groups beyond BLOCK lines or BLOCK_TOKENS are divided into blocks, and each pair of blocks is a task. A key of more
+than `rounds.CROWDED` lines gets a second part first: at the far end of the line's longer side, before or behind what is shared, one of the
+outermost limit + 1 segments of SMALL tokens must be unchanged too. Where the sides are too short for that, one of 2 * limit + 1 parts of
+the lines' parity bits is the second part: linked lines have one of them alike.
 
 Exact copies are one text however many they are; copies of any length are found.
 
@@ -27,12 +30,11 @@ first of them is. Other columns are passed through by `dedup_lines` and ignored
 
 from __future__ import annotations
 
-from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -48,8 +50,14 @@ MANY, SEGMENT, GRAM = 48, 12, 5
 SMALL = 3
 #: Bytes of text that are worked on at once, with about a dozen numbers for each.
 STEP_BYTES = 1 << 20
-#: Words of 64 parity bits of a line's tokens.
-PARITY = 4
+#: Parity bits of a line's tokens, beside a key and within a group that is linked in a task.
+KEY_BITS, BITS = 48, 1024
+#: Bits beside those for the number of tokens; lines of this number or more are told apart by their texts alone.
+SIZE_BITS = 16
+#: Lines whose tokens are kept at hand.
+KNOWN = 1000
+#: Pairs for each line of a group that are written as pairs, and lines and tokens of a group that meet in one task.
+DENSE, BLOCK, BLOCK_TOKENS = 32, 2048, 1 << 18
 NEWLINE = 10
 #: White space: 0x20 and 0x09 to 0x0D.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -123,19 +131,22 @@ def tokens(line: str) -> list[str]:
     return out
 
 
-def linked(x: str, y: str, x_tokens: list[str] | None = None) -> bool:
-    a, b = x_tokens or tokens(x), tokens(y)
+def linked(x: str, y: str, x_tokens: list[str] | None = None, y_tokens: list[str] | None = None) -> bool:
+    a, b = x_tokens or tokens(x), y_tokens or tokens(y)
     n = max(len(a), len(b))
     k = limit(n)
-    if abs(len(a) - len(b)) > k or n < FEW and edit_distance(x, y, FEW_CHARS) > FEW_CHARS:
+    if abs(len(a) - len(b)) > k or len(set(a) ^ set(b)) > 2 * k:  # an edit takes away one token and adds one
+        return False
+    if n < FEW and edit_distance(x, y, FEW_CHARS) > FEW_CHARS:
         return False
-    more = Counter(a)
-    more.subtract(b)
-    if sum(v for v in more.values() if v > 0) > k or sum(-v for v in more.values() if v < 0) > k:
-        return False  # the tokens alone differ in too many places
     return edit_distance(a, b, k) <= k
 
 
+def limits(n: np.ndarray) -> np.ndarray:
+    """limit() of each."""
+    return np.where(n < ONE, 0, np.where(n < TWO, 1, np.where(n < MANY, 2, n // STEP)))
+
+
 def named_grams(acc: np.ndarray, start: np.ndarray, end: np.ndarray, gram: int, window: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct hashes of the grams that spans (in order, of gram + window - 1 characters at least) name, and their number for each."""
     n = len(acc) - gram
@@ -178,13 +189,25 @@ def _segment(length: np.ndarray, seg: int, parts: int) -> tuple[np.ndarray, np.n
     return seg * size + np.maximum(0, seg - first), size + (seg >= first)
 
 
-def parities(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """PARITY words for each run of token hashes: bit i tells whether an odd number of tokens has the upper hash bits i. An edit changes two
-    bits at most."""
-    bits = 64 * PARITY
-    at = np.repeat(np.arange(len(counts)), counts) * bits + (values >> np.uint64(65 - bits.bit_length())).astype(np.int64)
-    odd = (np.bincount(at, minlength=len(counts) * bits) & 1).astype(np.uint8)
-    return np.packbits(odd).view(np.int64).reshape(len(counts), PARITY)
+def parities(values: np.ndarray, counts: np.ndarray, bits: int) -> np.ndarray:
+    """A row of bits for each run of token hashes: whether an odd number of tokens has that bit. An edit changes two at most."""
+    at = np.repeat(np.arange(len(counts)), counts) * bits + ((values >> np.uint64(40)) % np.uint64(bits)).astype(np.int64)
+    return (np.bincount(at, minlength=len(counts) * bits) & 1).astype(np.uint8).reshape(len(counts), bits)
+
+
+def abouts(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Number of tokens (SIZE_BITS) and, above it, parities of each run of token hashes."""
+    odd = np.packbits(np.pad(parities(values, counts, KEY_BITS), ((0, 0), (0, 64 - KEY_BITS))), axis=1, bitorder="little").view(np.int64)[:, 0]
+    return odd << SIZE_BITS | np.minimum(counts, (1 << SIZE_BITS) - 1)
+
+
+def possible(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether lines with such abouts() can be linked."""
+    most = (1 << SIZE_BITS) - 1
+    n, m = x & most, y & most
+    longer = np.maximum(n, m)
+    k = limits(longer)
+    return (longer == most) | (np.abs(n - m) <= k) & (np.bitwise_count((x ^ y).view(np.uint64) >> np.uint64(SIZE_BITS)) <= 2 * k)
 
 
 def _token_spans(chars: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -291,7 +314,7 @@ def line_table(docs: DataFrame) -> DataFrame:
 
 
 def key_table(docs: DataFrame) -> DataFrame:
-    """key, id (hash of the line) for the lines of a step of texts that differ."""
+    """key, id (hash of the line), about (see abouts) for the lines of a step of texts that differ."""
 
     def run(batches):
         for b in batches:
@@ -300,43 +323,109 @@ def key_table(docs: DataFrame) -> DataFrame:
                 h, one = np.unique(_line_hashes(data, start, end), return_index=True)
                 order = np.argsort(one)
                 h, one = h[order], one[order]
-                key, line, *_ = line_keys(_sequence_hash(_token_hashes(chars, ts, te)), first[one], last[one])
-                yield pa.RecordBatch.from_arrays([pa.array(c.signed(key)), pa.array(c.signed(h[line]))], ["key", "id"])
-
-    return docs.select(F.col("text").cast("string")).mapInArrow(run, "key long, id long")
-
-
-def _described(texts: DataFrame) -> DataFrame:
-    """id, n (tokens) and p0, p1, ... (parities) of lines (id, line)."""
+                values, first, last = _token_hashes(chars, ts, te), first[one], last[one]
+                n = last - first
+                own = np.arange(n.sum()) + np.repeat(first - np.cumsum(n) + n, n)
+                key, line, *_ = line_keys(_sequence_hash(values), first, last)
+                columns = [pa.array(c.signed(key)), pa.array(c.signed(h[line])), pa.array(abouts(values[own], n)[line])]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "id", "about"])
+
+    return docs.select(F.col("text").cast("string")).mapInArrow(run, "key long, id long, about long")
+
+
+def _once(key: np.ndarray, ids: np.ndarray, about: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """In order, without repeated rows."""
+    order = np.lexsort((ids, key))
+    key, ids, about = key[order], ids[order], about[order]
+    new = np.append(True, (key[1:] != key[:-1]) | (ids[1:] != ids[:-1])) if len(key) else np.zeros(0, bool)
+    return key[new], ids[new], about[new]
+
+
+def _meeting(key: np.ndarray, ids: np.ndarray, about: np.ndarray, crowded: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the pairs that can be linked, of the members of groups that have too many of them, and of crowded groups; keys in order."""
+    new = np.append(True, key[1:] != key[:-1]) if len(key) else np.zeros(0, bool)
+    group, size = np.cumsum(new) - 1, np.diff(np.append(np.flatnonzero(new), len(key)))
+    large = size > crowded if crowded else np.zeros(len(size), bool)
+    pairs, full = np.zeros(len(size), np.int64), np.zeros(len(size), bool)
+    some, other = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    alive, step = np.flatnonzero(~large[group]), 0
+    while len(alive):
+        step += 1
+        alive = alive[alive + step < len(key)]
+        alive = alive[(group[alive + step] == group[alive]) & ~full[group[alive]]]
+        met = alive[possible(about[alive], about[alive + step])]
+        pairs += np.bincount(group[met], minlength=len(size))
+        full |= pairs > DENSE * size
+        some.append(met)
+        other.append(met + step)
+    a, b = np.concatenate(some), np.concatenate(other)
+    sparse = ~full[group[a]]
+    return a[sparse], b[sparse], np.flatnonzero(full[group]), np.flatnonzero(large[group])
+
+
+def candidates(keys: DataFrame, crowded: int | None) -> DataFrame:
+    """From keys (key, id, about): rows (a, b) for pairs of lines that share a key and can be linked; and rows (key, a, about) for the
+    lines of groups that have too many such pairs, `crowded` if it is for more than so many lines, which no task holds at once."""
+
+    def rows(a: np.ndarray, b: np.ndarray | None, key: np.ndarray | None, about: np.ndarray | None, many: bool) -> pa.RecordBatch:
+        columns = [pa.nulls(len(a), pa.int64()) if x is None else pa.array(x) for x in (a, b, key, about)]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(np.full(len(a), many))], ["a", "b", "key", "about", "crowded"])
+
+    def parts(key: np.ndarray, ids: np.ndarray, about: np.ndarray) -> Iterator[pa.RecordBatch]:
+        same = key[1:] == key[:-1]
+        shared = np.append(same, False) | np.append(False, same)
+        key, ids, about = _once(key[shared], ids[shared], about[shared])
+        a, b, dense, large = _meeting(key, ids, about, crowded)
+        if len(a):
+            yield rows(ids[a], ids[b], None, None, False)
+        for at, many in ((dense, False), (large, True)):
+            if len(at):
+                yield rows(ids[at], None, key[at], about[at], many)
 
     def run(batches):
+        held, hot = [np.zeros(0, np.int64)] * 3, None  # rows of the last key, which may go on; a key that is passed on at once
         for b in batches:
-            for lo, hi, data, off in c.steps(b.column(1), STEP_BYTES):
-                chars = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
-                rows = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))[off]
-                ts, te = _token_spans(chars, rows)
-                n = np.diff(np.searchsorted(ts, rows))
-                p = parities(_token_hashes(chars, ts, te), n)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(n.astype(np.int32)), *(pa.array(x) for x in p.T.copy())], names)
-
-    names = ["id", "n", *(f"p{i}" for i in range(PARITY))]
-    return texts.select("id", "line").mapInArrow(run, "id long, n int, " + ", ".join(f"p{i} long" for i in range(PARITY)))
+            key, ids, about = (np.concatenate((x, y.to_numpy())) for x, y in zip(held, b.columns, strict=True))
+            if hot is not None:
+                end = np.searchsorted(key, hot, "right")
+                if end:
+                    yield rows(ids[:end], None, key[:end], about[:end], True)
+                key, ids, about = key[end:], ids[end:], about[end:]
+                held = [x[:0] for x in held]
+                if not len(key):
+                    continue
+                hot = None
+            if not len(key):
+                continue
+            last = np.searchsorted(key, key[-1], "left")
+            if last:
+                yield from parts(key[:last], ids[:last], about[:last])
+            held = list(_once(key[last:], ids[last:], about[last:]))
+            if crowded and len(held[0]) > crowded:
+                hot = held[0][0]
+                yield rows(held[1], None, held[0], held[2], True)
+                held = [x[:0] for x in held]
+        if len(held[0]) > 1:
+            yield from parts(*held)
+
+    dealt = keys.select("key", "id", "about").repartition("key").sortWithinPartitions("key")
+    return dealt.mapInArrow(run, "a long, b long, key long, about long, crowded boolean")
 
 
 def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """id, line for the lines named by wanted (doc_id, t, line_no, id)."""
 
     def run(batches):
-        z = zstandard.ZstdDecompressor()
         for b in batches:
-            for packed, items in zip(b.column(0), b.column(1), strict=True):
-                lines = z.decompress(packed.as_py()).split(b"\n")
+            for text, items in zip(b.column(0), b.column(1), strict=True):
+                lines = text.as_py().split("\n")
                 some = {x["id"]: lines[x["line_no"]] for x in items.as_py() if x["line_no"] < len(lines)}
-                yield pa.RecordBatch.from_arrays([pa.array(list(some), pa.int64()), pa.array(list(some.values()), pa.binary()).cast(pa.string())], ["id", "line"])
+                yield pa.RecordBatch.from_arrays([pa.array(list(some), pa.int64()), pa.array(list(some.values()), pa.string())], ["id", "line"])
 
     lists = wanted.groupBy(F.col("doc_id").alias("w_id"), F.col("t").alias("w_t")).agg(F.collect_set(F.struct("line_no", "id")).alias("items"))
-    met = c.packed_texts(docs).join(lists, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("t") == F.col("w_t")))
-    return met.select("z", "items").mapInArrow(run, "id long, line string").dropDuplicates(["id"])
+    whole = _slim(docs).where("text is not null")
+    met = whole.join(lists, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("t") == F.col("w_t")))
+    return met.select("text", "items").mapInArrow(run, "id long, line string").dropDuplicates(["id"])
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -344,12 +433,14 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            keep, last, known = [], None, []
-            for x, y in zip(b.column(2), b.column(3), strict=True):
-                x = x.as_py()
-                if x != last:
-                    last, known = x, tokens(x)
-                keep.append(linked(x, y.as_py(), known))
+            keep, known = [], {}
+            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
+                if len(known) > KNOWN:
+                    known.clear()
+                for line in (x, y):
+                    if line not in known:
+                        known[line] = tokens(line)
+                keep.append(linked(x, y, known[x], known[y]))
             yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     left = texts.select(F.col("id").alias("a"), F.col("line").alias("x"))
@@ -357,9 +448,82 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _side_keys(keys: list[int], acc: np.ndarray, n: int) -> list[tuple[int, int]]:
-    """(key, second part) for keys of a line of n tokens: grams at the far end of its longer side, and 0 where a linked line could be too
-    short on both sides to have such a part. The limit k of a pair is the line's own or one more."""
+def forest(lines: pa.Array, blocks: np.ndarray) -> list[tuple[int, int]]:
+    """Links (places) that connect all lines which links connect, of one block or of two; of two, links between them alone are looked for."""
+    values, counts = [], []
+    for _, _, data, off in c.steps(lines):
+        chars = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+        rows = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))[off]
+        ts, te = _token_spans(chars, rows)
+        values.append(_token_hashes(chars, ts, te))
+        counts.append(np.diff(np.searchsorted(ts, rows)))
+    n = np.concatenate(counts)
+    odd = np.packbits(parities(np.concatenate(values), n, BITS), axis=1).view(np.uint64)
+    two = blocks.min() != blocks.max()
+    comp, known, out = np.arange(len(n)), {}, []
+    text = lambda i: known.get(i) or known.setdefault(i, (x := lines[i].as_py(), tokens(x)))
+    for i in range(len(n) - 1):
+        rest = np.flatnonzero(comp[i + 1 :] != comp[i]) + i + 1
+        if two:
+            rest = rest[blocks[rest] != blocks[i]]
+        k = limits(np.maximum(n[i], n[rest]))
+        rest, k = rest[near := np.abs(n[i] - n[rest]) <= k], k[near]
+        for j in rest[np.bitwise_count(odd[i] ^ odd[rest]).sum(1) <= 2 * k].tolist():
+            (x, x_tokens), (y, y_tokens) = text(i), text(j)
+            if comp[i] != comp[j] and linked(x, y, x_tokens, y_tokens):
+                comp[comp == comp[j]] = comp[i]
+                out.append((i, j))
+    return out
+
+
+def linked_groups(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) that connect all lines of each group (key, id, about) which links connect."""
+
+    def links(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        group = pa.Table.from_batches(rows).combine_chunks()
+        ids = group["id"].to_numpy()
+        found = np.array(forest(group["line"].combine_chunks(), group["block"].to_numpy()), np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(ids[found[:, 0]]), pa.array(ids[found[:, 1]])], ["a", "b"])
+
+    def run(batches):
+        held, name = [], None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            at = np.stack([b.column(i).to_numpy() for i in range(3)])
+            cuts = [0, *(np.flatnonzero((at[:, 1:] != at[:, :-1]).any(0)) + 1).tolist(), b.num_rows]
+            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                if held and name != tuple(at[:, lo]):
+                    yield links(held)
+                    held = []
+                name = tuple(at[:, lo])
+                held.append(b.slice(lo, hi - lo))
+        if held:
+            yield links(held)
+
+    tokens_ = F.sum(F.col("about").bitwiseAND((1 << SIZE_BITS) - 1))
+    sizes = members.groupBy("key").agg(F.ceil(F.greatest(F.count("*") / BLOCK, tokens_ / BLOCK_TOKENS)).cast("int").alias("parts"))
+    dealt = members.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = dealt.select("key", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"), "id", "block")
+    met = dealt.join(texts.select("id", "line"), "id").select("key", "lo", "hi", "block", "id", "line")
+    return met.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi").mapInArrow(run, "a long, b long")
+
+
+def _parity_parts(values: np.ndarray) -> list[tuple[int, ...]]:
+    """Parts of the parity bits of a line's token hashes, one of which a linked line shares: 2k + 1 for each limit k that a pair can have."""
+    odd, k, out = parities(values, np.array([len(values)]), BITS)[0], limit(len(values)), []
+    for most in (k, k + 1):
+        for i, part in enumerate(np.array_split(odd, 2 * most + 1)):
+            out.append((most, i, int.from_bytes(np.packbits(part).tobytes())))
+    return out
+
+
+def _side_keys(keys: list[int], values: np.ndarray) -> list[tuple]:
+    """(key, second part) for keys of a line of these token hashes: grams at the far end of its longer side, and parts of its parities where
+    a linked line could be too short on both sides for that. The limit k of a pair is the line's own or one more."""
+    acc, n = _sequence_hash(values), len(values)
+    parts = _parity_parts(values)
     k = limit(n) + 1
     reach = SMALL * (k + 1) + k  # tokens in which a linked line has one of the k + 1 outermost segments, if unchanged
     own, _, at, size = line_keys(acc, np.array([0]), np.array([n]))
@@ -377,7 +541,7 @@ def _side_keys(keys: list[int], acc: np.ndarray, n: int) -> list[tuple[int, int]
             before, behind = at, n - at - size
             side = max(before, behind)
             if side < reach + 3 * k + SMALL:
-                out.add((key, 0))
+                out.update((key, p) for p in parts)
             if side >= reach and behind >= before - 2 * k:
                 out.update((key, g) for g in tail)
             if side >= reach and before >= behind - 2 * k:
@@ -394,7 +558,7 @@ def finer_keys(members: DataFrame, texts: DataFrame) -> DataFrame:
             for i, (keys, line) in enumerate(zip(b.column(0), b.column(1), strict=True)):
                 chars = np.frombuffer(line.as_py().encode("utf-32-le"), np.uint32)
                 x = _token_hashes(chars, *_token_spans(chars, np.array([0, len(chars)])))
-                more = [hash(pair) for pair in _side_keys(keys.as_py(), _sequence_hash(x), len(x))]
+                more = [hash(pair) for pair in _side_keys(keys.as_py(), x)]
                 at += [i] * len(more)
                 parts += more
             rest = b.select(b.schema.names[2:]).take(pa.array(at, pa.int64()))
@@ -407,24 +571,33 @@ def finer_keys(members: DataFrame, texts: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, schema)
 
 
+def _links(own: c.Scratch, found: DataFrame, seen: dict, texts: DataFrame) -> DataFrame:
+    """Links (a, b) that connect all lines which links connect, by what candidates() found and counted."""
+    pairs, members = found.where("b is not null").select("a", "b"), found.where("key is not null and not crowded").select("key", F.col("a").alias("id"), "about")
+    some = seen["members"] > seen["crowded"]
+    if seen["crowded"]:
+        crowded = found.where("crowded").select("key", F.col("a").alias("id"), "about").distinct()
+        finer, more = own.measured(candidates(finer_keys(crowded, texts), None), F.count("key").alias("members"))
+        pairs = pairs.unionByName(finer.where("b is not null").select("a", "b"))
+        members = members.unionByName(finer.where("key is not null").select("key", F.col("a").alias("id"), "about"))
+        some = some or more["members"] > 0
+    links = verified(pairs.distinct(), texts)
+    return links.unionByName(linked_groups(members, texts)) if some else links
+
+
 def _classes(own: c.Scratch, docs: DataFrame) -> DataFrame:
     """Rows of line_classes, with t, the hash of the whole text."""
     lines = own.cut(line_table(docs))
-    keys = key_table(docs)
-    twice = own.cut(keys.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y").select("key"))
-    members = own.cut(keys.join(twice, "key").distinct())
-    own.drop(twice)
     firsts = own.cut(lines.groupBy("h").agg(F.min(F.struct("doc_id", "line_no", "t")).alias("first")).withColumnRenamed("h", "id"))
-    wanted = firsts.join(members.select("id").distinct(), "id").select("first.doc_id", "first.t", "first.line_no", "id")
-    texts = own.cut(line_texts(docs, wanted))
-    known = own.cut(_described(texts))
-    parity = [f"p{i}" for i in range(PARITY)]
-    differ = sum((F.bit_count(F.col(p).bitwiseXOR(F.col(f"l_{p}"))) for p in parity), F.lit(0))
-    longer = F.greatest("n", "l_n")
-    most = F.when(longer < ONE, 0).when(longer < TWO, 1).when(longer < MANY, 2).otherwise(F.expr(f"greatest(n, l_n) div {STEP}"))
-    possible = (F.abs(F.col("n") - F.col("l_n")) <= most) & (differ <= 2 * most)
-    described = rounds.with_sizes(own, members, known)
-    comps = rounds.components(own, described, ["n", *parity], possible, lambda p: verified(p, texts), lambda m: finer_keys(m, texts))
+    found, seen = own.measured(candidates(key_table(docs), rounds.CROWDED), F.count("key").alias("members"), F.count_if("crowded").alias("crowded"))
+    links = None
+    if seen["n"]:
+        ids = found.select(F.explode(F.array("a", "b")).alias("id")).where("id is not null").distinct()
+        wanted = firsts.join(ids, "id").select("first.doc_id", "first.t", "first.line_no", "id")
+        texts = own.cut(line_texts(docs, wanted))
+        links = _links(own, found, seen, texts)
+        links, seen = own.measured(links)
+    comps = c.components(own, links) if seen["n"] else None
     out = lines.withColumnRenamed("h", "id")
     if comps is None:
         out = out.join(firsts, "id").withColumn("f", F.col("first"))
