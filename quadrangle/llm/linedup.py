@@ -30,6 +30,10 @@ first of them is. Other columns are passed through by `dedup_lines` and ignored
 
 from __future__ import annotations
 
+import itertools
+import re
+from bisect import bisect_left
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,8 +58,8 @@ STEP_BYTES = 1 << 20
 KEY_BITS, BITS = 48, 1024
 #: Bits beside those for the number of tokens; lines of this number or more are told apart by their texts alone.
 SIZE_BITS = 16
-#: Lines whose tokens are kept at hand.
-KNOWN = 1000
+#: Lines whose tokens are kept at hand, and edits up to which diagonals are followed, as that takes the square of them.
+KNOWN, NEAR = 1000, 8
 #: Pairs for each line of a group that are written as pairs, and lines and tokens of a group that meet in one task.
 DENSE, BLOCK, BLOCK_TOKENS = 32, 2048, 1 << 18
 NEWLINE = 10
@@ -109,13 +113,13 @@ def limit(n: int) -> int:
     return 0 if n < ONE else 1 if n < TWO else 2 if n < MANY else n // STEP
 
 
-_BLANKS = dict.fromkeys(range(0x09, 0x0E), " ")
+_BLANKS, _ODD = dict.fromkeys(range(0x09, 0x0E), " "), re.compile("[\t-\r]")
 
 
 def tokens(line: str) -> list[str]:
     """The tokens of a line; the vectorised form below agrees with it."""
-    words = [w for w in line.translate(_BLANKS).split(" ") if w]
-    if not line or max(line) < chr(UNSPACED[0][0]):
+    words = [w for w in (line.translate(_BLANKS) if _ODD.search(line) else line).split(" ") if w]
+    if line.isascii() or max(line) < chr(UNSPACED[0][0]):
         return words
     out: list[str] = []
     for word in words:
@@ -131,15 +135,51 @@ def tokens(line: str) -> list[str]:
     return out
 
 
-def linked(x: str, y: str, x_tokens: list[str] | None = None, y_tokens: list[str] | None = None) -> bool:
-    a, b = x_tokens or tokens(x), y_tokens or tokens(y)
+def fresh_codes() -> defaultdict[str, int]:
+    return defaultdict(itertools.count().__next__)
+
+
+def coded(line: str, codes: defaultdict[str, int]) -> tuple[np.ndarray, frozenset[int]]:
+    """The tokens of a line as numbers that codes gives them, in order and as a set."""
+    out = [codes[x] for x in tokens(line)]
+    return np.array(out, np.int64), frozenset(out)
+
+
+def within(a: np.ndarray, b: np.ndarray, k: int) -> bool:
+    """Whether at most k edits lead from a to b: the furthest place on each diagonal, for one edit more at a time."""
+    m, goal = len(a), len(b) - len(a)
+    stops: dict[int, list[int]] = {}
+
+    def run(i: int, d: int) -> int:  # the first place from i on where a and b, moved by d, differ or end
+        if d not in stops:
+            lo, hi = max(0, -d), min(m, len(b) - d)
+            stops[d] = [*(np.flatnonzero(a[lo:hi] != b[lo + d : hi + d]) + lo).tolist(), hi]
+        return stops[d][bisect_left(stops[d], i)]
+
+    if abs(goal) > k:
+        return False
+    reach = {0: run(0, 0)}
+    for edits in range(1, k + 1):
+        if reach.get(goal) == m:
+            return True
+        last, reach = reach, {}
+        for d in range(max(-edits, goal - k + edits, -m), min(edits, goal + k - edits, len(b)) + 1):
+            i = max(last.get(d, -2) + 1, last.get(d - 1, -1), last.get(d + 1, -2) + 1)
+            if i >= 0:
+                reach[d] = run(min(i, m, len(b) - d), d)
+    return reach.get(goal) == m
+
+
+def linked(x: str, y: str, x_coded: tuple[np.ndarray, frozenset[int]], y_coded: tuple[np.ndarray, frozenset[int]]) -> bool:
+    """Whether two lines, given with their tokens by coded(), are linked."""
+    (a, some), (b, others) = x_coded, y_coded
     n = max(len(a), len(b))
     k = limit(n)
-    if abs(len(a) - len(b)) > k or len(set(a) ^ set(b)) > 2 * k:  # an edit takes away one token and adds one
+    if abs(len(a) - len(b)) > k or len(some ^ others) > 2 * k:  # an edit takes away one token and adds one
         return False
     if n < FEW and edit_distance(x, y, FEW_CHARS) > FEW_CHARS:
         return False
-    return edit_distance(a, b, k) <= k
+    return within(a, b, min(k, NEAR)) or k > NEAR and edit_distance(a.tolist(), b.tolist(), k) <= k
 
 
 def limits(n: np.ndarray) -> np.ndarray:
@@ -433,13 +473,14 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            keep, known = [], {}
+            keep, known, codes = [], {}, fresh_codes()
             for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
                 if len(known) > KNOWN:
                     known.clear()
+                    codes = fresh_codes()
                 for line in (x, y):
                     if line not in known:
-                        known[line] = tokens(line)
+                        known[line] = coded(line, codes)
                 keep.append(linked(x, y, known[x], known[y]))
             yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
@@ -460,8 +501,8 @@ def forest(lines: pa.Array, blocks: np.ndarray) -> list[tuple[int, int]]:
     n = np.concatenate(counts)
     odd = np.packbits(parities(np.concatenate(values), n, BITS), axis=1).view(np.uint64)
     two = blocks.min() != blocks.max()
-    comp, known, out = np.arange(len(n)), {}, []
-    text = lambda i: known.get(i) or known.setdefault(i, (x := lines[i].as_py(), tokens(x)))
+    comp, known, codes, out = np.arange(len(n)), {}, fresh_codes(), []
+    text = lambda i: known.get(i) or known.setdefault(i, (x := lines[i].as_py(), coded(x, codes)))
     for i in range(len(n) - 1):
         rest = np.flatnonzero(comp[i + 1 :] != comp[i]) + i + 1
         if two:
@@ -469,8 +510,8 @@ def forest(lines: pa.Array, blocks: np.ndarray) -> list[tuple[int, int]]:
         k = limits(np.maximum(n[i], n[rest]))
         rest, k = rest[near := np.abs(n[i] - n[rest]) <= k], k[near]
         for j in rest[np.bitwise_count(odd[i] ^ odd[rest]).sum(1) <= 2 * k].tolist():
-            (x, x_tokens), (y, y_tokens) = text(i), text(j)
-            if comp[i] != comp[j] and linked(x, y, x_tokens, y_tokens):
+            (x, x_coded), (y, y_coded) = text(i), text(j)
+            if comp[i] != comp[j] and linked(x, y, x_coded, y_coded):
                 comp[comp == comp[j]] = comp[i]
                 out.append((i, j))
     return out
