@@ -10,7 +10,7 @@ principle a linked line has one of them unchanged.
 * Beyond, probes would grow with the cube of the limit. There a segment has at least SEGMENT tokens, so it holds one of the
   grams that have the smallest hash in a window of SEGMENT tokens; a line is indexed under all its grams of that kind, which
   are those of every segment wherever a linked line may have it.
-* What meets must pass a parity signature of its tokens, of which an edit changes two bits at most, and is verified with a banded bit-parallel edit distance. No filter loses a link.
+* What meets must pass a parity signature of its tokens, of which an edit changes two bits at most, and is verified along diagonals up to NEAR edits, else with a banded bit-parallel edit distance. No filter loses a link.
 
 A key goes to its task once, with the line's number of tokens and a signature, so a task tells from keys alone which lines of its
 groups can be linked. Their pairs are verified by a join with the lines' texts. A group with many such pairs for its size, as near

@@ -204,6 +204,30 @@ def test_lines_like_brute_force(spark, crowded, monkeypatch):
     assert {tuple(r)[3:5] for r in got if r.kept} == {r[3:5] for r in expected}
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(0, 2), max_size=12), st.lists(st.integers(0, 2), max_size=12), st.integers(0, 5))
+def test_edits_along_diagonals(a, b, k):
+    assert linedup.within(np.array(a, np.int64), np.array(b, np.int64), k) == (distance(a, b) <= k)
+
+
+def test_near_copies_are_not_written_as_pairs(spark):
+    """A group of near copies meets in one task, and of lines that only share a key no pair is made."""
+    rnd = random.Random(9)
+    base = [f"w{i}" for i in range(40)]
+    lines = [" ".join([*base[:i], f"z{rnd.random()}", *base[i + 1 :]]) for i in (rnd.randrange(20, 40) for _ in range(300))]
+    lines += [" ".join([*"abcd", *(f"{x}{i}" for x in "vwxyz")]) for i in range(600)]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    keys = linedup.key_table(docs)
+    found = linedup.candidates(keys, 500).collect()
+    assert sum(r.key is not None and not r.crowded for r in found) >= 300  # passed on as lines
+    assert sum(r.crowded for r in found) >= 600
+    crowded = linedup.candidates(keys, 500).where("crowded").select("key", F.col("a").alias("id"), "about")
+    texts = linedup.line_texts(docs, linedup.line_table(docs).withColumnRenamed("h", "id"))
+    assert linedup.candidates(linedup.finer_keys(crowded, texts), None).count() < 600  # of 180,000
+    got = linedup.line_classes(docs).groupBy("class_doc_id").count().collect()
+    assert sorted(r["count"] for r in got)[-2:] == [1, 300] and len(got) == 601
+
+
 def test_short_lines_have_rows(spark, tmp_path):
     """Every line that is not blank has a row in the query; those of fewer than four words are linked by equality alone."""
     long = "A line of more than four and twenty characters"
