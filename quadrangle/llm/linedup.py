@@ -10,7 +10,9 @@ principle a linked line has one of them unchanged.
 * Beyond, probes would grow with the cube of the limit. There a segment has at least SEGMENT tokens, so it holds one of the
   grams that have the smallest hash in a window of SEGMENT tokens; a line is indexed under all its grams of that kind, which
   are those of every segment wherever a linked line may have it.
-* What meets must pass a parity signature of its tokens, of which an edit changes two bits at most, and is verified along diagonals up to NEAR edits, else with a banded bit-parallel edit distance. No filter loses a link.
+* What meets must pass a parity signature of its tokens, of which an edit changes two bits at most: a narrow one beside the key, and
+  before texts are moved a wide one, in which equal tokens of a line are told apart by their number. Then it is verified by a banded
+  bit-parallel edit distance, of many pairs at once; a few pairs of up to NEAR edits are followed along diagonals. No filter loses a link.
 
 A key goes to its task once, with the line's number of tokens and a signature, so a task tells from keys alone which lines of its
 groups can be linked. Their pairs are verified by a join with the lines' texts. A group with many such pairs for its size, as near
@@ -30,10 +32,8 @@ first of them is. Other columns are passed through by `dedup_lines` and ignored
 
 from __future__ import annotations
 
-import itertools
 import re
 from bisect import bisect_left
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -56,10 +56,14 @@ SMALL = 3
 STEP_BYTES = 1 << 20
 #: Parity bits of a line's tokens, beside a key and within a group that is linked in a task.
 KEY_BITS, BITS = 48, 1024
+#: Edits up to which many pairs are verified at once, as a band must fit a 64-bit number; tokens of the longest pair, for each, that are then worked on.
+BAND, BAND_TOKENS = 31, 1 << 19
+#: Pairs of a group that are verified before its next lines are compared.
+AT_ONCE = 384
 #: Bits beside those for the number of tokens; lines of this number or more are told apart by their texts alone.
 SIZE_BITS = 16
-#: Lines whose tokens are kept at hand, and edits up to which diagonals are followed, as that takes the square of them.
-KNOWN, NEAR = 1000, 8
+#: Edits up to which diagonals are followed, as that takes the square of them; pairs fewer than which are verified one by one, or in a wider band.
+NEAR, ALONE, TOGETHER = 7, 8, 256
 #: Pairs for each line of a group that are written as pairs, and lines and tokens of a group that meet in one task.
 DENSE, BLOCK, BLOCK_TOKENS = 32, 2048, 1 << 18
 NEWLINE = 10
@@ -135,16 +139,6 @@ def tokens(line: str) -> list[str]:
     return out
 
 
-def fresh_codes() -> defaultdict[str, int]:
-    return defaultdict(itertools.count().__next__)
-
-
-def coded(line: str, codes: defaultdict[str, int]) -> tuple[np.ndarray, frozenset[int]]:
-    """The tokens of a line as numbers that codes gives them, in order and as a set."""
-    out = [codes[x] for x in tokens(line)]
-    return np.array(out, np.int64), frozenset(out)
-
-
 def within(a: np.ndarray, b: np.ndarray, k: int) -> bool:
     """Whether at most k edits lead from a to b: the furthest place on each diagonal, for one edit more at a time."""
     m, goal = len(a), len(b) - len(a)
@@ -170,23 +164,71 @@ def within(a: np.ndarray, b: np.ndarray, k: int) -> bool:
     return reach.get(goal) == m
 
 
-def linked(x: str, y: str, x_coded: tuple[np.ndarray, frozenset[int]], y_coded: tuple[np.ndarray, frozenset[int]]) -> bool:
-    """Whether two lines, given with their tokens by coded(), are linked."""
-    (a, some), (b, others) = x_coded, y_coded
-    n = max(len(a), len(b))
-    k = limit(n)
-    if abs(len(a) - len(b)) > k or len(some ^ others) > 2 * k:  # an edit takes away one token and adds one
-        return False
-    if n < FEW and edit_distance(x, y, FEW_CHARS) > FEW_CHARS:
-        return False
-    return within(a, b, min(k, NEAR)) or k > NEAR and edit_distance(a.tolist(), b.tolist(), k) <= k
-
-
 def limits(n: np.ndarray) -> np.ndarray:
     """limit() of each."""
     return np.where(n < ONE, 0, np.where(n < TWO, 1, np.where(n < MANY, 2, n // STEP)))
 
 
+def _rows(values: np.ndarray, start: np.ndarray, n: np.ndarray, width: int, at: int) -> np.ndarray:
+    """Runs of values as rows that begin at column `at`; 0 elsewhere."""
+    out = np.zeros((len(n), width), np.uint64)
+    step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    out.reshape(-1)[np.repeat(np.arange(len(n)) * width + at, n) + step] = values[np.repeat(start, n) + step]
+    return out
+
+
+def _band_distances(values: np.ndarray, a: np.ndarray, m: np.ndarray, b: np.ndarray, n: np.ndarray, k: int) -> np.ndarray:
+    """edit_distance() of runs of m values from a on and of n, no more than m and at least m - k, from b on, in falling order of n: exact up to k."""
+    width = 2 * k + 1
+    kind = next(x for x in (np.uint8, np.uint16, np.uint32, np.uint64) if np.iinfo(x).bits > width)
+    bits, full, one = np.iinfo(kind).bits, kind((1 << width) - 1), kind(1)
+    x, y = _rows(values, a, m, int(n[0]) + bits, k), _rows(values, b, n, int(n[0]), 0)
+    vp, vn, score = np.full(len(n), (int(full) >> k) << k, kind), np.zeros(len(n), kind), np.full(len(n), k)
+    going = np.searchsorted(-n, -np.arange(int(n[0])), "left").tolist()  # runs that are longer than j
+    for j, some in enumerate(going):
+        match = np.packbits(x[:some, j : j + bits] == y[:some, j : j + 1], axis=1, bitorder="little").view(kind)[:, 0] & full
+        p, q = vp[:some], vn[:some]
+        d0 = ((((match & p) + p) ^ p) | match | q) & full
+        hp, hn, down = (q | ~(d0 | p)) & full, d0 & p, d0 >> one
+        score[:some] += ((d0 >> kind(width - 1)) ^ one).astype(np.int64)
+        vp[:some], vn[:some] = (hn | ~(down | hp)) & full, down & hp
+    above = (n + k - m).astype(np.uint64)  # rows from that of score up to row m
+    rows = ((np.uint64(1) << above) - np.uint64(1)) << (np.uint64(width - 1) - above)
+    return score - np.bitwise_count(vp & rows) + np.bitwise_count(vn & rows)
+
+
+def few_edits(values: np.ndarray, start: np.ndarray, n: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Whether limit() edits lead from one line to the other, for pairs of lines given by their first token hash and number of tokens."""
+    longer = n[left] >= n[right]
+    a, b = np.where(longer, left, right), np.where(longer, right, left)
+    k = limits(n[a])
+    out = np.zeros(len(a), bool)
+    todo = n[a] - n[b] <= k
+    for most in (3, 7, 15, BAND):
+        at = np.flatnonzero(todo & (k <= most))
+        if len(at) < (ALONE if most == BAND else TOGETHER):
+            continue  # a few pairs go with those of a wider band
+        todo[at] = False
+        at = at[np.argsort(-n[b[at]], kind="stable")]
+        while len(at):
+            some = at[: max(1, BAND_TOKENS // int(n[b[at[0]]] + 2 * most + 2))]
+            at = at[len(some) :]
+            out[some] = _band_distances(values, start[a[some]], n[a[some]], start[b[some]], n[b[some]], most) <= k[some]
+    for i in np.flatnonzero(todo).tolist():
+        x, y = (values[start[t] : start[t] + n[t]] for t in (a[i], b[i]))
+        most = int(k[i])
+        out[i] = within(x, y, most) if most <= NEAR else edit_distance(x.tolist(), y.tolist(), most) <= most
+    return out
+
+
+def linked(lines: pa.Array, values: np.ndarray, n: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Which pairs of the lines, given with their token hashes (see _tokens_of), are linked."""
+    out = few_edits(values, np.cumsum(n) - n, n, left, right)
+    for i in np.flatnonzero(out & (np.maximum(n[left], n[right]) < FEW)).tolist():
+        out[i] = edit_distance(lines[left[i]].as_py(), lines[right[i]].as_py(), FEW_CHARS) <= FEW_CHARS
+    return out
+
+
 def named_grams(acc: np.ndarray, start: np.ndarray, end: np.ndarray, gram: int, window: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct hashes of the grams that spans (in order, of gram + window - 1 characters at least) name, and their number for each."""
     n = len(acc) - gram
@@ -229,6 +271,23 @@ def _segment(length: np.ndarray, seg: int, parts: int) -> tuple[np.ndarray, np.n
     return seg * size + np.maximum(0, seg - first), size + (seg >= first)
 
 
+def numbered(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Token hashes, of each run in any order, in which the first, second, ... of equal tokens differ. An edit takes away one and adds one."""
+    v = values + np.repeat(c.mix(np.arange(1, len(counts) + 1, dtype=np.uint64)), counts)  # equal only within a run
+    order = np.argsort(v)
+    v = v[order]
+    again = np.flatnonzero(np.append(False, v[1:] == v[:-1]))
+    if not len(again):
+        return values
+    place = np.arange(len(v))
+    first = np.ones(len(v), bool)
+    first[again] = False
+    number = again - np.maximum.accumulate(np.where(first, place, 0))[again]
+    out = values.copy()
+    out[order[again]] = c.mix(values[order[again]] + number.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return out
+
+
 def parities(values: np.ndarray, counts: np.ndarray, bits: int) -> np.ndarray:
     """A row of bits for each run of token hashes: whether an odd number of tokens has that bit. An edit changes two at most."""
     at = np.repeat(np.arange(len(counts)), counts) * bits + ((values >> np.uint64(40)) % np.uint64(bits)).astype(np.int64)
@@ -294,7 +353,10 @@ def _line_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
 def _token_hashes(chars: np.ndarray, ts: np.ndarray, te: np.ndarray) -> np.ndarray:
     acc = np.zeros(len(chars) + 1, np.uint64)
     np.cumsum((chars.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(0x2545F4914F6CDD1D)) * c.powers(len(chars) + 1)[0][: len(chars)], out=acc[1:])
-    return c.span_hash(acc, ts, te)
+    h = c.span_hash(acc, ts, te)
+    for i in np.flatnonzero(te - ts > c.EXACT_BYTES).tolist():  # see c.word_hash
+        h[i] = xxhash.xxh3_64_intdigest(chars[ts[i] : te[i]].tobytes(), 1)
+    return h
 
 
 def _sequence_hash(values: np.ndarray) -> np.ndarray:
@@ -452,20 +514,69 @@ def candidates(keys: DataFrame, crowded: int | None) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long, key long, about long, crowded boolean")
 
 
+def _tokens_of(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The token hashes of lines, one after another, and how many each has."""
+    values, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for _, _, data, off in c.steps(lines, STEP_BYTES):
+        chars = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+        rows = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))[off]
+        ts, te = _token_spans(chars, rows)
+        values.append(_token_hashes(chars, ts, te))
+        counts.append(np.diff(np.searchsorted(ts, rows)))
+    return np.concatenate(values), np.concatenate(counts)
+
+
 def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """id, line for the lines named by wanted (doc_id, t, line_no, id)."""
+    """id, line, mark (number of tokens and BITS parities) for the lines named by wanted (doc_id, t, line_no, id)."""
+
+    def rows(ids: list[int], lines: list[str]) -> Iterator[pa.RecordBatch]:
+        column, lo, step = pa.array(lines, pa.string()), 0, max(1, STEP_BYTES // BITS)
+        values, n = _tokens_of(column)
+        values, ends = numbered(values, n), np.cumsum(n)
+        while lo < len(ids):  # parities take BITS numbers a line while they are counted
+            hi = min(lo + step, len(ids))
+            odd = np.packbits(parities(values[ends[lo] - n[lo] : ends[hi - 1]], n[lo:hi], BITS), axis=1).view(np.int64)
+            mark = np.column_stack((n[lo:hi], odd))
+            marks = c.binary_array(mark.tobytes(), np.full(hi - lo, mark.shape[1] * 8))
+            yield pa.RecordBatch.from_arrays([pa.array(ids[lo:hi], pa.int64()), column[lo:hi], marks], ["id", "line", "mark"])
+            lo = hi
 
     def run(batches):
         for b in batches:
+            ids, found, size = [], [], 0
             for text, items in zip(b.column(0), b.column(1), strict=True):
                 lines = text.as_py().split("\n")
-                some = {x["id"]: lines[x["line_no"]] for x in items.as_py() if x["line_no"] < len(lines)}
-                yield pa.RecordBatch.from_arrays([pa.array(list(some), pa.int64()), pa.array(list(some.values()), pa.string())], ["id", "line"])
+                for x in items.as_py():
+                    if x["line_no"] < len(lines):
+                        ids.append(x["id"])
+                        found.append(lines[x["line_no"]])
+                        size += len(found[-1])
+                if size > STEP_BYTES:
+                    yield from rows(ids, found)
+                    ids, found, size = [], [], 0
+            yield from rows(ids, found)
 
     lists = wanted.groupBy(F.col("doc_id").alias("w_id"), F.col("t").alias("w_t")).agg(F.collect_set(F.struct("line_no", "id")).alias("items"))
     whole = _slim(docs).where("text is not null")
     met = whole.join(lists, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("t") == F.col("w_t")))
-    return met.select("text", "items").mapInArrow(run, "id long, line string").dropDuplicates(["id"])
+    return met.select("text", "items").mapInArrow(run, "id long, line string, mark binary").dropDuplicates(["id"])
+
+
+def likely(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) of lines whose marks can be those of linked ones."""
+
+    def run(batches):
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x, y = (np.frombuffer(b"".join(b.column(i).to_pylist()), np.int64).reshape(b.num_rows, -1) for i in (2, 3))
+            k = limits(np.maximum(x[:, 0], y[:, 0]))
+            ok = (np.abs(x[:, 0] - y[:, 0]) <= k) & (np.bitwise_count((x[:, 1:] ^ y[:, 1:]).view(np.uint64)).sum(1) <= 2 * k)
+            yield b.select([0, 1]).filter(pa.array(ok))
+
+    left = texts.select(F.col("id").alias("a"), F.col("mark").alias("x"))
+    right = texts.select(F.col("id").alias("b"), F.col("mark").alias("y"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -473,47 +584,44 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            keep, known, codes = [], {}, fresh_codes()
-            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
-                if len(known) > KNOWN:
-                    known.clear()
-                    codes = fresh_codes()
-                for line in (x, y):
-                    if line not in known:
-                        known[line] = coded(line, codes)
-                keep.append(linked(x, y, known[x], known[y]))
-            yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+            if not b.num_rows:
+                continue
+            ids, lines = np.concatenate((b.column(0).to_numpy(), b.column(1).to_numpy())), pa.concat_arrays(b.columns[2:])
+            _, one, which = np.unique(ids, return_index=True, return_inverse=True)
+            lines = lines.take(pa.array(one))
+            keep = linked(lines, *_tokens_of(lines), which[: b.num_rows], which[b.num_rows :])
+            yield b.select([0, 1]).filter(pa.array(keep))
 
     left = texts.select(F.col("id").alias("a"), F.col("line").alias("x"))
     right = texts.select(F.col("id").alias("b"), F.col("line").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return likely(pairs, texts).join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
 def forest(lines: pa.Array, blocks: np.ndarray) -> list[tuple[int, int]]:
     """Links (places) that connect all lines which links connect, of one block or of two; of two, links between them alone are looked for."""
-    values, counts = [], []
-    for _, _, data, off in c.steps(lines):
-        chars = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
-        rows = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))[off]
-        ts, te = _token_spans(chars, rows)
-        values.append(_token_hashes(chars, ts, te))
-        counts.append(np.diff(np.searchsorted(ts, rows)))
-    n = np.concatenate(counts)
-    odd = np.packbits(parities(np.concatenate(values), n, BITS), axis=1).view(np.uint64)
+    values, n = _tokens_of(lines)
+    odd = np.packbits(parities(numbered(values, n), n, BITS), axis=1).view(np.uint64)
     two = blocks.min() != blocks.max()
-    comp, known, codes, out = np.arange(len(n)), {}, fresh_codes(), []
-    text = lambda i: known.get(i) or known.setdefault(i, (x := lines[i].as_py(), coded(x, codes)))
+    comp, out = np.arange(len(n)), []
+    left, right, met = [], [], 0
+    k = limits(n)
     for i in range(len(n) - 1):
         rest = np.flatnonzero(comp[i + 1 :] != comp[i]) + i + 1
         if two:
             rest = rest[blocks[rest] != blocks[i]]
-        k = limits(np.maximum(n[i], n[rest]))
-        rest, k = rest[near := np.abs(n[i] - n[rest]) <= k], k[near]
-        for j in rest[np.bitwise_count(odd[i] ^ odd[rest]).sum(1) <= 2 * k].tolist():
-            (x, x_coded), (y, y_coded) = text(i), text(j)
-            if comp[i] != comp[j] and linked(x, y, x_coded, y_coded):
-                comp[comp == comp[j]] = comp[i]
-                out.append((i, j))
+        most = np.maximum(k[i], k[rest])
+        rest = rest[(np.abs(n[i] - n[rest]) <= most) & (np.bitwise_count(odd[i] ^ odd[rest]).sum(1) <= 2 * most)]
+        left.append(np.full(len(rest), i))
+        right.append(rest)
+        met += len(rest)
+        if met >= AT_ONCE or i == len(n) - 2 and met:
+            x, y = np.concatenate(left), np.concatenate(right)
+            ok = linked(lines, values, n, x, y)
+            for a, b in zip(x[ok].tolist(), y[ok].tolist(), strict=True):
+                if comp[a] != comp[b]:
+                    comp[comp == comp[b]] = comp[a]
+                    out.append((a, b))
+            left, right, met = [], [], 0
     return out
 
 

@@ -228,6 +228,35 @@ def test_near_copies_are_not_written_as_pairs(spark):
     assert sorted(r["count"] for r in got)[-2:] == [1, 300] and len(got) == 601
 
 
+def test_pairs_are_verified_at_once():
+    """Bands of every width, bands too wide for a number, and few or many pairs agree with the distance of one pair."""
+    rnd = random.Random(12)
+    lines = [changed(rnd, base, rnd.randrange(2 * linedup.limit(n) + 2)) for n in (4, 15, 16, 48, 111, 128, 255, 256, 500, 530) for base in [[f"w{rnd.randrange(40)}" for _ in range(n)]] for _ in range(9)]
+    text = pa.array([" ".join(x) for x in lines])
+    values, n = linedup._tokens_of(text)
+    pairs = np.array([(i, j) for i in range(len(lines)) for j in range(i) if abs(len(lines[i]) - len(lines[j])) < 40])
+    most = [linedup.limit(max(len(lines[i]), len(lines[j]))) for i, j in pairs]
+    expected = [linedup.edit_distance(lines[i], lines[j], k) <= k for (i, j), k in zip(pairs, most, strict=True)]
+    got = linedup.few_edits(values, np.cumsum(n) - n, n, pairs[:, 0], pairs[:, 1])
+    assert got.tolist() == expected and 40 < sum(expected) < len(expected) - 40
+    some = slice(len(pairs) - 5, None)
+    assert linedup.few_edits(values, np.cumsum(n) - n, n, *pairs[some].T).tolist() == expected[some]
+    odd = linedup.parities(linedup.numbered(values, n), n, linedup.BITS)
+    assert all((odd[i] != odd[j]).sum() <= 2 * k for (i, j), k, ok in zip(pairs, most, expected, strict=True) if ok)
+
+
+def test_lines_of_repeated_words_are_no_candidates(spark):
+    """Lines that repeat different words an even number of times have no odd bits; they are told apart before their texts meet."""
+    words = [["b"] * 48 + ["c"] * 48, ["d"] * 48 + ["e"] * 48, ["b"] * 47 + ["c"] * 48 + ["f"]]
+    docs = spark.createDataFrame([(i, " ".join(w * 6)) for i, w in enumerate(words)], "doc_id long, text string")
+    texts = linedup.line_texts(docs, linedup.line_table(docs).withColumnRenamed("h", "id"))
+    ids = [r.h for r in linedup.line_table(docs).orderBy("doc_id").collect()]
+    pairs = spark.createDataFrame([(ids[0], ids[1]), (ids[0], ids[2])], "a long, b long")
+    assert [tuple(r) for r in linedup.likely(pairs, texts).collect()] == [(ids[0], ids[2])]
+    assert [tuple(r) for r in linedup.verified(pairs, texts).collect()] == [(ids[0], ids[2])]
+    assert sorted((r.doc_id, r.class_doc_id) for r in linedup.line_classes(docs).collect()) == [(0, 0), (1, 1), (2, 0)]
+
+
 def test_short_lines_have_rows(spark, tmp_path):
     """Every line that is not blank has a row in the query; those of fewer than four words are linked by equality alone."""
     long = "A line of more than four and twenty characters"
