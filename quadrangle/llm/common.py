@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -92,6 +93,7 @@ def one_each(own: Scratch, docs: DataFrame, source: DataFrame | None = None, whe
 def packed_texts(docs: DataFrame) -> DataFrame:
     """doc_id, t (hash of the text), z: the text compressed, for a shuffle; null is empty."""
 
+    @lean
     def run(batches):
         z = zstandard.ZstdCompressor(level=1)
         for b in batches:
@@ -143,6 +145,29 @@ def components(own: Scratch, edges: DataFrame) -> DataFrame:
     )
 
 
+def release() -> None:
+    """Gives memory that this process has freed back to the system; allocators keep it else."""
+    if _powers and len(_powers[0]) > 2 * STEP_BYTES:  # of a very long text
+        _powers.clear()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """run, a task's function over Arrow batches, ending with release(). Python workers wait for further tasks, more of them than an
+    executor has cores, and each would keep the memory of the largest step it has done."""
+
+    @functools.wraps(run)
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return task
+
+
 # ---------------------------------------------------------------- text as bytes
 
 
@@ -192,7 +217,7 @@ _powers: list[np.ndarray] = []
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """B**0.. and B**-0.. modulo 2**64, at least n of each."""
     if not _powers or len(_powers[0]) < n:
-        size = max(n, STEP_BYTES + 1024)
+        size = max(n + n // 8, 1 << 16)
         both = []
         for base in (_BASE, _BASE_INV):
             p = np.full(size, base, U)

@@ -404,6 +404,7 @@ def _slim(docs: DataFrame) -> DataFrame:
 def line_table(docs: DataFrame) -> DataFrame:
     """doc_id, t (hash of the whole text), line_no, n_chars, h (hash of the line) of every line that is not blank."""
 
+    @c.lean
     def run(batches):
         for b in batches:
             for lo, _, data, off in c.steps(b.column(2), STEP_BYTES):
@@ -418,6 +419,7 @@ def line_table(docs: DataFrame) -> DataFrame:
 def key_table(docs: DataFrame) -> DataFrame:
     """key, id (hash of the line), about (see abouts) for the lines of a step of texts that differ."""
 
+    @c.lean
     def run(batches):
         for b in batches:
             for _, _, data, off in c.steps(b.column(0), STEP_BYTES):
@@ -484,6 +486,7 @@ def candidates(keys: DataFrame, crowded: int | None) -> DataFrame:
             if len(at):
                 yield rows(ids[at], None, key[at], about[at], many)
 
+    @c.lean
     def run(batches):
         held, hot = [np.zeros(0, np.int64)] * 3, None  # rows of the last key, which may go on; a key that is passed on at once
         for b in batches:
@@ -541,6 +544,7 @@ def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(ids[lo:hi], pa.int64()), column[lo:hi], marks], ["id", "line", "mark"])
             lo = hi
 
+    @c.lean
     def run(batches):
         for b in batches:
             ids, found, size = [], [], 0
@@ -565,6 +569,7 @@ def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 def likely(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) of lines whose marks can be those of linked ones."""
 
+    @c.lean
     def run(batches):
         for b in batches:
             if not b.num_rows:
@@ -582,6 +587,7 @@ def likely(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) of lines that are linked."""
 
+    @c.lean
     def run(batches):
         for b in batches:
             if not b.num_rows:
@@ -634,6 +640,7 @@ def linked_groups(members: DataFrame, texts: DataFrame) -> DataFrame:
         found = np.array(forest(group["line"].combine_chunks(), group["block"].to_numpy()), np.int64).reshape(-1, 2)
         return pa.RecordBatch.from_arrays([pa.array(ids[found[:, 0]]), pa.array(ids[found[:, 1]])], ["a", "b"])
 
+    @c.lean
     def run(batches):
         held, name = [], None
         for b in batches:
@@ -701,6 +708,7 @@ def _side_keys(keys: list[int], values: np.ndarray) -> list[tuple]:
 def finer_keys(members: DataFrame, texts: DataFrame) -> DataFrame:
     """members with keys of two parts: the old one and a gram of the side of the line that is longer."""
 
+    @c.lean
     def run(batches):
         for b in batches:
             at, parts = [], []
@@ -778,17 +786,19 @@ def line_classes(docs: DataFrame) -> DataFrame:
 
 
 @F.arrow_udf(StringType())
-def _without(texts: pa.Array, numbers: pa.Array) -> pa.Array:
+@c.lean
+def _without(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     """Texts without the lines of the given numbers (from 0); null if no line that is not blank is left."""
-    out = []
-    for text, gone in zip(texts, numbers, strict=True):
-        if not text.is_valid or not gone.is_valid:
-            out.append(None)
-            continue
-        away = set(gone.as_py())
-        lines = [x for i, x in enumerate(text.as_py().split("\n")) if i not in away]
-        out.append("\n".join(lines) if any(x.strip(BLANKS) for x in lines) else None)
-    return pa.array(out, pa.string())
+    for texts, numbers in batches:
+        out = []
+        for text, gone in zip(texts, numbers, strict=True):
+            if not text.is_valid or not gone.is_valid:
+                out.append(None)
+                continue
+            away = set(gone.as_py())
+            lines = [x for i, x in enumerate(text.as_py().split("\n")) if i not in away]
+            out.append("\n".join(lines) if any(x.strip(BLANKS) for x in lines) else None)
+        yield pa.array(out, pa.string())
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:

@@ -120,6 +120,7 @@ def fingerprints(values: np.ndarray, counts: np.ndarray) -> list[pa.Array]:
 def signatures(docs: DataFrame, words: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, t (hash of the whole text), n_shingles, k1, k2 (fingerprint of the set), bands (keys; none for an empty set), parity."""
 
+    @c.lean
     def run(batches):
         for b in batches:
             for lo, hi, data, off in c.steps(b.column(2), STEP_BYTES):
@@ -156,6 +157,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     """The pairs (a, b) whose full sets have 100 * intersection >= percent * union. Sets are made from their texts (id, z) in the task, as
     compressed texts are a fraction of their sets."""
 
+    @c.lean
     def run(batches):
         unpack = zstandard.ZstdDecompressor().decompress
 

@@ -27,6 +27,8 @@ ignored by the rest.
 from __future__ import annotations
 
 import hashlib
+import itertools
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +43,8 @@ HOT_STRINGS = 2000
 CHUNK = 8
 #: Bytes of span text in a block, and shards that a block is cut into.
 BLOCK_BYTES, SHARDS = 1 << 20, 4
+#: Bytes of text whose windows are named in one step.
+STEP_BYTES = 1 << 19
 
 
 def spans_of(data: np.ndarray, offsets: np.ndarray, width: int, gram: int):
@@ -74,9 +78,10 @@ def spans_of(data: np.ndarray, offsets: np.ndarray, width: int, gram: int):
 def anchors(docs: DataFrame, width: int, gram: int, full: bool) -> DataFrame:
     """The anchor `a` of every span; if full, also doc_id, t (hash of the whole text), `at` (first window << 32 | bytes from there to the anchor << 16 | number of windows) and `s`, the span's name."""
 
+    @c.lean
     def run(batches):
         for b in batches:
-            for lo, _, data, off in c.steps(b.column(2)):
+            for lo, _, data, off in c.steps(b.column(2), STEP_BYTES):
                 row, first, size, place, a, prefix = spans_of(data, off, width, gram)
                 out = [pa.array(c.signed(a))]
                 if full:
@@ -89,22 +94,29 @@ def anchors(docs: DataFrame, width: int, gram: int, full: bool) -> DataFrame:
     return slim.mapInArrow(run, "a long, doc_id long, t long, at long, s long" if full else "a long")
 
 
+def batches_of(rows: Iterator[tuple], kinds: dict[str, pa.DataType], most: int = 4096) -> Iterator[pa.RecordBatch]:
+    """Rows as batches of at most so many."""
+    while part := list(itertools.islice(rows, most)):
+        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*part, strict=True), kinds.values(), strict=True)], list(kinds))
+
+
 def span_texts(docs: DataFrame, named: DataFrame, width: int) -> DataFrame:
     """s, key, o (bytes from the first window to the anchor), m (copies) and text of the spans in named (doc_id, t, at, s, a, m)."""
 
+    kinds = {"s": pa.int64(), "key": pa.int64(), "o": pa.int32(), "m": pa.int64(), "text": pa.binary()}
+
+    def pieces(b: pa.RecordBatch, z: zstandard.ZstdDecompressor) -> Iterator[tuple]:
+        for packed, spans in zip(b.column(0), b.column(1), strict=True):
+            text = z.decompress(packed.as_py())
+            for x in spans.as_py():
+                first, o, size = x["at"] >> 32, x["at"] >> 16 & 0xFFFF, x["at"] & 0xFFFF
+                yield x["s"], x["a"], o, x["m"], text[first : first + size + width - 1]
+
+    @c.lean
     def run(batches):
         z = zstandard.ZstdDecompressor()
         for b in batches:
-            out = [[], [], [], [], []]
-            for packed, spans in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                text = z.decompress(packed)
-                for x in spans:
-                    first, o, size = x["at"] >> 32, x["at"] >> 16 & 0xFFFF, x["at"] & 0xFFFF
-                    piece = text[first : first + size + width - 1]
-                    for col, v in zip(out, (x["s"], x["a"], o, x["m"], piece), strict=True):
-                        col.append(v)
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, kinds, strict=True)], ["s", "key", "o", "m", "text"])
+            yield from batches_of(pieces(b, z), kinds)
 
     per_text = named.groupBy(F.col("doc_id").alias("d"), F.col("t").alias("d_t")).agg(F.collect_list(F.struct("at", "s", "a", "m")).alias("spans"))
     joined = c.packed_texts(docs).join(per_text, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("t") == F.col("d_t")))
@@ -231,6 +243,7 @@ def _merge_blocks(strings: DataFrame, width: int, steps: int) -> DataFrame:
         keep = [(r[0], _ranges(w)) for r, w in zip(rows, found, strict=True) if len(w)]
         return pa.RecordBatch.from_arrays([pa.array([k for k, _ in keep], pa.int64()), pa.array([v for _, v in keep], pa.list_(pa.int32()))], ["s", "runs"])
 
+    @c.lean
     def run(batches):
         rows, size = [], 0
         for b in batches:
@@ -253,25 +266,26 @@ def _split(strings: DataFrame, width: int, run_of: int) -> DataFrame:
     The place is that of the windows in the span, counted from the anchor's window offset `o`, so that equal windows get
     equal keys. Columns: s (the coarser string), base (its first window in that string), key, s2 (name), m, text."""
 
+    kinds = {"s": pa.int64(), "base": pa.int32(), "key": pa.int64(), "s2": pa.int64(), "o": pa.int32(), "m": pa.int64(), "text": pa.binary()}
+
+    def finer(b: pa.RecordBatch) -> Iterator[tuple]:
+        for s, key, o, m, text in zip(*(b.column(i).to_pylist() for i in range(5)), strict=True):
+            n, w = len(text) - width + 1, 0
+            while w < n:
+                # o - w: how far window w starts before the anchor
+                take = min(n - w, (o - w) % run_of + 1)
+                slot = (o - w) // run_of
+                common = text[o - slot * run_of : o - slot * run_of - (run_of - 1) + width]
+                piece = text[w : w + take + width - 1]
+                name = hashlib.blake2b(common, digest_size=8, salt=(key & (1 << 64) - 1).to_bytes(8, "little") + slot.to_bytes(4, "little")).digest()
+                name2 = hashlib.blake2b(piece, digest_size=8, salt=name, person=((o - w) << 16 | take).to_bytes(4, "little")).digest()
+                yield s, w, int.from_bytes(name, "little", signed=True), int.from_bytes(name2, "little", signed=True), o - w, m, piece
+                w += take
+
+    @c.lean
     def run(batches):
         for b in batches:
-            out = [[] for _ in range(7)]
-            for s, key, o, m, text in zip(*(b.column(i).to_pylist() for i in range(5)), strict=True):
-                n, w = len(text) - width + 1, 0
-                while w < n:
-                    # o - w: how far window w starts before the anchor
-                    take = min(n - w, (o - w) % run_of + 1)
-                    slot = (o - w) // run_of
-                    common = text[o - slot * run_of : o - slot * run_of - (run_of - 1) + width]
-                    piece = text[w : w + take + width - 1]
-                    name = hashlib.blake2b(common, digest_size=8, salt=(key & (1 << 64) - 1).to_bytes(8, "little") + slot.to_bytes(4, "little")).digest()
-                    name2 = hashlib.blake2b(piece, digest_size=8, salt=name, person=((o - w) << 16 | take).to_bytes(4, "little")).digest()
-                    vals = (s, w, int.from_bytes(name, "little", signed=True), int.from_bytes(name2, "little", signed=True), o - w, m, piece)
-                    for col, v in zip(out, vals, strict=True):
-                        col.append(v)
-                    w += take
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, kinds, strict=True)], ["s", "base", "key", "s2", "o", "m", "text"])
+            yield from batches_of(finer(b), kinds)
 
     return strings.select("s", "key", "o", "m", "text").mapInArrow(run, "s long, base int, key long, s2 long, o int, m long, text binary")
 
@@ -338,6 +352,7 @@ def _kept(text: bytes, cuts: list[int] | None) -> tuple[list[tuple[int, int]], b
 def removal_report(docs: DataFrame, cuts: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every row of docs."""
 
+    @c.lean
     def run(batches):
         z = zstandard.ZstdDecompressor()
         for b in batches:
@@ -362,11 +377,13 @@ def cut_repeats(docs: DataFrame, **options: int) -> DataFrame:
     cuts = repeats(docs, **options).toDF(at, key, name)
 
     @F.arrow_udf("string")
-    def kept(text: pa.Array, found: pa.Array) -> pa.Array:
-        out = []  # row by row: a batch of texts and cuts as Python objects would be many times its size
-        for t, f in zip(text, found, strict=True):
-            out.append(None if not t.is_valid else _kept(t.as_py().encode(), f.as_py())[1].decode("utf-8", "ignore"))
-        return pa.array(out, pa.string())
+    @c.lean
+    def kept(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for text, found in batches:
+            out = []  # row by row: a batch of texts and cuts as Python objects would be many times its size
+            for t, f in zip(text, found, strict=True):
+                out.append(None if not t.is_valid else _kept(t.as_py().encode(), f.as_py())[1].decode("utf-8", "ignore"))
+            yield pa.array(out, pa.string())
 
     kept = kept.asNondeterministic()  # so that the filter on its result does not run it a second time
     joined = docs.join(cuts, docs["doc_id"].cast("long").eqNullSafe(F.col(at)) & (c.text_hash() == F.col(key)), "left")

@@ -30,6 +30,8 @@ from quadrangle.llm import common as c
 #: Prefix lengths in bytes that are features beside the whole word: inflected forms share them.
 PREFIXES = (4, 6)
 POSITIVES, UNLABELLED, FEATURES = 2500, 7500, 768
+#: Bytes of text of one vectorised step, which takes some thirty times as much.
+STEP_BYTES = 1 << 19
 #: Top bits of a feature's hash that are looked up before the exact search.
 SCREEN_BITS = 20
 
@@ -61,9 +63,10 @@ def held_out(doc_id: Column) -> Column:
 def _features_of(docs: DataFrame) -> DataFrame:
     """p, doc_id, t and f, the distinct features of the text, for rows p, doc_id, t, text."""
 
+    @c.lean
     def run(batches):
         for b in batches:
-            for lo, hi, data, off in c.steps(b.column(3)):
+            for lo, hi, data, off in c.steps(b.column(3), STEP_BYTES):
                 f, row = word_features(data, off)
                 each = [np.unique(x) for x in np.split(f[np.argsort(row, kind="stable")], np.cumsum(np.bincount(row, minlength=hi - lo))[:-1])]
                 items = pa.array(c.signed(np.concatenate(each)))
@@ -85,6 +88,7 @@ def choose_features(rows: DataFrame, positives: int, unlabelled: int, features:
 def _presence(rows: DataFrame, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of each row whether it is positive and which chosen features it has; a bit for each feature is what reaches the driver."""
 
+    @c.lean
     def run(batches):
         for b in batches:
             x = np.zeros((len(b), len(chosen)), bool)
@@ -153,7 +157,7 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
 
 def _scores(text: pa.Array, keys: np.ndarray, w: np.ndarray, bias: float, screen: np.ndarray) -> np.ndarray:
     out = np.zeros(len(text))
-    for lo, hi, data, off in c.steps(text):
+    for lo, hi, data, off in c.steps(text, STEP_BYTES):
         f, row = word_features(data, off)
         maybe = np.flatnonzero(screen[(f >> np.uint64(64 - SCREEN_BITS)).astype(np.int64)])
         at = np.minimum(np.searchsorted(keys, f[maybe]), len(keys) - 1)
@@ -171,6 +175,7 @@ def with_score(docs: DataFrame, model, name: str = "score") -> DataFrame:
     known = docs.sparkSession.sparkContext.broadcast(model)  # at most FEATURES weights, whatever the input
 
     @F.arrow_udf("double")
+    @c.lean
     def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         keys, w, bias = known.value
         screen = np.zeros(1 << SCREEN_BITS, bool)

@@ -1,13 +1,16 @@
 """HTML extraction on pages of known content, toxicity by held-out accuracy, and the pipeline stage by stage."""
 
 import random
+import re
 from collections import Counter
+from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from cases import altered, prose
-from quadrangle.llm import htmltext, queries, stages, toxicity
+from quadrangle.llm import htmltext, linedup, queries, stages, suffixdedup, toxicity
 
 # ---------------------------------------------------------------- 4
 
@@ -261,3 +264,35 @@ def test_stages_on_nothing(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     assert stages.run(spark, str(tmp_path)).count() == 0
+
+
+def python_workers(spark):
+    """MB of its own that each Python worker holds, by pid."""
+    pids = [int(p.name) for p in Path("/proc").iterdir() if p.name.isdigit()]
+    out = {}
+    for pid in pids:
+        try:
+            if b"pyspark.daemon" in Path(f"/proc/{pid}/cmdline").read_bytes():
+                out[pid] = sum(map(int, re.findall(r"\nPrivate_\w+:\s+(\d+)", Path(f"/proc/{pid}/smaps_rollup").read_text()))) / 1024
+        except OSError:
+            pass
+    return out
+
+
+@pytest.mark.skipif(not Path("/proc/self/smaps_rollup").exists(), reason="memory is read from /proc")
+def test_waiting_workers_keep_little_memory(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghij", k=7)) for _ in range(3000)]
+    line = spark.createDataFrame([(" ".join(rng.choices(words, k=600)),) for _ in range(50)], "text string")
+    many = spark.range(120).crossJoin(line).selectExpr("id as doc_id", "text").coalesce(1)
+    model = (np.arange(1, 100, dtype=np.uint64) << np.uint64(50), np.ones(99, np.float32), 0.0)
+
+    def worked():
+        toxicity.with_score(many, model).write.format("noop").mode("overwrite").save()
+        linedup.line_table(many).write.format("noop").mode("overwrite").save()
+        suffixdedup.anchors(many, 200, 40, True).write.format("noop").mode("overwrite").save()
+
+    held = python_workers(spark)
+    worked()
+    more = {pid: mb - held.get(pid, 0) for pid, mb in python_workers(spark).items() if mb - held.get(pid, 0) > 5}
+    assert more and max(more.values()) < 90, more
