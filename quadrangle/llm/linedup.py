@@ -11,16 +11,20 @@ principle a linked line has one of them unchanged.
   grams that have the smallest hash in a window of SEGMENT tokens; a line is indexed under all its grams of that kind, which
   are those of every segment wherever a linked line may have it.
 * What meets must pass a parity signature of its tokens, of which an edit changes two bits at most: a narrow one beside the key, and
-  before texts are moved a wide one, in which equal tokens of a line are told apart by their number. Then it is verified by a banded
+  before texts are moved a wide one, in which equal tokens of a line are told apart by their number, and which grows with lines of LONG
+  tokens and more, where it is of pairs of tokens: an edit changes four of its bits at most. Then it is verified by a banded
   bit-parallel edit distance, of many pairs at once; a few pairs of up to NEAR edits are followed along diagonals. No filter loses a link.
 
 A key goes to its task once, with the line's number of tokens and a signature, so a task tells from keys alone which lines of its
-groups can be linked. Their pairs are verified by a join with the lines' texts. A group with many such pairs for its size, as near
-copies make, is not written as pairs: its lines meet in one task with a wider signature, where a pair that earlier links already
-connect is not looked at; groups beyond BLOCK lines or BLOCK_TOKENS are divided into blocks, and each pair of blocks is a task. A key of more
-than `rounds.CROWDED` lines gets a second part first: at the far end of the line's longer side, before or behind what is shared, one of the
+groups can be linked; lines of a group are in order of their tokens' number, and meet as far as their limits reach. Their pairs are
+verified by a join with the lines' texts. A group with many such pairs for its size, as near copies make, is not written as pairs: its
+lines meet in one task with a wider signature, where a pair that earlier links already connect is not looked at. Near copies share
+nearly all their keys, so groups of one leader (the line with the most neighbours) are put together wherever that makes fewer pairs, and a
+line's text goes there once; groups beyond BLOCK lines or BLOCK_TOKENS are divided into blocks, and each pair of blocks is a task.
+A key of more than `rounds.CROWDED` lines is divided by a band of the lines' number of tokens. If more than LARGE times as many lines are
+left with a key, it gets one more part: at the far end of the line's longer side, before or behind what is shared, one of the
 outermost limit + 1 segments of SMALL tokens must be unchanged too. Where the sides are too short for that, one of 2 * limit + 1 parts of
-the lines' parity bits is the second part: linked lines have one of them alike.
+the lines' parity bits is that part: linked lines have one of them alike.
 
 Exact copies are one text however many they are; copies of any length are found.
 
@@ -32,6 +36,8 @@ first of them is. Other columns are passed through by `dedup_lines` and ignored
 
 from __future__ import annotations
 
+import functools
+import math
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
@@ -56,16 +62,20 @@ SMALL = 3
 STEP_BYTES = 1 << 20
 #: Parity bits of a line's tokens, beside a key and within a group that is linked in a task.
 KEY_BITS, BITS = 48, 1024
+#: Tokens from which BITS are too few for what the limit allows, and a line also has parities of its pairs of tokens, a bit for each token at least.
+LONG = 2048
 #: Edits up to which many pairs are verified at once, as a band must fit a 64-bit number; tokens of the longest pair, for each, that are then worked on.
 BAND, BAND_TOKENS = 31, 1 << 19
-#: Pairs of a group that are verified before its next lines are compared.
-AT_ONCE = 384
+#: Pairs of a group that are verified before its next lines are compared, and 64-bit numbers of a line's parities that are compared first.
+AT_ONCE, SOME = 384, 4
 #: Bits beside those for the number of tokens; lines of this number or more are told apart by their texts alone.
 SIZE_BITS = 16
 #: Edits up to which diagonals are followed, as that takes the square of them; pairs fewer than which are verified one by one, or in a wider band.
 NEAR, ALONE, TOGETHER = 7, 8, 256
 #: Pairs for each line of a group that are written as pairs, and lines and tokens of a group that meet in one task.
-DENSE, BLOCK, BLOCK_TOKENS = 32, 2048, 1 << 18
+DENSE, BLOCK, BLOCK_TOKENS = 8, 2048, 1 << 18
+#: A band of numbers of tokens ends at so many times its beginning; times `rounds.CROWDED` lines of a key and a band that meet in one task.
+BAND_WIDTH, LARGE = 1.25, 8
 NEWLINE = 10
 #: White space: 0x20 and 0x09 to 0x0D.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -294,6 +304,21 @@ def parities(values: np.ndarray, counts: np.ndarray, bits: int) -> np.ndarray:
     return (np.bincount(at, minlength=len(counts) * bits) & 1).astype(np.uint8).reshape(len(counts), bits)
 
 
+def pair_parities(values: np.ndarray) -> np.ndarray:
+    """Parity bits (64-bit numbers) of a line's pairs of neighbouring tokens, at least as many bits as tokens. An edit changes four at most."""
+    bits = 1 << max(6, (len(values) - 1).bit_length())
+    both = c.mix(values[:-1] * np.uint64(0x9E3779B97F4A7C15) + values[1:])
+    return np.packbits(parities(numbered(both, np.array([len(both)])), np.array([len(both)]), bits), axis=1).view(np.uint64)[0]
+
+
+def pairs_alike(x: np.ndarray, y: np.ndarray, k: int) -> bool:
+    """Whether lines with such pair_parities() can be linked by k edits. Half as many bits are the two halves of them, one upon the other."""
+    while len(x) != len(y):
+        x, y = (x, y) if len(x) > len(y) else (y, x)
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum()) <= 4 * k
+
+
 def abouts(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Number of tokens (SIZE_BITS) and, above it, parities of each run of token hashes."""
     odd = np.packbits(np.pad(parities(values, counts, KEY_BITS), ((0, 0), (0, 64 - KEY_BITS))), axis=1, bitorder="little").view(np.int64)[:, 0]
@@ -446,17 +471,22 @@ def _once(key: np.ndarray, ids: np.ndarray, about: np.ndarray) -> tuple[np.ndarr
 
 
 def _meeting(key: np.ndarray, ids: np.ndarray, about: np.ndarray, crowded: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Places of the pairs that can be linked, of the members of groups that have too many of them, and of crowded groups; keys in order."""
+    """Places of the pairs that can be linked, of the members of groups that have too many of them, and of crowded groups; keys in order,
+    and the members of each by their number of tokens."""
+    most = (1 << SIZE_BITS) - 1
+    n = about & most
+    least = n - limits(n)  # never falls from a member to the next
     new = np.append(True, key[1:] != key[:-1]) if len(key) else np.zeros(0, bool)
     group, size = np.cumsum(new) - 1, np.diff(np.append(np.flatnonzero(new), len(key)))
     large = size > crowded if crowded else np.zeros(len(size), bool)
+    endless = n[np.cumsum(size) - 1] == most  # with a line whose true number is not known
     pairs, full = np.zeros(len(size), np.int64), np.zeros(len(size), bool)
     some, other = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     alive, step = np.flatnonzero(~large[group]), 0
     while len(alive):
         step += 1
         alive = alive[alive + step < len(key)]
-        alive = alive[(group[alive + step] == group[alive]) & ~full[group[alive]]]
+        alive = alive[(group[alive + step] == group[alive]) & ~full[group[alive]] & ((least[alive + step] <= n[alive]) | endless[group[alive]])]
         met = alive[possible(about[alive], about[alive + step])]
         pairs += np.bincount(group[met], minlength=len(size))
         full |= pairs > DENSE * size
@@ -479,6 +509,8 @@ def candidates(keys: DataFrame, crowded: int | None) -> DataFrame:
         same = key[1:] == key[:-1]
         shared = np.append(same, False) | np.append(False, same)
         key, ids, about = _once(key[shared], ids[shared], about[shared])
+        order = np.lexsort((about & (1 << SIZE_BITS) - 1, key))
+        key, ids, about = key[order], ids[order], about[order]
         a, b, dense, large = _meeting(key, ids, about, crowded)
         if len(a):
             yield rows(ids[a], ids[b], None, None, False)
@@ -530,17 +562,19 @@ def _tokens_of(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """id, line, mark (number of tokens and BITS parities) for the lines named by wanted (doc_id, t, line_no, id)."""
+    """id, line, mark (number of tokens, BITS parities and, of long lines, pair_parities) for the lines named by wanted (doc_id, t, line_no, id)."""
 
     def rows(ids: list[int], lines: list[str]) -> Iterator[pa.RecordBatch]:
         column, lo, step = pa.array(lines, pa.string()), 0, max(1, STEP_BYTES // BITS)
-        values, n = _tokens_of(column)
-        values, ends = numbered(values, n), np.cumsum(n)
+        plain, n = _tokens_of(column)
+        values, ends = numbered(plain, n), np.cumsum(n)
         while lo < len(ids):  # parities take BITS numbers a line while they are counted
             hi = min(lo + step, len(ids))
             odd = np.packbits(parities(values[ends[lo] - n[lo] : ends[hi - 1]], n[lo:hi], BITS), axis=1).view(np.int64)
-            mark = np.column_stack((n[lo:hi], odd))
-            marks = c.binary_array(mark.tobytes(), np.full(hi - lo, mark.shape[1] * 8))
+            marks = [x.tobytes() for x in np.column_stack((n[lo:hi], odd))]
+            for i in np.flatnonzero(n[lo:hi] >= LONG).tolist():
+                marks[i] += pair_parities(plain[ends[lo + i] - n[lo + i] : ends[lo + i]]).tobytes()
+            marks = pa.array(marks, pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(ids[lo:hi], pa.int64()), column[lo:hi], marks], ["id", "line", "mark"])
             lo = hi
 
@@ -568,15 +602,19 @@ def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def likely(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) of lines whose marks can be those of linked ones."""
+    size = 8 + BITS // 8  # bytes of what every mark has
 
     @c.lean
     def run(batches):
         for b in batches:
             if not b.num_rows:
                 continue
-            x, y = (np.frombuffer(b"".join(b.column(i).to_pylist()), np.int64).reshape(b.num_rows, -1) for i in (2, 3))
+            marks = [b.column(i).to_pylist() for i in (2, 3)]
+            x, y = (np.frombuffer(b"".join(m[:size] for m in side), np.int64).reshape(b.num_rows, -1) for side in marks)
             k = limits(np.maximum(x[:, 0], y[:, 0]))
             ok = (np.abs(x[:, 0] - y[:, 0]) <= k) & (np.bitwise_count((x[:, 1:] ^ y[:, 1:]).view(np.uint64)).sum(1) <= 2 * k)
+            for i in np.flatnonzero(ok & (np.minimum(x[:, 0], y[:, 0]) >= LONG)).tolist():
+                ok[i] = pairs_alike(*(np.frombuffer(side[i], np.uint64, offset=size) for side in marks), k[i])
             yield b.select([0, 1]).filter(pa.array(ok))
 
     left = texts.select(F.col("id").alias("a"), F.col("mark").alias("x"))
@@ -606,31 +644,58 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def forest(lines: pa.Array, blocks: np.ndarray) -> list[tuple[int, int]]:
     """Links (places) that connect all lines which links connect, of one block or of two; of two, links between them alone are looked for."""
     values, n = _tokens_of(lines)
-    odd = np.packbits(parities(numbered(values, n), n, BITS), axis=1).view(np.uint64)
+    order = np.argsort(n, kind="stable")
+    odd = np.packbits(parities(numbered(values, n), n, BITS), axis=1).view(np.uint64)[order]
+    some, blocks = odd[:, :SOME].copy(), blocks[order]
+    ends = np.cumsum(n)[order]
+    long = {i: pair_parities(values[ends[i] - n[order[i]] : ends[i]]) for i in np.flatnonzero(n[order] >= LONG).tolist()}
     two = blocks.min() != blocks.max()
     comp, out = np.arange(len(n)), []
     left, right, met = [], [], 0
-    k = limits(n)
+    k = limits(n[order])
+    end = np.searchsorted(n[order] - k, n[order], "right").tolist()  # lines from there on are too long
     for i in range(len(n) - 1):
-        rest = np.flatnonzero(comp[i + 1 :] != comp[i]) + i + 1
+        rest = np.flatnonzero(comp[i + 1 : end[i]] != comp[i]) + i + 1
         if two:
             rest = rest[blocks[rest] != blocks[i]]
-        most = np.maximum(k[i], k[rest])
-        rest = rest[(np.abs(n[i] - n[rest]) <= most) & (np.bitwise_count(odd[i] ^ odd[rest]).sum(1) <= 2 * most)]
+        for bits in (some, odd):
+            rest = rest[np.bitwise_count(bits[i] ^ bits[rest]).sum(1) <= 2 * k[rest]]
+        if i in long:
+            rest = np.array([j for j in rest.tolist() if pairs_alike(long[i], long[j], k[j])], np.int64)
         left.append(np.full(len(rest), i))
         right.append(rest)
         met += len(rest)
         if met >= AT_ONCE or i == len(n) - 2 and met:
             x, y = np.concatenate(left), np.concatenate(right)
-            ok = linked(lines, values, n, x, y)
+            ok = linked(lines, values, n, order[x], order[y])
             for a, b in zip(x[ok].tolist(), y[ok].tolist(), strict=True):
                 if comp[a] != comp[b]:
                     comp[comp == comp[b]] = comp[a]
-                    out.append((a, b))
+                    out.append((int(order[a]), int(order[b])))
             left, right, met = [], [], 0
     return out
 
 
+def gathered(own: c.Scratch, members: DataFrame) -> DataFrame:
+    """members (key, id, about) of fewer and larger groups, so that lines which share a key still do. The leader of a group is its line with
+    the largest groups; groups of one leader, and those whose lines all know another group's leader, become one where that makes fewer pairs."""
+    sizes = members.groupBy("key").agg(F.count("*").alias("size"))
+    sized = own.cut(members.join(sizes, "key"))
+    scores = sized.groupBy("id").agg(F.sum("size").alias("score"))
+    leaders = sized.join(scores, "id").groupBy("key").agg(F.max(F.struct("score", "id")).alias("leader"))
+    led = own.cut(sized.select("key", "id", "size").join(leaders, "key"))
+    homes = led.groupBy("id").agg(F.max("leader").alias("home"))
+    ends = led.join(homes, "id").groupBy("key").agg(F.first("size").alias("size"), F.first("leader").alias("leader"), F.min("home").alias("lo"), F.max("home").alias("hi"))
+    groups = own.cut(ends.select("key", "size", F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(F.col("leader"))["id"].alias("leader")))
+    lines = sized.join(groups.select("key", "leader"), "key").groupBy("leader", "id").agg(F.first("about").alias("about"))
+    lines = own.cut(lines.select(F.col("leader").alias("key"), "id", "about"))
+    fewer = lines.groupBy(F.col("key").alias("leader")).agg(F.count("*").alias("n"))
+    fewer = fewer.join(groups.groupBy("leader").agg(F.sum(F.col("size") * F.col("size")).alias("apart")), "leader").where("n * n <= apart").select("leader")
+    alone = groups.join(fewer, "leader", "left_anti").select("key")
+    together = lines.join(fewer.withColumnRenamed("leader", "key"), "key", "left_semi")
+    return together.unionByName(sized.join(alone, "key", "left_semi").drop("size"))
+
+
 def linked_groups(members: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (a, b) that connect all lines of each group (key, id, about) which links connect."""
 
@@ -728,18 +793,36 @@ def finer_keys(members: DataFrame, texts: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, schema)
 
 
+def banded(members: DataFrame) -> DataFrame:
+    """members (key, id, about) with `band` and `narrow`, a key of key and band: one row for each band of the number of tokens in which a
+    linked line that is no shorter can be."""
+    n = F.col("about").bitwiseAND((1 << SIZE_BITS) - 1)
+    longest = F.least(F.lit((1 << SIZE_BITS) - 1), n + F.greatest(F.lit(2), F.floor(n / (STEP - 1)) + 1))
+    first, last = (F.floor(F.log(F.greatest(x, F.lit(1))) / math.log(BAND_WIDTH)).cast("int") for x in (n, longest))
+    return members.withColumn("band", F.explode(F.sequence(first, last))).withColumn("narrow", F.xxhash64("key", "band"))
+
+
 def _links(own: c.Scratch, found: DataFrame, seen: dict, texts: DataFrame) -> DataFrame:
     """Links (a, b) that connect all lines which links connect, by what candidates() found and counted."""
-    pairs, members = found.where("b is not null").select("a", "b"), found.where("key is not null and not crowded").select("key", F.col("a").alias("id"), "about")
-    some = seen["members"] > seen["crowded"]
+    count = F.count("key").alias("members"), F.count_if("crowded").alias("crowded")
+    tables, some = [found], seen["members"] > seen["crowded"]
     if seen["crowded"]:
-        crowded = found.where("crowded").select("key", F.col("a").alias("id"), "about").distinct()
-        finer, more = own.measured(candidates(finer_keys(crowded, texts), None), F.count("key").alias("members"))
-        pairs = pairs.unionByName(finer.where("b is not null").select("a", "b"))
-        members = members.unionByName(finer.where("key is not null").select("key", F.col("a").alias("id"), "about"))
-        some = some or more["members"] > 0
-    links = verified(pairs.distinct(), texts)
-    return links.unionByName(linked_groups(members, texts)) if some else links
+        bands = own.cut(banded(found.where("crowded").select("key", F.col("a").alias("id"), "about").distinct()))
+        found, seen = own.measured(candidates(bands.select(F.col("narrow").alias("key"), "id", "about"), LARGE * rounds.CROWDED), *count)
+        tables.append(found)
+        some = some or seen["members"] > seen["crowded"]
+        if seen["crowded"]:
+            over = found.where("crowded").select(F.col("key").alias("narrow")).distinct()
+            finer = finer_keys(bands.join(over, "narrow", "left_semi").drop("narrow"), texts)
+            found, seen = own.measured(candidates(finer.select(F.xxhash64("key", "band").alias("key"), "id", "about"), None), *count)
+            tables.append(found)
+            some = some or seen["members"] > 0
+    found = functools.reduce(DataFrame.unionByName, tables)
+    links = verified(found.where("b is not null").select("a", "b").distinct(), texts)
+    if some:
+        members = found.where("key is not null and not crowded").select("key", F.col("a").alias("id"), "about")
+        links = links.unionByName(linked_groups(gathered(own, members), texts))
+    return links
 
 
 def _classes(own: c.Scratch, docs: DataFrame) -> DataFrame:

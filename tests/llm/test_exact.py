@@ -257,6 +257,67 @@ def test_lines_of_repeated_words_are_no_candidates(spark):
     assert sorted((r.doc_id, r.class_doc_id) for r in linedup.line_classes(docs).collect()) == [(0, 0), (1, 1), (2, 0)]
 
 
+def test_very_long_lines_are_told_apart(spark):
+    """Beyond 8,192 tokens the limit allows more odd bits than a line has; pairs of tokens tell such lines apart before their texts meet."""
+    rnd = random.Random(14)
+    words = [f"w{i}" for i in range(60)]
+    lines = [[*"abcde", *rnd.choices(words, k=8300 + i)] for i in range(6)]
+    lines.append(changed(rnd, lines[2], 400))
+    docs = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(lines)], "doc_id long, text string")
+    texts = linedup.line_texts(docs, linedup.line_table(docs).withColumnRenamed("h", "id"))
+    ids = [r.h for r in linedup.line_table(docs).orderBy("doc_id").collect()]
+    pairs = spark.createDataFrame([(ids[i], ids[j]) for i in range(7) for j in range(i)], "a long, b long")
+    assert [tuple(r) for r in linedup.likely(pairs, texts).collect()] == [(ids[6], ids[2])]
+    assert linedup.forest(pa.array([" ".join(x) for x in lines]), np.zeros(7, int)) in ([(2, 6)], [(6, 2)])
+    for n in (63, 64, 65, 129, 2050):  # bits of lines on both sides of a power of two meet as the fewer ones
+        base = rnd.choices(words, k=n)
+        for k in (0, 1, 4, 7):
+            x, y = (linedup.pair_parities(linedup._tokens_of(pa.array([" ".join(z)]))[0]) for z in (base, changed(rnd, base, k)))
+            assert linedup.pairs_alike(x, y, k) and linedup.pairs_alike(y, x, k)
+
+
+def test_near_copies_meet_once(spark):
+    """Groups of the same near copies become one, and every two lines that share a key still meet."""
+    rnd = random.Random(15)
+    base = [f"w{i}" for i in range(150)]
+    lines = [" ".join(changed(rnd, base, rnd.randrange(1, 8))) for _ in range(150)]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    found = linedup.candidates(linedup.key_table(docs), 4096)
+    before = found.where("key is not null").select("key", F.col("a").alias("id"), "about")
+    own = common.Scratch(spark)
+    groups = {}
+    for frame in (before, linedup.gathered(own, before)):
+        for r in frame.collect():
+            groups.setdefault(frame is before, {}).setdefault(r.key, set()).add(r.id)
+    own.clear()
+    assert sum(map(len, groups[True].values())) > 1500  # a text would be sent for each
+    assert sum(map(len, groups[False].values())) < 400
+    assert all(any(x <= y for y in groups[False].values()) for x in groups[True].values())
+
+
+def test_crowded_keys_are_divided_by_length(spark, monkeypatch):
+    """Lines of many lengths that share a gram need no parts of their texts; divided in any way, lines are linked as by comparing all."""
+    rnd = random.Random(16)
+    shared = [f"s{i}" for i in range(12)]
+    lines = [[*shared, *(f"w{rnd.randrange(3000)}" for _ in range(n))] for n in range(40, 240, 2)]
+    lines += [changed(rnd, x, rnd.randrange(1, 12)) for x in lines[::4]]
+    rows = [(i, " ".join(x)) for i, x in enumerate(lines)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = sorted(line_rows(rows))
+    classes = lambda: sorted(tuple(r)[:6] for r in linedup.line_classes(docs).select("doc_id", "line_no", "n_chars", "class_doc_id", "class_line_no", "kept").collect())
+    monkeypatch.setattr(rounds, "CROWDED", 10)
+    with monkeypatch.context() as m:
+        m.setattr(linedup, "finer_keys", None)
+        assert classes() == expected
+    monkeypatch.setattr(linedup, "LARGE", 1)
+    assert classes() == expected
+    keys = spark.createDataFrame([(1, n, n) for n in (*range(1, 400), 4700, 5000, 61439, 65535)], "key long, id long, about long")
+    bands = {}
+    for r in linedup.banded(keys).collect():
+        bands.setdefault(r.id, set()).add(r.band)
+    assert all(bands[m] & bands[n] for m in bands for n in bands if n <= m and m - linedup.limit(m) <= n)
+
+
 def test_short_lines_have_rows(spark, tmp_path):
     """Every line that is not blank has a row in the query; those of fewer than four words are linked by equality alone."""
     long = "A line of more than four and twenty characters"
